@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, functions as F
 from rosterlake.catalog.base import FX, Tables, query, with_fx
 from rosterlake.operators.aggregate import pending_values
 from rosterlake.plans.pay import (
-    COURIER_FIELDS, COURIER_PAY, PICKER_FIELDS, PICKER_PAY, apply_pay, courier_pay, courier_unmatched, picker_pay,
+    COURIER_FIELDS, COURIER_PAY, PICKER_FIELDS, PICKER_PAY, courier_pay, courier_repriced, courier_unmatched,
+    picker_pay, picker_repriced,
 )
 from rosterlake.plans.tariffs import date_bounds, effective_prices
+from rosterlake.session import settle
 
 FACTS = """SELECT w.*, k.region_id, CASE transport_id WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 4 THEN 2 ELSE 1 END
     AS speciality_id FROM fx_work w JOIN fx_tks k ON k.tk_id = w.tk_id
@@ -56,9 +58,8 @@ COURIER_SQL = with_fx(
     ),
 )
 def prices_in_force(t: Tables) -> DataFrame:
-    work = t.fx_work()
-    days = pending_values(work, "full_payment_client", "date_")
-    return effective_prices(t.fx_tariffs(), t.fx_prices(COURIER_FIELDS), days, date_bounds(work, "date_"))
+    days = settle(pending_values(t.fx_work(), "full_payment_client", "date_"), "pending-days")
+    return effective_prices(t.fx_tariffs(), t.fx_prices(COURIER_FIELDS), days, date_bounds(days, "date_"))
 
 
 def courier_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -71,7 +72,7 @@ def couriers_paid(t: Tables) -> DataFrame:
 
 
 @query(
-    "courier_pay_applied",
+    "courier_repriced",
     with_fx(
         f"SELECT w.id, w.courier_id, w.date_, COALESCE(p.full_payment_client, w.full_payment_client) AS full_payment_client "
         f"FROM fx_work w LEFT JOIN ({COURIER_SQL}) p ON p.id = w.id", "fx_work",
@@ -79,8 +80,8 @@ def couriers_paid(t: Tables) -> DataFrame:
 )
 def couriers_updated(t: Tables) -> DataFrame:
     work, tks, tariffs, prices = courier_inputs(t)
-    table = work.select("id", "courier_id", "date_", F.col("full_payment_client").cast("double"))
-    return apply_pay(table, courier_pay(work, tks, tariffs, prices).select("id", "full_payment_client"))
+    table = work.withColumn("full_payment_client", F.col("full_payment_client").cast("double"))
+    return courier_repriced(table, tks, tariffs, prices).select("id", "courier_id", "date_", "full_payment_client")
 
 
 @query(
@@ -107,29 +108,42 @@ def _picker_side(side: str, price: str) -> str:
     AS picked_SKU_{side}"""
 
 
-@query(
-    "picker_pay",
-    with_fx(
-        "SELECT id, "
-        + ", ".join(f"ROUND({c}, 6) AS {c}" for c in PICKER_PAY if not c.startswith("full"))
-        + ", ROUND(hour_day_client + hour_night_client + picked_SKU_client, 6) AS full_payment_client"
-        + ", ROUND(hour_day_doer + hour_night_doer + picked_SKU_doer, 6) AS full_payment_doer FROM ("
-        + f"SELECT b.id, {_picker_side('client', 'amount')}, {_picker_side('doer', 'cost')} FROM bands b "
-        "JOIN held h ON h.date_ = b.date_ AND h.region_id = b.region_id AND h.speciality_id = 3 "
-        "JOIN fx_prices p ON p.tariff_id = h.tariff_id AND p.field_id IN (1, 86, 92) "
-        "GROUP BY b.id, hours_day, hours_night, active_time_hours, picked_sku)",
-        "fx_tks", "fx_shifts", "fx_tariffs", "fx_prices",
-        days="SELECT DISTINCT date_ FROM fx_shifts WHERE full_payment_doer IS NULL AND file_date > DATE '2022-05-11'",
-        held=FX["held"],
-        bands=f"SELECT id, date_, region_id, active_time_hours, picked_sku, {_band(6, 22)} AS hours_day, "
-              f"{_band(0, 6)} + {_band(22, 24)} AS hours_night FROM (SELECT x.*, k.region_id, "
-              "hour(first_activation) + minute(first_activation) / 60 AS s, "
-              "hour(last_deactivation) + minute(last_deactivation) / 60 AS f "
-              "FROM fx_shifts x JOIN fx_tks k ON k.tk_id = x.tk_id WHERE k.region_id IS NOT NULL "
-              "AND first_activation IS NOT NULL AND date_ IN (SELECT date_ FROM days))",
-    ),
-)
+PICKER_SQL = with_fx(
+    "SELECT id, "
+    + ", ".join(f"ROUND({c}, 6) AS {c}" for c in PICKER_PAY if not c.startswith("full"))
+    + ", ROUND(hour_day_client + hour_night_client + picked_SKU_client, 6) AS full_payment_client"
+    + ", ROUND(hour_day_doer + hour_night_doer + picked_SKU_doer, 6) AS full_payment_doer FROM ("
+    + f"SELECT b.id, {_picker_side('client', 'amount')}, {_picker_side('doer', 'cost')} FROM bands b "
+    "JOIN held h ON h.date_ = b.date_ AND h.region_id = b.region_id AND h.speciality_id = 3 "
+    "JOIN fx_prices p ON p.tariff_id = h.tariff_id AND p.field_id IN (1, 86, 92) "
+    "GROUP BY b.id, hours_day, hours_night, active_time_hours, picked_sku)",
+    "fx_tks", "fx_shifts", "fx_tariffs", "fx_prices",
+    days="SELECT DISTINCT date_ FROM fx_shifts WHERE full_payment_doer IS NULL AND file_date > DATE '2022-05-11'",
+    held=FX["held"],
+    bands=f"SELECT id, date_, region_id, active_time_hours, picked_sku, {_band(6, 22)} AS hours_day, "
+          f"{_band(0, 6)} + {_band(22, 24)} AS hours_night FROM (SELECT x.*, k.region_id, "
+          "hour(first_activation) + minute(first_activation) / 60 AS s, "
+          "hour(last_deactivation) + minute(last_deactivation) / 60 AS f "
+          "FROM fx_shifts x JOIN fx_tks k ON k.tk_id = x.tk_id WHERE k.region_id IS NOT NULL "
+          "AND first_activation IS NOT NULL AND date_ IN (SELECT date_ FROM days))",
+    )
+
+
+@query("picker_pay", PICKER_SQL)
 def pickers_paid(t: Tables) -> DataFrame:
     prices = t.fx_prices(PICKER_FIELDS)
     paid = picker_pay(t.fx_shifts(), t.fx_tks(), t.fx_tariffs(), prices)
     return paid.select("id", *[F.round(c, 6).alias(c) for c in PICKER_PAY])
+
+
+@query(
+    "picker_repriced",
+    with_fx(
+        "SELECT x.id, x.date_, COALESCE(p.full_payment_doer, x.full_payment_doer) AS full_payment_doer "
+        f"FROM fx_shifts x LEFT JOIN ({PICKER_SQL}) p ON p.id = x.id", "fx_shifts",
+    ),
+)
+def pickers_updated(t: Tables) -> DataFrame:
+    table = t.fx_shifts().withColumn("full_payment_doer", F.col("full_payment_doer").cast("double"))
+    after = picker_repriced(table, t.fx_tks(), t.fx_tariffs(), t.fx_prices(PICKER_FIELDS))
+    return after.select("id", "date_", F.round("full_payment_doer", 6).alias("full_payment_doer"))

@@ -34,8 +34,8 @@ def ingested(t: Tables) -> DataFrame:
 
 @query(
     "stream_upsert",
-    """SELECT k, status, event_id, day FROM (SELECT event_id % 700 AS k, event_type AS status, event_id,
-    CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY event_id % 700, CAST(ts AS DATE)
+    """SELECT k, status, event_id, day FROM (SELECT event_id % 40 AS k, event_type AS status, event_id,
+    CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY event_id % 40, CAST(ts AS DATE)
     ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""",
 )
 def stream_upserted(t: Tables) -> DataFrame:
@@ -45,7 +45,7 @@ def stream_upserted(t: Tables) -> DataFrame:
         _land(t, f"{root}/landing", where)
         rows = landing_stream(t.spark, f"{root}/landing", schema=EVENT_SCHEMA)
         keyed = rows.selectExpr(
-            "event_id % 700 AS k", "event_type AS status", "event_id", "CAST(ts AS DATE) AS day"
+            "event_id % 40 AS k", "event_type AS status", "event_id", "CAST(ts AS DATE) AS day"
         )
         upsert_new(
             keyed, f"{root}/table", schema, ["k", "day"], ["status", "event_id"], "day", ["event_id"],

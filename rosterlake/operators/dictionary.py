@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rosterlake.session import shared_folder
+from rosterlake.session import settle
 
 
 def dict_diff(report: DataFrame, dim: DataFrame, keys: Mapping[str, str]) -> DataFrame:
@@ -27,17 +27,17 @@ def dense_numbers(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """Number rows 1, 2, … in a global order without moving them to one task.
 
     Rows are range-partitioned and numbered inside their partition; each partition is then shifted
-    by the rows before it. The numbered rows are checkpointed, so that the shift counts exactly the
-    partitions the numbers come from, also when an executor is lost.
+    by the rows before it. The numbered rows are written out first, so that the shift counts exactly
+    the partitions the numbers come from, also when an executor is lost.
     """
-    shared_folder(df.sparkSession)
     in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ranged = (
+    ranged = settle(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_part"), (in_part + 1).alias("_row"))
-        .checkpoint()
+        .select("*", F.spark_partition_id().alias("_part"), (in_part + 1).alias("_row")),
+        "numbers",
     )
+    # one row per partition
     sizes = ranged.groupBy("_part").agg(F.max("_row").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_shift"))
@@ -51,7 +51,10 @@ def dict_grow(
     keys: Mapping[str, str],
     extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """The dimension with the report's new values appended under the next free ids."""
+    """The dimension with the report's new values appended under the next free ids.
+
+    It is written out: the ids are given once, and the facts are joined to a table of known size.
+    """
     numbered = dense_numbers(dict_diff(report, dim, keys), list(keys.values()), "_n")
     top = dim.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
     id_type = dim.schema[id_column].dataType
@@ -60,4 +63,4 @@ def dict_grow(
         *keys.values(),
         *[expr.alias(n) for n, expr in (extra or {}).items()],
     )
-    return dim.unionByName(added, allowMissingColumns=True)
+    return settle(dim.unionByName(added, allowMissingColumns=True), "dictionary")

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from rosterlake.operators.aggregate import keep_last
-from rosterlake.operators.joins import absent_rows, member_rows
+from rosterlake.operators.joins import absent_rows
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -169,8 +169,12 @@ def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions present in ``df``; a rerun gives the same table."""
+def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of one partition together, few files each; Spark splits a partition that is too large."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
+
+
+def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -179,6 +183,11 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace just the partitions present in ``df``; a rerun gives the same table."""
+    _overwrite(_balanced(df, partition_by), path, partition_by)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("_probe int").parquet(path).limit(0)
@@ -187,6 +196,35 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def store_partitions(
+    rows: DataFrame, path: str, schema: StructType, partition_by: str, staging: str
+) -> None:
+    """Replace partitions of a stored table by rows that may have been read from it.
+
+    The rows go to ``staging`` in the shared folder first, so the table is never overwritten by a
+    plan that reads it; a retry after a crash goes on from finished staging files.
+    """
+    spark = rows.sparkSession
+    if not _exists(spark, f"{staging}/_SUCCESS"):
+        balanced = _balanced(rows.select(schema.names), [partition_by])
+        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
+    _overwrite(spark.read.schema(schema).parquet(staging).select(schema.names), path, [partition_by])
+
+
+def touched_partitions(
+    spark: SparkSession, path: str, schema: StructType, updates: DataFrame, partition_by: str
+) -> DataFrame:
+    """The stored rows of the partitions the updates fall into; the scan reads no others.
+
+    The partition values are collected: they are few, and the driver's file index lists each anyway.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    values = [row[0] for row in updates.select(partition_by).distinct().collect()]
+    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    return table.filter(F.col(partition_by).isin(values))
+
+
 def merge_into(
     spark: SparkSession,
     path: str,
@@ -201,18 +239,8 @@ def merge_into(
 ) -> None:
     """Upsert into a stored table partitioned by a column that is part of the key.
 
-    Only the partitions the updates fall into are read (the semi join prunes the scan) and
-    rewritten. The merged partitions go to ``staging`` in the shared folder first: the table is
-    never overwritten by a plan that reads it, and a retry after a crash resumes from there.
+    Only the partitions the updates fall into are read and rewritten.
     """
-    if not _exists(spark, f"{staging}/_SUCCESS"):
-        if _exists(spark, path):
-            table = spark.read.schema(schema).parquet(path)
-            touched = member_rows(table, updates.select(partition_by).distinct(), [partition_by])
-        else:
-            touched = spark.createDataFrame([], schema)
-        merged = upsert(touched.select(schema.names), updates, keys, update_columns, order, provenance)
-        merged.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
-    overwrite_partitions(
-        spark.read.schema(schema).parquet(staging).select(schema.names), path, [partition_by]
-    )
+    touched = touched_partitions(spark, path, schema, updates, partition_by)
+    merged = upsert(touched, updates, keys, update_columns, order, provenance)
+    store_partitions(merged, path, schema, partition_by, staging)

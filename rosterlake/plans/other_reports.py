@@ -15,6 +15,7 @@ from rosterlake.operators.quality import audit_row, empty_load_warning, null_col
 from rosterlake.operators.reshape import dated_columns, unpivot_cells
 from rosterlake.operators.writes import replace_dates, upsert
 from rosterlake.plans import reports as R
+from rosterlake.session import settle
 from rosterlake.sources.landing import column_range, landing_metadata, route
 from rosterlake.sources.workbook import cell_at, named_cells, sheet_rows, trim_sheet
 
@@ -53,7 +54,7 @@ def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLo
         }
     )
     city = regions.select(F.col("id").alias("city_id"), F.col("legal_name").alias("_legal"))
-    rows = dim_join(rows, city, {"city": "_legal"}, "left")
+    rows = settle(dim_join(rows, city, {"city": "_legal"}, "left"), "hours")
     keys = {"city_id": "city_id", "address": "address"}
     tks = dict_grow(tks, "tks_id", rows, keys)
     rows = dim_join(rows, tks, keys, "left", null_safe=True)
@@ -104,7 +105,7 @@ def load_revenues(
     """
     rows = sheet_rows(_of_kind(chunks, "revenues").filter("sheet = 0"))
     rows = rows.select("file", *named_cells(R.REVENUE_HEADER, REVENUE_CELLS))
-    rows = rows.fillna({"doer_id": "0", "notes": ""})
+    rows = settle(rows.fillna({"doer_id": "0", "notes": ""}), "revenues")
     required = [c for c in REVENUE_CELLS if c not in ("doer_id", "notes")]
     missing = null_columns(rows.select(*required))
     if strict:
@@ -184,7 +185,8 @@ def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
     places = both.withColumns(
         {"days": days, "_tk": store, "_type": at("Тип ресурса"), "_night": at("Ночь"), "_more": at("Доп потребность")}
     )
-    rows = sheet_rows(places, "days", "_tk", "_type", "_night", "_more").withColumns(
+    rows = sheet_rows(places, "days", "_tk", "_type", "_night", "_more")
+    typed = rows.withColumns(
         {
             "tk_name": prefix_code(cell_at(F.col("_tk")), R.STORE_PREFIX),
             "resource_id": map_codes(cell_at(F.col("_type")), R.RESOURCES),
@@ -192,6 +194,7 @@ def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
             "add_requirement": cell_at(F.col("_more")),
         }
     )
+    rows = settle(typed.drop("_tk", "_type", "_night", "_more"), "requests")
     tks = dict_grow(tks, "tk_id", rows, {"tk_name": "tk_name"})
     rows = dim_join(rows, tks.select("tk_id", "tk_name"), {"tk_name": "tk_name"}, "left", null_safe=True)
     rows = landing_metadata(rows, "file")
@@ -216,7 +219,7 @@ def load_outputs(chunks: DataFrame) -> OutputLoad:
     rows = rows.select("file", "row_no", *named_cells(R.OUTPUT_HEADER, {h: h for h in R.OUTPUT_HEADER}))
     rows = landing_metadata(rows, "file").withColumnRenamed("file_date", "fix_date")
     rows = rows.withColumn("schedule_date", parse_date(F.col("schedule_date"), R.DATES))
-    rows = rows.select("row_no", *R.OUTPUT_HEADER, "filename", "fix_date")
+    rows = settle(rows.select("row_no", *R.OUTPUT_HEADER, "filename", "fix_date"), "outputs")
     counts = quality_counts(
         rows, {"city": F.col("city").isNull(), "courier_un_id": F.col("courier_un_id").isNull()}
     )

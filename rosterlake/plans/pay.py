@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions import clock_hours, overlap_hours
 from rosterlake.operators.aggregate import pending_values
-from rosterlake.operators.joins import dim_join, member_rows
+from rosterlake.operators.joins import dim_join
 from rosterlake.operators.mapping import map_codes
-from rosterlake.operators.writes import keyed_update
-from rosterlake.plans.tariffs import PRICE_KEY, date_bounds, unmatched_rows, wide_prices
+from rosterlake.plans.tariffs import PRICE_KEY, date_bounds, wide_prices
+from rosterlake.session import settle
 
 # Project, specialities and tariff fields.
 PROJECT = 20
@@ -30,33 +30,27 @@ COURIER_PARTS = (
 PICKER_PARTS = ("hour_day", "hour_night", "picked_SKU")
 
 
-def _with_region(rows: DataFrame, tks: DataFrame) -> DataFrame:
-    regions = tks.filter("region_id is not null").select(
-        F.col("tk_id").alias("_tk"), F.col("region_id").cast("int").alias("region_id")
-    )
-    return dim_join(rows, regions, {"tk_id": "_tk"})
+def _pending_days(rows: DataFrame, result: str) -> DataFrame:
+    """Days that still have a row without a result: at most one row per calendar day."""
+    return settle(pending_values(rows, result, "date_").filter("date_ is not null"), "pending-days")
 
 
-def courier_facts(work: DataFrame, tks: DataFrame) -> DataFrame:
-    """Rows of dates still to be priced, with the keys tariffs are looked up by.
+def _join_prices(
+    rows: DataFrame, days: DataFrame, tks: DataFrame, prices: DataFrame, salts: int
+) -> DataFrame:
+    """All rows, with region, price columns and ``tariff_id``; the latter is null for rows that are
+    not pending, or have no region or no tariff.
 
-    Every row of such a date is priced again. Rows of a store without a region are left out.
+    The facts are read once and, as long as the other sides are small, never shuffled. Where the
+    prices are too large to broadcast, ``salts`` spreads the rows of one price key.
     """
-    pending = pending_values(work, "full_payment_client", "date_")
-    rows = member_rows(work, pending, ["date_"]).withColumns(
-        {
-            "project_id": F.lit(PROJECT),
-            "speciality_id": map_codes(
-                F.col("transport_id"), COURIER_SPECIALITY, COURIER_DEFAULT_SPECIALITY
-            ),
-        }
+    regions = tks.filter("region_id is not null").select(
+        F.col("tk_id").alias("_tk"), F.col("region_id").cast("int").alias("region_id")
     )
-    return _with_region(rows, tks)
-
-
-def courier_prices(work: DataFrame, tariffs: DataFrame, prices: DataFrame) -> DataFrame:
-    days = pending_values(work, "full_payment_client", "date_").filter("date_ is not null")
-    return wide_prices(tariffs, prices, days, date_bounds(work, "date_"), COURIER_FIELDS, integers=True)
+    pending = days.select(F.col("date_").alias("_day"), F.col("date_").alias("pending_date"))
+    placed = dim_join(dim_join(rows, pending, {"date_": "_day"}, "left"), regions, {"tk_id": "_tk"}, "left")
+    keys = {"pending_date": "date_", **{k: k for k in PRICE_KEY if k != "date_"}}
+    return dim_join(placed, prices, keys, "left", salts=salts)
 
 
 def _courier_side(price: str, side: str) -> dict[str, Column]:
@@ -75,13 +69,6 @@ def _courier_side(price: str, side: str) -> dict[str, Column]:
     }
 
 
-def _total(side: str, parts: tuple[str, ...]) -> Column:
-    total = F.col(f"{parts[0]}_{side}")
-    for part in parts[1:]:
-        total = total + F.col(f"{part}_{side}")
-    return total
-
-
 def _pay_columns(parts: tuple[str, ...]) -> list[str]:
     return [f"{part}_{side}" for part in (*parts, "full_payment") for side in SIDES]
 
@@ -90,40 +77,68 @@ COURIER_PAY = _pay_columns(COURIER_PARTS)
 PICKER_PAY = _pay_columns(PICKER_PARTS)
 
 
-def courier_pay(work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame) -> DataFrame:
-    """Pay columns per courier shift id.
+def _courier_rows(
+    work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int
+) -> DataFrame:
+    days = _pending_days(work, "full_payment_client")
+    wide = wide_prices(tariffs, prices, days, date_bounds(days, "date_"), COURIER_FIELDS, integers=True)
+    speciality = map_codes(F.col("transport_id"), COURIER_SPECIALITY, COURIER_DEFAULT_SPECIALITY)
+    keyed = work.withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
+    return _join_prices(keyed, days, tks, settle(wide, "prices"), salts)
 
-    A missing price makes its part and the whole total 0, because nulls are filled after summing.
-    """
-    facts = courier_facts(work, tks)
-    priced = dim_join(facts, courier_prices(work, tariffs, prices), {k: k for k in PRICE_KEY})
+
+def _courier_amounts() -> dict[str, Column]:
+    """Pay columns. A missing price makes its part and the whole total 0, because nulls are filled
+    after summing."""
     parts = {}
     for side, price in SIDES.items():
         parts.update(_courier_side(price, side))
-    totals = {f"full_payment_{side}": _total(side, COURIER_PARTS) for side in SIDES}
-    paid = priced.select("id", *[e.cast("double").alias(n) for n, e in parts.items()]).withColumns(totals)
-    return paid.select("id", *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in COURIER_PAY])
+    for side in SIDES:
+        parts[f"full_payment_{side}"] = sum((parts[f"{p}_{side}"] for p in COURIER_PARTS), F.lit(0))
+    return {c: F.coalesce(parts[c].cast("double"), F.lit(0.0)) for c in COURIER_PAY}
 
 
-def courier_unmatched(work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame) -> DataFrame:
-    return unmatched_rows(courier_facts(work, tks), courier_prices(work, tariffs, prices))
+def _paid(rows: DataFrame, amounts: dict[str, Column]) -> DataFrame:
+    priced = rows.filter("tariff_id is not null")
+    return priced.select("id", *[e.alias(n) for n, e in amounts.items()])
 
 
-def picker_facts(shifts: DataFrame, tks: DataFrame) -> DataFrame:
-    """Rows with a first activation, on dates still to be priced."""
-    recent = shifts.filter(F.col("file_date") > F.lit(PICKER_SINCE))
-    pending = pending_values(recent, "full_payment_doer", "date_")
-    rows = member_rows(shifts.filter("first_activation is not null"), pending, ["date_"])
-    return _with_region(
-        rows.withColumns({"project_id": F.lit(PROJECT), "speciality_id": F.lit(PICKER_SPECIALITY)}), tks
-    )
+def _repriced(table: DataFrame, rows: DataFrame, amounts: dict[str, Column]) -> DataFrame:
+    """The table with the amounts in place of its pay columns, for priced rows only."""
+    priced = F.col("tariff_id").isNotNull()
+    columns = []
+    for c in table.columns:
+        kept = F.col(c)
+        new = F.when(priced, amounts[c]).otherwise(kept) if c in amounts else kept
+        columns.append(new.alias(c))
+    return rows.select(*columns)
 
 
-def picker_prices(shifts: DataFrame, tariffs: DataFrame, prices: DataFrame) -> DataFrame:
-    recent = shifts.filter(F.col("file_date") > F.lit(PICKER_SINCE))
-    days = pending_values(recent, "full_payment_doer", "date_").filter("date_ is not null")
-    own = tariffs.filter((F.col("speciality_id") == PICKER_SPECIALITY) & (F.col("project_id") == PROJECT))
-    return wide_prices(own, prices, days, date_bounds(shifts, "date_"), PICKER_FIELDS, integers=False)
+def courier_pay(
+    work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> DataFrame:
+    """Pay columns per courier shift id, for all shifts of the days that still miss a result.
+
+    Shifts of a store without a region and shifts without a tariff are left out.
+    """
+    rows = _courier_rows(work, tks, tariffs, prices, salts)
+    return _paid(rows, _courier_amounts())
+
+
+def courier_repriced(
+    work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> DataFrame:
+    """The courier shift table with the pay of ``courier_pay`` filled in, in one pass over it."""
+    rows = _courier_rows(work, tks, tariffs, prices, salts)
+    return _repriced(work, rows, _courier_amounts())
+
+
+def courier_unmatched(
+    work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> DataFrame:
+    """Pending shifts with a region but without a tariff; they never stop a run."""
+    rows = _courier_rows(work, tks, tariffs, prices, salts)
+    return rows.filter("pending_date is not null and region_id is not null and tariff_id is null")
 
 
 def shift_bands(rows: DataFrame) -> DataFrame:
@@ -137,22 +152,44 @@ def shift_bands(rows: DataFrame) -> DataFrame:
     )
 
 
-def picker_pay(shifts: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame) -> DataFrame:
-    """Pay columns per picker shift id; shifts without a tariff are left out."""
-    facts = shift_bands(picker_facts(shifts, tks))
-    priced = dim_join(facts, picker_prices(shifts, tariffs, prices), {k: k for k in PRICE_KEY})
+def _picker_rows(
+    shifts: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int
+) -> DataFrame:
+    recent = shifts.filter(F.col("file_date") > F.lit(PICKER_SINCE))
+    days = _pending_days(recent, "full_payment_doer")
+    own = tariffs.filter((F.col("speciality_id") == PICKER_SPECIALITY) & (F.col("project_id") == PROJECT))
+    wide = wide_prices(own, prices, days, date_bounds(days, "date_"), PICKER_FIELDS, integers=False)
+    # a shift that never started is not priced
+    speciality = F.when(F.col("first_activation").isNotNull(), F.lit(PICKER_SPECIALITY))
+    keyed = shift_bands(shifts).withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
+    return _join_prices(keyed, days, tks, settle(wide, "prices"), salts)
+
+
+def _picker_amounts() -> dict[str, Column]:
     rate = F.try_divide(F.col("picked_SKU").cast("double"), F.col("active_time_hours").cast("double"))
     parts = {}
     for side, price in SIDES.items():
         p = {f: F.col(f"{price}_{f}").cast("double") for f in PICKER_FIELDS}
-        parts[f"hour_day_{side}"] = F.col("hours_day") * p[1]
-        parts[f"hour_night_{side}"] = F.col("hours_night") * p[86]
-        parts[f"picked_SKU_{side}"] = rate * F.col("hours_day") * p[92]
-    filled = [F.coalesce(e, F.lit(0.0)).alias(n) for n, e in parts.items()]
-    totals = {f"full_payment_{side}": _total(side, PICKER_PARTS) for side in SIDES}
-    return priced.select("id", *filled).withColumns(totals).select("id", *PICKER_PAY)
-
-
-def apply_pay(table: DataFrame, pay: DataFrame) -> DataFrame:
-    """The shift table with the computed pay written to the ids concerned."""
-    return keyed_update(table, pay, ["id"], [c for c in pay.columns if c != "id"])
+        amounts = (
+            F.col("hours_day") * p[1], F.col("hours_night") * p[86], rate * F.col("hours_day") * p[92]
+        )
+        filled = [F.coalesce(a, F.lit(0.0)) for a in amounts]
+        parts.update({f"{part}_{side}": a for part, a in zip(PICKER_PARTS, filled)})
+        parts[f"full_payment_{side}"] = filled[0] + filled[1] + filled[2]
+    return {c: parts[c] for c in PICKER_PAY}
+
+
+def picker_pay(
+    shifts: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> DataFrame:
+    """Pay columns per picker shift id; shifts without a start, region or tariff are left out."""
+    rows = _picker_rows(shifts, tks, tariffs, prices, salts)
+    return _paid(rows, _picker_amounts())
+
+
+def picker_repriced(
+    shifts: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> DataFrame:
+    """The picker shift table with the pay of ``picker_pay`` filled in, in one pass over it."""
+    rows = _picker_rows(shifts, tks, tariffs, prices, salts)
+    return _repriced(shifts, rows, _picker_amounts())

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from rosterlake.functions import coerce_numeric, first_integer, parse_date, parse_timestamp, prefix_code
 from rosterlake.operators.clean import fill_activation
@@ -13,8 +14,9 @@ from rosterlake.operators.dictionary import dict_grow
 from rosterlake.operators.joins import dim_join
 from rosterlake.operators.mapping import map_codes
 from rosterlake.operators.quality import quality_counts, warnings
-from rosterlake.operators.writes import upsert
+from rosterlake.operators.writes import merge_into, upsert
 from rosterlake.plans import reports as R
+from rosterlake.session import settle
 from rosterlake.sources.landing import landing_metadata, route
 from rosterlake.sources.workbook import named_cells, sheet_rows
 
@@ -96,7 +98,9 @@ def _clean(rows: DataFrame, amounts: tuple[str, ...], extra: Mapping[str, Column
             **extra,
         }
     )
-    return fill_activation(typed, "first_activation", "last_deactivation", "active_time_hours", "date_")
+    filled = fill_activation(typed, "first_activation", "last_deactivation", "active_time_hours", "date_")
+    # decoded and typed once; the dictionaries and checks then read single columns
+    return settle(filled, "shifts")
 
 
 def _load(
@@ -137,3 +141,13 @@ def apply_shifts(table: DataFrame, load: ShiftLoad, key: tuple[str, ...], action
     """
     changed = [c for c in load.rows.columns if c not in (*key, "row_no")]
     return upsert(table, load.rows, key, changed, ("file_date", "filename", "row_no"), action=action)
+
+
+def store_shifts(
+    spark: SparkSession, path: str, schema: StructType, load: ShiftLoad, key: tuple[str, ...], staging: str
+) -> None:
+    """The same for a stored table partitioned by ``date_``; other days are not read."""
+    changed = [c for c in load.rows.columns if c not in (*key, "row_no")]
+    merge_into(
+        spark, path, schema, load.rows, key, changed, "date_", staging, ("file_date", "filename", "row_no")
+    )

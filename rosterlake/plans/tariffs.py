@@ -18,7 +18,7 @@ PRICE_KEY = ("date_", "project_id", "region_id", "speciality_id")
 
 
 def date_bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """First and last date of a column, as scalar subqueries."""
+    """First and last date of a column, as scalar subqueries over a small table."""
     first = df.agg(F.min(column)).scalar()
     last = df.agg(F.max(column)).scalar()
     return first, last
@@ -71,7 +71,3 @@ def wide_prices(
     held = tariffs_in_force(tariffs, days, bounds)
     return dim_join(held, spread.withColumnRenamed("tariff_id", "_tariff"), {"tariff_id": "_tariff"})
 
-
-def unmatched_rows(facts: DataFrame, priced_keys: DataFrame) -> DataFrame:
-    """Facts no tariff covers; they go to a quality table and never stop a run."""
-    return facts.join(priced_keys.select(*PRICE_KEY).distinct(), list(PRICE_KEY), "left_anti")

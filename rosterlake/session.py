@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job here expects. Skew handling is left on, and AQE may add a shuffle
 # to split a hot key, because one key may hold a third of the rows.
@@ -46,3 +46,14 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_folder(spark)}/rosterlake/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder once and go on from the written files.
+
+    It cuts lineage, is computed once however often it is used, and gives Spark its true size: the
+    join that follows broadcasts it if it is below the threshold and shuffles it otherwise.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
