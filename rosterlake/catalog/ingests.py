@@ -21,6 +21,7 @@ from rosterlake.plans.shift_reports import COURIER_KEY, apply_shifts, load_couri
 from rosterlake.plans.vacancies import (
     API_COLUMNS, API_RULES, WEB_COLUMNS, WEB_RULES, api_vacancies, new_vacancies, web_vacancies,
 )
+from rosterlake.session import settle
 
 SENDER = "ops@mail.example"
 
@@ -538,7 +539,7 @@ _FOUND = f"""SELECT event_id, lower({_sql_texts(HEADS)}[event_id % {len(HEADS)}
     WHERE event_id % 2 = 1 OR event_id % 3 = 0 OR event_id % 4 = 0 OR event_id % 5 = 0""",
 )
 def api_ingest(t: Tables) -> DataFrame:
-    found = api_vacancies(api_pages(t, _TITLE))
+    found = settle(api_vacancies(api_pages(t, _TITLE)), "items")
     # the table holds the even ids; of those, rows with a null come in again
     stored = found.filter("CAST(vacancy_id AS BIGINT) % 2 = 0")
     return new_vacancies(stored, found, API_COLUMNS)
@@ -570,6 +571,6 @@ def web_ingest(t: Tables) -> DataFrame:
         F.concat(F.lit('<html><body><div class="top"><a href="/">x</a></div>'), F.array_join("cards", "<hr>"),
                  F.lit('<div class="iva-item-description-z">footer</div></body></html>')).alias("html"),
     )
-    found = web_vacancies(pages)
+    found = settle(web_vacancies(pages), "cards")
     stored = found.filter("CAST(substr(vacancy_id, 10) AS BIGINT) % 2 = 0")
     return new_vacancies(stored, found, WEB_COLUMNS)

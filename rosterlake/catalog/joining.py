@@ -8,11 +8,12 @@ from rosterlake.catalog.base import Tables, query, with_fx
 from rosterlake.operators.aggregate import pending_values
 from rosterlake.operators.dictionary import dict_diff, dict_grow
 from rosterlake.operators.joins import (
-    absent_rows, dim_join, interval_join, lookup_chain, lookup_default, member_rows,
+    absent_rows, dim_join, interval_join, interval_max, lookup_chain, lookup_default, member_rows,
 )
 from rosterlake.operators.reshape import union_sheets
 from rosterlake.plans.tariffs import date_bounds
 from rosterlake.plans.vacancies import WEB_SEARCHES, api_frontier, web_frontier
+from rosterlake.session import settle
 
 
 @query(
@@ -79,9 +80,9 @@ _INTERVAL_SQL = with_fx(
 
 def _in_force(t: Tables, bin_days: int) -> DataFrame:
     work = t.fx_work()
-    days = work.selectExpr("date_", "CAST(courier_id % 5 AS INT) AS region_id").distinct()
+    days = settle(work.selectExpr("date_", "CAST(courier_id % 5 AS INT) AS region_id").distinct(), "days")
     joined = interval_join(
-        days, t.fx_tariffs(), "date_", "date_start", "date_stop", date_bounds(work, "date_")[1],
+        days, t.fx_tariffs(), "date_", "date_start", "date_stop", date_bounds(days, "date_")[1],
         ["region_id"], bin_days,
     )
     return joined.groupBy("date_", "region_id").agg(
@@ -90,13 +91,29 @@ def _in_force(t: Tables, bin_days: int) -> DataFrame:
 
 
 @query("interval_join", _INTERVAL_SQL)
+def binned_intervals(t: Tables) -> DataFrame:
+    return _in_force(t, 30)
+
+
+@query("interval_join_daily", _INTERVAL_SQL)
 def daily_intervals(t: Tables) -> DataFrame:
     return _in_force(t, 1)
 
 
-@query("interval_join_bins", _INTERVAL_SQL)
-def binned_intervals(t: Tables) -> DataFrame:
-    return _in_force(t, 30)
+@query(
+    "interval_max",
+    with_fx(
+        "SELECT d.date_, t.region_id, MAX(t.id) AS last_id FROM (SELECT DISTINCT date_ FROM fx_work) d "
+        "JOIN fx_tariffs t ON d.date_ >= t.date_start AND (t.date_stop IS NULL OR d.date_ <= t.date_stop) "
+        "GROUP BY ALL", "fx_work", "fx_tariffs",
+    ),
+)
+def latest_in_force(t: Tables) -> DataFrame:
+    days = settle(t.fx_work().select("date_").distinct(), "days")
+    horizon = date_bounds(days, "date_")[1]
+    return interval_max(
+        days, t.fx_tariffs(), "date_", "date_start", "date_stop", horizon, ["region_id"], "id", "last_id"
+    )
 
 
 @query(

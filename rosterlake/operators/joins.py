@@ -96,7 +96,7 @@ def interval_join(
     stop: str,
     horizon: Column,
     on: Sequence[str] = (),
-    bin_days: int = 1,
+    bin_days: int = 30,
 ) -> DataFrame:
     """Days within ``[start, stop]``; a null stop is open-ended.
 
@@ -125,3 +125,57 @@ def interval_join(
         .join(binned, cond)
         .drop("_bin_p", "_bin_i", *[f"_i_{k}" for k in on])
     )
+
+
+def interval_max(
+    days: DataFrame,
+    intervals: DataFrame,
+    day: str,
+    start: str,
+    stop: str,
+    horizon: Column,
+    keys: Sequence[str],
+    value: str,
+    out: str,
+) -> DataFrame:
+    """Largest value per day and key among the intervals that hold the day.
+
+    The same as ``interval_join`` and a group maximum, without its day by interval rows: an
+    interval becomes its full months and the single days left at its ends, the maximum per key is
+    taken of those, and a day then looks up its own and its month's.
+    """
+    last = F.least(F.coalesce(F.col(stop), horizon), horizon)
+    cut = intervals.withColumns({"_from": F.col(start), "_last": last}).filter("_from <= _last")
+
+    def month(d: Column) -> Column:
+        return F.trunc(d, "month")
+
+    begins_month = month(F.col("_from")) == F.col("_from")
+    cut = cut.withColumns(
+        {
+            "_full": F.when(begins_month, F.col("_from")).otherwise(F.add_months(month(F.col("_from")), 1)),
+            "_rest": month(F.date_add("_last", 1)),
+        }
+    )
+    full, rest = F.col("_full"), F.col("_rest")
+    none = F.array().cast("array<date>")
+    months = F.when(
+        full < rest, F.sequence(full, F.add_months(rest, -1), F.expr("INTERVAL 1 MONTH"))
+    ).otherwise(none)
+    head = F.when(
+        F.col("_from") < full, F.sequence("_from", F.least(F.date_sub(full, 1), F.col("_last")))
+    ).otherwise(none)
+    tail = F.when((rest >= full) & (rest <= F.col("_last")), F.sequence(rest, F.col("_last"))).otherwise(none)
+
+    def spans(dates: Column, whole_month: bool) -> Column:
+        return F.transform(dates, lambda d: F.struct(F.lit(whole_month).alias("m"), d.alias("d")))
+
+    covered = cut.select(
+        *keys, value, F.explode(F.concat(spans(months, True), spans(head, False), spans(tail, False))).alias("_s")
+    )
+    best = covered.groupBy(*keys, "_s").agg(F.max(value).alias(out))
+    own, whole = (
+        F.struct(F.lit(m).alias("m"), d.alias("d")) for m, d in ((False, F.col(day)), (True, month(F.col(day))))
+    )
+    probes = days.select(day, F.explode(F.array(own, whole)).alias("_s"))
+    return best.join(probes, "_s").groupBy(day, *keys).agg(F.max(out).alias(out))

@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions import whole
-from rosterlake.operators.aggregate import group_max
-from rosterlake.operators.joins import dim_join, interval_join
+from rosterlake.operators.joins import dim_join, interval_max
 from rosterlake.operators.reshape import pivot_fields
 
 # Tariff states.
@@ -17,11 +16,10 @@ ACTIVE, CLOSED = 3, 4
 PRICE_KEY = ("date_", "project_id", "region_id", "speciality_id")
 
 
-def date_bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """First and last date of a column, as scalar subqueries over a small table."""
-    first = df.agg(F.min(column)).scalar()
-    last = df.agg(F.max(column)).scalar()
-    return first, last
+def date_bounds(days: DataFrame, column: str) -> tuple[Column, Column]:
+    """First and last date of a small table of days, as literals the scans can filter by."""
+    first, last = days.agg(F.min(column), F.max(column)).first()
+    return F.lit(first).cast("date"), F.lit(last).cast("date")
 
 
 def tariffs_in_force(tariffs: DataFrame, days: DataFrame, bounds: tuple[Column, Column]) -> DataFrame:
@@ -35,11 +33,9 @@ def tariffs_in_force(tariffs: DataFrame, days: DataFrame, bounds: tuple[Column,
     closed_later = F.to_date("created") != F.to_date("state_date")
     stop = F.when(state == CLOSED, F.to_date("state_date")).otherwise(F.to_date("date_stop"))
     usable = tariffs.filter((state == ACTIVE) | ((state == CLOSED) & closed_later)).select(
-        "id", "project_id", "region_id", "speciality_id",
-        F.greatest(F.to_date("date_start"), first).alias("_from"), stop.alias("_to"),
+        "id", *PRICE_KEY[1:], F.greatest(F.to_date("date_start"), first).alias("_start"), stop.alias("_stop"),
     )
-    held = interval_join(days, usable, "date_", "_from", "_to", last)
-    return group_max(held, PRICE_KEY, "id", "tariff_id")
+    return interval_max(days, usable, "date_", "_start", "_stop", last, PRICE_KEY[1:], "id", "tariff_id")
 
 
 def effective_prices(

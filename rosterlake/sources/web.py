@@ -139,7 +139,8 @@ CARD_FIELDS = ("href", "title", "description", "price", "employer")
 def html_cards(df: DataFrame, html: str, keep: Sequence[str], markup: CardMarkup) -> DataFrame:
     """Cards of a page as ``(card_no, href, title, description, price, employer)``.
 
-    Cards nest tags freely, so pages go through an HTML parser, in Arrow batches.
+    Cards nest tags freely and pages hold scripts and comments that look like markup, so whole
+    pages go through an HTML parser, in Arrow batches. Extract once and store the cards.
     """
     source = df.select(*keep, html)
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema)
