@@ -45,16 +45,16 @@ def chunks(
     rows: DataFrame, key: str, file: Column, sheet: Column, headers: Column, cells: Column,
     book_headers: Column | None = None,
 ) -> DataFrame:
-    """Sheet chunks from rows with a ``book`` column, ordered by ``key``."""
-    flat = rows.select(
-        file.alias("file"), sheet.cast("int").alias("sheet"),
-        (headers if book_headers is None else book_headers).alias("book_headers"), headers.alias("headers"),
-        F.struct(F.col(key).alias("key"), cells.alias("cells")).alias("row"),
-    )
-    grouped = flat.groupBy("file", "sheet", "book_headers", "headers").agg(F.collect_list("row").alias("rows"))
+    """Sheet chunks, one per ``book`` and sheet, rows ordered by ``key``.
+
+    Cells come from the row; the file name and the headers only depend on ``book`` and ``sheet``.
+    """
+    row = F.struct(F.col(key).alias("key"), cells.alias("cells"))
+    sheets = rows.select("book", sheet.cast("int").alias("sheet"), row.alias("row"))
+    grouped = sheets.groupBy("book", "sheet").agg(F.array_sort(F.collect_list("row"))["cells"].alias("rows"))
     return grouped.select(
-        "file", "sheet", "book_headers", "headers", F.lit(1).alias("first_row"), F.lit(True).alias("is_last"),
-        F.array_sort("rows")["cells"].alias("rows"),
+        file.alias("file"), "sheet", (headers if book_headers is None else book_headers).alias("book_headers"),
+        headers.alias("headers"), F.lit(1).alias("first_row"), F.lit(True).alias("is_last"), "rows",
     )
 
 
@@ -261,7 +261,7 @@ _HOURS_DAY = "DATE '2022-06-01' + CAST(c_custkey // 100 % 10 + i AS INT)"
     "ingest_hours",
     with_fx(
         """SELECT * FROM stored WHERE report_date NOT IN (SELECT report_date FROM covered) UNION ALL
-        SELECT r.doer_name, r.doer_id, a.tks_id, r.speciality_id, CAST(h AS DOUBLE), report_date, file_date, filename
+        SELECT r.doer_name, r.doer_id, CAST(a.tks_id AS INT), r.speciality_id, CAST(h AS DOUBLE), report_date, file_date, filename
         FROM raw r JOIN all_tks a ON a.city_id IS NOT DISTINCT FROM r.city_id AND a.address = r.address,
         LATERAL (SELECT i, CASE WHEN c_custkey % 8 = 0 AND i = 1 THEN 0 ELSE (c_custkey + i) % 5 END AS h,
             """ + _HOURS_DAY + """ AS report_date FROM range(0, 3) x(i)) d WHERE h <> 0""",
@@ -400,7 +400,7 @@ def request_ingest(t: Tables) -> DataFrame:
     even = F.col("c_custkey") % 2 == 0
     delivered = chunks(
         rows, "c_custkey", landing_name(F.concat(F.lit("req-"), "book"), file_day("book"), F.lit(SENDER)),
-        F.when(even, 0).otherwise(1), F.when(even, head).otherwise(other),
+        F.when(even, 0).otherwise(1), F.when(F.col("sheet") == 0, head).otherwise(other),
         F.when(even, F.array(store, resource, *counts, F.lit("5"), night, more)).otherwise(
             F.array(store, counts[1], resource, more, night)
         ),

@@ -11,7 +11,7 @@ from rosterlake.catalog.base import Tables, query, with_fx
 from rosterlake.operators.writes import (
     blank_withdrawn, insert_if_absent, keyed_update, merge_into, overwrite_partitions, replace_dates, upsert,
 )
-from rosterlake.plans.slices import contract_slice, courier_slice
+from rosterlake.plans.slices import contract_slice, courier_slice, store_slice
 from rosterlake.session import run_folder
 
 _BASE = "SELECT o_orderkey AS k, o_orderstatus AS status, CAST(FLOOR(o_totalprice) AS BIGINT) AS price, " \
@@ -215,3 +215,18 @@ def couriers(t: Tables) -> DataFrame:
     rows = t.customer.selectExpr("c_custkey AS id", "c_nationkey AS state", "c_name AS bank_name")
     states = t.nation.selectExpr("n_nationkey AS id", "n_regionkey AS global_id")
     return courier_slice(rows, states, date(1997, 3, 10), rows.columns)
+
+
+_DAY_SQL = """SELECT o_orderkey AS id, o_orderstatus = 'O' AS is_active, o_orderdate AS changed, DATE '{0}' AS fix_date
+    FROM orders WHERE o_orderstatus = 'O' OR (o_orderstatus <> 'O' AND CAST(o_orderdate AS DATE) = DATE '{0}')"""
+
+
+@query("slices_stored", _DAY_SQL.format("1997-03-09") + " UNION ALL " + _DAY_SQL.format("1997-03-10"))
+def stored_slices(t: Tables) -> DataFrame:
+    path = run_folder(t.spark, "slices")
+    rows = t.orders.selectExpr("o_orderkey AS id", "o_orderstatus = 'O' AS is_active", "o_orderdate AS changed")
+    # the first day is stored twice and kept once
+    for day in (10, 11, 10):
+        store_slice(contract_slice(rows, date(1997, 3, day), rows.columns), path)
+    schema = contract_slice(rows, date(1997, 3, 10), rows.columns).schema
+    return t.spark.read.schema(schema).parquet(path)

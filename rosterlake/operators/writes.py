@@ -23,14 +23,6 @@ def _all_present(columns: Sequence[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in columns])
 
 
-def last_wins(updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the last in the given order; a row with a null key never collides."""
-    if not order:
-        return updates
-    keyed = _all_present(keys)
-    return keep_last(updates.filter(keyed), keys, order).unionByName(updates.filter(~keyed))
-
-
 def upsert(
     target: DataFrame,
     updates: DataFrame,
@@ -42,13 +34,17 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys; on a known key overwrite only the listed columns.
 
-    ``order`` decides which of several updates of one key wins. ``provenance`` columns are
-    overwritten only when one of ``update_columns`` differs (``<>``, so null never differs).
-    ``action`` names a column telling inserted, updated and kept rows apart.
+    ``order`` decides which of several updates of one key wins; without it there must be one row
+    per key. A row with a null key never meets another and is always inserted. ``provenance``
+    columns are overwritten only when one of ``update_columns`` differs (``<>``, so null never
+    differs). ``action`` names a column telling inserted, updated and kept rows apart.
     """
-    latest = last_wins(updates, keys, order).select(
-        *[c for c in target.columns if c in updates.columns]
-    )
+    given = [c for c in target.columns if c in updates.columns]
+    keyed = _all_present(keys)
+    latest = updates.filter(keyed)
+    if order:
+        latest = keep_last(latest, keys, order)
+    latest = latest.select(given)
     old = target.withColumn("_in_target", F.lit(True)).alias("old")
     new = latest.withColumn("_in_updates", F.lit(True)).alias("new")
     cond = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
@@ -63,7 +59,7 @@ def upsert(
     )
 
     def value(name: str) -> Column:
-        if name not in latest.columns:
+        if name not in given:
             return F.col(f"old.{name}")
         before, after = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name in provenance:
@@ -76,7 +72,11 @@ def upsert(
     if action:
         kind = F.when(known & hit, F.lit("updated")).when(hit, F.lit("inserted")).otherwise(F.lit("kept"))
         columns.append(kind.alias(action))
-    return both.select(*columns)
+    # rows with a null key join nothing, and stay out of the shuffle the last rows already had
+    keyless = updates.filter(~keyed).select(given)
+    if action:
+        keyless = keyless.withColumn(action, F.lit("inserted"))
+    return both.select(*columns).unionByName(keyless, allowMissingColumns=True)
 
 
 def keyed_update(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rosterlake.operators.clean import snapshot_predicate
 from rosterlake.operators.joins import member_rows
-from rosterlake.operators.writes import daily_slice
+from rosterlake.operators.writes import daily_slice, overwrite_partitions
 
 # Columns of the snapshots.
 CONTRACT_COLUMNS = (
@@ -35,3 +35,8 @@ def courier_slice(couriers: DataFrame, states: DataFrame, as_of: date, columns=C
     """Couriers whose state belongs to the working global state (``states``: id, global_id)."""
     working = states.filter(F.col("global_id") == WORKING).select(F.col("id").alias("state"))
     return daily_slice(member_rows(couriers, working, ["state"]), columns, F.lit(as_of))
+
+
+def store_slice(rows: DataFrame, path: str) -> None:
+    """Add a day's slice to the stored slices; storing the day again replaces it."""
+    overwrite_partitions(rows, path, ["fix_date"])

@@ -116,9 +116,12 @@ def test_salted_pay_is_the_same(spark, rows):
     assert rows(pay.courier_pay(*args, salts=8)) == rows(pay.courier_pay(*args))
 
 
-def test_facts_are_not_shuffled_for_pricing(spark):
+def test_facts_are_not_shuffled_for_pricing(spark, tmp_path):
     shifts = work(spark, (1, 1, DAY, 2, 2.0, 1, 1.0, 0, 0, None))
-    plan = pay.courier_pay(shifts, stores(spark), tariffs(spark, tariff(1)), all_prices(spark))
+    stores(spark).write.parquet(f"{tmp_path}/stores")
+    plan = pay.courier_pay(
+        shifts, spark.read.parquet(f"{tmp_path}/stores"), tariffs(spark, tariff(1)), all_prices(spark)
+    )
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
