@@ -9,7 +9,7 @@ from rosterlake.catalog.base import Tables, query
 from rosterlake.catalog.books import encode_workbooks
 from rosterlake.functions import coerce_numeric, parse_date
 from rosterlake.operators.clean import select_as
-from rosterlake.operators.quality import audit_row, quality_counts
+from rosterlake.operators.quality import append_audit, audit_row, quality_counts, warnings
 from rosterlake.operators.reshape import dated_columns
 from rosterlake.operators.writes import append_rows
 from rosterlake.plans import reports as R
@@ -219,12 +219,14 @@ def appended(t: Tables) -> DataFrame:
     HAVING COUNT(*) > 0""",
 )
 def audit(t: Tables) -> DataFrame:
+    path = run_folder(t.spark, "log")
     states = t.orders.groupBy("o_orderstatus").count()
-    events = audit_row(states, "event", "orders", F.concat("count", F.lit(" records in state "), "o_orderstatus"))
-    bad = quality_counts(t.orders, {"cheap": F.col("o_totalprice") < 50000}).filter("bad_rows > 0")
-    return events.unionByName(
-        audit_row(bad, "warning", "orders", F.concat("check_name", F.lit(": "), "bad_rows", F.lit(" rows")))
-    )
+    text = F.concat("count", F.lit(" records in state "), "o_orderstatus")
+    append_audit(audit_row(states, "event", "orders", text), path)
+    checks = {"cheap": F.col("o_totalprice") < 50000, "free": F.col("o_totalprice") <= 0}
+    found = F.concat("check_name", F.lit(": "), "bad_rows", F.lit(" rows"))
+    append_audit(warnings(quality_counts(t.orders, checks), "orders", found), path)
+    return t.spark.read.parquet(path)
 
 
 # Workbooks -----------------------------------------------------------------------------------

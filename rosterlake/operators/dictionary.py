@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rosterlake.session import settle
 
@@ -49,7 +49,6 @@ def dict_grow(
     id_column: str,
     report: DataFrame,
     keys: Mapping[str, str],
-    extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """The dimension with the report's new values appended under the next free ids.
 
@@ -61,6 +60,5 @@ def dict_grow(
     added = numbered.select(
         (top + F.col("_n")).cast(id_type).alias(id_column),
         *keys.values(),
-        *[expr.alias(n) for n, expr in (extra or {}).items()],
     )
     return settle(dim.unionByName(added, allowMissingColumns=True), "dictionary")

@@ -45,3 +45,8 @@ def empty_load_warning(df: DataFrame, source: str, text: str) -> DataFrame:
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows_found")).filter("rows_found > 1")
+
+
+def append_audit(rows: DataFrame, path: str) -> None:
+    """Append audit rows to the run log; a run adds a handful of rows, so they go into one file."""
+    rows.select(*AUDIT_COLUMNS).coalesce(1).write.mode("append").parquet(path)

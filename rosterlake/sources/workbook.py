@@ -17,6 +17,7 @@ import zipfile
 from collections.abc import Iterable, Iterator, Mapping
 from datetime import datetime, timedelta
 from xml.etree import ElementTree
+from xml.parsers import expat
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -82,66 +83,102 @@ def _sheet_parts(book: zipfile.ZipFile) -> tuple[list[str], datetime]:
 
 
 def _column(ref: str) -> int:
+    """0-based column of a cell reference such as ``AB12``."""
     index = 0
     for letter in ref:
-        if letter.isdigit():
+        if letter < "A":
             break
-        index = index * 26 + ord(letter.upper()) - 64
+        index = index * 26 + ord(letter) - 64
     return index - 1
 
 
 def _number(text: str) -> str:
+    if text.isdigit() and len(text) < 16:
+        return text
     number = float(text)
     return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
 
 
-def _cell(node, texts: list[str], dated: set[int], epoch: datetime) -> str | None:
-    kind = node.get("t", "n")
-    if kind == "inlineStr":
-        value = "".join(t.text or "" for t in node.iter(MAIN + "t"))
-    else:
-        holder = node.find(MAIN + "v")
-        if holder is None or holder.text is None or kind == "e":
-            return None
-        value = holder.text
+class _Sheet:
+    """Collects the finished rows of a sheet, as ``(row number, cells)``, while it is fed."""
+
+    def __init__(self, texts: list[str], dated: set[int], epoch: datetime):
+        self.texts, self.dated, self.epoch = texts, dated, epoch
+        self.rows: list[tuple[int, list[str | None]]] = []
+        self.number, self.cells = 0, []
+        self.cell: dict[str, str] = {}
+        self.text: str | None = None
+        self.reading = False
+        self.names: dict[str, str] = {}
+        self.parser = expat.ParserCreate()
+        self.parser.buffer_text = True
+        self.parser.StartElementHandler = self.start
+        self.parser.EndElementHandler = self.end
+        self.parser.CharacterDataHandler = self.data
+
+    def start(self, tag: str, attributes: dict[str, str]) -> None:
+        if not self.names:  # the root tells the prefix of all names
+            prefix = tag.rpartition(":")[0]
+            names = ("row", "c", "v", "t")
+            self.names = {f"{prefix}:{n}" if prefix else n: n for n in names}
+            return
+        name = self.names.get(tag)
+        if name == "c":
+            self.cell, self.text = attributes, None
+        elif name == "row":
+            self.number = int(attributes.get("r", self.number + 1))
+            self.cells = []
+        elif name:
+            self.text = self.text or ""
+            self.reading = True
+
+    def data(self, text: str) -> None:
+        if self.reading:
+            self.text += text
+
+    def end(self, tag: str) -> None:
+        name = self.names.get(tag)
+        if name == "c":
+            ref = self.cell.get("r")
+            at = _column(ref) if ref else len(self.cells)
+            if at > len(self.cells):
+                self.cells.extend([None] * (at - len(self.cells)))
+            self.cells.append(None if self.text is None else self.value(self.text))
+        elif name == "row":
+            self.rows.append((self.number, self.cells))
+        elif name:
+            self.reading = False
+
+    def value(self, text: str) -> str | None:
+        kind = self.cell.get("t", "n")
+        if kind == "n":
+            if int(self.cell.get("s", 0)) not in self.dated:
+                return _number(text)
+            moment = self.epoch + timedelta(milliseconds=round(float(text) * 86_400_000))
+            return moment.strftime("%Y-%m-%d %H:%M:%S")
         if kind == "s":
-            value = texts[int(value)]
+            text = self.texts[int(text)]
         elif kind == "b":
-            value = "True" if value == "1" else "False"
+            return "True" if text == "1" else "False"
         elif kind == "d":
-            value = datetime.fromisoformat(value).strftime("%Y-%m-%d %H:%M:%S")
-        elif kind == "n":
-            if int(node.get("s", 0)) in dated:
-                moment = epoch + timedelta(milliseconds=round(float(value) * 86_400_000))
-                value = moment.strftime("%Y-%m-%d %H:%M:%S")
-            else:
-                value = _number(value)
-    return None if value in EMPTY_TEXTS else value
+            return datetime.fromisoformat(text).strftime("%Y-%m-%d %H:%M:%S")
+        return None if kind == "e" or text in EMPTY_TEXTS else text
 
 
 def _sheet_rows(book: zipfile.ZipFile, part: str, texts, dated, epoch) -> Iterator[list[str | None]]:
     """Rows of one sheet in order; empty rows at the end are left out."""
-    gap, last_no = 0, 0
+    sheet = _Sheet(texts, dated, epoch)
+    shown = 0
     with book.open(part) as stream:
-        for _, node in ElementTree.iterparse(stream):
-            if node.tag != MAIN + "row":
-                continue
-            row: list[str | None] = []
-            for cell in node.findall(MAIN + "c"):
-                at = _column(cell.get("r")) if cell.get("r") else len(row)
-                row.extend([None] * (at + 1 - len(row)))
-                row[at] = _cell(cell, texts, dated, epoch)
-            number = int(node.get("r", last_no + 1))
-            gap += number - last_no - 1
-            last_no = number
-            node.clear()
-            if all(v is None for v in row):
-                gap += 1
-                continue
-            for _ in range(gap):
-                yield []
-            gap = 0
-            yield row
+        for block in iter(lambda: stream.read(1 << 16), b""):
+            sheet.parser.Parse(block, False)
+            for number, row in sheet.rows:
+                if any(v is not None for v in row):
+                    for _ in range(shown + 1, number):
+                        yield []
+                    yield row
+                    shown = number
+            sheet.rows.clear()
 
 
 def _names(row: Iterable[str | None]) -> list[str]:
@@ -158,6 +195,8 @@ def _names(row: Iterable[str | None]) -> list[str]:
 
 def _chunks(file: str, content: bytes) -> Iterator[tuple]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
+        if book.testzip():  # a damaged file is left out whole
+            raise zipfile.BadZipFile(file)
         texts, dated = _shared_texts(book), _date_styles(book)
         parts, epoch = _sheet_parts(book)
         first: list[str] | None = None
@@ -182,7 +221,7 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 for chunk in _chunks(file, content):
                     yield pd.DataFrame([chunk], columns=columns)
-            except (zipfile.BadZipFile, KeyError, ValueError, ElementTree.ParseError):
+            except (zipfile.BadZipFile, KeyError, ValueError, IndexError, ElementTree.ParseError, expat.ExpatError):
                 continue  # not a readable workbook
 
 

@@ -55,12 +55,29 @@ def test_cells_headers_and_empty_rows(spark):
 
 
 def test_unreadable_files_are_ignored(spark):
+    damaged = bytearray(encode_workbook([(["a"], [[str(i * 7919)] for i in range(5000)])], {}))
+    damaged[len(damaged) // 2] ^= 0xFF
     files = spark.createDataFrame(
-        [("a.png", bytearray(b"\x89PNG")), ("b.zip", bytearray(b"PK\x05\x06" + bytes(18)))], "file string, content binary"
+        [("a.png", bytearray(b"\x89PNG")), ("b.zip", bytearray(b"PK\x05\x06" + bytes(18))), ("c.xlsx", damaged)],
+        "file string, content binary",
     )
     assert decode_workbooks(files).count() == 0
 
 
+def test_prefixed_markup_and_sparse_cells(spark):
+    book = io.BytesIO()
+    with zipfile.ZipFile(book, "w") as out, zipfile.ZipFile(io.BytesIO(shared_string_book())) as source:
+        for name in source.namelist():
+            text = source.read(name).decode()
+            if name.endswith("one.xml"):
+                text = f"""<x:worksheet xmlns:x="{NS}"><x:sheetData><x:row><x:c><x:v>1</x:v></x:c><x:c r="AA1" t="inlineStr">
+                <x:is><x:r><x:t>Го</x:t></x:r><x:r><x:t>род</x:t></x:r></x:is></x:c></x:row></x:sheetData></x:worksheet>"""
+            out.writestr(name, text)
+    files = spark.createDataFrame([("a.xlsx", bytearray(book.getvalue()))], "file string, content binary")
+    headers = decode_workbooks(files).first().headers
+    assert (len(headers), headers[0], headers[1], headers[26]) == (27, "1", "Unnamed: 1", "Город")
+
+
 def test_large_sheet_is_chunked_and_trimmed(spark, tmp_path):
     n = 2 * CHUNK_ROWS + 5
     sheet = (["key", "day"], [[str(i), "2022-05-01T00:00:00"] for i in range(1, n + 1)])
