@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -84,6 +85,10 @@ VOID_TAGS = frozenset(
 )
 
 
+# An ampersand that opens no complete character reference stands for itself.
+BARE_AMPERSAND = re.compile(r"&(?!(?:[A-Za-z][A-Za-z0-9]*|#[0-9]+|#[xX][0-9A-Fa-f]+);)")
+
+
 class _Cards(HTMLParser):
     """Collects the first link, title, description, price and employer of each card."""
 
@@ -151,7 +156,7 @@ def html_cards(df: DataFrame, html: str, keep: Sequence[str], markup: CardMarkup
             out = []
             for *ids, page in batch.itertuples(index=False, name=None):
                 parser = _Cards(markup)
-                parser.feed(page or "")
+                parser.feed(BARE_AMPERSAND.sub("&amp;", page or ""))
                 parser.close()
                 for number, card in enumerate(parser.cards):
                     out.append((*ids, number, *[card.get(f) for f in CARD_FIELDS]))

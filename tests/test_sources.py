@@ -141,7 +141,7 @@ CARD = """<html><script>var x = '<div class="iva-item-body-1"><h3>no</h3></div>'
 <meta itemprop="priceCurrency" content="RUB"><meta content=50000 itemprop=price>
 <div class="x iva-item-description-9"><div>Лучшая</div> &laquo;работа&raquo;</div></div>
 <div class="iva-item-description-9">footer</div><span data-marker="item-link">not in a card</span>
-<div class="iva-item-body-4"><a href="/v/2"><h3>Повар</h3></a><meta itemprop="price" content="1"/>
+<div class="iva-item-body-4"><a href="/v/2?a=1&copy=2"><h3>Повар &amp кассир &</h3></a><meta itemprop="price" content="1"/>
 <span data-marker="item-link">ООО &#171;Ромашка&#187;</span></div></html>"""
 
 
@@ -150,11 +150,11 @@ def test_html_cards(spark):
     found = html_cards(pages, "html", ["region"], WEB_CARDS).orderBy("card_no").collect()
     assert [tuple(r) for r in found] == [
         (1, 0, "/v/1?a=1&b=2", "Курьер на\xa0авто", "Лучшая «работа»", "50000", None),
-        (1, 1, "/v/2", "Повар", None, "1", "ООО «Ромашка»"),
+        (1, 1, "/v/2?a=1&copy=2", "Повар &amp кассир &", None, "1", "ООО «Ромашка»"),
     ]
     vacancies = web_vacancies(pages).orderBy("vacancy_id").collect()
     assert [(v.vacancy_name, v.employer_name, v.description) for v in vacancies] == [
-        ("курьер на\xa0авто", "", "Лучшая «работа»"), ("повар", "ООО «Ромашка»", ""),
+        ("курьер на\xa0авто", "", "Лучшая «работа»"), ("повар &amp кассир &", "ООО «Ромашка»", ""),
     ]
 
 
