@@ -131,7 +131,7 @@ def in_state(t: Tables) -> DataFrame:
 )
 def pending_rows(t: Tables) -> DataFrame:
     work = t.fx_work()
-    pending = pending_values(work, "full_payment_client", "date_")
+    pending = settle(pending_values(work, "full_payment_client", "date_"), "pending-days")
     return member_rows(work, pending, ["date_"]).select("id", "date_")
 
 

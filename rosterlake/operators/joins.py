@@ -63,6 +63,18 @@ def member_rows(fact: DataFrame, members: DataFrame, columns: Sequence[str]) ->
     return fact.join(members.select(*columns), list(columns), "left_semi")
 
 
+def _equal_rows(
+    rows: DataFrame, other: DataFrame, columns: Sequence[str], null_safe: bool, how: str
+) -> DataFrame:
+    renamed = other.select(*[F.col(c).alias(f"_o_{c}") for c in columns])
+    cond = None
+    for c in columns:
+        left, right = F.col(c), F.col(f"_o_{c}")
+        same = left.eqNullSafe(right) if null_safe else left == right
+        cond = same if cond is None else cond & same
+    return rows.join(renamed, cond, how)
+
+
 def absent_rows(
     batch: DataFrame, table: DataFrame, columns: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
@@ -70,13 +82,14 @@ def absent_rows(
 
     As with SQL equality a null in any compared column means "not present", unless ``null_safe``.
     """
-    known = table.select(*[F.col(c).alias(f"_t_{c}") for c in columns])
-    cond = None
-    for c in columns:
-        left, right = F.col(c), F.col(f"_t_{c}")
-        same = left.eqNullSafe(right) if null_safe else left == right
-        cond = same if cond is None else cond & same
-    return batch.join(known, cond, "left_anti")
+    return _equal_rows(batch, table, columns, null_safe, "left_anti")
+
+
+def present_rows(
+    table: DataFrame, batch: DataFrame, columns: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """Rows of ``table`` equal in all columns to a row of ``batch``."""
+    return _equal_rows(table.select(*columns), batch, columns, null_safe, "left_semi")
 
 
 def frontier(places: DataFrame, searches: Sequence[Mapping[str, object]]) -> DataFrame:

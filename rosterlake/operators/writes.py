@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
 from rosterlake.operators.aggregate import keep_last
-from rosterlake.operators.joins import absent_rows
+from rosterlake.operators.joins import absent_rows, present_rows
+from rosterlake.session import settle
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -104,7 +105,8 @@ def replace_dates(
 
     ``dates`` lists the covered dates when the report may hold none of a date's rows.
     """
-    covered = (report if dates is None else dates).select(column).distinct()
+    # a row per day at most; written out, so that its true size is known and the table stays in place
+    covered = settle((report if dates is None else dates).select(column).distinct(), "dates")
     return target.join(covered, column, "left_anti").select(target.columns).unionByName(
         report, allowMissingColumns=True
     )
@@ -124,7 +126,10 @@ def insert_if_absent(
     else:
         whole = _all_present(columns)
         fresh = rows.filter(whole).dropDuplicates().unionByName(rows.filter(~whole))
-    return absent_rows(fresh, target, columns, null_safe)
+    # a small batch is sent to the table's scan, which then only yields the rows both hold
+    fresh = settle(fresh, "batch")
+    known = present_rows(target, fresh, columns, null_safe)
+    return absent_rows(fresh, known, columns, null_safe)
 
 
 def blank_withdrawn(

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rosterlake.session import settle
+
 
 def landing_metadata(df: DataFrame, name: str) -> DataFrame:
     """Split a landing name ``N.YYYY-MM-DD.sender.original``; N counts the characters before
@@ -94,9 +96,10 @@ def column_range(headers: Column, first: str, last: str) -> Column:
 def trim_edges(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Drop the first and the last row of each group.
 
-    The two bounds per group are combined on the map side and joined back, so no group has to fit
-    into one task.
+    The two bounds per group are combined on the map side, written out and joined back, so no group
+    has to fit into one task and the rows stay in place while the bounds are small.
     """
     bounds = df.groupBy(*keys).agg(F.min(order).alias("_low"), F.max(order).alias("_high"))
+    bounds = settle(bounds, "bounds")
     inside = (F.col(order) > F.col("_low")) & (F.col(order) < F.col("_high"))
     return df.join(bounds, list(keys)).filter(inside).select(df.columns)
