@@ -65,7 +65,7 @@ def texts(values) -> Column:
 # Shift reports -------------------------------------------------------------------------------
 
 DIVISION_LABELS = (*R.DIVISIONS, "Другой")
-TRANSPORT_LABELS = (*R.TRANSPORTS, "Самокат")
+TRANSPORT_LABELS = (*R.TRANSPORTS, "Лыжи")
 
 
 def _labels(values, key: str) -> str:

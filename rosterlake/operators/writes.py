@@ -227,7 +227,8 @@ def touched_partitions(
         return spark.createDataFrame([], schema)
     values = [row[0] for row in updates.select(partition_by).distinct().collect()]
     table = spark.read.schema(schema).parquet(path).select(schema.names)
-    return table.filter(F.col(partition_by).isin(values))
+    wanted = F.col(partition_by).isin([v for v in values if v is not None])
+    return table.filter(wanted | F.col(partition_by).isNull() if None in values else wanted)
 
 
 def merge_into(

@@ -364,6 +364,18 @@ def test_merge_into_rewrites_only_touched_partitions_and_resumes(spark, rows, tm
     assert "PartitionFilters: [isnotnull(d#" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_merge_into_keeps_rows_without_a_partition_value(spark, rows, tmp_path):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("k int, v string, d date")
+    path = f"{tmp_path}/t"
+    for step, row in enumerate([(1, "a", None), (2, "b", None), (3, "c", D(2022, 5, 1))]):
+        updates = spark.createDataFrame([row], schema)
+        writes.merge_into(spark, path, schema, updates, ["k", "d"], ["v"], "d", f"{tmp_path}/s{step}")
+    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    assert rows(table) == [(1, "a", None), (2, "b", None), (3, "c", D(2022, 5, 1))]
+
+
 # Landing -------------------------------------------------------------------------------------
 
 
