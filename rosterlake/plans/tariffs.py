@@ -32,7 +32,8 @@ def tariffs_in_force(tariffs: DataFrame, days: DataFrame, bounds: tuple[Column,
     state = F.col("state_id")
     closed_later = F.to_date("created") != F.to_date("state_date")
     stop = F.when(state == CLOSED, F.to_date("state_date")).otherwise(F.to_date("date_stop"))
-    usable = tariffs.filter((state == ACTIVE) | ((state == CLOSED) & closed_later)).select(
+    usable = tariffs.filter((state == ACTIVE) | ((state == CLOSED) & closed_later))
+    usable = usable.filter("date_start is not null").select(
         "id", *PRICE_KEY[1:], F.greatest(F.to_date("date_start"), first).alias("_start"), stop.alias("_stop"),
     )
     return interval_max(days, usable, "date_", "_start", "_stop", last, PRICE_KEY[1:], "id", "tariff_id")

@@ -44,6 +44,8 @@ def prices(spark, *rows):
         ([tariff(1), tariff(2, state=4, state_date=DAY)], 2),
         ([tariff(1), tariff(2, state=4, state_date=DAY, created=DAY)], 1),  # closed when created
         ([tariff(1), tariff(2, start=date(2022, 6, 2))], 1),
+        ([tariff(1), tariff(2, start=None)], 1),
+        ([tariff(1), tariff(2, state=4, state_date=None)], 1),
     ],
 )
 def test_tariff_in_force(spark, rows, winner):
