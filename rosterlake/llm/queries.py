@@ -5,16 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rosterlake.llm import byte_bpe, licences, simhash, token_counts
+from rosterlake.llm import (
+    byte_bpe, chunking, decontamination, licences, line_crf, simhash, substrings, token_counts, token_files,
+)
+from rosterlake.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: No operator here has its whole result in SQL; tests hold each against a brute-force version.
 ORACLES: dict[str, str] = {}
 
-PIECES, RANKS = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"
-TOKEN_LIMIT = 4096
+PIECES, RANKS, TOKENIZER = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
+TOKEN_LIMIT, END_ID = 4096, 2
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -44,8 +47,40 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder), public_tokenizers.path(PIECES), TOKEN_LIMIT)
 
 
+@query
+def op4_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows of 50 words that earlier documents have too, removed."""
+    return substrings.remove_repeated(table(spark, folder)).drop("spans")
+
+
+@query
+def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunk fingerprints of all documents and their edited texts, with their likeness."""
+    return chunking.with_edits(table(spark, folder))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and their round trip."""
     ranks = byte_bpe.load_ranks(public_tokenizers.path(RANKS))
     return byte_bpe.encode_documents(table(spark, folder), ranks, public_tokenizers.PATTERN)
+
+
+@query
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents, written to framed files in the shared folder and read back."""
+    path = run_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, folder), public_tokenizers.path(TOKENIZER), path, END_ID)
+    return token_files.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of all documents, learnt from the labels that are not held out."""
+    return line_crf.classify(table(spark, folder), table(spark, folder, "labels"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows of 10 words in all documents."""
+    return decontamination.find_items(table(spark, folder), table(spark, folder, "benchmark")).drop("items", "n_near")
