@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import bitmap, in_bitmap, keyed, plain_words
+from rosterlake.llm.common import bitmap, in_bitmap, keyed, plain_words, row_key
 from rosterlake.session import settle
 
 WINDOW = 10
@@ -214,6 +214,17 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int
     )
 
 
+def without_items(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The documents that hold no window of an item, with all their columns. Only keys of the others are joined to them."""
+    one = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    phrases = settle(phrases_of(items, size, item_col, item_text), "windows")
+    index, _ = store_index(one, phrases)
+    found = settle(search(index, phrases).select(F.col("key").alias("__key")).distinct(), "contaminated")
+    keys = docs.withColumn("__key", row_key(F.col(id_col), F.col(text_col).cast("string")))
+    return keys.join(found, "__key", "left_anti").drop("__key")
+
+
 def digest(items: list[str]) -> str:
     """SHA-256 of item ids sorted as strings and joined by commas."""
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

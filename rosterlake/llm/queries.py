@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake.llm import (
-    byte_bpe, chunking, decontamination, licences, line_crf, simhash, substrings, token_counts, token_files,
+    byte_bpe, chunking, decontamination, licences, line_crf, lines, simhash, substrings, token_counts, token_files,
 )
 from rosterlake.session import run_folder
 
@@ -59,6 +59,12 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return chunking.with_edits(table(spark, folder))
 
 
+@query
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of all documents that an equal line, or one within 2 edits, comes before."""
+    return lines.line_report(table(spark, folder))
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and their round trip."""
