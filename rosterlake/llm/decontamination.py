@@ -159,7 +159,8 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
     place = F.col("start") + F.col("offset")
     exact = F.array_contains("positions", place)
     fit = exact if not slop else F.exists("positions", lambda p: F.abs(p - place) <= slop)
-    rest = rest.filter(fit).groupBy(*on).agg(F.count("*").alias("n"), F.min(exact).alias("all_exact"))
+    # repeated rows share a key and list its postings twice
+    rest = rest.filter(fit).groupBy(*on).agg(F.count_distinct("offset").alias("n"), F.min(exact).alias("all_exact"))
     done = met.join(rest, on, "left").filter("length <= 2 OR n = length - 2")
     return done.select(*on, "length", (F.col("exact") & F.coalesce("all_exact", F.lit(True))).alias("exact"))
 
