@@ -61,6 +61,14 @@ class Tables:
             "tariff_id", "field_id", f"({base}) * {times} AS cost", f"({base} + 50) * {times} AS amount"
         )
 
+    def fx_priced(self, fields: tuple[int, ...]) -> DataFrame:
+        """Prices with some tariffs that list none of the fields, and some that list a field twice."""
+        prices = self.fx_prices(fields)
+        twice = prices.filter("tariff_id % 17 = 0 AND field_id = 1 AND tariff_id % 13 <> 0")
+        other = prices.filter("tariff_id % 13 = 0 AND field_id = 1").withColumn("field_id", F.lit(7))
+        raised = twice.withColumns({"cost": F.col("cost") + 5, "amount": F.col("amount") - 3})
+        return prices.filter("tariff_id % 13 <> 0").unionByName(raised).unionByName(other)
+
     def fx_shifts(self) -> DataFrame:
         return self.events.selectExpr(
             "event_id AS id", "CAST(user_id % 25 AS INT) AS tk_id", "CAST(ts AS DATE) AS date_",
@@ -111,6 +119,10 @@ FX = {
         ((c_custkey * 7 + f) % 200) * (CASE WHEN f = 58 THEN 12 ELSE 1 END) AS cost,
         ((c_custkey * 7 + f) % 200 + 50) * (CASE WHEN f = 58 THEN 12 ELSE 1 END) AS amount
         FROM customer, (VALUES (1), (2), (58), (59), (60), (82), (86), (92)) v(f)""",
+    "fx_priced": """SELECT * FROM fx_prices WHERE tariff_id % 13 <> 0
+        UNION ALL SELECT tariff_id, field_id, cost + 5, amount - 3 FROM fx_prices
+        WHERE tariff_id % 17 = 0 AND field_id = 1 AND tariff_id % 13 <> 0
+        UNION ALL SELECT tariff_id, 7, cost, amount FROM fx_prices WHERE tariff_id % 13 = 0 AND field_id = 1""",
     "fx_shifts": """SELECT event_id AS id, user_id % 25 AS tk_id, CAST(ts AS DATE) AS date_,
         CAST(ts AS DATE) AS file_date, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS first_activation,
         CASE WHEN event_id % 10 = 0 THEN NULL

@@ -113,7 +113,8 @@ def leading_numbers(t: Tables) -> DataFrame:
 )
 def coerced(t: Tables) -> DataFrame:
     text = (
-        "CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN concat('n/a ', o_custkey) "
+        "CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CASE o_orderkey % 3 WHEN 0 THEN concat('n/a ', o_custkey) "
+        "WHEN 1 THEN concat(o_custkey, 'd') ELSE concat('0x', o_custkey, 'p3') END "
         "WHEN 2 THEN concat(o_custkey, '.5') WHEN 3 THEN concat(' ', o_custkey, ' ') "
         "ELSE CAST(o_custkey AS STRING) END"
     )
@@ -132,8 +133,9 @@ def coerced(t: Tables) -> DataFrame:
 def parsed_days(t: Tables) -> DataFrame:
     day, kind = F.col("o_orderdate"), F.col("o_orderkey") % 5
     text = (
-        F.when(kind == 0, F.date_format(day, "yyyy/MM/dd"))
-        .when(kind == 1, F.date_format(day, "dd.MM.yy"))
+        F.when(kind == 0, F.date_format(day, "yyyy/M/d"))
+        .when((kind == 1) & (F.col("o_custkey") % 2 == 0), F.date_format(day, "dd.MM.yy"))
+        .when(kind == 1, F.date_format(day, "d.M.yy"))
         .when(kind == 2, F.date_format(day, "yyyy-MM-dd HH:mm:ss"))
         .when(kind == 3, F.date_format(day, "yyyy-MM-dd"))
         .otherwise(F.col("o_orderpriority"))
@@ -203,14 +205,14 @@ def remapped(t: Tables) -> DataFrame:
 @query(
     "unmapped_warning",
     """SELECT 'warning' AS event_type, 'customer' AS event_source,
-    'Field ' || f || ' has ' || n || ' zero values' AS description FROM (
+    f || ' is 0 in ' || n || ' rows' AS description FROM (
     SELECT 'segment' AS f, COUNT(*) AS n FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
     UNION ALL SELECT 'nation', COUNT(*) FROM customer WHERE c_nationkey < 0) WHERE n > 0""",
 )
 def unmapped(t: Tables) -> DataFrame:
     rows = t.customer.withColumn("code", map_codes(F.col("c_mktsegment"), SEGMENTS))
     counts = quality_counts(rows, {"segment": F.col("code") == 0, "nation": F.col("c_nationkey") < 0})
-    text = F.format_string("Field %s has %d zero values", F.col("check_name"), F.col("bad_rows"))
+    text = F.format_string("%s is 0 in %d rows", F.col("check_name"), F.col("bad_rows"))
     return warnings(counts, "customer", text)
 
 

@@ -200,7 +200,7 @@ def courier_ingest(t: Tables) -> DataFrame:
     "ingest_shift_warnings",
     with_fx(
         """SELECT 'warning' AS event_type, 'shift_reports' AS event_source,
-        'Field ' || f || ' has ' || n || ' zero values' AS description FROM (
+        f || ' is 0 in ' || n || ' rows' AS description FROM (
         SELECT 'transport_id' AS f, COUNT(*) FILTER (transport_id = 0) AS n FROM report
         UNION ALL SELECT 'division_id', COUNT(*) FILTER (division_id = 0) FROM report) WHERE n > 0""",
         **_COURIER_CTES,
@@ -263,8 +263,9 @@ _HOURS_DAY = "DATE '2022-06-01' + CAST(c_custkey // 100 % 10 + i AS INT)"
         """SELECT * FROM stored WHERE report_date NOT IN (SELECT report_date FROM covered) UNION ALL
         SELECT r.doer_name, r.doer_id, CAST(a.tks_id AS INT), r.speciality_id, CAST(h AS DOUBLE), report_date, file_date, filename
         FROM raw r JOIN all_tks a ON a.city_id IS NOT DISTINCT FROM r.city_id AND a.address = r.address,
-        LATERAL (SELECT i, CASE WHEN c_custkey % 8 = 0 AND i = 1 THEN 0 ELSE (c_custkey + i) % 5 END AS h,
-            """ + _HOURS_DAY + """ AS report_date FROM range(0, 3) x(i)) d WHERE h <> 0""",
+        LATERAL (SELECT i, CASE WHEN (c_custkey % 8 = 0 AND i = 1) OR (c_custkey // 100 % 2 = 1 AND i = 0) THEN 0
+            ELSE (c_custkey + i) % 5 END AS h, """ + _HOURS_DAY + """ AS report_date FROM range(0, 3) x(i)) d
+        WHERE h <> 0 AND (report_date, filename) IN (SELECT report_date, last FROM covered)""",
         tks="SELECT n_nationkey AS tks_id, n_regionkey AS city_id, 'Addr ' || n_nationkey AS address FROM nation",
         raw=f"""SELECT c_custkey, c_name AS doer_name, CASE WHEN c_custkey % 9 <> 0 THEN c_custkey END AS doer_id,
         r_regionkey AS city_id, 'Addr ' || c_custkey % 20 AS address,
@@ -275,13 +276,20 @@ _HOURS_DAY = "DATE '2022-06-01' + CAST(c_custkey // 100 % 10 + i AS INT)"
         all_tks="""SELECT * FROM tks UNION ALL SELECT (SELECT MAX(tks_id) FROM tks) +
         row_number() OVER (ORDER BY city_id NULLS FIRST, address), city_id, address FROM (
         SELECT city_id, address FROM raw EXCEPT SELECT city_id, address FROM tks)""",
-        covered=f"SELECT DISTINCT {_HOURS_DAY} AS report_date FROM customer, range(0, 3) x(i)",
+        covered=f"""SELECT {_HOURS_DAY} AS report_date, arg_max('hours-' || c_custkey // 100,
+        (DATE '2022-06-01' + CAST(c_custkey // 100 % 20 AS INT), 'hours-' || c_custkey // 100)) AS last
+        FROM customer, range(0, 3) x(i) GROUP BY 1""",
         stored="""SELECT c_name AS doer_name, c_custkey AS doer_id, 1 AS tks_id, 1 AS speciality_id, CAST(8 AS DOUBLE)
         AS worked_hours, DATE '2022-05-20' + CAST(c_custkey % 30 AS INT) AS report_date, DATE '2022-05-20' AS file_date,
         'old' AS filename FROM customer WHERE c_custkey % 3 = 0""",
     ),
 )
 def hours_ingest(t: Tables) -> DataFrame:
+    stored, load = hours_load(t)
+    return apply_hours(stored, load)
+
+
+def hours_load(t: Tables):
     rows = t.customer.withColumn("book", F.expr("c_custkey div 100"))
     days = [F.date_add(F.lit("2022-06-01").cast("date"), F.expr(f"CAST(book % 10 + {i} AS INT)")) for i in range(3)]
     # dates come as text or as date cells
@@ -294,7 +302,8 @@ def hours_ingest(t: Tables) -> DataFrame:
         F.expr("concat('Addr ', c_custkey % 20)"), F.col("c_name"), F.expr(_labels(ROLE_LABELS, "c_custkey")),
         F.expr("CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey AS STRING) ELSE 'нет' END"),
         F.concat(F.lit(" "), city, F.lit(" ")),
-        *[F.expr(f"CASE WHEN c_custkey % 8 <> 0 OR {i} <> 1 THEN CAST((c_custkey + {i}) % 5 AS STRING) END") for i in range(3)],
+        *[F.expr(f"CASE WHEN (c_custkey % 8 <> 0 OR {i} <> 1) AND (book % 2 = 0 OR {i} <> 0) "
+                 f"THEN CAST((c_custkey + {i}) % 5 AS STRING) END") for i in range(3)],
         F.lit("99"),
     )
     delivered = chunks(
@@ -308,7 +317,36 @@ def hours_ingest(t: Tables) -> DataFrame:
         "date_add(DATE '2022-05-20', CAST(c_custkey % 30 AS INT)) AS report_date", "DATE '2022-05-20' AS file_date",
         "'old' AS filename",
     )
-    return apply_hours(stored, load_hours(delivered, regions, tks))
+    return stored, load_hours(delivered, regions, tks)
+
+
+@query(
+    "hours_problems",
+    f"""SELECT '31.' || strftime(DATE '2022-06-01' + CAST(b % 20 AS INT), '%Y-%m-%d') AS day, b AS book, problem, value, found FROM (
+    SELECT c_custkey // 100 AS b, 'hours are no number' AS problem, 'x' || c_custkey % 3 AS value, COUNT(*) AS found FROM (
+    SELECT *, MIN(c_custkey) OVER (PARTITION BY c_custkey // 100) AS lo, MAX(c_custkey) OVER (PARTITION BY c_custkey // 100) AS hi
+    FROM customer) WHERE c_custkey > lo AND c_custkey < hi AND c_custkey % 7 = 0 GROUP BY ALL
+    UNION ALL SELECT DISTINCT c_custkey // 100, 'unread date header', 'June ' || c_custkey // 100, 1 FROM customer)""",
+)
+def hours_found_wanting(t: Tables) -> DataFrame:
+    """Date headers and cells of hours reports that cannot be read, told per file."""
+    rows = t.customer.withColumn("book", F.expr("c_custkey div 100"))
+    headers = F.concat(texts(R.HOURS_HEADER), F.array(F.lit("1.6.22"), F.concat(F.lit("June "), F.col("book")), F.lit("Итого")))
+    cells = F.array(
+        F.lit("Addr 1"), F.col("c_name"), F.lit("Сборщик"), F.col("c_custkey").cast("string"), F.lit("ASIA"),
+        F.expr("CASE WHEN c_custkey % 7 = 0 THEN concat('x', c_custkey % 3) ELSE '8' END"), F.lit("4"), F.lit("12"),
+    )
+    delivered = chunks(
+        rows, "c_custkey", landing_name(F.concat(F.lit("hours-"), "book"), file_day("book"), F.lit(SENDER)),
+        F.lit(0), headers, cells,
+    )
+    regions = t.region.selectExpr("r_regionkey AS id", "r_name AS legal_name")
+    tks = t.nation.selectExpr("n_nationkey AS tks_id", "n_regionkey AS city_id", "concat('Addr ', n_nationkey) AS address")
+    found = load_hours(delivered, regions, tks).problems
+    return found.select(
+        F.concat(F.lit("31."), F.regexp_extract("file", r"\d{4}-\d\d-\d\d", 0)).alias("day"),
+        F.regexp_extract("file", r"hours-(\d+)", 1).cast("bigint").alias("book"), "problem", "value", "found",
+    )
 
 
 # Revenues ------------------------------------------------------------------------------------
@@ -353,10 +391,10 @@ def revenue_ingest(t: Tables) -> DataFrame:
 
 @query(
     "ingest_revenue_audit",
-    """SELECT 'error' AS event_type, 'revenues' AS event_source, c || ' column(s) has empty values!' AS description
+    """SELECT 'error' AS event_type, 'revenues' AS event_source, 'column ' || c || ' has empty cells' AS description
     FROM (SELECT 'amount' AS c, COUNT(*) FILTER (o_orderkey % 19 = 0) AS n FROM orders
     UNION ALL SELECT 'region', COUNT(*) FILTER (o_orderkey % 6 = 5) FROM orders) WHERE n > 0
-    UNION ALL SELECT DISTINCT 'warning', 'revenues', 'User ''user' || b || '@mail.example'' is unknown. Field ''created_by'' sets in 0'
+    UNION ALL SELECT DISTINCT 'warning', 'revenues', 'sender ''user' || b || '@mail.example'' has no user id, 0 is stored'
     FROM (SELECT o_orderkey // 200 % 120 AS b FROM orders) WHERE b NOT IN (SELECT s_suppkey FROM supplier)""",
 )
 def revenue_audit(t: Tables) -> DataFrame:

@@ -8,18 +8,24 @@ from rosterlake.catalog.base import FX, Tables, query, with_fx
 from rosterlake.operators.aggregate import pending_values
 from rosterlake.plans.pay import (
     COURIER_FIELDS, COURIER_PAY, PICKER_FIELDS, PICKER_PAY, courier_pay, courier_repriced, courier_unmatched,
-    picker_pay, picker_repriced,
+    picker_pay, picker_repriced, picker_unmatched, reprice_couriers_stored,
 )
-from rosterlake.plans.tariffs import date_bounds, effective_prices
-from rosterlake.session import settle
+from rosterlake.operators.writes import overwrite_partitions
+from rosterlake.plans.tariffs import date_bounds, effective_prices, repeated_prices
+from rosterlake.session import run_folder, settle
 
 FACTS = """SELECT w.*, k.region_id, CASE transport_id WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 4 THEN 2 ELSE 1 END
     AS speciality_id FROM fx_work w JOIN fx_tks k ON k.tk_id = w.tk_id
     WHERE k.region_id IS NOT NULL AND w.date_ IN (SELECT date_ FROM days)"""
 
 
+def _price_sql(field: int, price: str) -> str:
+    return f"(MAX(CASE WHEN p.field_id = {field} THEN {{'cost': p.cost, 'amount': p.amount}} END)).{price}"
+
+
 def _side_sql(side: str, price: str) -> str:
-    p = {f: f"MAX(CASE WHEN p.field_id = {f} THEN p.{price} END)" for f in COURIER_FIELDS}
+    # of a field that is priced twice, one whole price counts
+    p = {f: _price_sql(f, price) for f in COURIER_FIELDS}
     short = f"active_time_hours > 11 AND orders_delivered < 11 AND {p[58]} > active_time_hours * {p[1]} + orders_delivered * {p[2]}"
     over = "daily_distance - 8 * orders_delivered"
     return f"""CASE WHEN {short} THEN {p[58]} ELSE 0 END AS mandatory_{side},
@@ -38,13 +44,13 @@ def _total_sql(side: str) -> str:
 COURIER_PARTS_SQL = f"""SELECT f.id, {_side_sql('client', 'amount')}, {_side_sql('doer', 'cost')}
     FROM facts f JOIN held h ON h.date_ = f.date_ AND h.region_id = f.region_id
     AND h.speciality_id = f.speciality_id AND h.project_id = 20
-    JOIN fx_prices p ON p.tariff_id = h.tariff_id AND p.field_id IN {COURIER_FIELDS}
+    LEFT JOIN fx_priced p ON p.tariff_id = h.tariff_id AND p.field_id IN {COURIER_FIELDS}
     GROUP BY f.id, active_time_hours, orders_delivered, daily_distance, orders_over_twenty_kg, orders_over_forty_kg"""
 COURIER_SQL = with_fx(
     "SELECT id, "
     + ", ".join(f"CAST(COALESCE({c}, 0) AS DOUBLE) AS {c}" for c in COURIER_PAY)
     + f" FROM (SELECT *, {_total_sql('client')}, {_total_sql('doer')} FROM ({COURIER_PARTS_SQL}))",
-    "fx_tks", "fx_work", "fx_tariffs", "fx_prices", "days", "held",
+    "fx_tks", "fx_work", "fx_tariffs", "fx_prices", "fx_priced", "days", "held",
     facts=FACTS,
 )
 
@@ -63,7 +69,7 @@ def prices_in_force(t: Tables) -> DataFrame:
 
 
 def courier_inputs(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    return t.fx_work(), t.fx_tks(), t.fx_tariffs(), t.fx_prices(COURIER_FIELDS)
+    return t.fx_work(), t.fx_tks(), t.fx_tariffs(), t.fx_priced(COURIER_FIELDS)
 
 
 @query("courier_pay", COURIER_SQL)
@@ -93,7 +99,35 @@ def couriers_updated(t: Tables) -> DataFrame:
     ),
 )
 def unpriced(t: Tables) -> DataFrame:
-    return courier_unmatched(*courier_inputs(t)).select("id", "date_", "region_id", "speciality_id")
+    return courier_unmatched(*courier_inputs(t)[:3]).select("id", "date_", "region_id", "speciality_id")
+
+
+@query(
+    "repeated_prices",
+    with_fx(
+        f"SELECT tariff_id, field_id, COUNT(*) AS rows_found FROM fx_priced WHERE field_id IN {COURIER_FIELDS} "
+        "GROUP BY ALL HAVING COUNT(*) > 1", "fx_prices", "fx_priced",
+    ),
+)
+def priced_twice(t: Tables) -> DataFrame:
+    return repeated_prices(t.fx_priced(COURIER_FIELDS), COURIER_FIELDS)
+
+
+@query(
+    "repriced_stored",
+    with_fx(
+        f"SELECT w.id, w.courier_id, w.date_, COALESCE(p.full_payment_client, w.full_payment_client) AS full_payment_client "
+        f"FROM fx_work w LEFT JOIN ({COURIER_SQL}) p ON p.id = w.id", "fx_work",
+    ),
+)
+def couriers_updated_on_disk(t: Tables) -> DataFrame:
+    """The same next state for a stored table, of which only the pending days are read and rewritten."""
+    work, tks, tariffs, prices = courier_inputs(t)
+    table = work.withColumn("full_payment_client", F.col("full_payment_client").cast("double"))
+    path = run_folder(t.spark, "work")
+    overwrite_partitions(table, path, ["date_"])
+    reprice_couriers_stored(t.spark, path, table.schema, tks, tariffs, prices, f"{path}-staging")
+    return t.spark.read.schema(table.schema).parquet(path).select("id", "courier_id", "date_", "full_payment_client")
 
 
 def _band(low: int, high: int) -> str:
@@ -102,7 +136,7 @@ def _band(low: int, high: int) -> str:
 
 
 def _picker_side(side: str, price: str) -> str:
-    p = {f: f"CAST(MAX(CASE WHEN p.field_id = {f} THEN p.{price} END) AS DOUBLE)" for f in PICKER_FIELDS}
+    p = {f: f"CAST({_price_sql(f, price)} AS DOUBLE)" for f in PICKER_FIELDS}
     return f"""COALESCE(hours_day * {p[1]}, 0) AS hour_day_{side}, COALESCE(hours_night * {p[86]}, 0) AS hour_night_{side},
     COALESCE(CASE WHEN active_time_hours <> 0 THEN CAST(picked_sku AS DOUBLE) / active_time_hours END * hours_day * {p[92]}, 0)
     AS picked_SKU_{side}"""
@@ -115,9 +149,9 @@ PICKER_SQL = with_fx(
     + ", ROUND(hour_day_doer + hour_night_doer + picked_SKU_doer, 6) AS full_payment_doer FROM ("
     + f"SELECT b.id, {_picker_side('client', 'amount')}, {_picker_side('doer', 'cost')} FROM bands b "
     "JOIN held h ON h.date_ = b.date_ AND h.region_id = b.region_id AND h.speciality_id = 3 "
-    "JOIN fx_prices p ON p.tariff_id = h.tariff_id AND p.field_id IN (1, 86, 92) "
+    "LEFT JOIN fx_priced p ON p.tariff_id = h.tariff_id AND p.field_id IN (1, 86, 92) "
     "GROUP BY b.id, hours_day, hours_night, active_time_hours, picked_sku)",
-    "fx_tks", "fx_shifts", "fx_tariffs", "fx_prices",
+    "fx_tks", "fx_shifts", "fx_tariffs", "fx_prices", "fx_priced",
     days="SELECT DISTINCT date_ FROM fx_shifts WHERE full_payment_doer IS NULL AND file_date > DATE '2022-05-11'",
     held=FX["held"],
     bands=f"SELECT id, date_, region_id, active_time_hours, picked_sku, {_band(6, 22)} AS hours_day, "
@@ -131,7 +165,7 @@ PICKER_SQL = with_fx(
 
 @query("picker_pay", PICKER_SQL)
 def pickers_paid(t: Tables) -> DataFrame:
-    prices = t.fx_prices(PICKER_FIELDS)
+    prices = t.fx_priced(PICKER_FIELDS)
     paid = picker_pay(t.fx_shifts(), t.fx_tks(), t.fx_tariffs(), prices)
     return paid.select("id", *[F.round(c, 6).alias(c) for c in PICKER_PAY])
 
@@ -145,5 +179,20 @@ def pickers_paid(t: Tables) -> DataFrame:
 )
 def pickers_updated(t: Tables) -> DataFrame:
     table = t.fx_shifts().withColumn("full_payment_doer", F.col("full_payment_doer").cast("double"))
-    after = picker_repriced(table, t.fx_tks(), t.fx_tariffs(), t.fx_prices(PICKER_FIELDS))
+    after = picker_repriced(table, t.fx_tks(), t.fx_tariffs(), t.fx_priced(PICKER_FIELDS))
     return after.select("id", "date_", F.round("full_payment_doer", 6).alias("full_payment_doer"))
+
+
+@query(
+    "unmatched_picker_tariffs",
+    with_fx(
+        "SELECT x.id, x.date_, k.region_id FROM fx_shifts x JOIN fx_tks k ON k.tk_id = x.tk_id "
+        "WHERE k.region_id IS NOT NULL AND first_activation IS NOT NULL AND x.date_ IN (SELECT date_ FROM days) "
+        "AND NOT EXISTS (SELECT 1 FROM held h WHERE h.date_ = x.date_ AND h.region_id = k.region_id AND h.speciality_id = 3)",
+        "fx_tks", "fx_shifts", "fx_tariffs",
+        days="SELECT DISTINCT date_ FROM fx_shifts WHERE full_payment_doer IS NULL AND file_date > DATE '2022-05-11'",
+        held=FX["held"],
+    ),
+)
+def pickers_unpriced(t: Tables) -> DataFrame:
+    return picker_unmatched(t.fx_shifts(), t.fx_tks(), t.fx_tariffs()).select("id", "date_", "region_id")

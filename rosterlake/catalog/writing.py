@@ -9,7 +9,8 @@ from pyspark.sql.types import StructType
 
 from rosterlake.catalog.base import Tables, query, with_fx
 from rosterlake.operators.writes import (
-    blank_withdrawn, insert_if_absent, keyed_update, merge_into, overwrite_partitions, replace_dates, upsert,
+    blank_withdrawn, insert_if_absent, keyed_update, merge_into, overwrite_partitions, replace_dates, replace_stored,
+    upsert,
 )
 from rosterlake.plans.slices import contract_slice, courier_slice, store_slice
 from rosterlake.session import run_folder
@@ -107,15 +108,17 @@ def replaced(t: Tables) -> DataFrame:
     "replace_dates_stored",
     with_fx(
         """SELECT * FROM half WHERE created NOT IN (SELECT created FROM half WHERE k % 300 = 0)
-        UNION ALL SELECT k, 'R', price, created FROM half WHERE k % 300 = 0""",
+        UNION ALL SELECT k, 'R', price, created FROM half WHERE k % 300 = 0 AND month(created) <> 3""",
         half="SELECT k, status, price, date_trunc('month', created)::DATE AS created FROM base_all",
     ).replace("WITH half", f"WITH base_all AS ({_BASE}), half"),
 )
 def replaced_on_disk(t: Tables) -> DataFrame:
+    """Dates the report covers without having rows for them are emptied too."""
     path = run_folder(t.spark, "replace")
     base = base_orders(t).withColumn("created", F.trunc("created", "month"))
     overwrite_partitions(base, path, ["created"])
-    overwrite_partitions(base.filter("k % 300 = 0").withColumn("status", F.lit("R")), path, ["created"])
+    covered = base.filter("k % 300 = 0").withColumn("status", F.lit("R"))
+    replace_stored(covered.filter("month(created) <> 3"), covered.select("created"), path, "created", f"{path}-staging")
     return t.spark.read.schema(base.schema).parquet(path).select(base.columns)
 
 
@@ -142,6 +145,32 @@ def merged_on_disk(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(path).select(schema.names)
 
 
+@query(
+    "merge_counts",
+    """WITH upd AS (SELECT o_orderkey * 2 AS k, date_trunc('month', o_orderdate) AS month FROM orders
+    WHERE o_orderdate < TIMESTAMP '1995-04-01'), base AS (SELECT o_orderkey AS k, date_trunc('month', o_orderdate) AS month FROM orders)
+    SELECT 0 AS step, 'inserted' AS action, COUNT(*) AS rows FROM base UNION ALL SELECT 0, 'updated', 0
+    UNION ALL SELECT 1, 'inserted', COUNT(*) FROM (SELECT * FROM upd EXCEPT SELECT * FROM base)
+    UNION ALL SELECT 1, 'updated', COUNT(*) FROM (SELECT * FROM upd INTERSECT SELECT * FROM base)""",
+)
+def merge_counted(t: Tables) -> DataFrame:
+    """Rows per action as two merges into a stored table report them; both merges name one staging folder."""
+    path = run_folder(t.spark, "merge")
+    schema = StructType.fromDDL("k bigint, status string, month date")
+    month = F.trunc(F.to_date("o_orderdate"), "month").alias("month")
+    base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), month)
+    updates = t.orders.filter("o_orderdate < '1995-04-01'").select(
+        (F.col("o_orderkey") * 2).alias("k"), F.lit("M").alias("status"), month
+    )
+    found = [
+        (step, action, n)
+        for step, rows in enumerate((base, updates))
+        for action, n in merge_into(
+            t.spark, path, schema, rows, ["k", "month"], ["status"], "month", f"{path}-staging").items()
+    ]
+    return t.spark.createDataFrame(found, "step int, action string, rows bigint")
+
+
 _PARTIAL = "SELECT o_orderkey % 5000 AS id, o_orderstatus AS status, CASE WHEN o_orderkey % 9 <> 0 THEN " \
            "o_orderpriority END AS priority FROM orders"
 
@@ -227,6 +256,6 @@ def stored_slices(t: Tables) -> DataFrame:
     rows = t.orders.selectExpr("o_orderkey AS id", "o_orderstatus = 'O' AS is_active", "o_orderdate AS changed")
     # the first day is stored twice and kept once
     for day in (10, 11, 10):
-        store_slice(contract_slice(rows, date(1997, 3, day), rows.columns), path)
+        store_slice(contract_slice(rows, date(1997, 3, day), rows.columns), path, date(1997, 3, day))
     schema = contract_slice(rows, date(1997, 3, 10), rows.columns).schema
     return t.spark.read.schema(schema).parquet(path)

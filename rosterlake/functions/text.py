@@ -20,6 +20,23 @@ def first_integer(text: Column) -> Column:
     return F.coalesce(F.regexp_extract(text, r"\d+", 0).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+# A decimal number as a report shows it, with or without an exponent.
+NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Beyond this a double no longer tells neighbouring whole numbers apart.
+EXACT = 2**53
+
+
 def coerce_numeric(text: Column, dtype: str = "double") -> Column:
-    """Numeric value of a text, null when it is not a number."""
-    return F.trim(text).try_cast(dtype)
+    """Numeric value of a text, null when it is not a decimal number."""
+    plain = F.trim(text)
+    return F.when(plain.rlike(NUMBER), plain.try_cast(dtype))
+
+
+def coerce_integer(text: Column) -> Column:
+    """Whole number of a text: digits exactly, other numbers cut towards zero.
+
+    Null when it is not a number, does not fit 64 bits, or is a fraction too large to be exact.
+    """
+    plain, number = F.trim(text), coerce_numeric(text)
+    digits = plain.rlike(r"^[+-]?[0-9]+$")
+    return F.when(digits, plain.try_cast("bigint")).otherwise(F.when(F.abs(number) < EXACT, number.try_cast("bigint")))

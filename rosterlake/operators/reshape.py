@@ -15,12 +15,13 @@ def pivot_fields(
     """One row per key with a column ``<value>_<field>`` for every listed field.
 
     The fields are given, so no pass over the data is needed to find them, and each map task
-    combines its rows before the shuffle.
+    combines its rows before the shuffle. A field that a key has twice gives all its values from one
+    of the two rows, the larger by the values in order.
     """
-    picked = [
-        F.max(F.when(F.col(field) == f, F.col(v))).alias(f"{v}_{f}") for v in values for f in fields
-    ]
-    return df.groupBy(*keys).agg(*picked)
+    whole = F.struct(*[F.col(v) for v in values])
+    kept = [F.max(F.when(F.col(field) == f, whole)).alias(f"_{f}") for f in fields]
+    spread = df.groupBy(*keys).agg(*kept)
+    return spread.select(*keys, *[F.col(f"_{f}")[v].alias(f"{v}_{f}") for v in values for f in fields])
 
 
 def unpivot_columns(

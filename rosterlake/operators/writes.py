@@ -7,17 +7,17 @@ the updates fall into.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from rosterlake.operators.aggregate import keep_last
 from rosterlake.operators.joins import absent_rows, present_rows
-from rosterlake.session import settle
+from rosterlake.session import discard, settle
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -32,13 +32,15 @@ def upsert(
     order: Sequence[str] = (),
     provenance: Sequence[str] = (),
     action: str | None = None,
+    newer: Sequence[str] = (),
 ) -> DataFrame:
     """Insert new keys; on a known key overwrite only the listed columns.
 
     ``order`` decides which of several updates of one key wins; without it there must be one row
     per key. A row with a null key never meets another and is always inserted. ``provenance``
     columns are overwritten only when one of ``update_columns`` differs (``<>``, so null never
-    differs). ``action`` names a column telling inserted, updated and kept rows apart.
+    differs). ``action`` names a column telling inserted, updated and kept rows apart. With ``newer``
+    columns, which both tables hold, a stored row only gives way to one that is not older by them.
     """
     given = [c for c in target.columns if c in updates.columns]
     keyed = _all_present(keys)
@@ -51,8 +53,12 @@ def upsert(
     cond = reduce(and_, [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
     both = old.join(new, cond, "full_outer")
 
-    known = F.col("old._in_target").isNotNull()
+    known = F.coalesce(F.col("old._in_target"), F.lit(False))
     hit = F.col("new._in_updates").isNotNull()
+    if newer:
+        before, after = (F.struct(*[F.col(f"{side}.{c}").alias(c) for c in newer]) for side in ("old", "new"))
+        hit = hit & (~known | (after >= before))
+    hit = F.coalesce(hit, F.lit(False))
     differs = reduce(
         or_,
         [F.coalesce(F.col(f"old.{c}") != F.col(f"new.{c}"), F.lit(False)) for c in update_columns],
@@ -201,19 +207,54 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def content_tag(df: DataFrame) -> str:
+    """A name for the rows of a table, whatever their order."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    rows, total = df.agg(F.count(F.lit(1)), F.sum(whole)).first()
+    return f"{rows}_{total or 0}"
+
+
 def store_partitions(
-    rows: DataFrame, path: str, schema: StructType, partition_by: str, staging: str
-) -> None:
+    rows: DataFrame, path: str, schema: StructType, partition_by: str, staging: str, tag: str, action: str | None = None
+) -> dict[str, int]:
     """Replace partitions of a stored table by rows that may have been read from it.
 
-    The rows go to ``staging`` in the shared folder first, so the table is never overwritten by a
-    plan that reads it; a retry after a crash goes on from finished staging files.
+    The rows go to a folder below ``staging`` in the shared folder first, so the table is never
+    overwritten by a plan that reads it. The folder is named by ``tag``, which stands for the batch: a retry of
+    the same batch after a crash goes on from its finished staging files, another batch never meets
+    them. It is deleted after the switch. With an ``action`` column the rows per action are returned.
+    """
+    spark, staged = rows.sparkSession, f"{staging}/{tag}"
+    extra = [action] if action else []
+    if not _exists(spark, f"{staged}/_SUCCESS"):
+        balanced = _balanced(rows.select(*schema.names, *extra), [partition_by])
+        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(staged)
+    full = schema if not action else StructType([*schema.fields, StructField(action, StringType())])
+    found = spark.read.schema(full).parquet(staged)
+    counts = {r[0]: r[1] for r in found.groupBy(action).count().collect()} if action else {}
+    _overwrite(found.select(schema.names), path, [partition_by])
+    discard(spark, staged)
+    return counts
+
+
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable) -> None:
+    """Delete the listed partitions of a stored table; values are few, as each is a folder."""
+    for value in values:
+        shown = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        discard(spark, f"{path}/{column}={shown}")
+
+
+def replace_stored(report: DataFrame, dates: DataFrame, path: str, column: str, staging: str) -> None:
+    """``replace_dates`` on a stored table partitioned by the date.
+
+    Dates the report covers (``dates``) without having rows for them lose their rows too. Run again, it
+    gives the same table.
     """
-    spark = rows.sparkSession
-    if not _exists(spark, f"{staging}/_SUCCESS"):
-        balanced = _balanced(rows.select(schema.names), [partition_by])
-        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(staging)
-    _overwrite(spark.read.schema(schema).parquet(staging).select(schema.names), path, [partition_by])
+    spark = report.sparkSession
+    held = [r[0] for r in report.select(column).distinct().collect()]
+    empty = [r[0] for r in dates.select(column).distinct().collect() if r[0] not in held]
+    store_partitions(report, path, report.schema, column, staging, content_tag(report))
+    drop_partitions(spark, path, column, empty)
 
 
 def touched_partitions(
@@ -242,11 +283,16 @@ def merge_into(
     staging: str,
     order: Sequence[str] = (),
     provenance: Sequence[str] = (),
-) -> None:
+    newer: Sequence[str] = (),
+) -> dict[str, int]:
     """Upsert into a stored table partitioned by a column that is part of the key.
 
-    Only the partitions the updates fall into are read and rewritten.
+    Only the partitions the updates fall into are read and rewritten. Returns how many rows were
+    inserted and updated.
     """
+    updates = settle(updates, "updates")
     touched = touched_partitions(spark, path, schema, updates, partition_by)
-    merged = upsert(touched, updates, keys, update_columns, order, provenance)
-    store_partitions(merged, path, schema, partition_by, staging)
+    merged = upsert(touched, updates, keys, update_columns, order, provenance, "_action", newer)
+    tag = content_tag(updates)
+    counts = store_partitions(merged, path, schema, partition_by, staging, tag, "_action")
+    return {kind: counts.get(kind, 0) for kind in ("inserted", "updated")}

@@ -7,13 +7,13 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rosterlake.functions import coerce_numeric, parse_date, prefix_code, strip
+from rosterlake.functions import coerce_integer, coerce_numeric, parse_date, prefix_code, strip
 from rosterlake.operators.dictionary import dict_grow
-from rosterlake.operators.joins import dim_join, lookup_chain, lookup_default
+from rosterlake.operators.joins import dim_join, lookup_chain, lookup_default, member_rows
 from rosterlake.operators.mapping import map_codes
 from rosterlake.operators.quality import audit_row, empty_load_warning, null_columns, quality_counts, warnings
 from rosterlake.operators.reshape import dated_columns, unpivot_cells
-from rosterlake.operators.writes import replace_dates, upsert
+from rosterlake.operators.writes import replace_dates, replace_stored, upsert
 from rosterlake.plans import reports as R
 from rosterlake.session import settle
 from rosterlake.sources.landing import column_range, landing_metadata, route
@@ -28,15 +28,39 @@ def _of_kind(chunks: DataFrame, kind: str) -> DataFrame:
 
 
 class HoursLoad(NamedTuple):
+    """``problems``: headers that are no dates and cells that are no numbers, as ``file, problem, value, found``."""
+
     rows: DataFrame
     dates: DataFrame
     tks: DataFrame
     warnings: DataFrame
+    problems: DataFrame
+
+
+def unread_headers(chunks: DataFrame, headers: Column) -> DataFrame:
+    """Headers of date columns that no format reads, one row per file and header."""
+    bad = F.filter(headers, lambda h: parse_date(h, R.DATES).isNull())
+    listed = chunks.select("file", F.explode(bad).alias("value"))
+    return listed.groupBy("file", "value").agg(F.lit(1).cast("bigint").alias("found")).select(
+        "file", F.lit("unread date header").alias("problem"), "value", "found"
+    )
+
+
+def unread_cells(rows: DataFrame, problem: str) -> DataFrame:
+    """Texts in dated cells that are no numbers, counted per file and text."""
+    cells = rows.select("file", "cells", F.explode("days.at").alias("_at"))
+    texts = cells.select("file", F.get(F.col("cells"), F.col("_at")).alias("value")).filter(
+        F.col("value").isNotNull() & coerce_numeric(F.col("value")).isNull()
+    )
+    return texts.groupBy("file", "value").agg(F.count("*").alias("found")).select(
+        "file", F.lit(problem).alias("problem"), "value", "found"
+    )
 
 
 def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLoad:
-    """Worked hours from a report with a column per date; zero hours are left out.
+    """Worked hours from reports with a column per date; zero hours are left out.
 
+    Of several deliveries that cover a date only the last one counts for it, also where its hours are zero.
     ``regions`` has ``id, legal_name``; ``tks`` has ``tks_id, city_id, address``.
     """
     first = _of_kind(chunks, "hours").filter("sheet = 0")
@@ -49,7 +73,7 @@ def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLo
     rows = rows.withColumns(
         {
             "city": strip(F.col("city")),
-            "doer_id": coerce_numeric(F.col("doer_id")).cast("bigint"),
+            "doer_id": coerce_integer(F.col("doer_id")),
             "speciality_id": map_codes(F.col("role"), R.ROLES),
         }
     )
@@ -60,11 +84,22 @@ def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLo
     rows = dim_join(rows, tks, keys, "left", null_safe=True)
     rows = landing_metadata(rows, "file")
     kept = ("doer_name", "doer_id", "tks_id", "speciality_id", "file_date", "filename")
-    hours = unpivot_cells(rows, kept, "report_date", "worked_hours").filter("worked_hours <> 0")
+    covered = landing_metadata(dated.select("file", F.explode("days.day").alias("report_date")), "file")
+    last = covered.groupBy("report_date").agg(F.max(F.struct("file_date", "filename", "file")).alias("_last"))
+    last = settle(last.select("report_date", F.col("_last.file").alias("file")), "covered")
+    hours = unpivot_cells(rows, ("file", *kept), "report_date", "worked_hours").filter("worked_hours <> 0")
+    hours = member_rows(hours, last, ["report_date", "file"]).select(*kept, "report_date", "worked_hours")
     counts = quality_counts(rows, {"speciality_id": F.col("speciality_id") == 0})
-    text = F.format_string("Field %s has %d zero values", F.col("check_name"), F.col("bad_rows"))
-    dates = dated.select(F.explode("days.day").alias("report_date")).distinct()
-    return HoursLoad(hours, dates, tks, warnings(counts, "hours", text))
+    text = F.format_string("%s is 0 in %d rows", F.col("check_name"), F.col("bad_rows"))
+    # between the last named column and the total all columns are dates
+    shown = F.slice("headers", len(R.HOURS_HEADER) + 1, F.greatest(F.size("headers") - len(R.HOURS_HEADER) - 1, F.lit(0)))
+    problems = unread_headers(first, shown).unionByName(unread_cells(rows, "hours are no number"))
+    return HoursLoad(hours, last.select("report_date"), tks, warnings(counts, "hours", text), problems)
+
+
+def store_hours(load: HoursLoad, path: str, staging: str) -> None:
+    """The same for a table stored by ``report_date``; dates that are not covered are not touched."""
+    replace_stored(settle(load.rows, "hours"), load.dates, path, "report_date", staging)
 
 
 def apply_hours(table: DataFrame, load: HoursLoad) -> DataFrame:
@@ -128,16 +163,16 @@ def load_revenues(
     unknown = rows.filter("_unknown").select("sender").distinct()
     audit = audit_row(
         missing, "error", "revenues",
-        F.format_string("%s column(s) has empty values!", F.col("column_name")),
+        F.format_string("column %s has empty cells", F.col("column_name")),
     ).unionByName(
         audit_row(
             unknown, "warning", "revenues",
-            F.format_string("User '%s' is unknown. Field 'created_by' sets in 0", F.col("sender")),
+            F.format_string("sender '%s' has no user id, 0 is stored", F.col("sender")),
         )
     )
     typed = rows.withColumns(
         {
-            "doer_id": coerce_numeric(F.col("doer_id")).cast("bigint"),
+            "doer_id": coerce_integer(F.col("doer_id")),
             "date": parse_date(F.col("date"), R.DATES),
             "amount": coerce_numeric(F.col("amount")),
         }
@@ -149,9 +184,12 @@ def load_revenues(
 
 
 class RequestLoad(NamedTuple):
+    """``problems`` as in ``HoursLoad``."""
+
     rows: DataFrame
     tks: DataFrame
     warnings: DataFrame
+    problems: DataFrame
 
 
 def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
@@ -200,9 +238,11 @@ def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
     rows = landing_metadata(rows, "file")
     kept = ("tk_id", "resource_id", "is_night", "add_requirement", "file_date", "filename")
     counts = quality_counts(rows, {"resource_id": F.col("resource_id") == 0})
-    text = F.format_string("Field '%s' has %d zero values", F.col("check_name"), F.col("bad_rows"))
+    text = F.format_string("%s is 0 in %d rows", F.col("check_name"), F.col("bad_rows"))
+    named = both.filter("sheet = 0").withColumn("_names", F.filter(names, lambda h: ~F.contains(h, F.lit("Unnamed:"))))
+    problems = unread_headers(named, F.col("_names")).unionByName(unread_cells(rows, "head count is no number"))
     return RequestLoad(
-        unpivot_cells(rows, kept, "requested_date", "doer_count"), tks, warnings(counts, "requests", text)
+        unpivot_cells(rows, kept, "requested_date", "doer_count"), tks, warnings(counts, "requests", text), problems
     )
 
 

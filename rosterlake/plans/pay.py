@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from rosterlake.functions import clock_hours, overlap_hours
 from rosterlake.operators.aggregate import pending_values
-from rosterlake.operators.joins import dim_join
+from rosterlake.operators.joins import absent_rows, dim_join, member_rows
 from rosterlake.operators.mapping import map_codes
-from rosterlake.plans.tariffs import PRICE_KEY, date_bounds, wide_prices
+from rosterlake.operators.writes import content_tag, store_partitions, touched_partitions
+from rosterlake.plans.tariffs import PRICE_KEY, date_bounds, tariffs_in_force, wide_prices
 from rosterlake.session import settle
 
 # Project, specialities and tariff fields.
@@ -77,14 +80,17 @@ COURIER_PAY = _pay_columns(COURIER_PARTS)
 PICKER_PAY = _pay_columns(PICKER_PARTS)
 
 
+def _courier_keyed(work: DataFrame) -> DataFrame:
+    speciality = map_codes(F.col("transport_id"), COURIER_SPECIALITY, COURIER_DEFAULT_SPECIALITY)
+    return work.withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
+
+
 def _courier_rows(
     work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int
 ) -> DataFrame:
     days = _pending_days(work, "full_payment_client")
     wide = wide_prices(tariffs, prices, days, date_bounds(days, "date_"), COURIER_FIELDS, integers=True)
-    speciality = map_codes(F.col("transport_id"), COURIER_SPECIALITY, COURIER_DEFAULT_SPECIALITY)
-    keyed = work.withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
-    return _join_prices(keyed, days, tks, settle(wide, "prices"), salts)
+    return _join_prices(_courier_keyed(work), days, tks, settle(wide, "prices"), salts)
 
 
 def _courier_amounts() -> dict[str, Column]:
@@ -133,12 +139,20 @@ def courier_repriced(
     return _repriced(work, rows, _courier_amounts())
 
 
-def courier_unmatched(
-    work: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
-) -> DataFrame:
+def _unmatched(pending: DataFrame, days: DataFrame, tks: DataFrame, tariffs: DataFrame) -> DataFrame:
+    """Rows with a region for whose day, region and speciality no tariff holds; prices are not read."""
+    regions = tks.filter("region_id is not null").select(
+        F.col("tk_id").alias("_tk"), F.col("region_id").cast("int").alias("region_id")
+    )
+    held = settle(tariffs_in_force(tariffs, days, date_bounds(days, "date_")), "held")
+    placed = dim_join(pending, regions, {"tk_id": "_tk"})
+    return absent_rows(placed, held.select(*PRICE_KEY), PRICE_KEY)
+
+
+def courier_unmatched(work: DataFrame, tks: DataFrame, tariffs: DataFrame) -> DataFrame:
     """Pending shifts with a region but without a tariff; they never stop a run."""
-    rows = _courier_rows(work, tks, tariffs, prices, salts)
-    return rows.filter("pending_date is not null and region_id is not null and tariff_id is null")
+    days = _pending_days(work, "full_payment_client")
+    return _unmatched(member_rows(_courier_keyed(work), days, ["date_"]), days, tks, tariffs)
 
 
 def shift_bands(rows: DataFrame) -> DataFrame:
@@ -152,17 +166,33 @@ def shift_bands(rows: DataFrame) -> DataFrame:
     )
 
 
+def _picker_days(shifts: DataFrame) -> DataFrame:
+    return _pending_days(shifts.filter(F.col("file_date") > F.lit(PICKER_SINCE)), "full_payment_doer")
+
+
+def _picker_keyed(shifts: DataFrame) -> DataFrame:
+    # a shift that never started is not priced
+    speciality = F.when(F.col("first_activation").isNotNull(), F.lit(PICKER_SPECIALITY))
+    return shift_bands(shifts).withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
+
+
+def _picker_tariffs(tariffs: DataFrame) -> DataFrame:
+    return tariffs.filter((F.col("speciality_id") == PICKER_SPECIALITY) & (F.col("project_id") == PROJECT))
+
+
 def _picker_rows(
     shifts: DataFrame, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int
 ) -> DataFrame:
-    recent = shifts.filter(F.col("file_date") > F.lit(PICKER_SINCE))
-    days = _pending_days(recent, "full_payment_doer")
-    own = tariffs.filter((F.col("speciality_id") == PICKER_SPECIALITY) & (F.col("project_id") == PROJECT))
+    days, own = _picker_days(shifts), _picker_tariffs(tariffs)
     wide = wide_prices(own, prices, days, date_bounds(days, "date_"), PICKER_FIELDS, integers=False)
-    # a shift that never started is not priced
-    speciality = F.when(F.col("first_activation").isNotNull(), F.lit(PICKER_SPECIALITY))
-    keyed = shift_bands(shifts).withColumns({"project_id": F.lit(PROJECT), "speciality_id": speciality})
-    return _join_prices(keyed, days, tks, settle(wide, "prices"), salts)
+    return _join_prices(_picker_keyed(shifts), days, tks, settle(wide, "prices"), salts)
+
+
+def picker_unmatched(shifts: DataFrame, tks: DataFrame, tariffs: DataFrame) -> DataFrame:
+    """Started shifts of pending days with a region but without a tariff."""
+    days = _picker_days(shifts)
+    started = member_rows(_picker_keyed(shifts), days, ["date_"]).filter("speciality_id is not null")
+    return _unmatched(started, days, tks, _picker_tariffs(tariffs))
 
 
 def _picker_amounts() -> dict[str, Column]:
@@ -193,3 +223,44 @@ def picker_repriced(
     """The picker shift table with the pay of ``picker_pay`` filled in, in one pass over it."""
     rows = _picker_rows(shifts, tks, tariffs, prices, salts)
     return _repriced(shifts, rows, _picker_amounts())
+
+
+# Stored shift tables -------------------------------------------------------------------------
+
+
+def _reprice_stored(
+    spark: SparkSession, path: str, schema: StructType, result: str, staging: str,
+    reprice: Callable[[DataFrame], DataFrame],
+) -> int:
+    """Price the pending days of a table stored by ``date_``; returns how many days were rewritten.
+
+    The scan for missing results reads two columns, the pricing only the partitions of the days found.
+    """
+    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    days = _pending_days(table, result)
+    touched = touched_partitions(spark, path, schema, days, "date_")
+    # rows of other days were left out, so what is joined to prices has no null day
+    store_partitions(reprice(touched), path, schema, "date_", staging, content_tag(days))
+    return days.count()
+
+
+def reprice_couriers_stored(
+    spark: SparkSession, path: str, schema: StructType, tks: DataFrame, tariffs: DataFrame, prices: DataFrame,
+    staging: str, salts: int = 1,
+) -> int:
+    """``courier_repriced`` for a stored table; only days with a missing result are read and rewritten."""
+    return _reprice_stored(
+        spark, path, schema, "full_payment_client", staging,
+        lambda rows: courier_repriced(rows, tks, tariffs, prices, salts),
+    )
+
+
+def reprice_pickers_stored(
+    spark: SparkSession, path: str, schema: StructType, tks: DataFrame, tariffs: DataFrame, prices: DataFrame,
+    staging: str, salts: int = 1,
+) -> int:
+    """``picker_repriced`` for a stored table; only days with a missing result are read and rewritten."""
+    return _reprice_stored(
+        spark, path, schema, "full_payment_doer", staging,
+        lambda rows: picker_repriced(rows, tks, tariffs, prices, salts),
+    )

@@ -63,5 +63,5 @@ RESOURCES = {"Курьер (кол-во)": 1, "Пикер (кол-во)": 2}
 STORE_PREFIX = "ТК"
 
 # Formats of dates and times in cells.
-DATES = ("yyyy/MM/dd", "dd.MM.yy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
+DATES = ("yyyy/M/d", "d.M.yy", "yyyy-M-d HH:mm:ss", "yyyy-M-d")
 TIMES = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/MM/dd HH:mm:ss")

@@ -117,7 +117,7 @@ def _load(
         {"organisation_name": "organisation_name"}, null_safe=True,
     )
     counts = quality_counts(rows, {c: F.col(c) == 0 for c in codes})
-    text = F.format_string("Field %s has %d zero values", F.col("check_name"), F.col("bad_rows"))
+    text = F.format_string("%s is 0 in %d rows", F.col("check_name"), F.col("bad_rows"))
     return ShiftLoad(
         keyed.select("row_no", *columns), tks, organisations, warnings(counts, "shift_reports", text)
     )

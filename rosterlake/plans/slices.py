@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
 from rosterlake.operators.clean import snapshot_predicate
 from rosterlake.operators.joins import member_rows
-from rosterlake.operators.writes import daily_slice, overwrite_partitions
+from rosterlake.operators.writes import daily_slice, drop_partitions, overwrite_partitions
 
 # Columns of the snapshots.
 CONTRACT_COLUMNS = (
@@ -37,6 +37,9 @@ def courier_slice(couriers: DataFrame, states: DataFrame, as_of: date, columns=C
     return daily_slice(member_rows(couriers, working, ["state"]), columns, F.lit(as_of))
 
 
-def store_slice(rows: DataFrame, path: str) -> None:
-    """Add a day's slice to the stored slices; storing the day again replaces it."""
+def store_slice(rows: DataFrame, path: str, as_of: date) -> None:
+    """Add a day's slice to the stored slices; storing the day again replaces it, also by nothing."""
+    day = as_of - timedelta(days=1)
     overwrite_partitions(rows, path, ["fix_date"])
+    if rows.isEmpty():
+        drop_partitions(rows.sparkSession, path, "fix_date", [day])

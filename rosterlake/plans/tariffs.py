@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions import whole
 from rosterlake.operators.joins import dim_join, interval_max
+from rosterlake.operators.quality import duplicate_keys
 from rosterlake.operators.reshape import pivot_fields
 
 # Tariff states.
@@ -66,5 +67,11 @@ def wide_prices(
         listed = listed.withColumns({"cost": whole(F.col("cost")), "amount": whole(F.col("amount"))})
     spread = pivot_fields(listed, ["tariff_id"], "field_id", fields, ["cost", "amount"])
     held = tariffs_in_force(tariffs, days, bounds)
-    return dim_join(held, spread.withColumnRenamed("tariff_id", "_tariff"), {"tariff_id": "_tariff"})
+    # a tariff with none of the fields still holds; its prices are missing
+    return dim_join(held, spread.withColumnRenamed("tariff_id", "_tariff"), {"tariff_id": "_tariff"}, "left")
+
+
+def repeated_prices(prices: DataFrame, fields: Sequence[int]) -> DataFrame:
+    """Tariffs and fields with more than one price; ``wide_prices`` takes one whole price of them."""
+    return duplicate_keys(prices.filter(F.col("field_id").isin(list(fields))), ["tariff_id", "field_id"])
 

@@ -18,10 +18,15 @@ RUNTIME = {
 }
 
 
-def build_session(app: str = "rosterlake", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "rosterlake", master: str | None = None, shared: str | None = None, **conf: str
+) -> SparkSession:
+    """A session with the settings above; ``shared`` is the folder for intermediate tables."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in {**RUNTIME, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -44,8 +49,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/rosterlake/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; ``end_run`` removes all of a run."""
+    return f"{_run_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _run_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/rosterlake/{spark.sparkContext.applicationId}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there, on whatever file system it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def end_run(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Frames that read them are of no use afterwards."""
+    discard(spark, _run_root(spark))
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

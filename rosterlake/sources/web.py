@@ -26,6 +26,15 @@ def json_items(df: DataFrame, json: str, schema: str, items: str, keep: Sequence
     return df.select(*keep, F.explode(page[items]).alias("item"))
 
 
+def unread_pages(df: DataFrame, json: str, schema: str, items: str, keep: Sequence[str]) -> DataFrame:
+    """Pages of which ``json_items`` gets nothing because they are no JSON or have no list of items.
+
+    A page with an empty list is not among them.
+    """
+    page = F.from_json(F.col(json), schema)
+    return df.filter(page[items].isNull()).select(*keep, F.length(json).alias("page_length"))
+
+
 def json_tree_ids(df: DataFrame, json: str, keep: Sequence[str] = ()) -> DataFrame:
     """Ids of the areas below the first country of an area tree."""
     tree = F.from_json(F.col(json), AREA_TREE)
@@ -45,15 +54,19 @@ def plain_text(markup: Column) -> Column:
 
 def html_links(df: DataFrame, html: str, keep: Sequence[str]) -> DataFrame:
     """Every link of a page as ``(link_no, href, label)``, found in one pass over the markup."""
-    anchor = r'(?s)<a\s[^>]*?href="[^"]*"[^>]*>.*?</a>'
+    anchor = r"""(?s)<a\s[^>]*?href\s*=\s*(?:"[^"]*"|'[^']*')[^>]*>.*?</a>"""
     found = F.regexp_extract_all(F.col(html), F.lit(anchor), F.lit(0))
     links = df.select(*keep, F.posexplode(found).alias("link_no", "_link"))
-    return links.select(
-        *keep,
-        "link_no",
-        F.regexp_extract("_link", r'href="([^"]*)"', 1).alias("href"),
-        plain_text(F.col("_link")).alias("label"),
-    )
+    quoted = r"""href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    href = F.concat(F.regexp_extract("_link", quoted, 1), F.regexp_extract("_link", quoted, 2))
+    return links.select(*keep, "link_no", href.alias("href"), plain_text(F.col("_link")).alias("label"))
+
+
+def _span(css: str) -> str:
+    """Pattern of a span whose class begins so; its second group is the markup inside, nested spans included."""
+    inner = r"(?:(?!</?span)[\s\S])*"
+    nested = rf"{inner}(?:<span[^>]*>{inner}</span>{inner})*"
+    return rf"""<span[^>]*class\s*=\s*(["']){css}[^"']*["'][^>]*>({nested})</span>"""
 
 
 def page_count(html: Column, pager: str, counter: str, full: int = 100, least: int = 4000) -> Column:
@@ -62,10 +75,12 @@ def page_count(html: Column, pager: str, counter: str, full: int = 100, least: i
     A pager that ends exactly at ``full`` is trusted only if the page announces at least ``least``
     results. ``pager`` and ``counter`` are prefixes of the class of the spans to read.
     """
-    labels = F.regexp_extract_all(html, F.lit(rf'<span[^>]*class="{pager}[^"]*"[^>]*>([^<]*)<'), F.lit(1))
+    # a label is the text of the span, tags inside it left out
+    labels = F.regexp_extract_all(html, F.lit(_span(pager)), F.lit(2))
+    labels = F.transform(labels, plain_text)
     pages = F.coalesce(F.array_max(F.transform(labels, lambda x: F.trim(x).try_cast("int"))), F.lit(0))
-    shown = F.regexp_extract(html, rf'<span[^>]*class="{counter}[^"]*"[^>]*>([^<]*)<', 1)
-    results = F.regexp_replace(F.replace(shown, F.lit("&nbsp;"), F.lit("")), r"(?U)\s", "").try_cast("int")
+    shown = plain_text(F.regexp_extract(html, _span(counter), 2))
+    results = F.regexp_replace(shown, r"(?U)\s", "").try_cast("int")
     return F.when((pages == full) & (results < least), F.lit(0)).otherwise(pages)
 
 

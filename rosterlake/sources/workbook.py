@@ -2,11 +2,12 @@
 
 ``decode_workbooks`` turns ``(file, content)`` into chunks of sheet rows:
 
-    file, sheet, book_headers, headers, first_row, is_last, rows
+    file, sheet, book_headers, headers, first_row, is_last, rows, error
 
 ``rows`` holds up to ``CHUNK_ROWS`` rows of cell texts. Header work (routing, finding columns) is
 done once per chunk, before the chunk is exploded into rows, and needs no shuffle. ``book_headers``
-is the header of the workbook's first sheet.
+is the header of the workbook's first sheet. A file that cannot be read to its end gives one chunk without
+a sheet, which says why in ``error``, and no other; ``landing_status`` lists what became of each file.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 CHUNK_ROWS = 1000
 SCHEMA = (
     "file string, sheet int, book_headers array<string>, headers array<string>, "
-    "first_row int, is_last boolean, rows array<array<string>>"
+    "first_row int, is_last boolean, rows array<array<string>>, error string"
 )
 
 # Texts that count as an empty cell.
@@ -36,6 +37,8 @@ EMPTY_TEXTS = frozenset(
 # Built-in number formats of the file format that show dates or times.
 DATE_FORMATS = frozenset([14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47])
 
+WHOLE = re.compile(r"-?[0-9]+")
+
 MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 REL_ID = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -93,7 +96,7 @@ def _column(ref: str) -> int:
 
 
 def _number(text: str) -> str:
-    if text.isdigit() and len(text) < 16:
+    if WHOLE.fullmatch(text):  # digits stay as they are, however many
         return text
     number = float(text)
     return str(int(number)) if number.is_integer() and abs(number) < 1e15 else repr(number)
@@ -179,6 +182,7 @@ def _sheet_rows(book: zipfile.ZipFile, part: str, texts, dated, epoch) -> Iterat
                     yield row
                     shown = number
             sheet.rows.clear()
+    sheet.parser.Parse(b"", True)  # a part that stops half way is an error
 
 
 def _names(row: Iterable[str | None]) -> list[str]:
@@ -208,10 +212,10 @@ def _chunks(file: str, content: bytes) -> Iterator[tuple]:
             start = 1
             for row in rows:
                 if len(held) == CHUNK_ROWS:
-                    yield file, sheet, first, headers, start, False, held
+                    yield file, sheet, first, headers, start, False, held, None
                     start, held = start + len(held), []
                 held.append(row + [None] * (len(headers) - len(row)))
-            yield file, sheet, first, headers, start, True, held
+            yield file, sheet, first, headers, start, True, held, None
 
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,17 +223,28 @@ def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         for file, content in zip(batch["file"], batch["content"]):
             try:
-                for chunk in _chunks(file, content):
-                    yield pd.DataFrame([chunk], columns=columns)
-            except (zipfile.BadZipFile, KeyError, ValueError, IndexError, ElementTree.ParseError, expat.ExpatError):
-                continue  # not a readable workbook
+                chunks = list(_chunks(file, content))  # nothing of a file counts before all of it is read
+            except Exception as err:  # whatever is wrong with one file, the others are read
+                chunks = [(file, None, None, None, None, True, [], f"{type(err).__name__}: {err}"[:500])]
+            for chunk in chunks:
+                yield pd.DataFrame([chunk], columns=columns).astype({"sheet": "Int32", "first_row": "Int32"})
 
 
 def decode_workbooks(files: DataFrame) -> DataFrame:
-    """Chunks of sheet rows of every readable workbook in ``(file, content)``."""
+    """Chunks of sheet rows of every workbook in ``(file, content)``; see the module for unreadable ones."""
     return files.select("file", "content").mapInPandas(_decode, SCHEMA)
 
 
+def landing_status(chunks: DataFrame) -> DataFrame:
+    """One row per file: ``file``, ``status`` (read or unreadable), ``error``, ``sheets`` and ``rows``."""
+    return chunks.groupBy("file").agg(
+        F.max("error").alias("error"), F.count_distinct("sheet").alias("sheets"),
+        F.sum(F.when(F.col("error").isNull(), F.size("rows")).otherwise(0)).alias("rows"),
+    ).select(
+        "file", F.when(F.col("error").isNull(), "read").otherwise("unreadable").alias("status"), "error", "sheets", "rows"
+    )
+
+
 def trim_sheet(chunks: DataFrame) -> DataFrame:
     """Drop the first and the last data row of each sheet (sub-header and total)."""
     head = F.when(F.col("first_row") == 1, 1).otherwise(0)

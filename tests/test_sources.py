@@ -16,7 +16,7 @@ from rosterlake.plans.vacancies import (
 )
 from rosterlake.sources.landing import landed_files, route
 from rosterlake.sources.web import html_cards, html_links, json_tree_ids, page_count
-from rosterlake.sources.workbook import CHUNK_ROWS, decode_workbooks, sheet_rows, trim_sheet
+from rosterlake.sources.workbook import CHUNK_ROWS, decode_workbooks, landing_status, sheet_rows, trim_sheet
 from rosterlake.streaming.ingest import append_new, workbook_stream
 
 SHEET = """<worksheet xmlns="{ns}"><sheetData>
@@ -54,14 +54,58 @@ def test_cells_headers_and_empty_rows(spark):
     ]
 
 
-def test_unreadable_files_are_ignored(spark):
+def test_unreadable_files_give_a_status_and_no_rows(spark):
     damaged = bytearray(encode_workbook([(["a"], [[str(i * 7919)] for i in range(5000)])], {}))
     damaged[len(damaged) // 2] ^= 0xFF
     files = spark.createDataFrame(
         [("a.png", bytearray(b"\x89PNG")), ("b.zip", bytearray(b"PK\x05\x06" + bytes(18))), ("c.xlsx", damaged)],
         "file string, content binary",
     )
-    assert decode_workbooks(files).count() == 0
+    chunks = decode_workbooks(files)
+    assert chunks.filter("sheet IS NOT NULL OR size(rows) > 0").count() == 0
+    status = {r.file: r for r in landing_status(chunks).collect()}
+    assert set(status) == {"a.png", "b.zip", "c.xlsx"}
+    assert all(r.status == "unreadable" and r.error and r.rows == 0 for r in status.values())
+
+
+def book_of(sheet: str) -> bytearray:
+    """The book above with another sheet."""
+    book = io.BytesIO()
+    with zipfile.ZipFile(book, "w") as out, zipfile.ZipFile(io.BytesIO(shared_string_book())) as source:
+        for name in source.namelist():
+            out.writestr(name, sheet if name.endswith("one.xml") else source.read(name))
+    return bytearray(book.getvalue())
+
+
+def test_a_file_counts_whole_or_not_at_all(spark):
+    head = f'<worksheet xmlns="{NS}"><sheetData><row><c><v>1</v></c></row>'
+    many = "".join(f'<row r="{i}"><c><v>{i}</v></c></row>' for i in range(2, 3000))
+    files = spark.createDataFrame([
+        ("whole.xlsx", book_of(head + many + "</sheetData></worksheet>")),
+        ("bad cell.xlsx", book_of(head + many + '<row r="3000"><c t="s"><v>x</v></c></row></sheetData></worksheet>')),
+        ("stops.xlsx", book_of(head + many)),
+        ("no day.xlsx", book_of(head + '<row><c s="1"><v>9999999999</v></c></row></sheetData></worksheet>')),
+    ], "file string, content binary")
+    status = {r.file: (r.status, r.rows) for r in landing_status(decode_workbooks(files)).collect()}
+    assert status == {"whole.xlsx": ("read", 2998), "bad cell.xlsx": ("unreadable", 0), "stops.xlsx": ("unreadable", 0),
+                      "no day.xlsx": ("unreadable", 0)}
+
+
+def test_long_integers_stay_exact(spark):
+    sheet = f"""<worksheet xmlns="{NS}"><sheetData><row><c t="str"><v>id</v></c></row>
+    <row><c><v>1234567890123456</v></c></row><row><c><v>12345678901234567890</v></c></row>
+    <row><c><v>-98765432109876543</v></c></row><row><c><v>1E3</v></c></row></sheetData></worksheet>"""
+    files = spark.createDataFrame([("a.xlsx", book_of(sheet))], "file string, content binary")
+    assert [r[0] for r in decode_workbooks(files).first().rows] == [
+        "1234567890123456", "12345678901234567890", "-98765432109876543", "1000"]
+
+
+def test_pager_labels_may_be_nested_and_quoted_either_way(spark):
+    html = """<span class='count-x'>5&nbsp;000</span><span class="pager-a"><b>7</b></span>
+    <span data-x='1' class='pager-b'><span>12</span></span><a class="x" href='/one'>One</a><a href="/two"><i>Two</i></a>"""
+    pages = spark.createDataFrame([(1, html)], "id int, html string")
+    assert pages.select(page_count(F.col("html"), "pager", "count")).first()[0] == 12
+    assert [(r.href, r.label) for r in html_links(pages, "html", ["id"]).collect()] == [("/one", "One"), ("/two", "Two")]
 
 
 def test_prefixed_markup_and_sparse_cells(spark):
