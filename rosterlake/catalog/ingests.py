@@ -180,6 +180,11 @@ _SHIFT_VALUES = (
 )
 def courier_ingest(t: Tables) -> DataFrame:
     load = load_couriers(courier_chunks(t), *stores_and_organisations(t))
+    return apply_shifts(known_couriers(t, load), load, COURIER_KEY, action="action")
+
+
+def known_couriers(t: Tables, load) -> DataFrame:
+    """Shifts stored before the load, with pay."""
     table = (
         t.orders.filter("o_orderkey % 6 = 0")
         .groupBy(
@@ -189,11 +194,10 @@ def courier_ingest(t: Tables) -> DataFrame:
         )
         .agg(F.max("o_orderkey").cast("double").alias("full_payment_client"))
     )
-    known = table.select(
+    return table.select(
         *COURIER_KEY, *[F.lit(None).cast(load.rows.schema[c].dataType).alias(c) for c in _SHIFT_VALUES],
         "full_payment_client",
     )
-    return apply_shifts(known, load, COURIER_KEY, action="action")
 
 
 @query(

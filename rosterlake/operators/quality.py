@@ -48,5 +48,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def append_audit(rows: DataFrame, path: str) -> None:
-    """Append audit rows to the run log; a run adds a handful of rows, so they go into one file."""
-    rows.select(*AUDIT_COLUMNS).coalesce(1).write.mode("append").parquet(path)
+    """Append audit rows to the run log in one file.
+
+    The rows are shuffled to the one task that writes them, so what finds them runs in parallel.
+    """
+    rows.select(*AUDIT_COLUMNS).repartition(1).write.mode("append").parquet(path)

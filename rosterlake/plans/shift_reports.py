@@ -145,9 +145,9 @@ def apply_shifts(table: DataFrame, load: ShiftLoad, key: tuple[str, ...], action
 
 def store_shifts(
     spark: SparkSession, path: str, schema: StructType, load: ShiftLoad, key: tuple[str, ...], staging: str
-) -> None:
-    """The same for a stored table partitioned by ``date_``; other days are not read."""
+) -> dict[str, int]:
+    """The same for a stored table partitioned by ``date_``; other days are not read. Returns rows per action."""
     changed = [c for c in load.rows.columns if c not in (*key, "row_no")]
-    merge_into(
+    return merge_into(
         spark, path, schema, load.rows, key, changed, "date_", staging, ("file_date", "filename", "row_no")
     )
