@@ -10,12 +10,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterlake.llm.common import keyed, spaced_chunks
-from rosterlake.llm.vocabulary import Chunks, frequent, word_counts
+from rosterlake.llm.common import chunk_of, keyed, marked, spaced_parts
+from rosterlake.llm.vocabulary import frequent, word_counts
+from rosterlake.session import settle
 
 #: Fields of a packed piece: rank of the pair it starts (or NO_PAIR), place of its first byte, its own id.
 PAIR_BITS, PLACE_BITS, ID_BITS = 19, 24, 20
@@ -162,6 +164,26 @@ def little(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
+def known_codes(words: list[str], hot: pa.Table) -> tuple[dict[str, bytes], list[str]]:
+    """Packed ids of the words that the table holds, and numbers, marked open, of those it lacks, which are listed."""
+    known, lists = hot.columns if hot.num_rows else ([], [])
+    at = pc.index_in(pa.array(words, pa.string()), value_set=known) if hot.num_rows else pa.nulls(len(words), pa.int32())
+    codes, rare = {}, []
+    if hot.num_rows and len(words):
+        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+        found = lists.take(at.drop_null())
+        flat = found.flatten().to_numpy().astype("<u4").tobytes()
+        ends = ((found.offsets.to_numpy() - found.offsets[0].as_py()) * 4).tolist() if len(found) else [0]
+        packed = iter([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
+    for word, place in zip(words, at.to_pylist(), strict=True):
+        if place is None:
+            codes[word] = little([OPEN | len(rare)])
+            rare.append(word)
+        else:
+            codes[word] = next(packed)
+    return codes, rare
+
+
 @functools.cache
 def pretokens_of(pattern: str) -> Callable[[str], list[str]]:
     """All matches of a pre-token pattern in a text; compiled once in each worker."""
@@ -181,27 +203,23 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     """
     spark = docs.sparkSession
     bpe = ByteBpe(ranks)
-    counts = word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col)
+    counts = settle(word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col), "words")
     words = frequent(counts).select("word").repartition(busy_partitions(spark))
-    found = words.select("word", bpe.encode(F.array("word"))[0].alias("ids"))
-    hot = spark.sparkContext.broadcast({w: little(i) for w, i in found.toLocalIterator(True)})
+    hot = spark.sparkContext.broadcast(words.select("word", bpe.encode(F.array("word"))[0].alias("ids")).toArrow().combine_chunks())
     block = pa.schema([("doc_id", pa.list_(pa.int64())), ("coded", pa.list_(pa.binary())), ("words", pa.list_(pa.string()))])
 
     def blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, split = hot.value.get, pretokens_of(pattern)
+        split = pretokens_of(pattern)
         for batch in found:
-            rare: dict[str, int] = {}
-
-            def coded(chunk: str, rare=rare) -> bytes:
-                return b"".join([known(w) or little([OPEN | rare.setdefault(w, len(rare))]) for w in split(chunk)])
-
-            # the words left open are numbered within the block, so what is known of chunks lasts as long
-            chunks = Chunks(coded)
-            texts = [b"".join([chunks[c] for c in spaced_chunks(text.decode("utf-8", "replace"))])
-                     for text in batch.column("text").to_pylist()]
+            texts = [marked(spaced_parts(t.decode("utf-8", "replace"))) for t in batch.column("text").to_pylist()]
+            chunks = {key: split(chunk_of(key)) for key in set().union(*texts)}
+            each = list(set().union(*chunks.values()))
+            codes, rare = known_codes(each, hot.value)
+            made = {key: b"".join([codes[w] for w in words]) for key, words in chunks.items()}
+            coded = [b"".join(map(made.__getitem__, keys)) for keys in texts]
             yield pa.RecordBatch.from_arrays([
                 pa.array([batch.column("doc_id").to_pylist()], block.field(0).type),
-                pa.array([texts], block.field(1).type), pa.array([list(rare)], block.field(2).type),
+                pa.array([coded], block.field(1).type), pa.array([rare], block.field(2).type),
             ], schema=block)
 
     pieces = spark.sparkContext.broadcast(pieces_by_id(ranks))

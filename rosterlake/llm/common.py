@@ -72,32 +72,38 @@ def plain_words(text: bytes) -> list[bytes]:
     return text.lower().translate(_JOINERS).split()
 
 
-#: A single space between two characters that are not white space; the word mark of sentence pieces counts as white space.
-_MIXED = re.compile(r" [\s▁]|[\s▁] ")
-_BETWEEN = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
+#: White space as tokenizers may see it, the word mark of sentence pieces included.
+WHITE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009" \
+        "\u200a\u2028\u2029\u202f\u205f\u3000\u2581"
+_BETWEEN = re.compile(f"(?<=[^{WHITE}]) (?=[^{WHITE}])")
 
 
-def spaced_chunks(text: str) -> list[str]:
-    """The text cut before every single space between two characters that are not white space.
+def spaced_parts(text: str) -> list[str]:
+    """The text cut at every single space between two characters that are not white space.
 
-    No pre-token of a byte-level or sentence-piece tokenizer reaches across such a cut, so the pieces of a
-    text are those of its chunks, one after another. Joined, the chunks are the text.
+    No pre-token of a byte-level or sentence-piece tokenizer reaches across such a place, though it may begin with the
+    space. So the pieces of a text are those of its first part, followed by those of each further part with a
+    space before it. Parts joined by spaces are the text; only the first one may begin with a space.
     """
-    parts = _BETWEEN.split(text) if _MIXED.search(text) else text.split(" ")
-    if len(parts) == 1:
-        return parts
-    if parts[0] == "" or parts[-1] == "":  # the text begins or ends with a lone space
-        return _edges(parts)
-    return [parts[0], *[" " + p for p in parts[1:]]]
-
-
-def _edges(parts: list[str]) -> list[str]:
-    rest = [" " + p for p in parts[1:]]
-    if parts[0]:
-        rest.insert(0, parts[0])
-    if len(rest) > 1 and rest[-1] == " ":
-        rest[-2:] = [rest[-2] + " "]
-    return rest
+    if any(c in text and (c + " " in text or " " + c in text) for c in WHITE):
+        return _BETWEEN.split(text)
+    parts = text.split(" ")
+    if len(parts) > 1:  # a lone space at an end of the text has a neighbour on one side only
+        if parts[-1] == "":
+            parts[-2:] = [parts[-2] + " "]
+        if len(parts) > 1 and parts[0] == "":
+            parts[:2] = [" " + parts[1]]
+    return parts
+
+
+def marked(parts: list[str]) -> list[str]:
+    """Parts as keys that tell a first part from the others: it gets a space, with which no other part begins."""
+    return [" " + parts[0], *parts[1:]]
+
+
+def chunk_of(key: str) -> str:
+    """The stretch of text that a marked part stands for."""
+    return key[1:] if key[:1] == " " else " " + key
 
 
 def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):

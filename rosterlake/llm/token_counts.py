@@ -10,8 +10,8 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import keyed, spaced_chunks
-from rosterlake.llm.vocabulary import first_as_rest, frequent, word_counts
+from rosterlake.llm.common import keyed, spaced_parts
+from rosterlake.llm.vocabulary import Lookup, frequent, word_counts
 from rosterlake.session import settle
 
 
@@ -46,29 +46,30 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = 4096, id_col: st
     check_model(model_file)
     spark = docs.sparkSession
 
+    # the model puts a word mark before any text, as the space before a part that is not the first one would
     @F.arrow_udf("int")
     def pieces_of(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = processor(model_file)
         for words in found:
-            ids = model.encode([w[1:] for w in words.to_pylist()], num_threads=1)
+            ids = model.encode(words.to_pylist(), num_threads=1)
             yield pa.array([len(x) for x in ids], pa.int32())
 
     counts = word_counts(docs, None, id_col, text_col)
     pieces = settle(counts.select("word", "n", pieces_of("word").alias("pieces")), "pieces")
-    hot = spark.sparkContext.broadcast({w: p for w, p in frequent(pieces).select("word", "pieces").collect()})
+    hot = spark.sparkContext.broadcast(Lookup(frequent(pieces).select("word", "pieces")))
     schema = "uid bigint, doc_id bigint, n_bytes bigint, base bigint, words array<string>, times array<int>"
     out = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("base", pa.int64()),
                      ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int32()))])
 
     def summed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot.value.get
+        known = hot.value.known.get
         for batch in found:
             texts = batch.column("text").to_pylist()
             base, words, times = [], [], []
             for text in texts:
                 total, rare, often = 0, [], []
                 if text:
-                    for word, n in Counter(first_as_rest(spaced_chunks(text.decode("utf-8", "replace")))).items():
+                    for word, n in Counter(spaced_parts(text.decode("utf-8", "replace"))).items():
                         p = known(word)
                         if p is None:
                             rare.append(word)

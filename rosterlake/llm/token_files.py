@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from rosterlake.llm.common import id_cuts, keyed, spaced_chunks
+from rosterlake.llm.common import chunk_of, id_cuts, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import HOT_BYTES
 
 #: Ids after which a frame is closed, and the level of compression.
@@ -235,16 +235,16 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text; texts that hold an added token's string go to the library whole."""
-        cut = [None if any(s in t for s in self.special) else spaced_chunks(t) for t in texts]
-        new = {c for chunks in cut if chunks for c in chunks if c not in self.known}
+        cut = [None if any(s in t for s in self.special) else marked(spaced_parts(t)) for t in texts]
+        new = set().union(*[chunks for chunks in cut if chunks])
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
-            new = {c for chunks in cut if chunks for c in chunks}
-        names = list(new)
-        made = dict(zip(names, self.direct(names), strict=True))
+        new = [c for c in new if c not in self.known]
+        names = new
+        made = dict(zip(names, self.direct([chunk_of(c) for c in names]), strict=True))
         known = self.known
         known.update(made)
-        out = [self.direct([t])[0] if chunks is None else b"".join([known[c] for c in chunks])
+        out = [self.direct([t])[0] if chunks is None else b"".join(map(known.__getitem__, chunks))
                for t, chunks in zip(texts, cut, strict=True)]
         for c in names:
             if len(c) > HOT_BYTES:

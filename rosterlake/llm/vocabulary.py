@@ -2,42 +2,40 @@
 
 from __future__ import annotations
 
+import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import keyed, spaced_chunks
+from rosterlake.llm.common import chunk_of, keyed, marked, spaced_parts
 
-#: Distinct words counted in a task before they go on to the shuffle, and chunks that a task remembers.
-TASK_WORDS, TASK_CHUNKS = 500_000, 300_000
+#: Distinct words counted in a task before they go on to the shuffle.
+TASK_WORDS = 500_000
 #: Bounds of the table of frequent words that tasks hold: entries, and UTF-8 bytes of one entry's word.
 HOT_WORDS, HOT_BYTES = 1_000_000, 64
 
 
-class Chunks(dict):
-    """What ``make`` gives for a chunk, remembered for a bounded number of chunks of bounded length."""
+class Lookup:
+    """A bounded table of words and values, sent to tasks in columns; a worker makes it a dictionary once."""
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make = make
+    def __init__(self, found: DataFrame):
+        self.table = found.toArrow().combine_chunks()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= TASK_CHUNKS:
-            self.clear()
-        made = self.make(chunk)
-        if len(chunk) <= HOT_BYTES:
-            self[chunk] = made
-        return made
+    @functools.cached_property
+    def known(self) -> dict:
+        words, values = self.table.columns
+        return dict(zip(words.to_pylist(), values.to_pylist(), strict=True))
 
 
 def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str]]] | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``word`` and ``n``: how often each word stands in all whole texts.
 
-    Words are the text's chunks (see ``spaced_chunks``), the first of them with a space before it as the
-    others have; or, with a ``splitter``, what the function it gives makes of each chunk. Tasks count before the
-    shuffle, so a word that fills the corpus is one row of each task. Null texts have no words.
+    Words are the text's parts (see ``spaced_parts``); or, with a ``splitter``, what the function it gives makes of each
+    part with the space before it. Tasks count before the shuffle, so a word that fills the corpus is one row of each
+    task. Null texts have no words.
     """
     texts = keyed(docs, id_col, text_col).select("text")
     out = pa.schema([("word", pa.string()), ("n", pa.int64())])
@@ -50,8 +48,8 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
             words = counts
             if split:
                 words = Counter()
-                for chunk, n in counts.items():
-                    for word in split(chunk):
+                for key, n in counts.items():
+                    for word in split(chunk_of(key)):
                         words[word] += n
             names, each = list(words), list(words.values())
             for i in range(0, len(names), 50_000):
@@ -63,8 +61,8 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
         for batch in found:
             for text in batch.column(0).to_pylist():
                 if text:
-                    chunks = spaced_chunks(text.decode("utf-8", "replace"))
-                    counts.update(chunks if split else first_as_rest(chunks))
+                    parts = spaced_parts(text.decode("utf-8", "replace"))
+                    counts.update(marked(parts) if split else parts)
             if len(counts) > TASK_WORDS:
                 yield from flushed()
         yield from flushed()
@@ -72,11 +70,6 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
     return texts.mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def first_as_rest(chunks: list[str]) -> list[str]:
-    """Give the first chunk the space that the others begin with, as a tokenizer with a dummy prefix does."""
-    return [" " + chunks[0], *chunks[1:]]
-
-
 def frequent(counts: DataFrame, at_most: int = HOT_WORDS) -> DataFrame:
     """Words of at most ``HOT_BYTES`` bytes seen so often that at most ``at_most`` words are.
 

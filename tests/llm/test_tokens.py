@@ -33,10 +33,10 @@ def small_tables(monkeypatch):
 
 @settings(max_examples=300, deadline=None)
 @cases(st.text(alphabet=" a\n\t▁é.'  x", max_size=14))
-def test_chunks_make_up_the_text(text):
-    chunks = common.spaced_chunks(text)
-    assert "".join(chunks) == text
-    assert all(c[0] == " " and c[1:2].strip() for c in chunks[1:])
+def test_parts_make_up_the_text(text):
+    parts = common.spaced_parts(text)
+    assert " ".join(parts) == text == "".join(map(common.chunk_of, common.marked(parts)))
+    assert all(a[-1] not in common.WHITE and b[0] not in common.WHITE for a, b in zip(parts, parts[1:], strict=False))
 
 
 @pytest.mark.parametrize("hot", [True, False])
