@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -23,6 +24,10 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings above; ``shared`` is the folder for intermediate tables."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # Python workers import this package, also when the driver runs in another folder
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [home, *filter(None, [os.environ.get("PYTHONPATH")])]
+    builder = builder.config("spark.executorEnv.PYTHONPATH", os.pathsep.join(paths))
     if master:
         builder = builder.master(master)
     if shared:
