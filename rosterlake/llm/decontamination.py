@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import bitmap, in_bitmap, keyed, plain_words, row_key
+from rosterlake.llm.common import bitmap, keyed, plain_words, row_key
 from rosterlake.session import settle
 
 WINDOW = 10
@@ -46,13 +46,13 @@ class Reach(dict):
     """For a word, the lengths (as bits) of windows that may hold it: a bounded memory before the filters."""
 
     def __init__(self, filters: dict[int, np.ndarray]):
-        self.filters = filters
+        self.filters = {length: whole.tobytes() for length, whole in filters.items()}
 
     def __missing__(self, word: bytes) -> int:
-        h = np.array([xxhash.xxh64_intdigest(word, 42)], np.uint64)
-        bits = 0
+        h, bits = xxhash.xxh64_intdigest(word, 42), 0
         for length, whole in self.filters.items():
-            if in_bitmap(whole, h)[0]:
+            slot = h & (len(whole) * 8 - 1)
+            if whole[slot >> 3] >> (slot & 7) & 1:
                 bits |= 1 << length
         if len(self) >= REMEMBERED:
             self.clear()
@@ -66,7 +66,7 @@ def places(words: list[bytes], reach: Reach, slop: int = 0) -> np.ndarray:
 
     With a slop, as many other words may stand inside a run.
     """
-    bits = np.array([reach[w] for w in words], np.uint32)
+    bits = np.fromiter(map(reach.__getitem__, words), np.uint32, len(words))
     fit = np.zeros(len(words), bool)
     for length in reach.filters:
         inside = np.flatnonzero(bits & np.uint32(1 << length))

@@ -24,7 +24,7 @@ class WordHashes(dict):
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """One row of two hashes per word."""
-        return np.frombuffer(b"".join([self[w] for w in words]), "<u8").reshape(-1, 2)
+        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u8").reshape(-1, 2)
 
 
 class Powers:
