@@ -302,6 +302,37 @@ def test_preferences_withdrawn_then_filled(spark, tmp_path):
     assert found == {(1, 4): ("last", "one"), (2, 6): (None, "two"), (1, 6): ("new", "two"), (3, 7): ("t", "two")}
 
 
+def test_deliveries_in_one_pass_equal_one_by_one(spark, tmp_path):
+    import random
+
+    rnd = random.Random(11)
+    bodies = []
+    for n in range(5):
+        body = [
+            preference(rnd.choice([1, 2, 3, 4, None]), day, rnd.choice(["a", "b", None]), rnd.choice(["2022-05-30 10:00:00"] * 4 + [None]))
+            for day in range(1, 8) for _ in range(3)
+        ]
+        bodies.append((f"31.2022-06-0{1 + n // 2 + n}.ops@mail.example.f{n}", body))
+    all_rows = [preferences.preference_rows(delivered(spark, name, body)) for name, body in bodies]
+    empty = preferences.split_template(all_rows[0]).rows.drop("row_no", "file").withColumn("preferred_date", F.lit(DAY)).limit(0)
+    before = preferences.apply_template(empty, preferences.split_template(all_rows[0]), DAY, "f0").select(empty.columns)
+    path, schema = f"{tmp_path}/p", before.schema
+    before.write.partitionBy("preferred_date").parquet(path)
+    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    one_by_one = spark.createDataFrame(table.collect(), schema)
+    for rows in all_rows[1:]:
+        first = rows.select("file_date", "filename").first()
+        state = preferences.apply_template(one_by_one, preferences.split_template(rows), *first).select(schema.names)
+        one_by_one = spark.createDataFrame(state.collect(), schema)
+    later = all_rows[1]
+    for rows in all_rows[2:]:
+        later = later.unionByName(rows)
+    preferences.store_deliveries(spark, path, schema, later)
+    after = spark.read.schema(schema).parquet(path).select(schema.names)
+    assert sorted(map(repr, after.collect())) == sorted(map(repr, one_by_one.collect()))
+    assert after.count() > 20
+
+
 def test_contract_slice(spark):
     base = {c: None for c in CONTRACT_COLUMNS}
     made = [
