@@ -132,12 +132,16 @@ def _field_columns(value: str) -> str:
 @query(
     "pivot_prices",
     with_fx(
-        f"SELECT tariff_id, {_field_columns('cost')}, {_field_columns('amount')} FROM fx_prices "
-        "WHERE (tariff_id + field_id) % 10 <> 0 GROUP BY tariff_id", "fx_prices",
+        f"SELECT tariff_id, {_field_columns('cost')}, {_field_columns('amount')} FROM fx_gaps "
+        "GROUP BY tariff_id", "fx_prices",
+        fx_gaps="""SELECT tariff_id, CASE WHEN (tariff_id + field_id) % 10 = 0 THEN 100 + field_id ELSE field_id END
+        AS field_id, cost, amount FROM fx_prices""",
     ),
 )
 def spread_prices(t: Tables) -> DataFrame:
-    listed = t.fx_prices(FIELDS).filter("(tariff_id + field_id) % 10 <> 0")
+    # a tenth of the prices is of other fields, which leaves gaps
+    moved = F.expr("CASE WHEN (tariff_id + field_id) % 10 = 0 THEN 100 + field_id ELSE field_id END")
+    listed = t.fx_prices(FIELDS).withColumn("field_id", moved)
     return pivot_fields(listed, ["tariff_id"], "field_id", FIELDS, ["cost", "amount"])
 
 
@@ -159,8 +163,8 @@ WEEK = tuple(f"2024-01-0{d}" for d in range(1, 8))
 
 
 def wide_hours(t: Tables) -> DataFrame:
-    """One row per user with a column of event counts per day of the first week."""
-    day = F.col("ts").cast("date")
+    """One row per user with a column of event counts per weekday, named by the days of one week."""
+    day = F.date_add(F.lit(WEEK[0]).cast("date"), F.weekday("ts"))
     counts = [F.count_if(day == F.lit(d).cast("date")).alias(d) for d in WEEK]
     return t.events.groupBy("user_id").agg(*counts)
 
@@ -169,7 +173,8 @@ _WEEK_SQL = (
     "SELECT u.user_id, CAST(d.day AS DATE) AS report_date, COUNT(e.event_id) AS worked_hours "
     "FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN (VALUES "
     + ", ".join(f"('{d}')" for d in WEEK)
-    + ") d(day) LEFT JOIN events e ON e.user_id = u.user_id AND CAST(e.ts AS DATE) = CAST(d.day AS DATE) GROUP BY 1, 2"
+    + ") d(day) LEFT JOIN events e ON e.user_id = u.user_id "
+    f"AND DATE '{WEEK[0]}' + CAST(isodow(e.ts) - 1 AS INT) = CAST(d.day AS DATE) GROUP BY 1, 2"
 )
 
 

@@ -71,11 +71,11 @@ def optional_dropped(t: Tables) -> DataFrame:
 
 @query(
     "provenance",
-    f"""SELECT doc_id, 20 AS project_id, 3 AS speciality_id, CAST(split_part(file, '.', 2) AS DATE) AS file_date,
-    'report.' || doc_id || '.xlsx' AS filename FROM ({LANDED_SQL}) WHERE doc_id % 50 <> 0""",
+    f"""SELECT doc_id, 20 AS project_id, 3 AS speciality_id, TRY_CAST(split_part(file, '.', 2) AS DATE) AS file_date,
+    CASE WHEN doc_id % 50 <> 0 THEN 'report.' || doc_id || '.xlsx' END AS filename FROM ({LANDED_SQL})""",
 )
 def stamped(t: Tables) -> DataFrame:
-    rows = landing_metadata(landed(t).filter("doc_id % 50 <> 0"), "file")
+    rows = landing_metadata(landed(t), "file")
     return with_constants(rows, {"project_id": 20, "speciality_id": 3}).select(
         "doc_id", "project_id", "speciality_id", "file_date", "filename"
     )

@@ -57,7 +57,8 @@ def stream_upserted(t: Tables) -> DataFrame:
 
 @query(
     "stream_workbooks",
-    "SELECT 'orders-' || o_orderkey // 250 || '.xlsx' AS file, o_orderkey AS k, o_orderstatus AS state FROM orders",
+    """SELECT 'orders-' || o_orderkey // 250 || '.xlsx' AS file, sheet, o_orderkey AS k,
+    CASE WHEN sheet = 0 THEN o_orderstatus END AS state FROM orders, (VALUES (0), (1)) v(sheet)""",
 )
 def streamed_books(t: Tables) -> DataFrame:
     root = run_folder(t.spark, "books")
@@ -66,5 +67,5 @@ def streamed_books(t: Tables) -> DataFrame:
     stream = landing_stream(t.spark, f"{root}/landing", schema=schema)
     chunks = decode_workbooks(stream)
     append_new(chunks, f"{root}/chunks", f"{root}/checkpoint")
-    rows = sheet_rows(t.spark.read.parquet(f"{root}/chunks").filter("sheet = 0"))
-    return rows.select("file", cell_at(0).cast("bigint").alias("k"), cell_at(1).alias("state"))
+    rows = sheet_rows(t.spark.read.parquet(f"{root}/chunks"))
+    return rows.select("file", "sheet", cell_at(0).cast("bigint").alias("k"), cell_at(1).alias("state"))

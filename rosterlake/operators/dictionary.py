@@ -52,9 +52,13 @@ def dict_grow(
 ) -> DataFrame:
     """The dimension with the report's new values appended under the next free ids.
 
-    It is written out: the ids are given once, and the facts are joined to a table of known size.
+    It is written out: the ids are given once, and the facts are joined to a table of known size. Without
+    new values the dimension itself is returned.
     """
-    numbered = dense_numbers(dict_diff(report, dim, keys), list(keys.values()), "_n")
+    fresh = settle(dict_diff(report, dim, keys), "fresh")
+    if fresh.isEmpty():
+        return dim
+    numbered = dense_numbers(fresh, list(keys.values()), "_n")
     top = dim.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).scalar()
     id_type = dim.schema[id_column].dataType
     added = numbered.select(
