@@ -126,13 +126,13 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
     """
     near = phrases.select("phrase", "terms").distinct()
     each = near.select("phrase", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term"))
-    weights = index.groupBy("term").agg(F.sum(F.size("positions")).alias("weight"))
+    weights = settle(index.groupBy("term").agg(F.sum(F.size("positions")).alias("weight")), "weights")
     # a phrase with a term that is nowhere has no match
     known = each.join(weights, "term")
     ranked = known.groupBy("phrase", "length").agg(
         F.sort_array(F.collect_list(F.struct("weight", "offset", "term"))).alias("order")).filter("size(order) = length")
     ranked = settle(ranked, "phrases")
-    # terms of the lists, told apart from offsets by a distance of at most the slop
+
     def listed(rank: int) -> DataFrame:
         return ranked.filter(F.size("order") > rank).select("phrase", F.col("order")[rank]["offset"].alias("offset"),
                                                             F.col("order")[rank]["term"].alias("term"))

@@ -106,7 +106,8 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
 
     each = texts.mapInArrow(candidates, "doc_id bigint, s1 bigint, start int, h1 bigint, h2 bigint")
     owners = each.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-    owners = owners.filter("owner < last").select("h1", "h2", "owner")
+    # written, so that the join below stands alone and Spark can split a window that fills a partition
+    owners = settle(owners.filter("owner < last").select("h1", "h2", "owner"), "owners")
     again = each.join(owners, ["h1", "h2"]).filter("owner < doc_id").select("doc_id", "s1", "start")
     starts = again.groupBy("doc_id", "s1").agg(F.collect_set("start").alias("starts"))
     heads = described_docs.groupBy("s1", "s2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
