@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import id_cuts, keyed
+from rosterlake.llm.common import id_tops, keyed
 
 #: Bytes of a chunk: least, normal, most. Before the normal length a cut needs HARD zero bits, after it EASY ones.
 LEAST, NORMAL, MOST = 8, 24, 96
@@ -115,10 +115,9 @@ def with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     ids = docs.select(F.col(id_col).cast("bigint").alias("doc_id"))
-    # range i holds ids up to tops[i] and above tops[i + 1]; the last one has the null ids too
-    most, rows = ids.agg(F.max("doc_id"), F.count("*")).first()
-    tops = sorted({most, *id_cuts(ids, parts)}, reverse=True) if most is not None else []
-    n, low = max(len(tops), 1), np.array(tops[::-1], np.int64)
+    # a range holds the ids up to one of the tops and above the next smaller one; the last range has the null ids too
+    low = np.array(id_tops(ids, parts), np.int64)
+    n, tops = max(len(low), 1), set(low.tolist())
 
     @F.arrow_udf("array<struct<part:int,next:boolean>>")
     def places(found: Iterator[pa.Array]) -> Iterator[pa.Array]:

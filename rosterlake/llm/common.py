@@ -132,15 +132,20 @@ def in_bitmap(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (whole[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def id_cuts(docs: DataFrame, parts: int) -> list[int]:
-    """At most ``parts - 1`` ids of the table that cut its ids into ranges of about equal size."""
-    if parts < 2:
-        return []
-    found = docs.filter("doc_id IS NOT NULL").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.1 / parts)
-    return sorted({int(x) for x in found})
-
-
-def spread(docs: DataFrame, text_bytes: int = 32 << 20, text_col: str = "text") -> int:
-    """A number of partitions with about ``text_bytes`` bytes of text each."""
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(1, -(-total // text_bytes))
+def id_tops(ids: DataFrame, parts: int) -> list[int]:
+    """The greatest ids of at most ``parts`` ranges that cut the column ``doc_id`` into about equal shares, ascending.
+
+    Ranges come from approximate quantiles, which are of doubles; their greatest ids are ids of the table, also where
+    neighbouring ids are the same double. Null ids are in no range.
+    """
+    known = ids.filter("doc_id IS NOT NULL")
+    shares = [i / parts for i in range(1, parts)]
+    cuts = np.unique(known.approxQuantile("doc_id", shares, 0.1 / parts) if shares else []).astype(np.float64)
+
+    @F.arrow_udf("int")
+    def place(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for each in found:
+            yield pa.array(np.searchsorted(cuts, each.to_numpy(zero_copy_only=False).astype(np.float64), "left"), pa.int32())
+
+    tops = known.groupBy(place("doc_id").alias("p")).agg(F.max("doc_id").alias("top"))
+    return sorted(r["top"] for r in tops.collect())

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from rosterlake.llm.common import chunk_of, id_cuts, keyed, marked, spaced_parts
+from rosterlake.llm.common import chunk_of, id_tops, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import HOT_BYTES
 
 #: Ids after which a frame is closed, and the level of compression.
@@ -270,7 +270,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    cuts = np.array(id_cuts(docs.select(F.col(id_col).cast("bigint").alias("doc_id")), parts), np.int64)
+    cuts = np.array(id_tops(docs.select(F.col(id_col).cast("bigint").alias("doc_id")), parts)[:-1], np.int64)
     wide = encoder(tokenizer_file).tokenizer.get_vocab_size() > 1 << 16
     kind = "<u4" if wide else "<u2"
     schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary())])

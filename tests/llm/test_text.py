@@ -93,6 +93,18 @@ def test_edits_and_likeness(given, odd, odd_rows, none, by_row):
     assert chunking.with_edits(none).count() == 0
 
 
+def test_ids_beyond_doubles(spark):
+    """Neighbouring ids that are one double still each get their successor."""
+    rows = [(2**60 + i, f"text number {i} " * 20) for i in range(300)]
+    frame = spark.createDataFrame(rows, COLUMNS).repartition(7)
+    found = {r["doc_id"]: r["edited_sha256"] for r in chunking.with_edits(frame).collect()}
+    wanted = {}
+    for n, (i, t) in enumerate(rows):
+        after = rows[n - 1][1]
+        wanted[i] = hashlib.sha256((t[:len(t) - len(t) // 2] + after[:len(t) // 2]).encode()).hexdigest()
+    assert found == wanted
+
+
 def test_rows_without_any_id(spark, by_row):
     rows = [(None, "first"), (None, "second one"), (None, None)]
     assert chunking.with_edits(spark.createDataFrame(rows, COLUMNS)).count() == 3
