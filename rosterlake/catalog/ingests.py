@@ -530,34 +530,58 @@ def preference_ingest(t: Tables) -> DataFrame:
 # Shift outputs -------------------------------------------------------------------------------
 
 
+# column: expression over orders in Spark and in DuckDB
+_OUTPUT = {
+    "city": "CASE WHEN o_orderkey % 8 <> 0 THEN o_orderpriority END", "delivery_provider": "concat('P', o_custkey % 9)",
+    "delivery_service": "o_orderstatus", "starting_point_id": "o_custkey % 40",
+    "starting_point_name": "concat('Point ', o_custkey % 40)", "delivery_zone_id": "o_custkey % 25",
+    "delivery_zone_name": "concat('Zone ', o_custkey % 25)",
+    "courier_un_id": "CASE WHEN o_orderkey % 9 <> 0 THEN o_custkey END", "rider_name": "concat('Rider ', o_custkey)",
+    "start_time": "'09:00'", "end_time": "CASE WHEN o_orderkey % 4 <> 0 THEN '18:00' END", "free_float": "o_orderkey % 2",
+}
+_OUTPUT_COLUMNS = (*_OUTPUT, "schedule_date", "filename", "fix_date")
+
+
+def output_load(t: Tables):
+    values = {**_OUTPUT, "schedule_date": "date_format(o_orderdate, 'yyyy-MM-dd')", "horario_reparto_id": "o_orderkey"}
+    rows = t.orders.withColumn("book", F.expr("o_orderkey div 300"))
+    return load_outputs(chunks(
+        rows, "o_orderkey", landing_name(F.concat(F.lit("out-"), "book"), file_day("book"), F.lit(SENDER)),
+        F.lit(0), texts(R.OUTPUT_HEADER), cells_of(R.OUTPUT_HEADER, values),
+    ))
+
+
 @query(
     "ingest_outputs",
-    """SELECT horario_reparto_id, COALESCE(n.city, CASE WHEN n.k IS NULL THEN b.city END) AS city,
-    COALESCE(n.schedule_date, b.schedule_date) AS schedule_date, COALESCE(n.filename, b.filename) AS filename,
-    CASE WHEN b.city IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'kept' ELSE 'updated' END AS action
-    FROM (SELECT CAST(o_orderkey * 2 AS VARCHAR) AS horario_reparto_id, 'old city' AS city,
-    DATE '2022-01-01' AS schedule_date, 'old.xlsx' AS filename FROM orders) b
-    FULL JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS horario_reparto_id, o_orderkey AS k,
-    CASE WHEN o_orderkey % 8 <> 0 THEN o_orderpriority END AS city, CAST(o_orderdate AS DATE) AS schedule_date,
-    'out-' || o_orderkey // 300 AS filename FROM orders) n USING (horario_reparto_id)""",
+    "SELECT horario_reparto_id, " + ", ".join(f"CASE WHEN n.k IS NULL THEN b.{c} ELSE n.{c} END AS {c}" for c in _OUTPUT_COLUMNS)
+    + """, CASE WHEN b.city IS NULL THEN 'inserted' WHEN n.k IS NULL THEN 'kept' ELSE 'updated' END AS action
+    FROM (SELECT CAST(o_orderkey * 2 AS VARCHAR) AS horario_reparto_id, 'old city' AS city, """
+    + ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in _OUTPUT if c != "city")
+    + """, DATE '2022-01-01' AS schedule_date, 'old.xlsx' AS filename, DATE '2022-01-02' AS fix_date FROM orders) b
+    FULL JOIN (SELECT CAST(o_orderkey AS VARCHAR) AS horario_reparto_id, o_orderkey AS k, """
+    + ", ".join(f"CAST({e} AS VARCHAR) AS {c}" for c, e in _OUTPUT.items())
+    + """, CAST(o_orderdate AS DATE) AS schedule_date, 'out-' || o_orderkey // 300 AS filename,
+    DATE '2022-06-01' + CAST(o_orderkey // 300 % 20 AS INT) AS fix_date FROM orders) n USING (horario_reparto_id)""",
 )
 def output_ingest(t: Tables) -> DataFrame:
-    values = {
-        "city": "CASE WHEN o_orderkey % 8 <> 0 THEN o_orderpriority END", "horario_reparto_id": "o_orderkey",
-        "schedule_date": "date_format(o_orderdate, 'yyyy-MM-dd')", "courier_un_id": "o_custkey",
-    }
-    rows = t.orders.withColumn("book", F.expr("o_orderkey div 300"))
-    delivered = chunks(
-        rows, "o_orderkey", landing_name(F.concat(F.lit("out-"), "book"), file_day("book"), F.lit(SENDER)),
-        F.lit(0), texts(R.OUTPUT_HEADER), cells_of(R.OUTPUT_HEADER, values),
-    )
-    load = load_outputs(delivered)
-    table = t.orders.selectExpr(
-        "CAST(o_orderkey * 2 AS STRING) AS horario_reparto_id", "'old city' AS city",
-        "DATE '2022-01-01' AS schedule_date", "'old.xlsx' AS filename",
+    table = t.orders.select(
+        F.expr("CAST(o_orderkey * 2 AS STRING) AS horario_reparto_id"), F.lit("old city").alias("city"),
+        *[F.lit(None).cast("string").alias(c) for c in _OUTPUT if c != "city"],
+        F.lit(date(2022, 1, 1)).alias("schedule_date"), F.lit("old.xlsx").alias("filename"),
+        F.lit(date(2022, 1, 2)).alias("fix_date"),
     )
-    kept = load._replace(rows=load.rows.select(*table.columns, "row_no", "fix_date"))
-    return apply_outputs(table, kept, ["horario_reparto_id"], action="action")
+    return apply_outputs(table, output_load(t), ["horario_reparto_id"], action="action")
+
+
+@query(
+    "ingest_output_warnings",
+    """SELECT 'warning' AS event_type, 'outputs' AS event_source, 'out-' || b || ': ' || c || ' is empty in ' || n || ' rows' AS description
+    FROM (SELECT o_orderkey // 300 AS b, 'city' AS c, COUNT(*) FILTER (o_orderkey % 8 = 0) AS n FROM orders GROUP BY ALL
+    UNION ALL SELECT o_orderkey // 300, 'courier_un_id', COUNT(*) FILTER (o_orderkey % 9 = 0) FROM orders GROUP BY ALL) WHERE n > 0""",
+)
+def output_warnings(t: Tables) -> DataFrame:
+    """Empty cells, counted for each delivered file."""
+    return output_load(t).warnings
 
 
 # Vacancies -----------------------------------------------------------------------------------

@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 AUDIT_COLUMNS = ("event_type", "event_source", "description")
 
 
-def quality_counts(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
-    """Rows failing each check, as ``(check_name, bad_rows)``, in one pass over the data."""
+def quality_counts(df: DataFrame, checks: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
+    """Rows failing each check, as ``(<by…>, check_name, bad_rows)``, in one pass over the data.
+
+    With ``by`` columns, such as the file name, they are counted for each of their values.
+    """
     names = list(checks)
-    counted = df.agg(*[F.count_if(checks[n]).alias(n) for n in names])
-    return counted.unpivot([], names, "check_name", "bad_rows")
+    counted = df.groupBy(*by).agg(*[F.count_if(checks[n]).alias(n) for n in names])
+    return counted.unpivot(list(by), names, "check_name", "bad_rows")
 
 
 def null_columns(df: DataFrame, allowed: Sequence[str] = ()) -> DataFrame:

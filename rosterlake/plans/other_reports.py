@@ -261,9 +261,9 @@ def load_outputs(chunks: DataFrame) -> OutputLoad:
     rows = rows.withColumn("schedule_date", parse_date(F.col("schedule_date"), R.DATES))
     rows = settle(rows.select("row_no", *R.OUTPUT_HEADER, "filename", "fix_date"), "outputs")
     counts = quality_counts(
-        rows, {"city": F.col("city").isNull(), "courier_un_id": F.col("courier_un_id").isNull()}
+        rows, {"city": F.col("city").isNull(), "courier_un_id": F.col("courier_un_id").isNull()}, ["filename"]
     )
-    text = F.format_string("%d row(s) without %s", F.col("bad_rows"), F.col("check_name"))
+    text = F.format_string("%s: %s is empty in %d rows", F.col("filename"), F.col("check_name"), F.col("bad_rows"))
     found = warnings(counts, "outputs", text).unionByName(
         empty_load_warning(rows, "outputs", "inserted 0 records")
     )
