@@ -12,7 +12,7 @@ from rosterlake.operators.writes import (
     blank_withdrawn, insert_if_absent, keyed_update, merge_into, overwrite_partitions, replace_dates, replace_stored,
     upsert,
 )
-from rosterlake.plans.slices import contract_slice, courier_slice, store_slice
+from rosterlake.plans.slices import CONTRACT_COLUMNS, COURIER_COLUMNS, contract_slice, courier_slice, store_slice
 from rosterlake.session import run_folder
 
 _BASE = "SELECT o_orderkey AS k, o_orderstatus AS status, CAST(FLOOR(o_totalprice) AS BIGINT) AS price, " \
@@ -222,28 +222,44 @@ def blanked(t: Tables) -> DataFrame:
     )
 
 
+# column: expression over orders and customers, the same in Spark and in DuckDB
+_CONTRACT = {
+    "id": "o_orderkey", "type": "o_custkey % 3", "courier_id": "o_custkey", "entity_id": "o_orderkey % 7", "project_id": "20",
+    "region_id": "o_custkey % 5", "speciality_id": "o_orderkey % 4", "start": "CAST(o_orderdate AS DATE)",
+    "stop": "CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderdate AS DATE) END",
+    "termin_date": "CASE WHEN o_orderkey % 9 = 0 THEN CAST(o_orderdate AS DATE) END", "is_active": "o_orderstatus = 'O'",
+    "is_handed_out": "o_orderkey % 2 = 0", "created": "o_orderdate", "created_by": "o_custkey % 11", "changed": "o_orderdate",
+    "changed_by": "o_custkey % 13", "client_doer_id": "concat('D', o_custkey)",
+}
+_COURIER = {
+    **{c: f"concat('{c} ', c_custkey)" for c in COURIER_COLUMNS}, "id": "c_custkey", "state": "c_nationkey",
+    "bank_name": "c_name", "med_book_checked": "c_custkey % 2 = 0", "salary_blocked": "c_custkey % 3 = 0",
+}
+
+
+def _columns(values: dict[str, str], names: tuple[str, ...]) -> str:
+    return ", ".join(f'{values[c]} AS "{c}"' for c in names)
+
+
 @query(
     "slice_contracts",
-    """SELECT o_orderkey AS id, o_custkey AS courier_id, o_orderstatus = 'O' AS is_active, o_orderdate AS changed,
-    DATE '1997-03-09' AS fix_date FROM orders
+    f"""SELECT {_columns(_CONTRACT, CONTRACT_COLUMNS)}, DATE '1997-03-09' AS fix_date FROM orders
     WHERE o_orderstatus = 'O' OR (o_orderstatus <> 'O' AND CAST(o_orderdate AS DATE) = DATE '1997-03-09')""",
 )
 def contracts(t: Tables) -> DataFrame:
-    rows = t.orders.selectExpr(
-        "o_orderkey AS id", "o_custkey AS courier_id", "o_orderstatus = 'O' AS is_active", "o_orderdate AS changed"
-    )
-    return contract_slice(rows, date(1997, 3, 10), rows.columns)
+    rows = t.orders.select(*[F.expr(_CONTRACT[c]).alias(c) for c in CONTRACT_COLUMNS])
+    return contract_slice(rows, date(1997, 3, 10))
 
 
 @query(
     "slice_couriers",
-    """SELECT c_custkey AS id, c_nationkey AS state, c_name AS bank_name, DATE '1997-03-09' AS fix_date
+    f"""SELECT {_columns(_COURIER, COURIER_COLUMNS)}, DATE '1997-03-09' AS fix_date
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 1""",
 )
 def couriers(t: Tables) -> DataFrame:
-    rows = t.customer.selectExpr("c_custkey AS id", "c_nationkey AS state", "c_name AS bank_name")
+    rows = t.customer.select(*[F.expr(_COURIER[c]).alias(c) for c in COURIER_COLUMNS])
     states = t.nation.selectExpr("n_nationkey AS id", "n_regionkey AS global_id")
-    return courier_slice(rows, states, date(1997, 3, 10), rows.columns)
+    return courier_slice(rows, states, date(1997, 3, 10))
 
 
 _DAY_SQL = """SELECT o_orderkey AS id, o_orderstatus = 'O' AS is_active, o_orderdate AS changed, DATE '{0}' AS fix_date
