@@ -106,16 +106,20 @@ def chunk_of(key: str) -> str:
     return key[1:] if key[:1] == " " else " " + key
 
 
+#: Places of a hash at which the three bits of a filter are read from it.
+SHIFTS = (0, 19, 37)
+
+
 def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
-    """A broadcast bitmap of ``bits`` bits (a power of two) with one set for each 64-bit hash in ``column``.
+    """A broadcast Bloom filter of ``bits`` bits (a power of two, 2^27 at most) of the 64-bit hashes in ``column``.
 
-    Its size is ``bits / 8`` bytes whatever the number of hashes: blocks of 32,768 bits are built by Spark's
-    bitmap aggregate, and the driver puts at most ``bits / 32768`` of them side by side. More hashes only
-    make more bits set, so that a filter lets more rows through; it never loses one.
+    Each hash sets three bits. The filter's size is ``bits / 8`` bytes whatever the number of hashes: blocks of 32,768
+    bits are built by Spark's bitmap aggregate, and the driver puts at most ``bits / 32768`` of them side by side. More
+    hashes only make more bits set, so that it lets more rows through; it never loses one.
     """
-    slot = F.expr(f"`{column}` & {bits - 1}L")
+    slots = F.array(*[F.shiftrightunsigned(F.col(column), n).bitwiseAND(F.lit(bits - 1)) for n in SHIFTS])
     blocks = (
-        hashes.select(slot.alias("s"))
+        hashes.select(F.explode(slots).alias("s"))
         .groupBy((F.shiftright("s", 15)).alias("b"))
         .agg(F.expr("bitmap_construct_agg(s & 32767)").alias("m"))
         .collect()
@@ -127,9 +131,18 @@ def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
 
 
 def in_bitmap(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which of the unsigned 64-bit hashes have their bit set."""
-    s = hashes & np.uint64(len(whole) * 8 - 1)
-    return (whole[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    """Which of the unsigned 64-bit hashes have all their bits set."""
+    mask, hit = np.uint64(len(whole) * 8 - 1), np.ones(len(hashes), bool)
+    for n in SHIFTS:
+        s = (hashes >> np.uint64(n)) & mask
+        hit &= (whole[(s >> np.uint64(3)).astype(np.int64)] >> (s & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return hit
+
+
+def one_in_bitmap(whole: bytes, h: int) -> bool:
+    """The same for one hash, and the filter as bytes."""
+    mask = len(whole) * 8 - 1
+    return all(whole[(h >> n & mask) >> 3] >> (h >> n & 7) & 1 for n in SHIFTS)
 
 
 def id_tops(ids: DataFrame, parts: int) -> list[int]:

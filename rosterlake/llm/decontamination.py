@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import bitmap, keyed, plain_words, row_key
+from rosterlake.llm.common import bitmap, keyed, one_in_bitmap, plain_words, row_key
 from rosterlake.session import settle
 
 WINDOW = 10
@@ -51,8 +51,7 @@ class Reach(dict):
     def __missing__(self, word: bytes) -> int:
         h, bits = xxhash.xxh64_intdigest(word, 42), 0
         for length, whole in self.filters.items():
-            slot = h & (len(whole) * 8 - 1)
-            if whole[slot >> 3] >> (slot & 7) & 1:
+            if one_in_bitmap(whole, h):
                 bits |= 1 << length
         if len(self) >= REMEMBERED:
             self.clear()
