@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import functools
+import gc
 import hashlib
 import json
 from collections.abc import Callable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -17,13 +19,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rosterlake.llm.common import chunk_of, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import frequent, word_counts
-from rosterlake.session import settle
+from rosterlake.session import run_folder, settle
 
 #: Fields of a packed piece: rank of the pair it starts (or NO_PAIR), place of its first byte, its own id.
 PAIR_BITS, PLACE_BITS, ID_BITS = 19, 24, 20
 NO_PAIR = (1 << PAIR_BITS) - 1
-#: Shards of the literal map of whole pieces; Spark looks the keys of a map up one after another.
-SHARDS = 1 << 16
+#: Parts of texts whose ids a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 200_000, 64
+#: Words whose ids all tasks get; see ``frequent``.
+HOT_WORDS = 1_500_000
+#: Bytes of text whose words are put together at once.
+BLOCK_BYTES = 2 << 20
 #: Marks the number of a word that is still to be encoded among packed ids.
 OPEN = 1 << 31
 
@@ -67,8 +73,8 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[list[int], tuple[int, int, int,
 class ByteBpe:
     """Spark expressions that encode words by a rank table and decode ids.
 
-    The rank map is a literal: a table of pairs of piece ids, and maps of whole pieces in shards. A word's
-    state is one array with a number per piece, which holds the rank of the pair the piece starts, its place and
+    The rank map is a literal: a table of pairs of piece ids, and a map of the words that are a piece but do not
+    merge to it. A word's state is one array with a number per piece, which holds the rank of the pair the piece starts, its place and
     its id, so that the array's minimum is the leftmost pair of the lowest rank. As the id of a piece is its
     rank, that rank is also the merged piece's id.
     """
@@ -82,14 +88,8 @@ class ByteBpe:
         self._mask = len(table) - 1
         self._table = F.from_json(F.lit(json.dumps(table)), "array<bigint>")
         self._bytes = F.from_json(F.lit(json.dumps([ranks[bytes([b])] for b in range(256)])), "array<bigint>")
-        whole: list[dict[str, int]] = [{} for _ in range(SHARDS)]
-        for piece, rank in ranks.items():
-            try:
-                text = piece.decode()
-            except UnicodeDecodeError:
-                continue  # no word is this piece alone
-            whole[xxhash.xxh64_intdigest(text.encode(), 42) % SHARDS][text] = rank
-        self._whole = F.from_json(F.lit(json.dumps(whole)), "array<map<string,int>>")
+        # words that are a piece but do not merge to it: few, or none
+        self._whole = {p.decode("latin-1"): r for p, r in ranks.items() if len(p) > 1 and merged_ids(p, ranks) != [r]}
 
     def _pair(self, table: Column, a: Column, b: Column) -> Column:
         """Rank of the piece that two pieces make, or ``NO_PAIR``."""
@@ -141,14 +141,29 @@ class ByteBpe:
     def encode(self, words: Column) -> Column:
         """Ids of each word (match of the pre-token pattern) of an array of words that are not empty."""
 
-        def coded(table: Column, whole: Column, word: Column) -> Column:
-            shard = F.get(whole, F.xxhash64(word).bitwiseAND(F.lit(SHARDS - 1)).cast("int"))
-            return let(F.try_element_at(shard, word), lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(
-                F.when(F.octet_length(word) < 2, let(self._bytes, lambda k: F.array(F.get(k, F.ascii(word)).cast("int"))))
-                .otherwise(self._folded(table, word))))
+        def coded(table: Column, word: Column) -> Column:
+            one = let(self._bytes, lambda k: F.array(F.get(k, F.ascii(word)).cast("int")))
+            ids = F.when(F.octet_length(word) < 2, one).otherwise(self._folded(table, word))
+            if not self._whole:
+                return ids
+            known = F.create_map(*[F.lit(x) for pair in self._whole.items() for x in pair])
+            whole = F.try_element_at(known, F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"))
+            return let(whole, lambda w: F.when(w.isNotNull(), F.array(w)).otherwise(ids))
 
-        return let(self._table, lambda table: let(self._whole, lambda whole: F.transform(
-            words, lambda word: coded(table, whole, word))))
+        return let(self._table, lambda table: F.transform(words, lambda word: coded(table, word)))
+
+
+def merged_ids(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of one word by plain merging; used on the pieces themselves, when the rank map is made."""
+    parts = [word[i:i + 1] for i in range(len(word))]
+    while len(parts) > 1:
+        pairs = [ranks.get(a + b, NO_PAIR) for a, b in zip(parts, parts[1:], strict=False)]
+        least = min(pairs)
+        if least == NO_PAIR:
+            break
+        at = pairs.index(least)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[p] for p in parts]
 
 
 def pieces_by_id(ranks: dict[bytes, int]) -> list[bytes]:
@@ -164,30 +179,83 @@ def little(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes()
 
 
-def known_codes(words: list[str], hot: pa.Table) -> tuple[dict[str, bytes], list[str]]:
-    """Packed ids of the words that the table holds, and numbers, marked open, of those it lacks, which are listed."""
-    known, lists = hot.columns if hot.num_rows else ([], [])
-    at = pc.index_in(pa.array(words, pa.string()), value_set=known) if hot.num_rows else pa.nulls(len(words), pa.int32())
-    codes, rare = {}, []
-    if hot.num_rows and len(words):
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        found = lists.take(at.drop_null())
-        flat = found.flatten().to_numpy().astype("<u4").tobytes()
-        ends = ((found.offsets.to_numpy() - found.offsets[0].as_py()) * 4).tolist() if len(found) else [0]
-        packed = iter([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])
-    for word, place in zip(words, at.to_pylist(), strict=True):
-        if place is None:
-            codes[word] = little([OPEN | len(rare)])
-            rare.append(word)
-        else:
-            codes[word] = next(packed)
-    return codes, rare
+def whole(column: pa.ChunkedArray) -> pa.Array:
+    """A column as one array."""
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+class HotWords:
+    """The frequent words and their ids, found by hash: columns sorted by hash, so that a worker holds no dictionary."""
+
+    def __init__(self, found: DataFrame):
+        table = found.select(F.xxhash64("word").alias("h"), "word", "ids").toArrow().combine_chunks()
+        hashes = table.column("h").to_numpy()
+        self.order = np.argsort(hashes, kind="stable").astype(np.int32)
+        self.hashes = hashes[self.order]
+        self.words, self.ids = (whole(table.column(c)) for c in ("word", "ids"))
+        #: Ids of parts of texts that a worker has met and that hold only words of the table.
+        self.parts: dict[str, bytes] = {}
+        self.last: set[str] = set()
+
+    def codes(self, words: list[str]) -> tuple[dict[str, bytes], list[str]]:
+        """Packed ids of words that are here, and numbers, marked open, of the others, which are listed."""
+        hit, at = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        if len(self.hashes) and words:
+            asked = np.array([xxhash.xxh64_intdigest(w.encode(), 42) for w in words], np.uint64).view(np.int64)
+            found = np.minimum(np.searchsorted(self.hashes, asked), len(self.hashes) - 1)
+            at = self.order[found]
+            same = pc.equal(self.words.take(pa.array(at)), pa.array(words, pa.string())).to_numpy(zero_copy_only=False)
+            hit = (self.hashes[found] == asked) & same.astype(bool)
+        codes = dict(zip(compress(words, hit), all_little(self.ids.take(pa.array(at[hit]))), strict=True)) if hit.any() else {}
+        rare = list(compress(words, ~hit))
+        numbers = (np.arange(len(rare), dtype="<u4") | np.uint32(OPEN)).tobytes()
+        codes.update((w, numbers[4 * i:4 * i + 4]) for i, w in enumerate(rare))
+        return codes, rare
+
+    def parts_of(self, keys: set[str], split: Callable[[str], list[str]]) -> tuple[dict[str, bytes], list[str]]:
+        """Packed ids of parts of texts, with open numbers for the words that are listed."""
+        known = self.parts
+        met = keys & known.keys()
+        made = dict(zip(met, map(known.__getitem__, met), strict=True))
+        words = {key: split(key) for key in keys - met}
+        codes, rare = self.codes(list(set().union(*words.values())))
+        for key, parts in words.items():
+            made[key] = codes[parts[0]] if len(parts) == 1 else b"".join([codes[w] for w in parts])
+        if len(known) < REMEMBERED:  # what two blocks in a row hold is worth remembering
+            for key in words.keys() & self.last:
+                if len(key) <= LONGEST and not any(codes[w][3] & 128 for w in words[key]):
+                    known[key] = made[key]
+        self.last = set(words)
+        return made, rare
+
+
+def all_little(lists: pa.ListArray) -> list[bytes]:
+    """Each list of ids as little-endian unsigned 32-bit integers."""
+    flat = lists.flatten().to_numpy().astype("<u4").tobytes()
+    ends = ((lists.offsets.to_numpy() - lists.offsets[0].as_py()) * 4).tolist()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+# Fixed value: the pre-token pattern of public byte-level tokenizers.
+COMMON_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 @functools.cache
 def pretokens_of(pattern: str) -> Callable[[str], list[str]]:
-    """All matches of a pre-token pattern in a text; compiled once in each worker."""
-    return regex.compile(pattern).findall
+    """All matches of a pre-token pattern in the stretch of a marked part; compiled once in each worker."""
+    matches = regex.compile(pattern).findall
+    if pattern != COMMON_PATTERN:
+        return lambda key: matches(chunk_of(key))
+
+    def split(key: str) -> list[str]:
+        # most parts are letters, with one mark of punctuation or none: two alternatives of the pattern
+        if key.isalpha():
+            return [" " + key]
+        if key[-1] in ".,;:!?" and key[:-1].isalpha():
+            return [" " + key[:-1], key[-1]]
+        return matches(chunk_of(key))
+
+    return split
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
@@ -195,32 +263,38 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     """``doc_id``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of every document.
 
     The distinct words (matches of the pattern) of the corpus are counted. Spark expressions encode the
-    frequent ones, a table of bounded size that all tasks get, and then, block by block (one Arrow batch of documents),
-    the distinct words that a block has besides. So texts are never shuffled, no word is a hot key, and a block
-    needs no more than its own words. Ids are put together per document and decoded by joining their binary
+    frequent ones, a table of bounded size that all tasks get, and then, for each block of documents, the distinct
+    words that it has besides. So texts are never shuffled, no word is a hot key, and a block
+    needs no more than its own words. Coded blocks are written to the shared folder before ids are put together. Ids are put together per document and decoded by joining their binary
     pieces. One word takes time in proportion to the square of its length. Null texts count as empty (no tokens, digests
     of no bytes); repeated rows repeat; an empty table gives an empty result; other columns are left behind.
     """
     spark = docs.sparkSession
     bpe = ByteBpe(ranks)
     counts = settle(word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col), "words")
-    words = frequent(counts).select("word").repartition(busy_partitions(spark))
-    hot = spark.sparkContext.broadcast(words.select("word", bpe.encode(F.array("word"))[0].alias("ids")).toArrow().combine_chunks())
+    texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    # tasks hold the table of words too, and so get smaller batches
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
+    words = frequent(counts, HOT_WORDS).select("word").repartition(busy_partitions(spark))
+    hot = spark.sparkContext.broadcast(HotWords(words.select("word", bpe.encode(F.array("word"))[0].alias("ids"))))
     block = pa.schema([("doc_id", pa.list_(pa.int64())), ("coded", pa.list_(pa.binary())), ("words", pa.list_(pa.string()))])
 
     def blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = pretokens_of(pattern)
-        for batch in found:
-            texts = [marked(spaced_parts(t.decode("utf-8", "replace"))) for t in batch.column("text").to_pylist()]
-            chunks = {key: split(chunk_of(key)) for key in set().union(*texts)}
-            each = list(set().union(*chunks.values()))
-            codes, rare = known_codes(each, hot.value)
-            made = {key: b"".join([codes[w] for w in words]) for key, words in chunks.items()}
-            coded = [b"".join(map(made.__getitem__, keys)) for keys in texts]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([batch.column("doc_id").to_pylist()], block.field(0).type),
-                pa.array([coded], block.field(1).type), pa.array([rare], block.field(2).type),
-            ], schema=block)
+        gc.disable()  # a block's many short lists hold no cycles
+        try:
+            for batch in found:
+                for docs, all_texts in few(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                    texts = [marked(spaced_parts(t.decode("utf-8", "replace"))) for t in all_texts]
+                    made, rare = hot.value.parts_of(set().union(*texts), split)
+                    coded = [b"".join(map(made.__getitem__, keys)) for keys in texts]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([docs], block.field(0).type), pa.array([coded], block.field(1).type),
+                        pa.array([rare], block.field(2).type),
+                    ], schema=block)
+        finally:
+            gc.enable()
 
     pieces = spark.sparkContext.broadcast(pieces_by_id(ranks))
     final = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
@@ -242,10 +316,12 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                     pa.array(ids, pa.string()), pa.array(decoded, pa.string()),
                 ], schema=final)
 
-    texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     cut = texts.mapInArrow(blocks, "doc_id array<bigint>, coded array<binary>, words array<string>")
     each = cut.select("doc_id", "coded", bpe.encode(F.col("words")).alias("codes"))
-    return each.mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    # written, so that the tasks that cut texts and those that put ids together do not hold their workers at once
+    path = run_folder(spark, "coded")
+    each.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(each.schema).parquet(path).mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
 
 
 def filled(coded: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
@@ -260,6 +336,18 @@ def filled(coded: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([*parts, coded[done:]])
 
 
+def few(docs: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+    """Documents in blocks of about ``BLOCK_BYTES`` of text; a longer text is a block of its own."""
+    begin = 0
+    while begin < len(docs):
+        end, size = begin, 0
+        while end < len(docs) and (end == begin or size + len(texts[end]) <= BLOCK_BYTES):
+            size += len(texts[end])
+            end += 1
+        yield docs[begin:end], texts[begin:end]
+        begin = end
+
+
 def busy_partitions(spark: SparkSession) -> int:
     """Partitions for long work on a table of bounded size."""
     return max(4 * spark.sparkContext.defaultParallelism, 8)

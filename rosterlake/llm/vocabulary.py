@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import chunk_of, keyed, marked, spaced_parts
+from rosterlake.llm.common import keyed, marked, spaced_parts
 
 #: Distinct words counted in a task before they go on to the shuffle.
 TASK_WORDS = 500_000
@@ -34,7 +34,7 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
     """``word`` and ``n``: how often each word stands in all whole texts.
 
     Words are the text's parts (see ``spaced_parts``); or, with a ``splitter``, what the function it gives makes of each
-    part with the space before it. Tasks count before the shuffle, so a word that fills the corpus is one row of each
+    marked part (see ``marked``). Tasks count before the shuffle, so a word that fills the corpus is one row of each
     task. Null texts have no words.
     """
     texts = keyed(docs, id_col, text_col).select("text")
@@ -49,7 +49,7 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
             if split:
                 words = Counter()
                 for key, n in counts.items():
-                    for word in split(chunk_of(key)):
+                    for word in split(key):
                         words[word] += n
             names, each = list(words), list(words.values())
             for i in range(0, len(names), 50_000):
