@@ -24,8 +24,8 @@ from rosterlake.llm.vocabulary import HOT_BYTES
 
 #: Ids after which a frame is closed, and the level of compression.
 FRAME_IDS, LEVEL = 1 << 16, 1
-#: Chunks whose ids a worker remembers.
-REMEMBERED = 600_000
+#: Parts of texts whose ids a worker remembers: those met in two batches, and those met lately.
+OFTEN, LATELY = 400_000, 300_000
 
 # The public seekable format of zstandard, and a skippable frame for the directory of documents.
 SKIPPABLE, DIRECTORY, SEEKABLE = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
@@ -228,28 +228,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known: dict[str, bytes] = {}
+        #: Ids as bytes of this type.
+        self.kind = "<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2"
+        self.often: dict[str, bytes] = {}
+        self.lately: dict[str, bytes] = {}
+        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
 
     def direct(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def parts(self, keys: list[str]) -> dict[str, bytes]:
+        """Ids of marked parts. Those that may stand on a line of their own are encoded as the lines of one text.
+
+        A line end before a space is a pre-token by itself, so its id tells the parts' ids apart.
+        """
+        lined = [k for k in keys if k[0] != " " and "\n" not in k and not k[-1].isspace()] if len(self.line_end) == 1 else []
+        out: dict[str, bytes] = {}
+        if lined:
+            text = "\n".join([" " + k for k in lined])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(ends) == len(lined) - 1:
+                flat = ids.tobytes()
+                size = ids.itemsize
+                begins, ends = [0, *((ends + 1) * size).tolist()], [*(ends * size).tolist(), len(flat)]
+                out = {k: flat[a:b] for k, a, b in zip(lined, begins, ends, strict=True)}
+        others = [k for k in keys if k not in out]
+        out.update(zip(others, self.direct([chunk_of(k) for k in others]), strict=True))
+        return out
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; texts that hold an added token's string go to the library whole."""
+        """Ids of each text, as ``kind``; texts that hold an added token's string go to the library whole."""
         cut = [None if any(s in t for s in self.special) else marked(spaced_parts(t)) for t in texts]
-        new = set().union(*[chunks for chunks in cut if chunks])
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-        new = [c for c in new if c not in self.known]
-        names = new
-        made = dict(zip(names, self.direct([chunk_of(c) for c in names]), strict=True))
-        known = self.known
-        known.update(made)
-        out = [self.direct([t])[0] if chunks is None else b"".join(map(known.__getitem__, chunks))
-               for t, chunks in zip(texts, cut, strict=True)]
-        for c in names:
-            if len(c) > HOT_BYTES:
-                del known[c]
-        return out
+        keys = set().union(*[chunks for chunks in cut if chunks])
+        met = keys & self.often.keys()
+        made = dict(zip(met, map(self.often.__getitem__, met), strict=True))
+        again = (keys - met) & self.lately.keys()
+        made.update(zip(again, map(self.lately.pop, again), strict=True))
+        fresh = self.parts(list(keys - made.keys()))
+        if len(self.often) + len(again) <= OFTEN:
+            self.often.update((k, made[k]) for k in again if len(k) <= HOT_BYTES)
+        if len(self.lately) + len(fresh) > LATELY:
+            self.lately.clear()
+        self.lately.update((k, v) for k, v in fresh.items() if len(k) <= HOT_BYTES)
+        made.update(fresh)
+        return [self.direct([t])[0] if chunks is None else b"".join(map(made.__getitem__, chunks))
+                for t, chunks in zip(texts, cut, strict=True)]
 
 
 @functools.cache
@@ -271,8 +295,8 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     cuts = np.array(id_tops(docs.select(F.col(id_col).cast("bigint").alias("doc_id")), parts)[:-1], np.int64)
-    wide = encoder(tokenizer_file).tokenizer.get_vocab_size() > 1 << 16
-    kind = "<u4" if wide else "<u2"
+    kind = encoder(tokenizer_file).kind
+    end = np.array([end_id], kind).tobytes()
     schema = pa.schema([("part", pa.int32()), ("doc_id", pa.int64()), ("ids", pa.binary())])
 
     def encoded(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,16 +305,16 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
             docs, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             begin = 0
             while begin < len(docs):
-                end, size = begin, 0
-                while end < len(docs) and (end == begin or size + len(all_texts[end]) <= 1 << 20):
-                    size += len(all_texts[end])
-                    end += 1
-                ids = encode.ids([t.decode("utf-8", "replace") for t in all_texts[begin:end]])
-                packed = [np.append(np.frombuffer(x, "<u4"), end_id).astype(kind).tobytes() for x in ids]
-                ranges = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in docs[begin:end]]
-                yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(docs[begin:end], pa.int64()),
+                stop, size = begin, 0
+                while stop < len(docs) and (stop == begin or size + len(all_texts[stop]) <= 1 << 21):
+                    size += len(all_texts[stop])
+                    stop += 1
+                ids = encode.ids([t.decode("utf-8", "replace") for t in all_texts[begin:stop]])
+                packed = [x + end for x in ids]
+                ranges = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in docs[begin:stop]]
+                yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(docs[begin:stop], pa.int64()),
                                                   pa.array(packed, pa.binary())], schema=schema)
-                begin = end
+                begin = stop
 
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 

@@ -28,7 +28,7 @@ def reference_bpe(ranks):
 def small_tables(monkeypatch):
     """Leave most words out of the table of frequent ones, so that the other way is taken too."""
     for module in (token_counts, byte_bpe):
-        monkeypatch.setattr(module, "frequent", lambda counts: vocabulary.frequent(counts, 100))
+        monkeypatch.setattr(module, "frequent", lambda counts, _=0: vocabulary.frequent(counts, 100))
 
 
 @settings(max_examples=300, deadline=None)
@@ -39,6 +39,16 @@ def test_parts_make_up_the_text(text):
     assert all(a[-1] not in common.WHITE and b[0] not in common.WHITE for a, b in zip(parts, parts[1:], strict=False))
 
 
+@settings(max_examples=500, deadline=None)
+@cases(st.text(alphabet="ab é1٣.,!'-\n ªǅ中 s", max_size=8))
+def test_short_cut_is_the_pattern(text):
+    import regex
+    assert public_tokenizers.PATTERN == byte_bpe.COMMON_PATTERN
+    for key in common.marked([text, text or "x"]):
+        wanted = regex.findall(byte_bpe.COMMON_PATTERN, common.chunk_of(key))
+        assert byte_bpe.pretokens_of(byte_bpe.COMMON_PATTERN)(key) == wanted
+
+
 @pytest.mark.parametrize("hot", [True, False])
 def test_piece_counts(given, odd, odd_rows, none, by_row, monkeypatch, hot):
     if not hot:
@@ -100,6 +110,18 @@ def library_ids(rows):
     return out
 
 
+@settings(max_examples=300, deadline=None)
+@cases(st.lists(st.text(alphabet="ab é1.,'!\n\t 中 s😀", max_size=12), max_size=5))
+def test_cached_parts_are_the_library(texts):
+    library = token_files.encoder(JSON).tokenizer
+    wanted = [struct.pack(f"<{len(e.ids)}H", *e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_files.encoder(JSON).ids(texts) == wanted
+    token_files.encoder(JSON).often.clear()
+    token_files.encoder(JSON).lately.clear()
+    for _ in range(3):
+        assert token_files.encoder(JSON).ids(texts) == wanted
+
+
 def test_token_files(spark, given, odd, odd_rows, none):
     docs, texts = given
     for frame, rows in ((docs, texts.items()), (odd, odd_rows)):
