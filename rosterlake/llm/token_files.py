@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import os
 import struct
@@ -19,13 +20,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from rosterlake.llm.byte_bpe import COMMON_PATTERN, few, pretokens_of
 from rosterlake.llm.common import chunk_of, id_tops, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import HOT_BYTES
 
 #: Ids after which a frame is closed, and the level of compression.
 FRAME_IDS, LEVEL = 1 << 16, 1
 #: Parts of texts whose ids a worker remembers: those met in two batches, and those met lately.
-OFTEN, LATELY = 400_000, 300_000
+OFTEN, LATELY = 250_000, 100_000
+#: Pre-tokens whose ids a worker remembers.
+WORDS = 150_000
 
 # The public seekable format of zstandard, and a skippable frame for the directory of documents.
 SKIPPABLE, DIRECTORY, SEEKABLE = 0x184D2A5E, 0x184D2A5D, 0x8F92EAB1
@@ -219,8 +223,18 @@ class TokenFiles(DataSource):
         return TokenWriter(self.options["path"])
 
 
+def byte_chars() -> dict[int, int]:
+    """The character that byte-level tokenizers show each byte as: itself if it is printable, else one from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in set(shown)]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(others)}
+
+
+BYTE_CHARS = byte_chars()
+
+
 class Encoder:
-    """Ids of whole texts by a tokenizers file, one call for each chunk that a worker has not met yet."""
+    """Ids of whole texts by a tokenizers file; what a worker remembers of their parts is not encoded again."""
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -232,30 +246,34 @@ class Encoder:
         self.kind = "<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2"
         self.often: dict[str, bytes] = {}
         self.lately: dict[str, bytes] = {}
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        own = json.loads(self.tokenizer.to_str())
+        step = own["pre_tokenizer"] or {}
+        #: Whether the library only cuts a text by the common pattern and maps its bytes before the merges.
+        self.byte_level = (own["normalizer"] is None and step.get("type") == "ByteLevel" and step.get("use_regex")
+                           and not step.get("add_prefix_space"))
+        self.words: dict[str, bytes] = {}
 
     def direct(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word(self, word: str) -> bytes:
+        """Ids of one pre-token by the library's merges."""
+        ids = self.words.get(word)
+        if ids is None:
+            mapped = word.encode().decode("latin-1").translate(BYTE_CHARS)
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], self.kind).tobytes()
+            if len(self.words) >= WORDS:
+                self.words.clear()
+            if len(word) <= HOT_BYTES:
+                self.words[word] = ids
+        return ids
+
     def parts(self, keys: list[str]) -> dict[str, bytes]:
-        """Ids of marked parts. Those that may stand on a line of their own are encoded as the lines of one text.
-
-        A line end before a space is a pre-token by itself, so its id tells the parts' ids apart.
-        """
-        lined = [k for k in keys if k[0] != " " and "\n" not in k and not k[-1].isspace()] if len(self.line_end) == 1 else []
-        out: dict[str, bytes] = {}
-        if lined:
-            text = "\n".join([" " + k for k in lined])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
-            ends = np.flatnonzero(ids == self.line_end[0])
-            if len(ends) == len(lined) - 1:
-                flat = ids.tobytes()
-                size = ids.itemsize
-                begins, ends = [0, *((ends + 1) * size).tolist()], [*(ends * size).tolist(), len(flat)]
-                out = {k: flat[a:b] for k, a, b in zip(lined, begins, ends, strict=True)}
-        others = [k for k in keys if k not in out]
-        out.update(zip(others, self.direct([chunk_of(k) for k in others]), strict=True))
-        return out
+        """Ids of marked parts: by their pre-tokens if the tokenizer is of the byte-level kind, else by the whole library."""
+        if not self.byte_level:
+            return dict(zip(keys, self.direct([chunk_of(k) for k in keys]), strict=True))
+        split, word = pretokens_of(COMMON_PATTERN), self.word
+        return {key: b"".join([word(w) for w in split(key)]) for key in keys}
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as ``kind``; texts that hold an added token's string go to the library whole."""
@@ -301,20 +319,16 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
 
     def encoded(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_file)
-        for batch in found:
-            docs, all_texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            begin = 0
-            while begin < len(docs):
-                stop, size = begin, 0
-                while stop < len(docs) and (stop == begin or size + len(all_texts[stop]) <= 1 << 21):
-                    size += len(all_texts[stop])
-                    stop += 1
-                ids = encode.ids([t.decode("utf-8", "replace") for t in all_texts[begin:stop]])
-                packed = [x + end for x in ids]
-                ranges = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in docs[begin:stop]]
-                yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(docs[begin:stop], pa.int64()),
-                                                  pa.array(packed, pa.binary())], schema=schema)
-                begin = stop
+        gc.disable()  # many short lists without cycles
+        try:
+            for batch in found:
+                for docs, texts in few(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    packed = [x + end for x in encode.ids([t.decode("utf-8", "replace") for t in texts])]
+                    ranges = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in docs]
+                    yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(docs, pa.int64()),
+                                                      pa.array(packed, pa.binary())], schema=schema)
+        finally:
+            gc.enable()
 
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
 

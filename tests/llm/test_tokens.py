@@ -118,6 +118,8 @@ def test_cached_parts_are_the_library(texts):
     assert token_files.encoder(JSON).ids(texts) == wanted
     token_files.encoder(JSON).often.clear()
     token_files.encoder(JSON).lately.clear()
+    token_files.encoder(JSON).words.clear()
+    assert token_files.encoder(JSON).byte_level
     for _ in range(3):
         assert token_files.encoder(JSON).ids(texts) == wanted
 
