@@ -25,9 +25,9 @@ from rosterlake.session import run_folder, settle
 PAIR_BITS, PLACE_BITS, ID_BITS = 19, 24, 20
 NO_PAIR = (1 << PAIR_BITS) - 1
 #: Parts of texts whose ids a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 150_000, 64
 #: Words whose ids all tasks get; see ``frequent``.
-HOT_WORDS = 1_500_000
+HOT_WORDS = 1_000_000
 #: Bytes of text whose words are put together at once.
 BLOCK_BYTES = 2 << 20
 #: Marks the number of a word that is still to be encoded among packed ids.

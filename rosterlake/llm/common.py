@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bounds on one Arrow batch, so that a Python worker's memory does not depend on the documents' lengths.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 _UPPER_KEPT = bytes(range(256))
 _JOINERS = bytes(0x20 if c < 0x30 or 0x3A <= c <= 0x60 or 0x7B <= c < 0x80 else c for c in range(256))

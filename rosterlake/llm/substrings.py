@@ -17,6 +17,8 @@ from rosterlake.session import settle
 WINDOW, GRAM = 50, 10
 #: Bits of the filter of anchors (16 MB); more anchors make it let more windows through, never fewer.
 FILTER_BITS = 1 << 27
+#: Bits of the filter of first documents (4 MB); more of them let more copies through.
+HEAD_BITS = 1 << 25
 NOTHING = hashlib.sha256(b"").hexdigest()
 
 
@@ -81,6 +83,9 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
     shared = described_docs.select("s1", F.explode("anchors").alias("a")).groupBy("a").agg(
         F.min("s1").alias("low"), F.max("s1").alias("high")).filter("low <> high")
     passing = bitmap(spark, shared, "a", FILTER_BITS)
+    owned = settle(described_docs.groupBy("s1", "s2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")), "heads")
+    # later copies of a sequence lose all words and own no window, so only the first of each sends its windows
+    heads = bitmap(spark, owned.select(F.col("s1").bitwiseXOR(F.col("owner")).alias("k")), "k", HEAD_BITS)
 
     def hits(words: list[bytes], known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
         hashes = known.of(words)
@@ -95,10 +100,13 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
                 words = space_words(text)
                 if doc is None or len(words) < size:
                     continue
+                seq = sequence(words)[0]
+                if not in_bitmap(heads.value, np.array([seq ^ doc], np.int64).view(np.uint64))[0]:
+                    continue
                 at, hashes = hits(words, known)
                 if not len(at):
                     continue
-                seq, n = sequence(words)[0], len(at)
+                n = len(at)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, doc, np.int64)), pa.array(np.full(n, seq, np.int64)), pa.array(at.astype(np.int32)),
                     *(pa.array(windows(hashes, size, half)[at].view(np.int64)) for half in (0, 1)),
@@ -110,8 +118,7 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
     owners = settle(owners.filter("owner < last").select("h1", "h2", "owner"), "owners")
     again = each.join(owners, ["h1", "h2"]).filter("owner < doc_id").select("doc_id", "s1", "start")
     starts = again.groupBy("doc_id", "s1").agg(F.collect_set("start").alias("starts"))
-    heads = described_docs.groupBy("s1", "s2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
-    copies = described_docs.select("doc_id", "s1", "s2").join(heads.filter("owner < last"), ["s1", "s2"])
+    copies = described_docs.select("doc_id", "s1", "s2").join(owned.filter("owner < last"), ["s1", "s2"])
     copies = copies.filter("owner < doc_id").select("doc_id", "s1").distinct()
     marks = starts.withColumn("copy", F.lit(False)).unionByName(
         copies.select("doc_id", "s1", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy")))
