@@ -45,8 +45,8 @@ def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", te
 class Reach(dict):
     """For a word, the lengths (as bits) of windows that may hold it: a bounded memory before the filters."""
 
-    def __init__(self, filters: dict[int, np.ndarray]):
-        self.filters = {length: whole.tobytes() for length, whole in filters.items()}
+    def __init__(self, filters: dict[int, np.ndarray], fewest: dict[int, int]):
+        self.filters, self.fewest = {length: whole.tobytes() for length, whole in filters.items()}, fewest
 
     def __missing__(self, word: bytes) -> int:
         h, bits = xxhash.xxh64_intdigest(word, 42), 0
@@ -63,18 +63,20 @@ class Reach(dict):
 def places(words: list[bytes], reach: Reach, slop: int = 0) -> np.ndarray:
     """Positions that a window could cover: in runs, at least a window long, of words that windows of that length hold.
 
-    With a slop, as many other words may stand inside a run.
+    With a slop, a term may stand so many words before its place and the next one so many after its own, and one word may
+    serve several equal terms: a run then needs as many words as a window of that length has different terms at least.
     """
     bits = np.fromiter(map(reach.__getitem__, words), np.uint32, len(words))
     fit = np.zeros(len(words), bool)
     for length in reach.filters:
         inside = np.flatnonzero(bits & np.uint32(1 << length))
-        if len(inside) < length:
+        need = reach.fewest[length] if slop else length
+        if len(inside) < need:
             continue
-        cuts = np.flatnonzero(np.diff(inside) > 1 + slop) + 1
+        cuts = np.flatnonzero(np.diff(inside) > 1 + 2 * slop) + 1
         begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(inside)]])
         for b, e in zip(begins.tolist(), ends.tolist(), strict=True):
-            if e - b >= length:
+            if e - b >= need:
                 fit[inside[b:e]] = True
     return np.flatnonzero(fit)
 
@@ -87,14 +89,14 @@ def store_index(docs: DataFrame, phrases: DataFrame, slop: int = 0) -> tuple[Dat
     """
     spark = docs.sparkSession
     terms = phrases.select(F.size("terms").alias("length"), F.explode("terms").alias("term")).distinct()
-    lengths = [r[0] for r in terms.select("length").distinct().collect()]
+    fewest = dict(phrases.groupBy(F.size("terms")).agg(F.min(F.size(F.array_distinct("terms")))).collect())
     hashed = terms.select("length", F.xxhash64("term").alias("h"))
-    filters = {n: bitmap(spark, hashed.filter(F.col("length") == n), "h", TERM_BITS) for n in sorted(lengths)}
+    filters = {n: bitmap(spark, hashed.filter(F.col("length") == n), "h", TERM_BITS) for n in sorted(fewest)}
     out = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int64()),
                      ("terms", pa.list_(pa.string())), ("positions", pa.list_(pa.list_(pa.int32())))])
 
     def posted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = Reach({n: f.value for n, f in filters.items()})
+        reach = Reach({n: f.value for n, f in filters.items()}, fewest)
         for batch in found:
             counts, terms, positions = [], [], []
             for text in batch.column("text").to_pylist():
@@ -141,9 +143,10 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
         base = F.col("at") - F.col("offset")
         if not slop:
             return found.select("key", "phrase", "offset", base.alias("start"), F.lit(True).alias("exact")).filter("start >= 0")
+        # the first term stands at or after the text's beginning, its place may be before it
         around = F.explode(F.sequence(base - slop, base + slop)).alias("start")
         return found.select("key", "phrase", "offset", base.alias("base"), around).select(
-            "key", "phrase", "offset", "start", (F.col("start") == F.col("base")).alias("exact")).filter("start >= 0")
+            "key", "phrase", "offset", "start", (F.col("start") == F.col("base")).alias("exact")).filter(F.col("start") >= -slop)
 
     on = ["key", "phrase", "start"]
     rarest = starts(listed(0)).groupBy(*on).agg(F.max("exact").alias("exact"))

@@ -276,6 +276,39 @@ def test_proximity(spark):
     assert found[1]["n_hit"] == 0 and found[2]["n_hit"] == 4
 
 
+def slow_near(rows, items, size, slop):
+    """Per document, the items that have no exact window but one whose every term stands within the slop of its place."""
+    exact = {r[0]: r[3] for r in slow_items(rows, items, size)}
+    out = []
+    for i, t in rows:
+        w, names, near = t.split(), set(), set()
+        for item, text in items:
+            x = text.split()
+            for s in range(max(1, len(x) - size + 1)) if x else ():
+                terms = x[s:s + size]
+                if any(w[b:b + len(terms)] == terms for b in range(len(w))):
+                    names.add(item)
+                if any(all(any(w[p] == term for p in range(max(0, b + k - slop), min(len(w), b + k + slop + 1)))
+                           for k, term in enumerate(terms)) for b in range(-slop, len(w))):
+                    near.add(item)
+        assert len(names) == exact[i]
+        out.append((i, len(names), len(near - names)))
+    return sorted(out)
+
+
+def test_proximity_of_random_phrases(spark, by_row):
+    rnd = random.Random(12)
+    rows = [(i, " ".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(14)))) for i in range(80)]
+    rows += [(100, "alpha f f beta gamma delta"), (101, "x y"), (102, "delta alpha beta gamma")]
+    items = [(i, " ".join(rnd.choice("abcdefg") for _ in range(rnd.randrange(9)))) for i in range(30)]
+    items += [(100, "alpha beta gamma delta"), (101, "x x y")]
+    docs, own = spark.createDataFrame(rows, COLUMNS), spark.createDataFrame(items, "item_id bigint, text string")
+    for slop in (1, 2):
+        found = by_row(decontamination.find_items(docs, own, 5, slop), "doc_id", "n_items", "n_near")
+        wanted = slow_near(rows, items, 5, slop)
+        assert found == sorted(wanted, key=repr) and sum(r[2] for r in wanted) > 20
+
+
 def test_clean_documents_stay(spark, odd):
     items = spark.createDataFrame([(1, "one other text of the same id")], "item_id bigint, text string")
     kept = decontamination.without_items(odd, items)
