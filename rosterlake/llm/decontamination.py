@@ -10,10 +10,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import bitmap, keyed, one_in_bitmap, plain_words, row_key
+from rosterlake.llm.common import bitmap, in_bitmap, keyed, one_in_bitmap, plain_words, row_key
 from rosterlake.session import settle
 
-WINDOW = 10
+#: Words of a window, and how far from its place a term may stand in production: one word put in or left out every nine
+#: leaves no 10 words in a row equal, but each within one word of its place.
+WINDOW, SLOP = 10, 1
 #: Bits of the filter of benchmark terms for each window length (512 KB); more terms let more postings through.
 TERM_BITS = 1 << 22
 #: Distinct words a task remembers the filter's answer for.
@@ -45,8 +47,9 @@ def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", te
 class Reach(dict):
     """For a word, the lengths (as bits) of windows that may hold it: a bounded memory before the filters."""
 
-    def __init__(self, filters: dict[int, np.ndarray], fewest: dict[int, int]):
+    def __init__(self, filters: dict[int, np.ndarray], fewest: dict[int, int], pairs: np.ndarray | None = None):
         self.filters, self.fewest = {length: whole.tobytes() for length, whole in filters.items()}, fewest
+        self.pairs = pairs
 
     def __missing__(self, word: bytes) -> int:
         h, bits = xxhash.xxh64_intdigest(word, 42), 0
@@ -60,49 +63,85 @@ class Reach(dict):
         return bits
 
 
-def places(words: list[bytes], reach: Reach, slop: int = 0) -> np.ndarray:
-    """Positions that a window could cover: in runs, at least a window long, of words that windows of that length hold.
+def crowded(at: np.ndarray, need: int, span: int) -> np.ndarray:
+    """Which of the ascending positions stand with ``need`` of them, themselves among those, in ``span`` words in a row."""
+    if len(at) < need:
+        return np.zeros(len(at), bool)
+    begins = np.flatnonzero(at[need - 1:] - at[:len(at) - need + 1] < span)
+    steps = np.zeros(len(at) + 1, np.int64)
+    steps[begins] += 1
+    steps[begins + need] -= 1
+    return np.cumsum(steps[:-1]) > 0
 
-    With a slop, a term may stand so many words before its place and the next one so many after its own, and one word may
-    serve several equal terms: a run then needs as many words as a window of that length has different terms at least.
+
+def paired(at: np.ndarray, words: list[bytes], pairs: np.ndarray, slop: int) -> np.ndarray:
+    """Which of the ascending positions of words have one as near as neighbouring terms may be, with a phrase's neighbour of theirs."""
+    h = np.fromiter((xxhash.xxh64_intdigest(word, 42) for word in words), np.uint64, len(at))
+    turned = h << np.uint64(1) | h >> np.uint64(63)
+    fit = in_bitmap(pairs, h ^ turned)  # one word may serve two equal terms
+    for step in range(1, min(2 + 2 * slop, len(at))):
+        left = np.flatnonzero(at[step:] - at[:-step] <= 1 + 2 * slop)
+        right = left + step
+        met = in_bitmap(pairs, h[left] ^ turned[right]) | in_bitmap(pairs, h[right] ^ turned[left])
+        fit[left[met]] = fit[right[met]] = True
+    return fit
+
+
+def places(texts: list[list[bytes]], reach: Reach, slop: int = 0) -> list[list[int]]:
+    """Per text, positions that a window could cover: among as many words that windows of that length hold as it needs.
+
+    With a slop, a term may stand so many words before or after its place. A window's terms then stand in ``2 * slop``
+    more words than it has, neighbouring terms at most ``1 + 2 * slop`` apart, and one word may serve several equal terms.
     """
+    words, counts = [word for text in texts for word in text], np.array([len(text) for text in texts], np.int64)
+    # texts are laid side by side, further apart than any window reaches
+    apart = max(reach.filters, default=0) + 2 * slop + 1
+    begins = np.cumsum(counts) - counts
+    at = np.arange(len(words)) + np.repeat(np.arange(len(texts)) * apart, counts)
     bits = np.fromiter(map(reach.__getitem__, words), np.uint32, len(words))
     fit = np.zeros(len(words), bool)
     for length in reach.filters:
+        need, span = reach.fewest[length] if slop else length, length + 2 * slop
         inside = np.flatnonzero(bits & np.uint32(1 << length))
-        need = reach.fewest[length] if slop else length
-        if len(inside) < need:
-            continue
-        cuts = np.flatnonzero(np.diff(inside) > 1 + 2 * slop) + 1
-        begins, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(inside)]])
-        for b, e in zip(begins.tolist(), ends.tolist(), strict=True):
-            if e - b >= need:
-                fit[inside[b:e]] = True
-    return np.flatnonzero(fit)
+        inside = inside[crowded(at[inside], need, span)]
+        if slop and length > 1 and len(inside):
+            inside = inside[paired(at[inside], [words[p] for p in inside.tolist()], reach.pairs, slop)]
+            inside = inside[crowded(at[inside], need, span)]
+        fit[inside] = True
+    cuts = np.concatenate([[0], np.cumsum(fit)])
+    found = np.flatnonzero(fit)
+    return [(found[cuts[b]:cuts[b + n]] - b).tolist() for b, n in zip(begins.tolist(), counts.tolist(), strict=True)]
 
 
 def store_index(docs: DataFrame, phrases: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
     """The written index ``term``, ``key``, ``positions``, and ``doc_id``, ``key``, ``n_words`` of all documents.
 
-    Postings are kept where a phrase could stand: terms no phrase holds, and runs too short for any phrase, are
-    not stored. Which terms those are is told to tasks by bitmaps of fixed size, one for each window length in use.
+    Postings are kept where a phrase could stand: terms no phrase holds, and places with too few others for any phrase,
+    are not stored. Which terms those are is told to tasks by bitmaps of fixed size, one for each window length in use, and
+    with a slop one more for phrases' neighbouring terms.
     """
     spark = docs.sparkSession
     terms = phrases.select(F.size("terms").alias("length"), F.explode("terms").alias("term")).distinct()
     fewest = dict(phrases.groupBy(F.size("terms")).agg(F.min(F.size(F.array_distinct("terms")))).collect())
     hashed = terms.select("length", F.xxhash64("term").alias("h"))
     filters = {n: bitmap(spark, hashed.filter(F.col("length") == n), "h", TERM_BITS) for n in sorted(fewest)}
+    # a hash for two neighbouring terms: that of the first, and that of the second turned by a bit
+    second = F.xxhash64("b")
+    turned = F.shiftleft(second, 1).bitwiseOR(F.shiftrightunsigned(second, 63))
+    neighbours = phrases.select(F.explode(F.arrays_zip(F.expr("slice(terms, 1, size(terms) - 1)").alias("a"),
+                                                       F.expr("slice(terms, 2, size(terms) - 1)").alias("b"))).alias("p")).select("p.a", "p.b").distinct()
+    pairs = bitmap(spark, neighbours.select(F.xxhash64("a").bitwiseXOR(turned).alias("h")), "h", TERM_BITS) if slop else None
     out = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int64()),
                      ("terms", pa.list_(pa.string())), ("positions", pa.list_(pa.list_(pa.int32())))])
 
     def posted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = Reach({n: f.value for n, f in filters.items()}, fewest)
+        reach = Reach({n: f.value for n, f in filters.items()}, fewest, pairs.value if slop else None)
         for batch in found:
             counts, terms, positions = [], [], []
-            for text in batch.column("text").to_pylist():
-                words = plain_words(text)
+            texts = [plain_words(text) for text in batch.column("text").to_pylist()]
+            for words, found_at in zip(texts, places(texts, reach, slop), strict=True):
                 lists: dict[bytes, list[int]] = {}
-                for p in places(words, reach, slop).tolist() if words else []:
+                for p in found_at:
                     lists.setdefault(words[p], []).append(p)
                 counts.append(len(words))
                 terms.append([w.decode("utf-8", "replace") for w in lists])
@@ -169,10 +208,11 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
 
 def find_items(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int = 0, id_col: str = "doc_id",
                text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Per document ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``, ``items``, ``n_near``.
+    """Per document ``doc_id``, ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated``, ``items``, ``n_near``, ``near``.
 
     A word is hit if an exact occurrence of an item's window covers it; ``items`` are the items with such windows,
-    sorted as strings. ``n_near`` counts items that only match within the slop, term by term (0 without a slop).
+    sorted as strings. ``near`` are the items that only match within the slop, term by term, sorted likewise, and ``n_near``
+    is their number (none without a slop); they count neither as hits nor as contamination.
     Copies of a text and id share postings' key, so repeated rows share a result. Null texts have no words; null item ids
     count as the string "null"; empty tables give an empty result or one without hits; other columns are left behind.
     """
@@ -208,22 +248,26 @@ def find_items(docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int
     none = F.array().cast("array<string>")
     found = found.select("key", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"), F.coalesce("items", none).alias("items"),
                          F.coalesce("near", none).alias("near"))
+    found = found.withColumn("near", F.sort_array(F.array_except("near", "items")))
     return rows.join(found, "key", "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.coalesce("items", none).alias("items"),
-        F.coalesce(F.size(F.array_except("near", "items")), F.lit(0)).cast("bigint").alias("n_near"),
+        F.coalesce(F.size("near"), F.lit(0)).cast("bigint").alias("n_near"), F.coalesce("near", none).alias("near"),
     )
 
 
 def without_items(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The documents that hold no window of an item, with all their columns. Only keys of the others are joined to them."""
+                  item_col: str = "item_id", item_text: str = "text", slop: int = 0) -> DataFrame:
+    """The documents that hold no window of an item, also not within the slop, with all their columns.
+
+    Only keys of the others are joined to them.
+    """
     one = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     phrases = settle(phrases_of(items, size, item_col, item_text), "windows")
-    index, _ = store_index(one, phrases)
-    found = settle(search(index, phrases).select(F.col("key").alias("__key")).distinct(), "contaminated")
+    index, _ = store_index(one, phrases, slop)
+    found = settle(search(index, phrases, slop).select(F.col("key").alias("__key")).distinct(), "contaminated")
     keys = docs.withColumn("__key", row_key(F.col(id_col), F.col(text_col).cast("string")))
     return keys.join(found, "__key", "left_anti").drop("__key")
 

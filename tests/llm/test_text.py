@@ -3,7 +3,8 @@ import random
 
 import numpy as np
 
-from rosterlake.llm import chunking, decontamination, lines, rolling, substrings
+import corpus_pipeline
+from rosterlake.llm import chunking, decontamination, lines, queries, rolling, substrings
 
 COLUMNS = "doc_id bigint, text string"
 
@@ -309,6 +310,22 @@ def test_proximity_of_random_phrases(spark, by_row):
         assert found == sorted(wanted, key=repr) and sum(r[2] for r in wanted) > 20
 
 
+def test_altered_passages_in_production(spark, tmp_path):
+    """A passage with a word put in every nine is near, and its document is dropped."""
+    passage = [f"word{k}" for k in range(40)]
+    altered = " ".join(w + " inserted" * (k % 9 == 8) for k, w in enumerate(passage))
+    rows = [(1, "some words before " + altered + " and after"), (2, "before " + " ".join(passage)), (3, "nothing of it"),
+            (4, " ".join(passage[::-1]))]
+    docs = spark.createDataFrame(rows, COLUMNS)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(7, " ".join(passage))], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = queries.op10_decontamination(spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: (r["n_items"], r["contaminated"], r["n_near"], r["near"]) for r in found} == {
+        1: (0, False, 1, ["7"]), 2: (1, True, 0, []), 3: (0, False, 0, []), 4: (0, False, 0, [])}
+    clean = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [3, 4]
+
+
 def test_clean_documents_stay(spark, odd):
     items = spark.createDataFrame([(1, "one other text of the same id")], "item_id bigint, text string")
     kept = decontamination.without_items(odd, items)
