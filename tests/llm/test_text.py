@@ -217,6 +217,29 @@ def test_line_report(spark, given, odd, odd_rows, none, by_row):
     assert lines.line_report(none).count() == 0
 
 
+def test_components_of_linked_lines(spark):
+    rnd = random.Random(15)
+    a = "one line of more than twenty-four characters"
+    rows = [(1, a), (2, a[:-2] + "xy"), (3, a[:-4] + "vwxy"), (5, "shared"), (10, "shared\nfirst here"), (20, "first here"),
+            (30, "alone"), (None, "alone"), (31, None)]
+    rows += [(100 + i, "\n".join(f"{rnd.randrange(40):06b}" * 5 for _ in range(rnd.randrange(1, 3)))) for i in range(30)]
+    rnd.shuffle(rows)
+    root = {i: i for i, _ in rows}
+
+    def find(i):
+        return i if root[i] == i else find(root[i])
+
+    known = [(i, line) for i, t in rows if i is not None and t for line in t.split("\n")]
+    for i, x in known:
+        for j, y in known:
+            if x == y or len(x) >= 24 and len(y) >= 24 and lines.distance(x, y, 2) is not None:
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    found = {r["doc_id"]: r["component_id"] for r in lines.line_report(spark.createDataFrame(rows, COLUMNS)).collect()}
+    assert found == {i: find(i) for i, _ in rows}
+    assert [found[i] for i in (1, 2, 3, 5, 10, 20, 30, 31, None)] == [1, 1, 1, 5, 5, 5, 30, 31, None]
+
+
 def test_documents_without_repeats(spark):
     rows = [(1, "a line of more than enough characters\nown"), (2, "a line of more then enough characters"), (3, None), (4, ""), (5, "own\nnew")]
     found = {r["doc_id"]: r["text"] for r in lines.without_repeats(spark.createDataFrame(rows, COLUMNS)).collect()}
