@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake.llm import (
-    byte_bpe, chunking, decontamination, licences, line_crf, lines, simhash, substrings, token_counts, token_files,
+    byte_bpe, chunking, decontamination, infill, licences, line_crf, lines, minhash, simhash, sql, substrings, token_counts,
+    token_files, vector_codes,
 )
 from rosterlake.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: No operator here has its whole result in SQL; tests hold each against a brute-force version.
-ORACLES: dict[str, str] = {}
+#: The results that SQL can express; tests hold every operator against a brute-force version.
+ORACLES: dict[str, str] = {
+    "op11_vector_codes": sql.vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE),
+    "op12_infill": sql.INFILL, "op13_minhash": sql.MINHASH,
+}
 
 PIECES, RANKS, TOKENIZER = "piece_bpe_32k.model", "byte_bpe_50k.tiktoken", "byte_bpe_50k.json"
 TOKEN_LIMIT, END_ID = 4096, 2
@@ -91,3 +95,21 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark windows of 10 words in all documents, and items that only match with words a place off."""
     found = decontamination.find_items(table(spark, folder), table(spark, folder, "benchmark"), slop=decontamination.SLOP)
     return found.drop("items")
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings: 16 parts, 64 entries, two rounds."""
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+@query
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents put together for filling in the middle, and the round trip."""
+    return infill.report(table(spark, folder))
+
+
+@query
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates of all documents: 2-word shingles, similarity of 0.8."""
+    return minhash.near_duplicates(table(spark, folder))

@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 def test_registered():
     queries = entry.queries()
     assert corpus_pipeline.run and "pipeline" in queries
-    assert sorted(int(q[2:].split("_")[0]) for q in queries if q.startswith("op")) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries if q.startswith("op")) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
