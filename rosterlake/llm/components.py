@@ -20,10 +20,12 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     before = None
     for _ in range(max_rounds):
+        # the least neighbours are written out: a join of two plain shuffles can split the many rows of one node
         both = edges.union(edges.select("v", "u"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.join(settle(low, "least"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = settle(large.distinct(), "large_stars")
+        low = settle(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         near = large.join(low, "u")
         small = near.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m"))
         edges = settle(small.distinct(), "stars")

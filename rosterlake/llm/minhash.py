@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rosterlake.llm.common import bitmap, bounded_batches, in_bitmap, space_words
 from rosterlake.llm.components import components
@@ -22,8 +22,6 @@ BANDS, ROWS = 48, 3
 BLOCK = 1 << 13
 #: Bits of the filter of documents whose texts are compared (2 MB); more documents let more rows through, never fewer.
 TEXT_BITS = 1 << 24
-#: Pivots a bucket has in its second round; each further round has this times more.
-PIVOTS = 4
 
 
 def shingle_set(text: bytes, size: int = SHINGLE) -> set[tuple[bytes, ...]]:
@@ -105,8 +103,8 @@ def prints(docs: DataFrame, size: int = SHINGLE, bands: int = BANDS, rows: int =
     return settle(made.withColumn("rid", F.monotonically_increasing_id()), "prints")
 
 
-def confirmed(pairs: DataFrame, each: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``u``, ``v`` of document numbers whose whole shingle sets are similar enough, compared word by word."""
+def _with_texts(pairs: DataFrame, each: DataFrame):
+    """Pairs ``u``, ``v`` of document numbers with their texts ``a``, ``b``, and the filter that reads only texts wanted."""
     spark = pairs.sparkSession
     wanted = bitmap(spark, pairs.select("u").union(pairs.select("v")).distinct().select(F.xxhash64("u").alias("h")), "h", TEXT_BITS)
 
@@ -115,6 +113,15 @@ def confirmed(pairs: DataFrame, each: DataFrame, size: int, percent: int) -> Dat
         for hashes in found:
             yield pa.array(in_bitmap(wanted.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
 
+    texts = each.filter("n > 0").select("rid", "text", F.xxhash64("rid").alias("h")).filter(asked("h"))
+    met = pairs.join(texts.select(F.col("rid").alias("v"), F.col("text").alias("b")), "v").join(
+        texts.select(F.col("rid").alias("u"), F.col("text").alias("a")), "u")
+    return met, wanted
+
+
+def confirmed(pairs: DataFrame, each: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``u``, ``v`` of document numbers whose whole shingle sets are similar enough, compared word by word."""
+
     @F.arrow_udf("boolean")
     def similar(found: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         last, held = None, set()
@@ -123,68 +130,106 @@ def confirmed(pairs: DataFrame, each: DataFrame, size: int, percent: int) -> Dat
             for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
                 if a != last:  # pairs come sorted by the first one
                     last, held = a, shingle_set(a, size)
-                other = shingle_set(b, size)
-                both = len(held & other)
-                out.append(100 * both >= percent * (len(held) + len(other) - both))
+                out.append(alike(held, shingle_set(b, size), percent))
             yield pa.array(out, pa.bool_())
 
-    texts = each.filter("n > 0").select("rid", "text", F.xxhash64("rid").alias("h")).filter(asked("h"))
-    met = pairs.join(texts.select(F.col("rid").alias("v"), F.col("text").alias("b")), "v").join(
-        texts.select(F.col("rid").alias("u"), F.col("text").alias("a")), "u")
+    met, wanted = _with_texts(pairs, each)
     links = settle(met.filter(similar("a", "b")).select("u", "v"), "links")
     wanted.destroy()  # what needed it is written
     return links
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def alike(one: set, other: set, percent: int) -> bool:
+    both = len(one & other)
+    return 100 * both >= percent * (len(one) + len(other) - both)
+
+
+def apart(members: DataFrame, each: DataFrame, size: int, percent: int) -> DataFrame:
+    """The members with ``linked`` (are they similar enough to their pivot ``u``), and ``diff``, the hashes of the shingles that
+    only one of the two has."""
+    out = pa.struct([("linked", pa.bool_()), ("diff", pa.list_(pa.int64()))])
+
+    @F.arrow_udf("struct<linked:boolean,diff:array<bigint>>")
+    def compared(found: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        known, last, held, hashes = WordHashes(), None, set(), np.empty(0, np.uint64)
+        for left, right in found:
+            rows = []
+            for a, b in zip(left.to_pylist(), right.to_pylist(), strict=True):
+                if a != last:
+                    last, held, hashes = a, shingle_set(a, size), shingle_hashes(a, known, size)
+                diff = np.setxor1d(hashes, shingle_hashes(b, known, size), assume_unique=True)
+                rows.append({"linked": alike(held, shingle_set(b, size), percent), "diff": diff.view(np.int64)})
+            yield pa.array(rows, out)
+
+    met, wanted = _with_texts(members, each)
+    found = settle(met.withColumn("c", compared("a", "b")).select(*members.columns, "c.linked", "c.diff"), "apart")
+    wanted.destroy()
+    return found
+
+
+def difference_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``u``, ``v`` of members of a cluster that can be similar enough, and that the pivot does not join already.
+
+    What parts two sets is what parts their differences from the pivot: if it may be ``part`` shingles at most, two
+    differences of x and y shingles share at least o = (x + y - part) / 2 of them. In an order of the shingles by how
+    many of the cluster's differences have them, two that share o meet in the first x - o + 1 of the one and y - o + 1 of
+    the other. Members near the pivot are joined by it, so one of a pair is not near it, o is at least 1, and the rare
+    shingles by which a copy alone differs from the pivot come first and meet nothing.
+    """
+    near, far = 100 - percent, 100 + percent
+    each = members.select("cluster", "node", "n", "joined", "linked", F.size("diff").alias("m"), F.explode("diff").alias("h"))
+    counts = settle(each.groupBy("cluster", "h").agg(F.count("*").alias("c")).filter("c > 1"), "differences")
+    own = Window.partitionBy("node")
+    ranked = each.join(counts, ["cluster", "h"]).withColumns({
+        # shingles of this member alone come first
+        "rank": F.col("m") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "h"))})
+    longest = F.when(F.col("linked"), F.col("rank") * far <= 100 * F.col("m") + far).otherwise(
+        F.col("rank") * percent <= near * F.col("n") + percent)
+    first = settle(ranked.filter(longest).drop("c"), "first_differences")
+    x = first.filter("NOT linked").select("cluster", "h", *[F.col(c).alias(f"x_{c}") for c in ("node", "n", "joined", "m", "rank")])
+    both = x.join(first, ["cluster", "h"])
+    least = (F.col("x_m") + F.col("m")) * far - near * (F.col("x_n") + F.col("n"))
+    met = both.filter(
+        (F.col("x_joined") != F.col("joined")) & (F.col("linked") | (F.col("x_node") < F.col("node")))
+        & (100 * F.least("x_n", "n") >= percent * F.greatest("x_n", "n"))
+        & (least <= 2 * far * (F.col("x_m") - F.col("x_rank") + 1)) & (least <= 2 * far * (F.col("m") - F.col("rank") + 1)))
+    return settle(met.select(F.least("x_node", "node").alias("u"), F.greatest("x_node", "node").alias("v")).distinct(), "pairs")
 
 
 def classes(each: DataFrame, nodes: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``node`` and ``root`` of the distinct sets that have links; ``nodes`` has ``node`` and ``n``.
 
     Sets with an equal band key form a bucket. First every set is held against one other only, the smallest of all its
-    buckets; that already joins most of a group of near copies. Then, as long as a bucket has sets of several
-    components, some of them become its pivots, those of small components first, and are held against all its other sets
-    of other components. A pivot then leaves its bucket, as all its pairs there are decided, and a bucket whose sets are of one
-    component leaves for good. So every pair with an equal key is compared, or was joined by other links already, and
-    a group's pairs are never listed. The number of pivots grows from round to round, so rounds stay few.
+    buckets; that joins most of a group of near copies. Buckets whose sets are then of one component are done. The others,
+    together with those they share sets with, are clusters. A cluster's pivot, a set of its largest component, is held
+    against all its sets, and pairs that are left are found by what they share of their differences from the
+    pivot. So every pair with an equal key is compared, or proved too far apart, or joined by other links, and a
+    group's pairs are never listed.
     """
-    spark = each.sparkSession
-    rows = each.select("rid", "keys").join(nodes.select(F.col("node").alias("rid"), F.col("n")), "rid")
-    rows = rows.select(F.explode("keys").alias("key"), F.col("rid").alias("node"), "n")
+    rows = each.select("rid", "keys").join(nodes.select(F.col("node").alias("rid")), "rid")
+    rows = rows.select(F.explode("keys").alias("key"), F.col("rid").alias("node"))
     shared = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("node").alias("least")).filter("c > 1").select("key", "least")
     buckets = settle(rows.join(settle(shared, "keys"), "key"), "buckets")
     pairs = buckets.filter("node <> least").groupBy("node").agg(F.min("least").alias("u")).select("u", F.col("node").alias("v"))
-    tested = settle(pairs, "pairs")
-    links = confirmed(tested, each, size, percent)
-    roots, buckets, pivots = components(links), buckets.drop("least"), 1
-    while True:
-        sizes = roots.groupBy("root").agg(F.count("*").alias("size"))
-        placed = settle(roots.join(settle(sizes, "sizes"), "root").select("node", "root", "size"), "roots")
-        now = buckets.join(placed, "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size"))
-        now = settle(now, "placed")
-        several = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-        several = settle(several, "open")
-        if several.isEmpty():
-            return placed.select("node", "root")
-        now = settle(now.join(several, "key"), "open_buckets")
-        chosen = now.groupBy("key", F.pmod("node", F.lit(pivots)).alias("slot")).agg(
-            F.min(F.struct("size", "node", "root", "n")).alias("p"))
-        chosen = settle(chosen.select("key", F.col("p.node").alias("u"), F.col("p.root").alias("u_root"), F.col("p.n").alias("u_n")), "pivots")
-        met = now.join(chosen, "key").filter("root <> u_root").filter(
-            100 * F.least("n", "u_n") >= percent * F.greatest("n", "u_n"))
-        pairs = _ordered(met.select("u", F.col("node").alias("v")))
-        pairs = settle(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
-        found = confirmed(pairs, each, size, percent)
-        tested = tested.union(pairs)
-        if not found.isEmpty():
-            # stars of the components so far and the new links
-            roots = components(placed.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
-        left = now.join(chosen.select("key", F.col("u").alias("node")), ["key", "node"], "left_anti")
-        buckets = settle(left.select("key", "node", "n"), "buckets")
-        pivots *= PIVOTS
+    roots = components(confirmed(settle(pairs, "pairs"), each, size, percent))
+    sizes = settle(roots.groupBy("root").agg(F.count("*").alias("size")), "sizes")
+    roots = settle(roots.join(sizes, "root").select("node", "root", "size"), "roots")
+    placed = settle(buckets.join(roots, "node", "left").select("key", "least", "node", F.coalesce("root", "node").alias("root")), "placed")
+    several = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+    several = settle(several, "open")
+    if several.isEmpty():
+        return roots.select("node", "root")
+    clusters = components(placed.join(several, "key").select(F.col("least").alias("u"), F.col("node").alias("v")))
+    members = clusters.select("node", F.col("root").alias("cluster")).join(nodes.select("node", "n"), "node").join(roots, "node", "left")
+    members = settle(members.select("cluster", "node", "n", F.coalesce("root", "node").alias("root"), F.coalesce("size", F.lit(1)).alias("size")), "members")
+    pivots = members.groupBy("cluster").agg(F.min(F.struct((-F.col("size")).alias("s"), "node", "root")).alias("p"))
+    pivots = settle(pivots.select("cluster", F.col("p.node").alias("u"), F.col("p.root").alias("u_root")), "pivots")
+    held = members.join(pivots, "cluster").filter("node <> u").withColumnRenamed("node", "v")
+    known = apart(settle(held, "held"), each, size, percent)
+    joined = F.when(F.col("linked"), F.col("u_root")).otherwise(F.col("root"))
+    left = difference_pairs(known.withColumn("joined", joined).withColumnRenamed("v", "node"), percent)
+    links = confirmed(left, each, size, percent).union(known.filter("linked").select("u", "v"))
+    return components(links.union(roots.select(F.col("root").alias("u"), F.col("node").alias("v"))))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,

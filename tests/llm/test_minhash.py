@@ -72,7 +72,7 @@ def test_groups_of_near_copies_and_short_texts(spark, by_row):
 
 
 def test_every_pair_of_a_bucket_is_decided(spark, by_row):
-    """With a single band of one permutation buckets hold many unlike sets; all links between their members are found."""
+    """With two bands of one permutation buckets hold many unlike sets; all links between their members are found."""
     rnd = random.Random(5)
     texts = ["a " + " ".join(rnd.choices([f"w{i}" for i in range(12)], k=rnd.randrange(4, 9))) for _ in range(60)]
     each = minhash.prints(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), 1, 2, 1)
