@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rosterlake.operators.store import Store
+from rosterlake.session import run_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def new_store(t: Tables, label: str) -> Store:
+    """An empty store in the shared folder."""
+    return Store(t.spark, run_folder(t.spark, label))
+
+
 class Tables:
     """The given tables as attributes, and inputs Spark derives from them."""
 

@@ -18,6 +18,7 @@ from rosterlake.plans.other_reports import (
 )
 from rosterlake.plans.preferences import apply_template, preference_rows, split_template
 from rosterlake.plans.shift_reports import COURIER_KEY, apply_shifts, load_couriers, load_pickers
+from rosterlake.plans.stored import Dimensions
 from rosterlake.plans.vacancies import (
     API_COLUMNS, API_RULES, WEB_COLUMNS, WEB_RULES, api_vacancies, new_vacancies, web_vacancies,
 )
@@ -233,6 +234,15 @@ def courier_warnings(t: Tables) -> DataFrame:
     ),
 )
 def picker_ingest(t: Tables) -> DataFrame:
+    load = load_pickers(picker_chunks(t), *stores_and_organisations(t))
+    return load.rows.select(
+        "picker_id", "employee_id", "tk_id", "division_id", "date_", "organisation_id", "SLA_reaction", "SLA_pick",
+        "picked_SKU", "file_date",
+    )
+
+
+def picker_chunks(t: Tables) -> DataFrame:
+    """Picker sheets: first in odd books, second in even books that open with couriers."""
     values = {
         "КПП Комплектовщика": "concat('P', user_id)", "employee_id": "concat('№ ', user_id, ' / 7')",
         "ТК": "user_id % 40", "Дивизион": _labels(DIVISION_LABELS, "event_id"),
@@ -243,16 +253,11 @@ def picker_ingest(t: Tables) -> DataFrame:
     }
     rows = t.events.withColumn("book", F.expr("event_id div 250"))
     first = F.col("book") % 2 == 1
-    delivered = chunks(
+    return chunks(
         rows, "event_id", landing_name(F.concat(F.lit("p"), "book"), file_day("book"), F.lit(SENDER)),
         F.when(first, 0).otherwise(1), texts(R.PICKER_HEADER), cells_of(R.PICKER_HEADER, values),
         F.when(first, texts(R.PICKER_HEADER)).otherwise(texts(R.COURIER_HEADER)),
     )
-    load = load_pickers(delivered, *stores_and_organisations(t))
-    return load.rows.select(
-        "picker_id", "employee_id", "tk_id", "division_id", "date_", "organisation_id", "SLA_reaction", "SLA_pick",
-        "picked_SKU", "file_date",
-    )
 
 
 # Hours ---------------------------------------------------------------------------------------
@@ -294,6 +299,27 @@ def hours_ingest(t: Tables) -> DataFrame:
 
 
 def hours_load(t: Tables):
+    """Hours stored before, and those a delivery brings."""
+    return known_hours(t), load_hours(hours_chunks(t), regions_by_name(t), addresses(t))
+
+
+def regions_by_name(t: Tables) -> DataFrame:
+    return t.region.selectExpr("r_regionkey AS id", "r_name AS legal_name")
+
+
+def addresses(t: Tables) -> DataFrame:
+    return t.nation.selectExpr("n_nationkey AS tks_id", "n_regionkey AS city_id", "concat('Addr ', n_nationkey) AS address")
+
+
+def known_hours(t: Tables) -> DataFrame:
+    return t.customer.filter("c_custkey % 3 = 0").selectExpr(
+        "c_name AS doer_name", "c_custkey AS doer_id", "1 AS tks_id", "1 AS speciality_id", "8D AS worked_hours",
+        "date_add(DATE '2022-05-20', CAST(c_custkey % 30 AS INT)) AS report_date", "DATE '2022-05-20' AS file_date",
+        "'old' AS filename",
+    )
+
+
+def hours_chunks(t: Tables) -> DataFrame:
     rows = t.customer.withColumn("book", F.expr("c_custkey div 100"))
     days = [F.date_add(F.lit("2022-06-01").cast("date"), F.expr(f"CAST(book % 10 + {i} AS INT)")) for i in range(3)]
     # dates come as text or as date cells
@@ -310,18 +336,10 @@ def hours_load(t: Tables):
                  f"THEN CAST((c_custkey + {i}) % 5 AS STRING) END") for i in range(3)],
         F.lit("99"),
     )
-    delivered = chunks(
+    return chunks(
         rows, "c_custkey", landing_name(F.concat(F.lit("hours-"), "book"), file_day("book"), F.lit(SENDER)),
         F.lit(0), headers, cells,
     )
-    regions = t.region.selectExpr("r_regionkey AS id", "r_name AS legal_name")
-    tks = t.nation.selectExpr("n_nationkey AS tks_id", "n_regionkey AS city_id", "concat('Addr ', n_nationkey) AS address")
-    stored = t.customer.filter("c_custkey % 3 = 0").selectExpr(
-        "c_name AS doer_name", "c_custkey AS doer_id", "1 AS tks_id", "1 AS speciality_id", "8D AS worked_hours",
-        "date_add(DATE '2022-05-20', CAST(c_custkey % 30 AS INT)) AS report_date", "DATE '2022-05-20' AS file_date",
-        "'old' AS filename",
-    )
-    return stored, load_hours(delivered, regions, tks)
 
 
 @query(
@@ -357,6 +375,18 @@ def hours_found_wanting(t: Tables) -> DataFrame:
 
 
 def revenue_load(t: Tables):
+    return load_revenues(revenue_chunks(t), *dimensions(t))
+
+
+def dimensions(t: Tables) -> Dimensions:
+    return Dimensions(
+        t.supplier.selectExpr("s_suppkey AS id", "concat('user', s_suppkey, '@mail.example') AS email"),
+        t.supplier.selectExpr("s_suppkey AS id", "s_name AS name"), regions_by_name(t),
+        t.nation.selectExpr("n_nationkey AS id", "n_name AS name"),
+    )
+
+
+def revenue_chunks(t: Tables) -> DataFrame:
     values = {
         "ID": "CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END", "Дата": "date_format(o_orderdate, 'yyyy-MM-dd 00:00:00')",
         "Сумма Выручки": "CASE WHEN o_orderkey % 19 <> 0 THEN o_totalprice END", "Статья": "o_orderpriority",
@@ -366,16 +396,10 @@ def revenue_load(t: Tables):
     }
     rows = t.orders.withColumn("book", F.expr("o_orderkey div 200"))
     sender = F.concat(F.lit("user"), F.col("book") % 120, F.lit("@mail.example"))
-    delivered = chunks(
+    return chunks(
         rows, "o_orderkey", landing_name(F.concat(F.lit("rev-"), "book", F.lit(".xlsx")), file_day("book"), sender),
         F.lit(0), texts(R.REVENUE_HEADER), cells_of(R.REVENUE_HEADER, values),
     )
-    return load_revenues(
-        delivered, t.supplier.selectExpr("s_suppkey AS id", "concat('user', s_suppkey, '@mail.example') AS email"),
-        t.supplier.selectExpr("s_suppkey AS id", "s_name AS name"),
-        t.region.selectExpr("r_regionkey AS id", "r_name AS legal_name"),
-        t.nation.selectExpr("n_nationkey AS id", "n_name AS name"),
-    )
 
 
 @query(
@@ -425,6 +449,10 @@ RESOURCE_LABELS = (*R.RESOURCES, "Грузчик")
     ),
 )
 def request_ingest(t: Tables) -> DataFrame:
+    return load_requests(request_chunks(t), stores_and_organisations(t)[0]).rows
+
+
+def request_chunks(t: Tables) -> DataFrame:
     rows = t.customer.withColumn("book", F.expr("c_custkey div 100"))
     first = [F.date_format(F.date_add(F.lit("2022-06-01").cast("date"), F.expr(f"CAST(book % 10 + {i} AS INT)")),
                            "yyyy-MM-dd HH:mm:ss") for i in range(2)]
@@ -440,7 +468,7 @@ def request_ingest(t: Tables) -> DataFrame:
     night = F.expr("CASE WHEN c_custkey % 4 = 0 THEN '1' END")
     more = F.expr("CAST(c_custkey % 3 AS STRING)")
     even = F.col("c_custkey") % 2 == 0
-    delivered = chunks(
+    return chunks(
         rows, "c_custkey", landing_name(F.concat(F.lit("req-"), "book"), file_day("book"), F.lit(SENDER)),
         F.when(even, 0).otherwise(1), F.when(F.col("sheet") == 0, head).otherwise(other),
         F.when(even, F.array(store, resource, *counts, F.lit("5"), night, more)).otherwise(
@@ -448,7 +476,6 @@ def request_ingest(t: Tables) -> DataFrame:
         ),
         head,
     )
-    return load_requests(delivered, stores_and_organisations(t)[0]).rows
 
 
 # Preferences ---------------------------------------------------------------------------------
@@ -490,23 +517,7 @@ _PREFERENCE_VALUES = ("first_name", "zones", "time_start", "couriers_intervals_l
     ),
 )
 def preference_ingest(t: Tables) -> DataFrame:
-    values = {
-        "courier_id": "user_id", "first_name": "concat('N', user_id)", "zones": "event_type",
-        "day_of_week_number": "weekday(ts) + 1", "time_start": "CASE WHEN event_id % 4 <> 0 THEN event_id % 24 END",
-        "couriers_intervals_last_update": "CASE WHEN event_id % 29 <> 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') END",
-    }
-    # one delivery in chunks of 1000 rows
-    rows = t.events.withColumn("part", F.expr("event_id div 1000"))
-    pieces = rows.groupBy("part").agg(
-        F.array_sort(F.collect_list(F.struct("event_id", cells_of(R.PREFERENCE_HEADER, values).alias("cells")))).alias("rows")
-    )
-    delivered = pieces.select(
-        landing_name(F.lit("prefs.xlsx"), F.lit(DELIVERED), F.lit(SENDER)).alias("file"), F.lit(0).alias("sheet"),
-        texts(R.PREFERENCE_HEADER).alias("book_headers"), texts(R.PREFERENCE_HEADER).alias("headers"),
-        (F.col("part") * 1000 + 1).cast("int").alias("first_row"), F.lit(False).alias("is_last"),
-        F.col("rows.cells").alias("rows"),
-    )
-    template = split_template(preference_rows(delivered))
+    template = split_template(preference_rows(preference_chunks(t, None, DELIVERED, "prefs.xlsx")))
     stored = (
         t.events.filter("user_id % 3 <> 0")
         .groupBy(F.col("user_id").alias("courier_id"),
@@ -527,6 +538,27 @@ def preference_ingest(t: Tables) -> DataFrame:
     return after.select("courier_id", "preferred_date", *_PREFERENCE_VALUES)
 
 
+def preference_chunks(t: Tables, number: int | None, day: date, name: str) -> DataFrame:
+    """One delivery of a template, in chunks of 1000 rows. Numbered deliveries differ in rows, times and withdrawals."""
+    n = number or 0
+    values = {
+        "courier_id": "user_id", "first_name": "concat('N', user_id)", "zones": "event_type",
+        "day_of_week_number": "weekday(ts) + 1", "time_start": f"CASE WHEN event_id % 4 <> 0 THEN (event_id + {n}) % 24 END",
+        "couriers_intervals_last_update": f"CASE WHEN (event_id + {n}) % 29 <> 0 THEN date_format(ts, 'yyyy-MM-dd HH:mm:ss') END",
+    }
+    given = t.events if number is None else t.events.filter(f"event_id % 4 <> {n}")
+    rows = given.withColumn("part", F.expr("event_id div 1000"))
+    pieces = rows.groupBy("part").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", cells_of(R.PREFERENCE_HEADER, values).alias("cells")))).alias("rows")
+    )
+    return pieces.select(
+        landing_name(F.lit(name), F.lit(day), F.lit(SENDER)).alias("file"), F.lit(0).alias("sheet"),
+        texts(R.PREFERENCE_HEADER).alias("book_headers"), texts(R.PREFERENCE_HEADER).alias("headers"),
+        (F.col("part") * 1000 + 1).cast("int").alias("first_row"), F.lit(False).alias("is_last"),
+        F.col("rows.cells").alias("rows"),
+    )
+
+
 # Shift outputs -------------------------------------------------------------------------------
 
 
@@ -543,12 +575,16 @@ _OUTPUT_COLUMNS = (*_OUTPUT, "schedule_date", "filename", "fix_date")
 
 
 def output_load(t: Tables):
+    return load_outputs(output_chunks(t))
+
+
+def output_chunks(t: Tables) -> DataFrame:
     values = {**_OUTPUT, "schedule_date": "date_format(o_orderdate, 'yyyy-MM-dd')", "horario_reparto_id": "o_orderkey"}
     rows = t.orders.withColumn("book", F.expr("o_orderkey div 300"))
-    return load_outputs(chunks(
+    return chunks(
         rows, "o_orderkey", landing_name(F.concat(F.lit("out-"), "book"), file_day("book"), F.lit(SENDER)),
         F.lit(0), texts(R.OUTPUT_HEADER), cells_of(R.OUTPUT_HEADER, values),
-    ))
+    )
 
 
 @query(
@@ -605,12 +641,16 @@ _FOUND = f"""SELECT event_id, lower({_sql_texts(HEADS)}[event_id % {len(HEADS)}
     WHERE event_id % 2 = 1 OR event_id % 3 = 0 OR event_id % 4 = 0 OR event_id % 5 = 0""",
 )
 def api_ingest(t: Tables) -> DataFrame:
-    found = settle(api_vacancies(api_pages(t, _TITLE)), "items")
+    found = settle(found_api_vacancies(t), "items")
     # the table holds the even ids; of those, rows with a null come in again
     stored = found.filter("CAST(vacancy_id AS BIGINT) % 2 = 0")
     return new_vacancies(stored, found, API_COLUMNS)
 
 
+def found_api_vacancies(t: Tables) -> DataFrame:
+    return api_vacancies(api_pages(t, _TITLE))
+
+
 @query(
     "ingest_web_vacancies",
     f"""SELECT '/vacancy/' || p_partkey AS vacancy_id, vacancy_name, CAST(p_partkey // 20 % 84 AS INT) AS region,

@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from rosterlake.catalog.base import ORACLES, Tables, query
+from rosterlake.catalog.base import ORACLES, Tables, new_store, query
 from rosterlake.catalog.ingests import (
-    ROLE_LABELS, _code_sql, _labels_sql, courier_chunks, hours_load, known_couriers, revenue_load, stores_and_organisations,
+    ROLE_LABELS, _code_sql, _labels_sql, addresses, courier_chunks, dimensions, hours_chunks, hours_load, known_couriers, known_hours,
+    regions_by_name, revenue_chunks, stores_and_organisations,
 )
-from rosterlake.operators.writes import overwrite_partitions
+from rosterlake.operators.store import Change, Store
 from rosterlake.plans import reports as R, stored
-from rosterlake.plans.shift_reports import COURIER_KEY, load_couriers
+from rosterlake.plans.pay import COURIER_FACTS, MONTHS
+from rosterlake.plans.shift_reports import load_couriers
 from rosterlake.plans.slices import contract_slice
-from rosterlake.session import run_folder
+
+
+def start_names(t: Tables, store: Store) -> None:
+    """Dictionaries of stores and organisations as they are before the first load."""
+    tks, organisations = stores_and_organisations(t)
+    store.commit("dictionaries", lambda change: stored.start(change, tks=tks, organisations=organisations))
 
 
 @query(
@@ -24,9 +31,9 @@ from rosterlake.session import run_folder
     UNION ALL """ + ORACLES["ingest_revenue_audit"],
 )
 def revenues_logged(t: Tables) -> DataFrame:
-    root = run_folder(t.spark, "revenues")
-    stored.append_revenues(revenue_load(t), f"{root}/table", f"{root}/log")
-    return stored.run_log(t.spark, f"{root}/log")
+    store = new_store(t, "revenues")
+    store.commit("one", lambda change: stored.append_revenues(change, revenue_chunks(t), dimensions(t)))
+    return stored.run_log(store)
 
 
 @query(
@@ -36,14 +43,18 @@ def revenues_logged(t: Tables) -> DataFrame:
     UNION ALL SELECT * FROM ({ORACLES["ingest_shift_warnings"]})""",
 )
 def couriers_logged(t: Tables) -> DataFrame:
-    root = run_folder(t.spark, "couriers")
-    load = load_couriers(courier_chunks(t), *stores_and_organisations(t))
-    known = known_couriers(t, load)
-    overwrite_partitions(known, f"{root}/table", ["date_"])
-    stored.merge_shifts(
-        t.spark, f"{root}/table", known.schema, load, COURIER_KEY, f"{root}/staging", f"{root}/log", "couriers"
-    )
-    return stored.run_log(t.spark, f"{root}/log")
+    store = new_store(t, "couriers")
+    start_names(t, store)
+    known = known_couriers(t, load_couriers(courier_chunks(t), *stores_and_organisations(t)))
+
+    def before(change: Change) -> int:
+        change.create(stored.COURIERS, known.schema, MONTHS, COURIER_FACTS)
+        return change.append(stored.COURIERS, known)
+
+    store.commit("before", before)
+    store.commit("one", lambda change: stored.merge_couriers(change, courier_chunks(t)))
+    # what the dictionaries gained is logged too; see dict_stored
+    return stored.run_log(store).filter("event_source <> 'dictionaries'")
 
 
 @query(
@@ -56,26 +67,28 @@ def couriers_logged(t: Tables) -> DataFrame:
     WHERE c_custkey > lo AND c_custkey < hi AND {_code_sql('role', R.ROLES, 0)} = 0 HAVING COUNT(*) > 0""",
 )
 def hours_logged(t: Tables) -> DataFrame:
-    root = run_folder(t.spark, "hours")
-    before, load = hours_load(t)
-    overwrite_partitions(before, f"{root}/table", ["report_date"])
-    stored.replace_hours(load, f"{root}/table", f"{root}/staging", f"{root}/log")
-    return stored.run_log(t.spark, f"{root}/log")
+    return stored.run_log(hours_store(t)).filter("event_source <> 'dictionaries'")
 
 
-@query(
-    "hours_stored",
-    "SELECT doer_id, worked_hours, report_date, filename FROM (" + ORACLES["ingest_hours"] + ")",
-)
+def hours_store(t: Tables) -> Store:
+    """A store with hours of before, and then the delivery."""
+    store = new_store(t, "hours")
+    schema = hours_load(t)[1].rows.schema
+
+    def before(change: Change) -> int:
+        stored.start(change, addresses=addresses(t))
+        change.create(stored.HOURS, schema, "date_format(report_date, 'yyyy-MM')")
+        return change.append(stored.HOURS, known_hours(t))
+
+    store.commit("before", before)
+    store.commit("one", lambda change: stored.replace_hours(change, hours_chunks(t), regions_by_name(t)))
+    return store
+
+
+@query("hours_stored", ORACLES["ingest_hours"])
 def hours_on_disk(t: Tables) -> DataFrame:
     """The next state of stored hours; dates that only bring zeros are emptied."""
-    root = run_folder(t.spark, "hours")
-    before, load = hours_load(t)
-    before = before.select(*[F.col(f.name).cast(f.dataType) for f in load.rows.schema])
-    overwrite_partitions(before, f"{root}/table", ["report_date"])
-    stored.replace_hours(load, f"{root}/table", f"{root}/staging", f"{root}/log")
-    rows = t.spark.read.schema(before.schema).parquet(f"{root}/table")
-    return rows.select("doer_id", "worked_hours", "report_date", "filename")
+    return hours_store(t).table(stored.HOURS)
 
 
 @query(
@@ -85,8 +98,8 @@ def hours_on_disk(t: Tables) -> DataFrame:
     OR (o_orderstatus <> 'O' AND CAST(o_orderdate AS DATE) = DATE '1997-03-09')""",
 )
 def slices_logged(t: Tables) -> DataFrame:
-    root = run_folder(t.spark, "slices")
+    store = new_store(t, "slices")
     rows = t.orders.selectExpr("o_orderkey AS id", "o_orderstatus = 'O' AS is_active", "o_orderdate AS changed")
     day = date(1997, 3, 10)
-    stored.add_slice(contract_slice(rows, day, rows.columns), f"{root}/table", day, f"{root}/log", "contracts")
-    return stored.run_log(t.spark, f"{root}/log")
+    store.commit("one", lambda change: stored.add_slice(change, contract_slice(rows, day, rows.columns), day, "contracts"))
+    return stored.run_log(store)

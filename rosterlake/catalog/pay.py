@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.catalog.base import FX, Tables, query, with_fx
+from rosterlake.catalog.base import FX, Tables, new_store, query, with_fx
 from rosterlake.operators.aggregate import pending_values
+from rosterlake.operators.store import Change
 from rosterlake.plans.pay import (
-    COURIER_FIELDS, COURIER_PAY, PICKER_FIELDS, PICKER_PAY, courier_pay, courier_repriced, courier_unmatched,
+    COURIER_FACTS, COURIER_FIELDS, COURIER_PAY, MONTHS, PICKER_FIELDS, PICKER_PAY, courier_pay, courier_repriced, courier_unmatched,
     picker_pay, picker_repriced, picker_unmatched, reprice_couriers_stored,
 )
-from rosterlake.operators.writes import overwrite_partitions
 from rosterlake.plans.tariffs import date_bounds, effective_prices, repeated_prices
 from rosterlake.session import run_folder, settle
 
@@ -124,10 +124,15 @@ def couriers_updated_on_disk(t: Tables) -> DataFrame:
     """The same next state for a stored table, of which only the pending days are read and rewritten."""
     work, tks, tariffs, prices = courier_inputs(t)
     table = work.withColumn("full_payment_client", F.col("full_payment_client").cast("double"))
-    path = run_folder(t.spark, "work")
-    overwrite_partitions(table, path, ["date_"])
-    reprice_couriers_stored(t.spark, path, table.schema, tks, tariffs, prices, f"{path}-staging")
-    return t.spark.read.schema(table.schema).parquet(path).select("id", "courier_id", "date_", "full_payment_client")
+    store = new_store(t, "work")
+
+    def before(change: Change) -> int:
+        change.create("work", table.schema, MONTHS, COURIER_FACTS)
+        return change.append("work", table)
+
+    store.commit("before", before)
+    store.commit("pay", lambda change: reprice_couriers_stored(change, "work", tks, tariffs, prices))
+    return store.table("work").select("id", "courier_id", "date_", "full_payment_client")
 
 
 def _band(low: int, high: int) -> str:

@@ -5,13 +5,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.catalog.base import Tables, query
+from rosterlake.catalog.base import Tables, new_store, query
 from rosterlake.catalog.books import encode_workbooks
 from rosterlake.functions import coerce_numeric, parse_date
 from rosterlake.operators.clean import select_as
 from rosterlake.operators.quality import append_audit, audit_row, quality_counts, warnings
 from rosterlake.operators.reshape import dated_columns
-from rosterlake.operators.writes import append_rows
+from rosterlake.operators.store import Change
 from rosterlake.plans import reports as R
 from rosterlake.plans.vacancies import WEB_COUNTER, WEB_PAGER
 from rosterlake.session import run_folder
@@ -204,11 +204,20 @@ def pager_pages(t: Tables) -> DataFrame:
     (SELECT COUNT(*) FROM orders i WHERE i.o_orderkey % 2 = o.o_orderkey % 2) AS rows_written FROM orders o""",
 )
 def appended(t: Tables) -> DataFrame:
-    path = run_folder(t.spark, "append")
+    store = new_store(t, "append")
     rows = t.orders.select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 2).cast("int").alias("load_no"))
-    counts = [append_rows(rows.filter(F.col("load_no") == n), path) for n in (0, 1)]
+
+    def append(n: int):
+        def work(change: Change) -> int:
+            change.create("orders", rows.schema)
+            return change.append("orders", rows.filter(F.col("load_no") == n))
+
+        return work
+
+    # a load that is run again finds itself in the store
+    counts = [store.commit(f"load {n}", append(n)) for n in (0, 1, 0)]
     written = F.when(F.col("load_no") == 0, F.lit(counts[0])).otherwise(F.lit(counts[1])).cast("bigint")
-    return t.spark.read.schema(rows.schema).parquet(path).withColumn("rows_written", written)
+    return store.table("orders").withColumn("rows_written", written)
 
 
 @query(
@@ -219,14 +228,14 @@ def appended(t: Tables) -> DataFrame:
     HAVING COUNT(*) > 0""",
 )
 def audit(t: Tables) -> DataFrame:
-    path = run_folder(t.spark, "log")
+    store = new_store(t, "log")
     states = t.orders.groupBy("o_orderstatus").count()
     text = F.concat("count", F.lit(" records in state "), "o_orderstatus")
-    append_audit(audit_row(states, "event", "orders", text), path)
+    store.commit("states", lambda change: append_audit(change, audit_row(states, "event", "orders", text)))
     checks = {"cheap": F.col("o_totalprice") < 50000, "free": F.col("o_totalprice") <= 0}
     found = F.concat("check_name", F.lit(": "), "bad_rows", F.lit(" rows"))
-    append_audit(warnings(quality_counts(t.orders, checks), "orders", found), path)
-    return t.spark.read.parquet(path)
+    store.commit("checks", lambda change: append_audit(change, warnings(quality_counts(t.orders, checks), "orders", found)))
+    return store.table("log")
 
 
 # Workbooks -----------------------------------------------------------------------------------

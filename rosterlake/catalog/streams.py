@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from rosterlake.catalog.base import Tables, query
+from rosterlake.catalog.base import Tables, new_store, query
 from rosterlake.catalog.scans import order_books
 from rosterlake.session import run_folder
 from rosterlake.sources.workbook import cell_at, decode_workbooks, sheet_rows
@@ -40,8 +40,7 @@ def ingested(t: Tables) -> DataFrame:
 )
 def stream_upserted(t: Tables) -> DataFrame:
     """Three deliveries that share keys and days, the oldest rows of many keys last."""
-    root = run_folder(t.spark, "stream")
-    schema = StructType.fromDDL("k bigint, status string, event_id bigint, day date")
+    root, store = run_folder(t.spark, "stream"), new_store(t, "stream")
     for where in ("event_id % 3 = 1", "event_id % 3 = 2", "event_id % 3 = 0"):
         _land(t, f"{root}/landing", where)
         rows = landing_stream(t.spark, f"{root}/landing", schema=EVENT_SCHEMA)
@@ -49,10 +48,10 @@ def stream_upserted(t: Tables) -> DataFrame:
             "event_id div 3 % 20 AS k", "event_type AS status", "event_id", "CAST(ts AS DATE) AS day"
         )
         upsert_new(
-            keyed, f"{root}/table", schema, ["k", "day"], ["status", "event_id"], "day", ["event_id"],
+            keyed, store, "events", ["k", "day"], ["status", "event_id"], "date_format(day, 'yyyy-MM')", ["event_id"],
             f"{root}/checkpoint",
         )
-    return t.spark.read.schema(schema).parquet(f"{root}/table").select(schema.names)
+    return store.table("events")
 
 
 @query(

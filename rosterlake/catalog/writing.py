@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
 
-from rosterlake.catalog.base import Tables, query, with_fx
+from rosterlake.catalog.base import Tables, new_store, query, with_fx
+from rosterlake.operators.store import Change
 from rosterlake.operators.writes import (
-    blank_withdrawn, insert_if_absent, keyed_update, merge_into, overwrite_partitions, replace_dates, replace_stored,
-    upsert,
+    blank_withdrawn, insert_if_absent, keyed_update, merge_rows, replace_covered, replace_dates, upsert,
 )
 from rosterlake.plans.slices import CONTRACT_COLUMNS, COURIER_COLUMNS, contract_slice, courier_slice, store_slice
-from rosterlake.session import run_folder
 
 _BASE = "SELECT o_orderkey AS k, o_orderstatus AS status, CAST(FLOOR(o_totalprice) AS BIGINT) AS price, " \
         "CAST(o_orderdate AS DATE) AS created FROM orders"
@@ -114,12 +113,18 @@ def replaced(t: Tables) -> DataFrame:
 )
 def replaced_on_disk(t: Tables) -> DataFrame:
     """Dates the report covers without having rows for them are emptied too."""
-    path = run_folder(t.spark, "replace")
+    store = new_store(t, "replace")
     base = base_orders(t).withColumn("created", F.trunc("created", "month"))
-    overwrite_partitions(base, path, ["created"])
     covered = base.filter("k % 300 = 0").withColumn("status", F.lit("R"))
-    replace_stored(covered.filter("month(created) <> 3"), covered.select("created"), path, "created", f"{path}-staging")
-    return t.spark.read.schema(base.schema).parquet(path).select(base.columns)
+    report = covered.filter("month(created) <> 3")
+
+    def before(change: Change) -> int:
+        change.create("orders", base.schema, "date_format(created, 'yyyy')")
+        return change.append("orders", base)
+
+    store.commit("before", before)
+    store.commit("report", lambda change: replace_covered(change, "orders", report, covered.select("created"), "created"))
+    return store.table("orders")
 
 
 @query(
@@ -133,16 +138,71 @@ def replaced_on_disk(t: Tables) -> DataFrame:
     ),
 )
 def merged_on_disk(t: Tables) -> DataFrame:
-    path = run_folder(t.spark, "merge")
-    schema = StructType.fromDDL("k bigint, status string, month date")
+    store = new_store(t, "merge")
     month = F.trunc(F.to_date("o_orderdate"), "month").alias("month")
     base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), month)
     updates = t.orders.filter("o_orderdate < '1995-04-01'").select(
         (F.col("o_orderkey") * 2).alias("k"), F.lit("M").alias("status"), month
     )
     for step, rows in enumerate((base, updates)):
-        merge_into(t.spark, path, schema, rows, ["k", "month"], ["status"], "month", f"{path}-staging/{step}")
-    return t.spark.read.schema(schema).parquet(path).select(schema.names)
+        store.commit(f"step {step}", merging(rows))
+    return store.table("orders")
+
+
+def merging(rows: DataFrame, meanwhile: Callable[[], object] | None = None) -> Callable[[Change], dict[str, int]]:
+    """A merge into the table orders; ``meanwhile`` is called once, after the rows are staged and before they are visible."""
+    calls = [meanwhile] if meanwhile else []
+
+    def work(change: Change) -> dict[str, int]:
+        change.create("orders", rows.schema, "date_format(month, 'yyyy-MM')")
+        counts = merge_rows(change, "orders", rows, ["k", "month"], ["status"])
+        if calls:
+            calls.pop()()
+        return counts
+
+    return work
+
+
+_STEPS = """SELECT o_orderkey AS k, o_orderstatus AS status, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, 0 AS step FROM orders
+    UNION ALL SELECT o_orderkey, 'B', CAST(date_trunc('month', o_orderdate) AS DATE), 1 FROM orders
+    WHERE o_orderkey % 3 = 0 AND o_orderdate < TIMESTAMP '1995-06-01'
+    UNION ALL SELECT o_orderkey * 2, 'A', CAST(date_trunc('month', o_orderdate) AS DATE), 2 FROM orders WHERE o_orderdate < TIMESTAMP '1995-04-01'
+    UNION ALL SELECT o_orderkey + 1000000000, 'D', DATE '1995-02-01', 3 FROM orders WHERE o_orderkey % 50 = 0
+    UNION ALL SELECT o_orderkey, 'C', CAST(date_trunc('month', o_orderdate) AS DATE), 4 FROM orders
+    WHERE o_orderkey % 5 = 0 AND o_orderdate < TIMESTAMP '1995-03-01'"""
+
+
+@query(
+    "commit_conflicts",
+    f"""SELECT k, status, month FROM (SELECT *, row_number() OVER (PARTITION BY k, month ORDER BY step DESC) AS rn FROM ({_STEPS}))
+    WHERE rn = 1""",
+)
+def conflicting(t: Tables) -> DataFrame:
+    """Writer B commits while A has staged the same months, D while C has died after staging; C is run again. No row is lost."""
+    store = new_store(t, "conflicts")
+    month = F.trunc(F.to_date("o_orderdate"), "month").alias("month")
+
+    def rows(where: str, key: str, status: str) -> DataFrame:
+        return t.orders.filter(where).select(F.expr(f"{key} AS k"), F.expr(f"{status} AS status"), month)
+
+    a, b = rows("o_orderdate < '1995-04-01'", "o_orderkey * 2", "'A'"), rows("o_orderkey % 3 = 0 AND o_orderdate < '1995-06-01'", "o_orderkey", "'B'")
+    c = rows("o_orderkey % 5 = 0 AND o_orderdate < '1995-03-01'", "o_orderkey", "'C'")
+    d = t.orders.filter("o_orderkey % 50 = 0").selectExpr("o_orderkey + 1000000000 AS k", "'D' AS status", "DATE '1995-02-01' AS month")
+
+    class Died(Exception):
+        pass
+
+    def die() -> None:
+        raise Died
+
+    store.commit("base", merging(rows("true", "o_orderkey", "o_orderstatus")))
+    store.commit("A", merging(a, lambda: store.commit("B", merging(b))))
+    try:
+        store.commit("C", merging(c, die))
+    except Died:
+        store.commit("D", merging(d))
+        store.commit("C", merging(c))
+    return store.table("orders")
 
 
 @query(
@@ -154,9 +214,8 @@ def merged_on_disk(t: Tables) -> DataFrame:
     UNION ALL SELECT 1, 'updated', COUNT(*) FROM (SELECT * FROM upd INTERSECT SELECT * FROM base)""",
 )
 def merge_counted(t: Tables) -> DataFrame:
-    """Rows per action as two merges into a stored table report them; both merges name one staging folder."""
-    path = run_folder(t.spark, "merge")
-    schema = StructType.fromDDL("k bigint, status string, month date")
+    """Rows per action as two merges into a stored table report them."""
+    store = new_store(t, "merge")
     month = F.trunc(F.to_date("o_orderdate"), "month").alias("month")
     base = t.orders.select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("status"), month)
     updates = t.orders.filter("o_orderdate < '1995-04-01'").select(
@@ -165,8 +224,7 @@ def merge_counted(t: Tables) -> DataFrame:
     found = [
         (step, action, n)
         for step, rows in enumerate((base, updates))
-        for action, n in merge_into(
-            t.spark, path, schema, rows, ["k", "month"], ["status"], "month", f"{path}-staging").items()
+        for action, n in store.commit(f"step {step}", merging(rows)).items()
     ]
     return t.spark.createDataFrame(found, "step int, action string, rows bigint")
 
@@ -268,10 +326,10 @@ _DAY_SQL = """SELECT o_orderkey AS id, o_orderstatus = 'O' AS is_active, o_order
 
 @query("slices_stored", _DAY_SQL.format("1997-03-09") + " UNION ALL " + _DAY_SQL.format("1997-03-10"))
 def stored_slices(t: Tables) -> DataFrame:
-    path = run_folder(t.spark, "slices")
+    store = new_store(t, "slices")
     rows = t.orders.selectExpr("o_orderkey AS id", "o_orderstatus = 'O' AS is_active", "o_orderdate AS changed")
     # the first day is stored twice and kept once
-    for day in (10, 11, 10):
-        store_slice(contract_slice(rows, date(1997, 3, day), rows.columns), path, date(1997, 3, day))
-    schema = contract_slice(rows, date(1997, 3, 10), rows.columns).schema
-    return t.spark.read.schema(schema).parquet(path)
+    for step, day in enumerate((10, 11, 10)):
+        slice_ = contract_slice(rows, date(1997, 3, day), rows.columns)
+        store.commit(f"run {step}", lambda change, d=day, x=slice_: store_slice(change, "slices", x, date(1997, 3, d)))
+    return store.table("slices")

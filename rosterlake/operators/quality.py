@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from rosterlake.operators.store import Change
 
 AUDIT_COLUMNS = ("event_type", "event_source", "description")
+LOG_SCHEMA = StructType([StructField(c, StringType()) for c in AUDIT_COLUMNS])
 
 
 def quality_counts(df: DataFrame, checks: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -50,9 +54,13 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("rows_found")).filter("rows_found > 1")
 
 
-def append_audit(rows: DataFrame, path: str) -> None:
-    """Append audit rows to the run log in one file.
+def append_audit(change: Change, rows: DataFrame, name: str = "log") -> int:
+    """Append audit rows to the run log of a store, in the same version as what they tell of; returns how many."""
+    change.create(name, LOG_SCHEMA)
+    return change.append(name, rows)
 
-    The rows are shuffled to the one task that writes them, so what finds them runs in parallel.
-    """
-    rows.select(*AUDIT_COLUMNS).repartition(1).write.mode("append").parquet(path)
+
+def log_counts(change: Change, source: str, counts: Mapping[str, int], text: str = "nothing new") -> None:
+    """An event that tells the rows per action, as they were counted while the rows were written."""
+    told = ", ".join(f"{kind} {n}" for kind, n in counts.items()) if sum(counts.values()) else text
+    append_audit(change, change.spark.createDataFrame([("event", source, told)], LOG_SCHEMA))

@@ -1,23 +1,22 @@
 """Write semantics of a keyed table, as new states of that table.
 
-The state functions return the whole next state and never touch storage. ``overwrite_partitions``
-and ``merge_into`` store a state; at scale ``merge_into`` reads and rewrites only the partitions
-the updates fall into.
+The state functions return the whole next state and never touch storage. The functions on a ``Change``
+store it; they read and write only the partitions concerned.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
-from pyspark.errors import AnalysisException
 
 from rosterlake.operators.aggregate import keep_last
-from rosterlake.operators.joins import absent_rows, present_rows
-from rosterlake.session import discard, settle
+from rosterlake.operators.joins import absent_rows, member_rows, present_rows
+from rosterlake.operators.store import Change
+from rosterlake.session import settle
 
 
 def _all_present(columns: Sequence[str]) -> Column:
@@ -169,130 +168,67 @@ def daily_slice(df: DataFrame, columns: Sequence[str], as_of: Column, out: str =
     return df.select(*columns, F.date_sub(as_of, 1).alias(out))
 
 
-# Storage -------------------------------------------------------------------------------------
+# Stored tables -------------------------------------------------------------------------------
 
 
-def append_rows(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
-    """Append rows and return how many, counted while they are written."""
-    seen = Observation("append")
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("append").partitionBy(*partition_by).parquet(path)
-    return seen.get["rows"]
-
-
-def _balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Rows of one partition together, few files each; Spark splits a partition that is too large."""
-    return df.hint("rebalance", *[F.col(c) for c in partition_by])
-
-
-def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions present in ``df``; a rerun gives the same table."""
-    _overwrite(_balanced(df, partition_by), path, partition_by)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("_probe int").parquet(path).limit(0)
-        return True
-    except AnalysisException:
-        return False
-
-
-def content_tag(df: DataFrame) -> str:
-    """A name for the rows of a table, whatever their order."""
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
-    rows, total = df.agg(F.count(F.lit(1)), F.sum(whole)).first()
-    return f"{rows}_{total or 0}"
-
-
-def store_partitions(
-    rows: DataFrame, path: str, schema: StructType, partition_by: str, staging: str, tag: str, action: str | None = None
-) -> dict[str, int]:
-    """Replace partitions of a stored table by rows that may have been read from it.
-
-    The rows go to a folder below ``staging`` in the shared folder first, so the table is never
-    overwritten by a plan that reads it. The folder is named by ``tag``, which stands for the batch: a retry of
-    the same batch after a crash goes on from its finished staging files, another batch never meets
-    them. It is deleted after the switch. With an ``action`` column the rows per action are returned.
-    """
-    spark, staged = rows.sparkSession, f"{staging}/{tag}"
-    extra = [action] if action else []
-    if not _exists(spark, f"{staged}/_SUCCESS"):
-        balanced = _balanced(rows.select(*schema.names, *extra), [partition_by])
-        balanced.write.mode("overwrite").partitionBy(partition_by).parquet(staged)
-    full = schema if not action else StructType([*schema.fields, StructField(action, StringType())])
-    found = spark.read.schema(full).parquet(staged)
-    counts = {r[0]: r[1] for r in found.groupBy(action).count().collect()} if action else {}
-    _overwrite(found.select(schema.names), path, [partition_by])
-    discard(spark, staged)
-    return counts
-
-
-def drop_partitions(spark: SparkSession, path: str, column: str, values: Iterable) -> None:
-    """Delete the listed partitions of a stored table; values are few, as each is a folder."""
-    for value in values:
-        shown = "__HIVE_DEFAULT_PARTITION__" if value is None else value
-        discard(spark, f"{path}/{column}={shown}")
-
-
-def replace_stored(report: DataFrame, dates: DataFrame, path: str, column: str, staging: str) -> None:
-    """``replace_dates`` on a stored table partitioned by the date.
-
-    Dates the report covers (``dates``) without having rows for them lose their rows too. Run again, it
-    gives the same table.
-    """
-    spark = report.sparkSession
-    held = [r[0] for r in report.select(column).distinct().collect()]
-    empty = [r[0] for r in dates.select(column).distinct().collect() if r[0] not in held]
-    store_partitions(report, path, report.schema, column, staging, content_tag(report))
-    drop_partitions(spark, path, column, empty)
-
-
-def touched_partitions(
-    spark: SparkSession, path: str, schema: StructType, updates: DataFrame, partition_by: str
-) -> DataFrame:
-    """The stored rows of the partitions the updates fall into; the scan reads no others.
-
-    The partition values are collected: they are few, and the driver's file index lists each anyway.
-    """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
-    values = [row[0] for row in updates.select(partition_by).distinct().collect()]
-    table = spark.read.schema(schema).parquet(path).select(schema.names)
-    wanted = F.col(partition_by).isin([v for v in values if v is not None])
-    return table.filter(wanted | F.col(partition_by).isNull() if None in values else wanted)
-
-
-def merge_into(
-    spark: SparkSession,
-    path: str,
-    schema: StructType,
+def merge_rows(
+    change: Change,
+    name: str,
     updates: DataFrame,
     keys: Sequence[str],
     update_columns: Sequence[str],
-    partition_by: str,
-    staging: str,
     order: Sequence[str] = (),
     provenance: Sequence[str] = (),
     newer: Sequence[str] = (),
+    anywhere: bool = False,
 ) -> dict[str, int]:
-    """Upsert into a stored table partitioned by a column that is part of the key.
+    """Upsert into a stored table; only the partitions the updates fall into are read and written, once.
 
-    Only the partitions the updates fall into are read and rewritten. Returns how many rows were
-    inserted and updated.
+    A key's row must stay in its partition, unless ``anywhere``: then the partitions that hold one of the keys are
+    looked up first, in a scan of the key and partition columns, and rows may move. Returns the rows inserted and updated.
     """
     updates = settle(updates, "updates")
-    touched = touched_partitions(spark, path, schema, updates, partition_by)
-    merged = upsert(touched, updates, keys, update_columns, order, provenance, "_action", newer)
-    tag = content_tag(updates)
-    counts = store_partitions(merged, path, schema, partition_by, staging, tag, "_action")
-    return {kind: counts.get(kind, 0) for kind in ("inserted", "updated")}
+    parts = change.parts(name, updates)
+    if anywhere:
+        held = member_rows(change.read(name), updates.select(*keys).distinct(), keys)
+        parts = sorted({*parts, *change.parts(name, held)})
+    merged = upsert(change.read(name, parts), updates, keys, update_columns, order, provenance, "_action", newer)
+    counts = change.replace(name, merged, parts, "_action")
+    return {kind: counts[kind] for kind in ("inserted", "updated")}
+
+
+def replace_covered(change: Change, name: str, report: DataFrame, dates: DataFrame, column: str) -> int:
+    """``replace_dates`` on a stored table whose partition depends on the date alone; returns the rows of the report.
+
+    Old rows of covered dates go and the report's come in one version. Dates the report covers (``dates``) without having
+    rows for them lose their rows too.
+    """
+    report = settle(report, "report")
+    covered = settle(dates.select(column).unionByName(report.select(column)).distinct(), "dates")
+    parts = change.parts(name, covered)
+    kept = absent_rows(change.read(name, parts), covered.filter(F.col(column).isNotNull()), [column])
+    marked = kept.withColumn("_action", F.lit("kept")).unionByName(report.withColumn("_action", F.lit("inserted")), allowMissingColumns=True)
+    return change.replace(name, marked, parts, "_action")["inserted"]
+
+
+#: Partitions of a key index: the first two hex digits of a key.
+KEY_PARTS = "substring(row_key, 1, 2)"
+
+
+def add_absent(change: Change, name: str, batch: DataFrame, columns: Sequence[str], null_safe: bool = False) -> int:
+    """``insert_if_absent`` on a stored table, by an index of its rows' keys; returns how many rows were added.
+
+    A row's key is a digest of the compared columns. The index, a table of its own in 256 partitions by key, holds
+    nothing else, and a batch reads only the partitions its keys fall into; the table itself is not read.
+    """
+    index = f"{name}_keys"
+    change.create(index, StructType([StructField("row_key", StringType())]), KEY_PARTS)
+    key = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    keyed = settle(batch.withColumn("row_key", key), "batch")
+    # as in SQL a row holding a null equals nothing, unless it shall
+    comparable = F.lit(True) if null_safe else _all_present(columns)
+    known = change.read(index, change.parts(index, keyed))
+    fresh = absent_rows(keyed.filter(comparable).dropDuplicates(["row_key"]), known, ["row_key"])
+    fresh = settle(fresh.withColumn("_known", F.lit(True)).unionByName(keyed.filter(~comparable).withColumn("_known", F.lit(False))), "fresh")
+    change.append(index, fresh.filter("_known"))
+    return change.append(name, fresh)

@@ -13,7 +13,7 @@ from rosterlake.operators.joins import dim_join, lookup_chain, lookup_default, m
 from rosterlake.operators.mapping import map_codes
 from rosterlake.operators.quality import audit_row, empty_load_warning, null_columns, quality_counts, warnings
 from rosterlake.operators.reshape import dated_columns, unpivot_cells
-from rosterlake.operators.writes import replace_dates, replace_stored, upsert
+from rosterlake.operators.writes import replace_dates, upsert
 from rosterlake.plans import reports as R
 from rosterlake.session import settle
 from rosterlake.sources.landing import column_range, landing_metadata, route
@@ -57,11 +57,11 @@ def unread_cells(rows: DataFrame, problem: str) -> DataFrame:
     )
 
 
-def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLoad:
+def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame, above: int = 0) -> HoursLoad:
     """Worked hours from reports with a column per date; zero hours are left out.
 
     Of several deliveries that cover a date only the last one counts for it, also where its hours are zero.
-    ``regions`` has ``id, legal_name``; ``tks`` has ``tks_id, city_id, address``.
+    ``regions`` has ``id, legal_name``; ``tks`` has ``tks_id, city_id, address``; new ones get ids greater than ``above``.
     """
     first = _of_kind(chunks, "hours").filter("sheet = 0")
     dated = trim_sheet(first).withColumn("days", dated_columns(F.col("headers"), R.DATES))
@@ -80,7 +80,7 @@ def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLo
     city = regions.select(F.col("id").alias("city_id"), F.col("legal_name").alias("_legal"))
     rows = settle(dim_join(rows, city, {"city": "_legal"}, "left"), "hours")
     keys = {"city_id": "city_id", "address": "address"}
-    tks = dict_grow(tks, "tks_id", rows, keys)
+    tks = dict_grow(tks, "tks_id", rows, keys, above)
     rows = dim_join(rows, tks, keys, "left", null_safe=True)
     rows = landing_metadata(rows, "file")
     kept = ("doer_name", "doer_id", "tks_id", "speciality_id", "file_date", "filename")
@@ -97,11 +97,6 @@ def load_hours(chunks: DataFrame, regions: DataFrame, tks: DataFrame) -> HoursLo
     return HoursLoad(hours, last.select("report_date"), tks, warnings(counts, "hours", text), problems)
 
 
-def store_hours(load: HoursLoad, path: str, staging: str) -> None:
-    """The same for a table stored by ``report_date``; dates that are not covered are not touched."""
-    replace_stored(settle(load.rows, "hours"), load.dates, path, "report_date", staging)
-
-
 def apply_hours(table: DataFrame, load: HoursLoad) -> DataFrame:
     """Next state of the hours table: every date the reports cover is replaced."""
     return replace_dates(table, load.rows, "report_date", load.dates)
@@ -192,7 +187,7 @@ class RequestLoad(NamedTuple):
     problems: DataFrame
 
 
-def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
+def load_requests(chunks: DataFrame, tks: DataFrame, above: int = 0) -> RequestLoad:
     """Requested head counts per store, resource and date; both sheets, nulls kept.
 
     The dates are those of the first sheet, between the resource and the night column. A date the
@@ -233,7 +228,7 @@ def load_requests(chunks: DataFrame, tks: DataFrame) -> RequestLoad:
         }
     )
     rows = settle(typed.drop("_tk", "_type", "_night", "_more"), "requests")
-    tks = dict_grow(tks, "tk_id", rows, {"tk_name": "tk_name"})
+    tks = dict_grow(tks, "tk_id", rows, {"tk_name": "tk_name"}, above)
     rows = dim_join(rows, tks.select("tk_id", "tk_name"), {"tk_name": "tk_name"}, "left", null_safe=True)
     rows = landing_metadata(rows, "file")
     kept = ("tk_id", "resource_id", "is_night", "add_requirement", "file_date", "filename")
@@ -265,7 +260,7 @@ def load_outputs(chunks: DataFrame) -> OutputLoad:
     )
     text = F.format_string("%s: %s is empty in %d rows", F.col("filename"), F.col("check_name"), F.col("bad_rows"))
     found = warnings(counts, "outputs", text).unionByName(
-        empty_load_warning(rows, "outputs", "inserted 0 records")
+        empty_load_warning(rows, "outputs", "the files hold no shift")
     )
     return OutputLoad(rows, found)
 

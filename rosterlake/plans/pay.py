@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions import clock_hours, overlap_hours
 from rosterlake.operators.aggregate import pending_values
 from rosterlake.operators.joins import absent_rows, dim_join, member_rows
 from rosterlake.operators.mapping import map_codes
-from rosterlake.operators.writes import content_tag, store_partitions, touched_partitions
+from rosterlake.operators.store import Change
 from rosterlake.plans.tariffs import PRICE_KEY, date_bounds, tariffs_in_force, wide_prices
 from rosterlake.session import settle
 
@@ -227,40 +226,44 @@ def picker_repriced(
 
 # Stored shift tables -------------------------------------------------------------------------
 
+#: A stored shift table keeps, per partition, the days that still have a row without a result.
+MONTHS = "date_format(date_, 'yyyy-MM')"
+COURIER_FACTS = {"pending": ("full_payment_client IS NULL", "date_")}
+PICKER_FACTS = {"pending": (f"full_payment_doer IS NULL AND file_date > DATE '{PICKER_SINCE}'", "date_")}
 
-def _reprice_stored(
-    spark: SparkSession, path: str, schema: StructType, result: str, staging: str,
-    reprice: Callable[[DataFrame], DataFrame],
-) -> int:
-    """Price the pending days of a table stored by ``date_``; returns how many days were rewritten.
 
-    The scan for missing results reads two columns, the pricing only the partitions of the days found.
+def pending_days(change: Change, name: str) -> DataFrame:
+    """Days of a stored shift table that still miss a result, told by its version; no data is read."""
+    days = [(date.fromisoformat(d),) for d in change.fact(name, "pending")]
+    return change.spark.createDataFrame(days, "date_ date")
+
+
+def _reprice_stored(change: Change, name: str, reprice: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
+    """Price the pending days of a stored shift table; its partitions depend on ``date_`` alone.
+
+    Only the partitions of those days are read and written, and only their rows are joined to prices. Returns the days
+    and their rows.
     """
-    table = spark.read.schema(schema).parquet(path).select(schema.names)
-    days = _pending_days(table, result)
-    touched = touched_partitions(spark, path, schema, days, "date_")
-    # rows of other days were left out, so what is joined to prices has no null day
-    store_partitions(reprice(touched), path, schema, "date_", staging, content_tag(days))
-    return days.count()
+    days = settle(pending_days(change, name), "pending-days")
+    parts = change.parts(name, days)
+    if not parts:
+        return {"days": 0, "rows": 0}
+    rows = change.read(name, parts)
+    priced = reprice(member_rows(rows, days, ["date_"])).withColumn("_action", F.lit("updated"))
+    others = absent_rows(rows, days, ["date_"]).withColumn("_action", F.lit("kept"))
+    counts = change.replace(name, priced.unionByName(others), parts, "_action")
+    return {"days": days.count(), "rows": counts["updated"]}
 
 
 def reprice_couriers_stored(
-    spark: SparkSession, path: str, schema: StructType, tks: DataFrame, tariffs: DataFrame, prices: DataFrame,
-    staging: str, salts: int = 1,
-) -> int:
-    """``courier_repriced`` for a stored table; only days with a missing result are read and rewritten."""
-    return _reprice_stored(
-        spark, path, schema, "full_payment_client", staging,
-        lambda rows: courier_repriced(rows, tks, tariffs, prices, salts),
-    )
+    change: Change, name: str, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> dict[str, int]:
+    """``courier_repriced`` for a stored table made with ``COURIER_FACTS``."""
+    return _reprice_stored(change, name, lambda rows: courier_repriced(rows, tks, tariffs, prices, salts))
 
 
 def reprice_pickers_stored(
-    spark: SparkSession, path: str, schema: StructType, tks: DataFrame, tariffs: DataFrame, prices: DataFrame,
-    staging: str, salts: int = 1,
-) -> int:
-    """``picker_repriced`` for a stored table; only days with a missing result are read and rewritten."""
-    return _reprice_stored(
-        spark, path, schema, "full_payment_doer", staging,
-        lambda rows: picker_repriced(rows, tks, tariffs, prices, salts),
-    )
+    change: Change, name: str, tks: DataFrame, tariffs: DataFrame, prices: DataFrame, salts: int = 1
+) -> dict[str, int]:
+    """``picker_repriced`` for a stored table made with ``PICKER_FACTS``."""
+    return _reprice_stored(change, name, lambda rows: picker_repriced(rows, tks, tariffs, prices, salts))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from types import MappingProxyType
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions import coerce_numeric, first_integer, parse_date, parse_timestamp, prefix_code
 from rosterlake.operators.clean import fill_activation
@@ -14,7 +14,7 @@ from rosterlake.operators.dictionary import dict_grow
 from rosterlake.operators.joins import dim_join
 from rosterlake.operators.mapping import map_codes
 from rosterlake.operators.quality import quality_counts, warnings
-from rosterlake.operators.writes import merge_into, upsert
+from rosterlake.operators.writes import upsert
 from rosterlake.plans import reports as R
 from rosterlake.session import settle
 from rosterlake.sources.landing import landing_metadata, route
@@ -104,11 +104,12 @@ def _clean(rows: DataFrame, amounts: tuple[str, ...], extra: Mapping[str, Column
 
 
 def _load(
-    rows: DataFrame, tks: DataFrame, organisations: DataFrame, columns: tuple[str, ...], codes: tuple[str, ...]
+    rows: DataFrame, tks: DataFrame, organisations: DataFrame, columns: tuple[str, ...], codes: tuple[str, ...],
+    above: Mapping[str, int],
 ) -> ShiftLoad:
-    tks = dict_grow(tks, "tk_id", rows, {"tk_name": "tk_name"})
+    tks = dict_grow(tks, "tk_id", rows, {"tk_name": "tk_name"}, above.get("tk_id", 0))
     organisations = dict_grow(
-        organisations, "organisation_id", rows, {"organisation_name": "organisation_name"}
+        organisations, "organisation_id", rows, {"organisation_name": "organisation_name"}, above.get("organisation_id", 0)
     )
     # names may be missing in both the report and the dictionary, and then belong together
     keyed = dim_join(rows, tks.select("tk_id", "tk_name"), {"tk_name": "tk_name"}, null_safe=True)
@@ -123,15 +124,21 @@ def _load(
     )
 
 
-def load_couriers(chunks: DataFrame, tks: DataFrame, organisations: DataFrame) -> ShiftLoad:
+def load_couriers(
+    chunks: DataFrame, tks: DataFrame, organisations: DataFrame, above: Mapping[str, int] = MappingProxyType({})
+) -> ShiftLoad:
+    """Courier shifts; new names get ids greater than ``above`` by id column."""
     rows = shift_rows(chunks, "couriers", COURIER_CELLS)
     clean = _clean(rows, COURIER_AMOUNTS, {"transport_id": map_codes(F.col("transport"), R.TRANSPORTS)})
-    return _load(clean, tks, organisations, COURIER_COLUMNS, ("transport_id", "division_id"))
+    return _load(clean, tks, organisations, COURIER_COLUMNS, ("transport_id", "division_id"), above)
 
 
-def load_pickers(chunks: DataFrame, tks: DataFrame, organisations: DataFrame) -> ShiftLoad:
+def load_pickers(
+    chunks: DataFrame, tks: DataFrame, organisations: DataFrame, above: Mapping[str, int] = MappingProxyType({})
+) -> ShiftLoad:
+    """Picker shifts, in the same way."""
     rows = shift_rows(chunks, "pickers", PICKER_CELLS)
-    return _load(_clean(rows, PICKER_AMOUNTS, {}), tks, organisations, PICKER_COLUMNS, ("division_id",))
+    return _load(_clean(rows, PICKER_AMOUNTS, {}), tks, organisations, PICKER_COLUMNS, ("division_id",), above)
 
 
 def apply_shifts(table: DataFrame, load: ShiftLoad, key: tuple[str, ...], action: str | None = None) -> DataFrame:
@@ -141,13 +148,3 @@ def apply_shifts(table: DataFrame, load: ShiftLoad, key: tuple[str, ...], action
     """
     changed = [c for c in load.rows.columns if c not in (*key, "row_no")]
     return upsert(table, load.rows, key, changed, ("file_date", "filename", "row_no"), action=action)
-
-
-def store_shifts(
-    spark: SparkSession, path: str, schema: StructType, load: ShiftLoad, key: tuple[str, ...], staging: str
-) -> dict[str, int]:
-    """The same for a stored table partitioned by ``date_``; other days are not read. Returns rows per action."""
-    changed = [c for c in load.rows.columns if c not in (*key, "row_no")]
-    return merge_into(
-        spark, path, schema, load.rows, key, changed, "date_", staging, ("file_date", "filename", "row_no")
-    )

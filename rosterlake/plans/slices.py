@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from rosterlake.operators.clean import snapshot_predicate
 from rosterlake.operators.joins import member_rows
-from rosterlake.operators.writes import daily_slice, drop_partitions, overwrite_partitions
+from rosterlake.operators.store import Change
+from rosterlake.operators.writes import daily_slice
 
 # Columns of the snapshots.
 CONTRACT_COLUMNS = (
@@ -37,9 +38,7 @@ def courier_slice(couriers: DataFrame, states: DataFrame, as_of: date, columns=C
     return daily_slice(member_rows(couriers, working, ["state"]), columns, F.lit(as_of))
 
 
-def store_slice(rows: DataFrame, path: str, as_of: date) -> None:
-    """Add a day's slice to the stored slices; storing the day again replaces it, also by nothing."""
-    day = as_of - timedelta(days=1)
-    overwrite_partitions(rows, path, ["fix_date"])
-    if rows.isEmpty():
-        drop_partitions(rows.sparkSession, path, "fix_date", [day])
+def store_slice(change: Change, name: str, rows: DataFrame, as_of: date) -> int:
+    """Put a day's slice into the stored slices, a partition per day; storing the day again replaces it, also by nothing."""
+    change.create(name, rows.schema, "fix_date")
+    return change.replace(name, rows, [str(as_of - timedelta(days=1))])["rows"]

@@ -345,42 +345,6 @@ def test_blank_withdrawn_stops_at_the_last_loaded_day(spark, until, blanked):
     assert all((r.z is None) == (r.f == "new") and (r.z is not None or r.c == 1) for r in out)
 
 
-def test_merge_into_rewrites_only_touched_partitions_and_resumes(spark, rows, tmp_path):
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL("k int, v string, d date")
-    path, day = f"{tmp_path}/t", D(2022, 5, 1)
-    first = spark.createDataFrame([(1, "a", day), (2, "b", D(2022, 5, 2))], schema)
-    writes.merge_into(spark, path, schema, first, ["k", "d"], ["v"], "d", f"{tmp_path}/s0")
-    untouched = sorted((tmp_path / "t" / "d=2022-05-02").iterdir())
-    second = spark.createDataFrame([(1, "x", day), (3, "c", day)], schema)
-    for found in ({"inserted": 1, "updated": 1}, {"inserted": 0, "updated": 2}):  # a rerun changes nothing
-        assert found == writes.merge_into(spark, path, schema, second, ["k", "d"], ["v"], "d", f"{tmp_path}/s1")
-        table = spark.read.schema(schema).parquet(path).select(schema.names)
-        assert rows(table) == [(1, "x", day), (2, "b", D(2022, 5, 2)), (3, "c", day)]
-    assert sorted((tmp_path / "t" / "d=2022-05-02").iterdir()) == untouched
-    pruned = writes.touched_partitions(spark, path, schema, second, "d")
-    assert pruned.inputFiles() and all("d=2022-05" in f for f in pruned.inputFiles())
-    assert "PartitionFilters: [isnotnull(d#" in pruned._jdf.queryExecution().executedPlan().toString()
-
-
-def test_staged_rows_belong_to_their_batch(spark, rows, tmp_path):
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL("k int, v string, d date")
-    path, staging, day = f"{tmp_path}/t", f"{tmp_path}/s", D(2022, 5, 1)
-    for step in ([(1, "a", day)], [(1, "b", day), (2, "c", day)], [(3, "d", day)]):  # one staging path for all
-        writes.merge_into(spark, path, schema, spark.createDataFrame(step, schema), ["k", "d"], ["v"], "d", staging)
-    assert rows(spark.read.schema(schema).parquet(path).select("k", "v")) == [(1, "b"), (2, "c"), (3, "d")]
-    assert not [f for f in (tmp_path / "s").rglob("*.parquet")]
-    # a crash between staging and switch: the staged rows of this very batch are taken
-    late = spark.createDataFrame([(9, "staged", day)], schema)
-    batch = spark.createDataFrame([(4, "e", day)], schema)
-    late.withColumn("_action", F.lit("inserted")).write.partitionBy("d").parquet(f"{staging}/{writes.content_tag(batch)}")
-    writes.merge_into(spark, path, schema, batch, ["k", "d"], ["v"], "d", staging)
-    assert (9, "staged") in rows(spark.read.schema(schema).parquet(path).select("k", "v"))
-
-
 def test_upsert_keeps_newer_stored_rows(spark, rows):
     target = spark.createDataFrame([(1, "new", 5), (2, "old", 1), (3, "none", None)], "k int, v string, at int")
     updates = spark.createDataFrame([(1, "late", 4), (2, "fresh", 2), (3, "any", 1), (4, "first", 1)], target.schema)
@@ -388,28 +352,6 @@ def test_upsert_keeps_newer_stored_rows(spark, rows):
     assert rows(after, "k", "v") == [(1, "new"), (2, "fresh"), (3, "any"), (4, "first")]
 
 
-def test_replace_stored_empties_covered_dates(spark, rows, tmp_path):
-    path, days = f"{tmp_path}/t", [D(2022, 5, n) for n in (1, 2, 3)]
-    writes.overwrite_partitions(spark.createDataFrame([(1, d) for d in days], "k int, d date"), path, ["d"])
-    report = spark.createDataFrame([(2, days[0])], "k int, d date")
-    covered = spark.createDataFrame([(d,) for d in days[:2]], "d date")
-    for _ in range(2):
-        writes.replace_stored(report, covered, path, "d", f"{tmp_path}/s")
-        assert rows(spark.read.schema(report.schema).parquet(path).select("k", "d")) == [(1, days[2]), (2, days[0])]
-
-
-def test_merge_into_keeps_rows_without_a_partition_value(spark, rows, tmp_path):
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL("k int, v string, d date")
-    path = f"{tmp_path}/t"
-    for step, row in enumerate([(1, "a", None), (2, "b", None), (3, "c", D(2022, 5, 1))]):
-        updates = spark.createDataFrame([row], schema)
-        writes.merge_into(spark, path, schema, updates, ["k", "d"], ["v"], "d", f"{tmp_path}/s{step}")
-    table = spark.read.schema(schema).parquet(path).select(schema.names)
-    assert rows(table) == [(1, "a", None), (2, "b", None), (3, "c", D(2022, 5, 1))]
-
-
 # Landing -------------------------------------------------------------------------------------
 
 

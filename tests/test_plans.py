@@ -6,9 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.plans import pay, preferences, reports as R
+from rosterlake.plans import pay, preferences, reports as R, stored
 from rosterlake.plans.other_reports import apply_hours, load_hours, load_requests, load_revenues
-from rosterlake.plans.shift_reports import COURIER_KEY, apply_shifts, load_couriers, load_pickers, store_shifts
+from rosterlake.operators.store import Change, Store
+from rosterlake.plans.shift_reports import COURIER_KEY, apply_shifts, load_couriers, load_pickers
 from rosterlake.plans.slices import CONTRACT_COLUMNS, contract_slice
 from rosterlake.plans.tariffs import date_bounds, effective_prices
 
@@ -196,13 +197,24 @@ def test_shift_upsert_keeps_payments_in_a_stored_table(spark, tmp_path):
     empty = load.rows.drop("row_no").withColumn("full_payment_client", F.lit(None).cast("double")).limit(0)
     first = apply_shifts(empty, load, COURIER_KEY)
     assert [r.orders_delivered for r in first.collect()] == [2.0]
-    path, schema = f"{tmp_path}/shifts", first.schema
     paid = first.withColumn("full_payment_client", F.lit(99.0))
-    paid.write.partitionBy("date_").parquet(path)
-    again = load_couriers(chunk(spark, (FILE, 0, R.COURIER_HEADER, R.COURIER_HEADER, [made(7)])), tks, orgs)
-    store_shifts(spark, path, schema, again, COURIER_KEY, f"{tmp_path}/staging")
-    stored = spark.read.schema(schema).parquet(path).collect()
-    assert [(r.orders_delivered, r.full_payment_client) for r in stored] == [(7.0, 99.0)]
+    store = Store(spark, f"{tmp_path}/store")
+
+    def before(change):
+        stored.start(change, tks=tks, organisations=orgs)
+        change.create(stored.COURIERS, paid.schema, pay.MONTHS, pay.COURIER_FACTS)
+        return change.append(stored.COURIERS, paid)
+
+    store.commit("before", before)
+    again = chunk(spark, (FILE, 0, R.COURIER_HEADER, R.COURIER_HEADER, [made(7)]))
+    assert store.commit("again", lambda change: stored.merge_couriers(change, again)) == {"inserted": 0, "updated": 1}
+    found = store.table(stored.COURIERS).collect()
+    assert [(r.orders_delivered, r.full_payment_client) for r in found] == [(7.0, 99.0)]
+    # a later load looks names up in the stored dictionary, and gives new ones further ids
+    more = line(R.COURIER_HEADER, КПП_Курьера="K2", ТК="6", Дата="2022/06/01", Организация="new")
+    store.commit("more", lambda change: stored.merge_couriers(change, chunk(spark, (FILE, 0, R.COURIER_HEADER, R.COURIER_HEADER, [more]))))
+    assert {r.tk_name: r.tk_id for r in store.table(stored.TKS).collect()} == {"ТК5": 1, "ТК6": 2}
+    assert {r.courier_id: r.tk_id for r in store.table(stored.COURIERS).collect()} == {"K1": 1, "K2": 2}
 
 
 def test_hours_replace_covered_dates(spark, rows):
@@ -274,6 +286,17 @@ def delivered(spark, name, body):
     return chunk(spark, (name, 0, R.PREFERENCE_HEADER, R.PREFERENCE_HEADER, body))
 
 
+def kept_preferences(spark, tmp_path, rows):
+    store = Store(spark, f"{tmp_path}/store")
+
+    def work(change):
+        change.create("p", rows.schema, preferences.DAYS)
+        return change.append("p", rows)
+
+    store.commit("first", work)
+    return store
+
+
 def test_preferences_withdrawn_then_filled(spark, tmp_path):
     # 1 June 2022 is a Wednesday; its template fills Saturday 4 (6), Sunday 5 (7) and Monday 6 (1)
     one = "31.2022-06-01.ops@mail.example.one"
@@ -289,14 +312,13 @@ def test_preferences_withdrawn_then_filled(spark, tmp_path):
     assert found == {(1, 4): ("last", "one"), (2, 6): ("m", "one")}
 
     # stored form, with a second delivery that withdraws courier 2 and repeats courier 1
-    path, schema = f"{tmp_path}/p", after.schema
-    after.write.partitionBy("preferred_date").parquet(path)
+    store = kept_preferences(spark, tmp_path, after)
     two = "31.2022-06-02.ops@mail.example.two"
     more = preferences.preference_rows(delivered(spark, two, [
         preference(2, 1, "m", None), preference(1, 1, "new"), preference(3, 2, "t"),
     ]))
-    preferences.store_deliveries(spark, path, schema, more, [(date(2022, 6, 2), "two")])
-    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    store.commit("two", lambda change: preferences.store_deliveries(change, "p", more, [(date(2022, 6, 2), "two")]))
+    table = store.table("p")
     found = {(r.courier_id, r.preferred_date.day): (r.zones, r.filename) for r in table.collect()}
     # day 6 was loaded and is blanked; the provenance of the blanked row moves with it
     assert found == {(1, 4): ("last", "one"), (2, 6): (None, "two"), (1, 6): ("new", "two"), (3, 7): ("t", "two")}
@@ -316,9 +338,8 @@ def test_deliveries_in_one_pass_equal_one_by_one(spark, tmp_path):
     all_rows = [preferences.preference_rows(delivered(spark, name, body)) for name, body in bodies]
     empty = preferences.split_template(all_rows[0]).rows.drop("row_no", "file").withColumn("preferred_date", F.lit(DAY)).limit(0)
     before = preferences.apply_template(empty, preferences.split_template(all_rows[0]), DAY, "f0").select(empty.columns)
-    path, schema = f"{tmp_path}/p", before.schema
-    before.write.partitionBy("preferred_date").parquet(path)
-    table = spark.read.schema(schema).parquet(path).select(schema.names)
+    store, schema = kept_preferences(spark, tmp_path, before), before.schema
+    table = store.table("p")
     one_by_one = spark.createDataFrame(table.collect(), schema)
     for rows in all_rows[1:]:
         first = rows.select("file_date", "filename").first()
@@ -327,8 +348,8 @@ def test_deliveries_in_one_pass_equal_one_by_one(spark, tmp_path):
     later = all_rows[1]
     for rows in all_rows[2:]:
         later = later.unionByName(rows)
-    preferences.store_deliveries(spark, path, schema, later)
-    after = spark.read.schema(schema).parquet(path).select(schema.names)
+    store.commit("later", lambda change: preferences.store_deliveries(change, "p", later))
+    after = store.table("p")
     assert sorted(map(repr, after.collect())) == sorted(map(repr, one_by_one.collect()))
     assert after.count() > 20
 
@@ -350,7 +371,7 @@ def test_contract_slice(spark):
 
 def test_last_delivery_of_a_date_counts(spark, rows):
     """Two reports cover 2 June, and the later one has no hours there; an unread header and cell are told."""
-    from rosterlake.plans.other_reports import load_hours, store_hours
+    from rosterlake.plans.other_reports import load_hours
 
     def report(file, headers, cells):
         head = [*R.HOURS_HEADER, *headers, "Итого"]
@@ -370,29 +391,23 @@ def test_last_delivery_of_a_date_counts(spark, rows):
     assert rows(load.problems, "problem", "value", "found") == [("hours are no number", "many", 1), ("unread date header", "June", 1)]
 
 
-def test_hours_store_empties_covered_dates(spark, rows, tmp_path):
-    from rosterlake.operators.writes import overwrite_partitions
-    from rosterlake.plans.other_reports import HoursLoad, store_hours
-
-    frame = spark.createDataFrame([(n, date(2022, 6, n)) for n in (1, 2, 3)], "doer_id int, report_date date")
-    path = f"{tmp_path}/hours"
-    overwrite_partitions(frame, path, ["report_date"])
-    load = HoursLoad(frame.filter("doer_id = 1").withColumn("doer_id", F.lit(10)), frame.filter("doer_id < 3").select("report_date"), None, None, None)
-    store_hours(load, path, f"{tmp_path}/staging")
-    assert rows(spark.read.schema(frame.schema).parquet(path).select("doer_id")) == [(10,), (3,)]
-
+def test_repricing_a_stored_table_touches_pending_days_only(spark, tmp_path):
+    done, same = date(2022, 7, 2), date(2022, 6, 2)
+    shifts = work(spark, (1, 1, DAY, 2, 1.0, 1, 1.0, 0, 0, None), (2, 1, done, 1, 1.0, 1, 1.0, 0, 0, 4.0), (3, 1, same, 1, 1.0, 1, 1.0, 0, 0, 5.0))
+    store = Store(spark, f"{tmp_path}/store")
 
-def test_repricing_a_stored_table_touches_pending_days_only(spark, rows, tmp_path):
-    from rosterlake.operators.writes import overwrite_partitions
+    def before(change):
+        change.create("work", shifts.schema, pay.MONTHS, pay.COURIER_FACTS)
+        return change.append("work", shifts)
 
-    done = date(2022, 6, 2)
-    shifts = work(spark, (1, 1, DAY, 1, 1.0, 1, 1.0, 0, 0, None), (2, 1, done, 1, 1.0, 1, 1.0, 0, 0, 4.0))
-    path = f"{tmp_path}/work"
-    overwrite_partitions(shifts, path, ["date_"])
-    before = sorted((tmp_path / "work" / f"date_={done}").iterdir())
+    store.commit("before", before)
+    july = store.snapshot().files("work", ["2022-07"])
     args = (stores(spark), tariffs(spark, tariff(1)), all_prices(spark))
     plain = {r.id: r.full_payment_client for r in pay.courier_repriced(shifts, *args).collect()}
-    assert pay.reprice_couriers_stored(spark, path, shifts.schema, *args, f"{tmp_path}/staging") == 1
-    after = {r.id: r.full_payment_client for r in spark.read.schema(shifts.schema).parquet(path).collect()}
-    assert after == plain
-    assert sorted((tmp_path / "work" / f"date_={done}").iterdir()) == before
+    # the days come from the version: nothing is scanned
+    pending = pay.pending_days(Change(store, store.snapshot()), "work")
+    assert [r.date_ for r in pending.collect()] == [DAY] and "FileScan" not in pending._jdf.queryExecution().executedPlan().toString()
+    assert store.commit("pay", lambda change: pay.reprice_couriers_stored(change, "work", *args)) == {"days": 1, "rows": 1}
+    assert {r.id: r.full_payment_client for r in store.table("work").collect()} == plain
+    assert store.snapshot().files("work", ["2022-07"]) == july
+    assert store.commit("pay 2", lambda change: pay.reprice_couriers_stored(change, "work", *args)) == {"days": 0, "rows": 0}
