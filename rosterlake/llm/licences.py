@@ -38,6 +38,20 @@ NOTICE_PHRASES = {
     "isc license": "isc",
     "unlicense": "unlicense",
     "eclipse public license": "epl",
+    "boost software license": "bsl",
+    "zlib license": "zlib",
+    "artistic license": "artistic",
+    "open software license": "osl",
+    "academic free license": "afl",
+    "common development and distribution license": "cddl",
+    "european union public licence": "eupl",
+    "python software foundation license": "psf",
+    "open data commons": "odc",
+    "open database license": "odbl",
+    "sil open font license": "ofl",
+    "microsoft public license": "ms-pl",
+    "do what the fuck you want to public license": "wtfpl",
+    "without warranty of any kind": "no-warranty",
 }
 
 # Tags that an expression follows on the same line.
@@ -47,9 +61,22 @@ TAGS = ("spdx-license-identifier:", "license-expression:", "license:", "licence:
 FREEDOM = {
     "0bsd": 0.0, "cc0": 0.0, "unlicense": 0.0, "public": 0.0, "mit": 0.1, "isc": 0.1, "bsd": 0.1, "zlib": 0.1,
     "apache": 0.2, "cc": 0.3, "epl": 0.5, "mpl": 0.5, "lgpl": 0.6, "gpl": 0.8, "agpl": 0.9, "reserved": 1.0,
-    "proprietary": 1.0,
+    "proprietary": 1.0, "bsl": 0.1, "x11": 0.1, "ntp": 0.1, "hpnd": 0.1, "ncsa": 0.1, "postgresql": 0.1, "psf": 0.1, "python": 0.1,
+    "ruby": 0.2, "wtfpl": 0.0, "afl": 0.2, "artistic": 0.3, "ofl": 0.3, "openssl": 0.2, "php": 0.2, "curl": 0.1, "icu": 0.1,
+    "unicode": 0.1, "vim": 0.3, "ms": 0.4, "cddl": 0.5, "cpl": 0.5, "ipl": 0.5, "eupl": 0.6, "osl": 0.7, "odbl": 0.6, "odc": 0.3,
+    "pddl": 0.0, "sspl": 0.95, "busl": 0.95, "elastic": 0.9, "gfdl": 0.6, "no": 0.0,
 }
 UNKNOWN = 0.5
+# Names of exceptions that may follow "with".
+EXCEPTIONS = (
+    "autoconf-exception-2.0", "autoconf-exception-3.0", "bison-exception-2.2", "bootloader-exception", "classpath-exception-2.0",
+    "fltk-exception", "font-exception-2.0", "gcc-exception-2.0", "gcc-exception-3.1", "gpl-3.0-linking-exception", "gpl-cc-1.0",
+    "libtool-exception", "linux-syscall-note", "llvm-exception", "ocaml-lgpl-linking-exception", "openjdk-assembly-exception-1.0",
+    "openssl-exception", "qt-lgpl-exception-1.1", "swift-exception", "u-boot-exception-2.0", "universal-foss-exception-1.0",
+    "wxwindows-exception-3.1",
+)
+#: Beginnings of names that an expression may give to licences of its own.
+OWN = ("licenseref-", "documentref-")
 #: An exception named after "with" takes this share off what the licence restricts.
 EXCEPTION = 0.25
 
@@ -59,32 +86,26 @@ _TOKEN = re.compile(r"[()]|[a-z0-9][a-z0-9.+_-]*")
 
 def restriction(label: str) -> float:
     """How far one licence restricts reuse, 0 to 1; 0.5 if its family is not known."""
-    return FREEDOM.get(label, FREEDOM.get(label.split("-")[0].rstrip("0123456789.+"), UNKNOWN))
+    family = label.split("-")[0]
+    return next((FREEDOM[x] for x in (label, family, family.rstrip("0123456789.+")) if x in FREEDOM), UNKNOWN)
 
 
 def known(label: str) -> bool:
-    """Whether a label's licence family is in the table."""
-    return label.split("-")[0].rstrip("0123456789.+") in FREEDOM or label in FREEDOM
+    """Whether a label's licence family, and the exception to it, is in the tables, or it is a name of the text's own."""
+    licence, _, exception = label.partition("-with-")
+    if exception and exception not in EXCEPTIONS:
+        return False
+    return licence.startswith(OWN) or licence in FREEDOM or licence.split("-")[0].rstrip("0123456789.+") in FREEDOM
 
 
-def evaluate(expression: str) -> tuple[set[str], float] | None:
-    """Licences and restriction of the longest valid expression at the start of a text, else nothing.
+def parsed(expression: str) -> list[tuple[str, str]]:
+    """Kinds and tokens of the longest valid expression at the start of a text, empty if there is none.
 
-    Tokens pass a shunting yard: "with" binds before "and", "and" before "or". "or" leaves a choice and takes
-    the lesser restriction, "and" the greater one, "with" an exception to the licence before it.
+    Kinds are ``licence``, ``exception``, ``(``, ``)`` and the operators. "with" stands between one licence and one
+    exception, so neither a group nor an exception can have another exception.
     """
-    values: list[tuple[set[str], float]] = []
-    operators: list[str] = []
-    best, wants, depth, after_with = None, True, 0, False
-
-    def apply(stack: list, name: str) -> None:
-        (right, b), (left, a) = stack.pop(), stack.pop()
-        if name == "with":
-            stack.append((left | {f"{x}-with-{y}" for x in left for y in right}, a * (1 - EXCEPTION)))
-        else:
-            stack.append((left | right, min(a, b) if name == "or" else max(a, b)))
-
-    at = 0
+    tokens: list[tuple[str, str]] = []
+    whole, depth, at = 0, 0, 0
     while True:
         while at < len(expression) and expression[at] in " \t":
             at += 1
@@ -92,31 +113,65 @@ def evaluate(expression: str) -> tuple[set[str], float] | None:
         if not found:
             break
         token, at = found[0], found.end()
-        if token == "(" and wants and not after_with:
-            operators.append(token)
+        last = tokens[-1][0] if tokens else "("
+        wants = last in ("(", "and", "or")  # a licence or a group comes next
+        if token == "(" and wants:
+            tokens.append(("(", token))
             depth += 1
-        elif token == ")" and not wants and depth:
-            while operators[-1] != "(":
-                apply(values, operators.pop())
-            operators.pop()
+        elif token == ")" and depth and last in ("licence", "exception", ")"):
+            tokens.append((")", token))
             depth -= 1
-        elif token in BINDS and not wants:
-            while operators and operators[-1] != "(" and BINDS[operators[-1]] >= BINDS[token]:
-                apply(values, operators.pop())
-            operators.append(token)
-            wants, after_with = True, token == "with"
-        elif token not in BINDS and token not in "()" and wants:
-            name = token.rstrip(".-_") or token
-            values.append(({name}, 0.0 if after_with else restriction(name)))
-            wants, after_with = False, False
+        elif token == "with" and last == "licence":
+            tokens.append(("with", token))
+        elif token in ("and", "or") and last in ("licence", "exception", ")"):
+            tokens.append((token, token))
+        elif token not in BINDS and token not in "()" and (wants or last == "with"):
+            tokens.append(("exception" if last == "with" else "licence", token.rstrip(".-_") or token))
         else:
             break
-        if not wants and not depth:  # valid up to here: what is open is applied on copies
-            rest, waiting = list(values), list(operators)
-            while waiting:
-                apply(rest, waiting.pop())
-            best = rest[-1]
-    return best
+        if not depth and tokens[-1][0] in ("licence", "exception", ")"):
+            whole = len(tokens)
+    return tokens[:whole]
+
+
+def evaluate(expression: str) -> tuple[set[str], float] | None:
+    """Licences and restriction of the longest valid expression at the start of a text, else nothing.
+
+    Its tokens pass a shunting yard: "with" binds before "and", "and" before "or". "or" leaves a choice and takes
+    the lesser restriction, "and" the greater one, "with" an exception to the licence before it. Time and memory grow with
+    the expression's length.
+    """
+    tokens = parsed(expression)
+    if not tokens:
+        return None
+    names: set[str] = set()
+    values: list[float] = []
+    operators: list[str] = []
+
+    def apply(name: str) -> None:
+        right, left = values.pop(), values.pop()
+        values.append(left * (1 - EXCEPTION) if name == "with" else min(left, right) if name == "or" else max(left, right))
+
+    for i, (kind, token) in enumerate(tokens):
+        if kind == "licence":
+            names.add(token)
+            values.append(restriction(token))
+        elif kind == "exception":
+            names.add(f"{tokens[i - 2][1]}-with-{token}")
+            values.append(0.0)
+        elif kind == "(":
+            operators.append(kind)
+        elif kind == ")":
+            while operators[-1] != "(":
+                apply(operators.pop())
+            operators.pop()
+        else:
+            while operators and operators[-1] != "(" and BINDS[operators[-1]] >= BINDS[kind]:
+                apply(operators.pop())
+            operators.append(kind)
+    while operators:
+        apply(operators.pop())
+    return names, values[0]
 
 
 @functools.cache
@@ -154,7 +209,7 @@ def scan_text(text: bytes, phrases: tuple[tuple[str, str, bool], ...], tags: tup
     for end, tag in marks.iter(low):
         stop = low.find("\n", end)
         found = evaluate(low[end + 1:stop if stop >= 0 else len(low)])
-        if found and (tag == TAGS[0] or all(known(x) for x in found[0])):
+        if found and all(known(x) for x in found[0]):
             expressions.append(found)
             more |= found[0]
     if expressions:
@@ -179,7 +234,7 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE_PHRASES, notices: dict[str
 
     Texts are read whole: lower-cased words meet the phrases in one pass of an Aho-Corasick automaton, so
     overlapping places all count, and a second automaton finds the tags whose rest of line is read as a licence
-    expression. ``n_base``, ``first_word`` and ``last_word`` speak of the base phrases, ``base_labels`` of their
+    expression; one with a name that is in no table says nothing. ``n_base``, ``first_word`` and ``last_word`` speak of the base phrases, ``base_labels`` of their
     labels, ``labels`` of those, the notices and the expressions' licences. ``score`` tells how far reuse is
     restricted (0 free or nothing found, 1 reserved): by the strictest expression if there is one, else by the
     strictest label. A null text counts as empty: no words, no labels, score 0. Rows are independent of each
