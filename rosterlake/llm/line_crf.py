@@ -11,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.llm.common import bounded_batches
+from rosterlake.session import settle
 
-#: Bounds of the training sample: labelled documents, and lines of one of them.
-SAMPLE_DOCS, SAMPLE_LINES = 4000, 200
+#: Bounds of the training sample: labelled documents, lines in all, and lines of one document.
+SAMPLE_DOCS, SAMPLE_LINES, LONGEST_DOC = 4000, 60_000, 1000
 THRESHOLD = 0.7
 #: Strength of the pull of weights to zero, and steps of the fit.
 RIDGE, STEPS = 1e-3, 250
@@ -198,40 +199,44 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text",
-          sample: int = SAMPLE_DOCS) -> Model | None:
-    """A model from at most ``sample`` labelled documents that are not held out, chosen by a hash of their ids.
+          sample: int = SAMPLE_DOCS, lines: int = SAMPLE_LINES, longest: int = LONGEST_DOC) -> Model | None:
+    """A model from labelled documents that are not held out: at most ``sample`` of them, with at most ``lines`` lines in all.
 
-    The ids of the sample are few enough to be sent to all tasks; the tasks make the features. Of one training document
-    at most ``SAMPLE_LINES`` lines count. Null labels and ids are left out; without any labelled document there is no model.
+    Documents come in the order of a hash of their ids, each with its whole text; one with more than ``longest`` lines, or that
+    does not fit in what is left of the lines, is not learnt from. So the features that come to the driver are bounded by ``lines``, whatever the texts' lengths.
+    Null labels and ids are left out; without any labelled document there is no model.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    order = F.xxhash64("id")
     picked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
         "id IS NOT NULL AND label IN (0, 1)").filter(~held_out(F.col("id")))
-    picked = picked.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(sample)
-    marks = {r["id"]: r["label"] for r in picked.collect()}
-    if not marks:
-        return None
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(
-        F.broadcast(docs.sparkSession.createDataFrame(list(marks.items()), "id bigint, label int")), "id")
-    schema = "id bigint, label int, x array<double>, lengths array<double>"
-    out = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("x", pa.list_(pa.float64())), ("lengths", pa.list_(pa.float64()))])
+    picked = settle(picked.groupBy("id").agg(F.max("label").alias("label")).orderBy(order, "id").limit(sample), "sample")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(picked, "id")
+    # repeated rows of one id: the least text, so that the sample keeps its bound
+    one = texts.groupBy("id", "label").agg(F.min("text").alias("text")).withColumn("place", order)
+    out = pa.schema([("place", pa.int64()), ("label", pa.int32()), ("n", pa.int64()), ("x", pa.binary()), ("lengths", pa.binary())])
 
     def described(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in found:
-            each = [features(t or "") for t in batch.column("text").to_pylist()]
-            each = [(x[:SAMPLE_LINES], n[:SAMPLE_LINES]) for x, n in each]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"),
-                                              pa.array([x.ravel() for x, _ in each], out.field("x").type),
-                                              pa.array([n for _, n in each], out.field("lengths").type)], schema=out)
-
-    # repeated rows of one id: the least text, so that the sample keeps its bound
-    one = texts.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "label", "text")
-    rows = one.mapInArrow(described, schema).collect()
-    rows.sort(key=lambda r: r["id"])
-    if not rows:
+            for place, label, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, n = features(text or "")
+                row = ([place], [label], [len(n)], [np.asarray(x, "<f8").tobytes()], [np.asarray(n, "<f8").tobytes()])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, out.types, strict=True)], schema=out)
+
+    given = one.select("place", "label", "text").mapInArrow(described, "place bigint, label int, n bigint, x binary, lengths binary")
+    made = settle(given, "features")
+    chosen, room = [], lines
+    for place, n in sorted(map(tuple, made.select("place", "n").collect())):
+        if n <= min(room, longest):
+            chosen.append((place,))
+            room -= n
+    if not chosen:
         return None
-    return fit([np.array(r["x"]).reshape(-1, WIDTH) for r in rows], [r["label"] for r in rows],
-               [np.array(r["lengths"]) for r in rows])
+    rows = made.join(spark.createDataFrame(chosen, "place bigint"), "place", "left_semi").collect()
+    rows.sort(key=lambda r: (r["place"], r["label"], r["x"]))
+    return fit([np.frombuffer(r["x"], "<f8").reshape(-1, WIDTH) for r in rows], [r["label"] for r in rows],
+               [np.frombuffer(r["lengths"], "<f8") for r in rows])
 
 
 def quality(text: Column, model: Model | None) -> Column:

@@ -72,3 +72,23 @@ def test_odd_rows(spark, odd, odd_rows, none):
     assert len(found) == len(odd_rows) and all(r["score"] is not None and r["held_out"] is not None for r in found)
     assert line_crf.classify(none, labels).count() == 0
     assert {r["score"] for r in line_crf.classify(odd, labels.limit(0)).collect()} == {0.5}
+
+
+def test_whole_texts_are_learnt_from(spark):
+    """Documents that are bad after their 200th line only: a model that saw beginnings alone could not tell them."""
+    good, bad = "A plain line of prose that ends as it should.", "$$ ## @@ 77 %% ^^ ** 99 && !! == 00"
+    rows = [(i, "\n".join([good] * 250 + [bad if i % 2 else good] * 250), i % 2 == 0) for i in range(1, 60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(ok)) for i, _, ok in rows], "doc_id bigint, quality int")
+    model = line_crf.train(docs, labels)
+    assert all((line_crf.score_text(t, model) >= 0.5) == ok for _, t, ok in rows)
+    # the bound is on lines in all, and texts that do not fit are not cut
+    assert line_crf.train(docs, labels, lines=499) is None and line_crf.train(docs, labels, longest=499) is None
+    assert line_crf.train(docs, labels, lines=1200) is not None
+
+
+def test_string_ids(spark):
+    docs = spark.createDataFrame([(f"d{i}", "good prose. " * 5 if i % 2 else "## $$ %%") for i in range(40)], "doc_id string, text string")
+    labels = spark.createDataFrame([(f"d{i}", i % 2) for i in range(40)], "doc_id string, quality int")
+    model = line_crf.train(docs, labels)
+    assert line_crf.score_text("good prose. " * 5, model) > line_crf.score_text("## $$ %%", model)
