@@ -153,6 +153,8 @@ def store_index(docs: DataFrame, phrases: DataFrame, slop: int = 0) -> tuple[Dat
     texts = keyed(docs).select(F.col("doc_id").cast("bigint").alias("doc_id"), "key", "text")
     rows = settle(texts.mapInArrow(posted, "doc_id bigint, key binary, n_words bigint, terms array<string>, "
                                            "positions array<array<int>>"), "postings")
+    for told in [*filters.values(), *([pairs] if slop else [])]:
+        told.destroy()  # the postings are written
     lists = rows.select("key", F.explode(F.arrays_zip("terms", "positions")).alias("p"))
     return lists.select(F.col("p.terms").alias("term"), "key", "p.positions"), rows.select("doc_id", "key", "n_words")
 
@@ -177,8 +179,11 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
         return ranked.filter(F.size("order") > rank).select("phrase", F.col("order")[rank]["offset"].alias("offset"),
                                                             F.col("order")[rank]["term"].alias("term"))
 
-    def starts(asked: DataFrame) -> DataFrame:
-        found = asked.join(index, "term").select("phrase", "offset", "key", F.explode("positions").alias("at"))
+    def starts(asked: DataFrame, among: DataFrame | None = None) -> DataFrame:
+        found = asked.join(index, "term")
+        if among is not None:  # lists of texts in which the phrase can start at all
+            found = found.join(among, ["phrase", "key"], "left_semi")
+        found = found.select("phrase", "offset", "key", F.explode("positions").alias("at"))
         base = F.col("at") - F.col("offset")
         if not slop:
             return found.select("key", "phrase", "offset", base.alias("start"), F.lit(True).alias("exact")).filter("start >= 0")
@@ -188,8 +193,8 @@ def search(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
             "key", "phrase", "offset", "start", (F.col("start") == F.col("base")).alias("exact")).filter(F.col("start") >= -slop)
 
     on = ["key", "phrase", "start"]
-    rarest = starts(listed(0)).groupBy(*on).agg(F.max("exact").alias("exact"))
-    second = starts(listed(1)).groupBy(*on).agg(F.max("exact").alias("exact2"))
+    rarest = settle(starts(listed(0)).groupBy(*on).agg(F.max("exact").alias("exact")), "rarest")
+    second = starts(listed(1), rarest.select("phrase", "key").distinct()).groupBy(*on).agg(F.max("exact").alias("exact2"))
     lengths = ranked.select("phrase", F.size("order").alias("length"))
     met = rarest.join(second, on, "left").join(lengths, "phrase").filter("length = 1 OR exact2 IS NOT NULL")
     met = settle(met.select(*on, "length", (F.col("exact") & F.coalesce("exact2", F.lit(True))).alias("exact")), "places")
