@@ -17,9 +17,9 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterlake.llm.common import chunk_of, keyed, marked, spaced_parts
+from rosterlake.llm.common import bounded_batches, chunk_of, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import frequent, word_counts
-from rosterlake.session import run_folder, settle
+from rosterlake.session import discard, run_folder, settle
 
 #: Fields of a packed piece: rank of the pair it starts (or NO_PAIR), place of its first byte, its own id.
 PAIR_BITS, PLACE_BITS, ID_BITS = 19, 24, 20
@@ -274,10 +274,10 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     counts = settle(word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col), "words")
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # tasks hold the table of words too, and so get smaller batches
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(2 * BLOCK_BYTES))
+    bounded_batches(spark, 500, 2 * BLOCK_BYTES)
     words = frequent(counts, HOT_WORDS).select("word").repartition(busy_partitions(spark))
     hot = spark.sparkContext.broadcast(HotWords(words.select("word", bpe.encode(F.array("word"))[0].alias("ids"))))
+    pa.default_memory_pool().release_unused()
     block = pa.schema([("doc_id", pa.list_(pa.int64())), ("coded", pa.list_(pa.binary())), ("words", pa.list_(pa.string()))])
 
     def blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,7 +321,13 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     # written, so that the tasks that cut texts and those that put ids together do not hold their workers at once
     path = run_folder(spark, "coded")
     each.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(each.schema).parquet(path).mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    hot.destroy()
+    coded = spark.read.schema(each.schema).parquet(path)
+    done = settle(coded.mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"), "encoded")
+    pieces.destroy()
+    discard(spark, path)
+    bounded_batches(spark)
+    return done
 
 
 def filled(coded: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:

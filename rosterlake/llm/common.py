@@ -16,10 +16,10 @@ _UPPER_KEPT = bytes(range(256))
 _JOINERS = bytes(0x20 if c < 0x30 or 0x3A <= c <= 0x60 or 0x7B <= c < 0x80 else c for c in range(256))
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> None:
     """Bound the Arrow batches of the Python operators by rows and bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     # plans that hold a rank table as a literal are not described in full
     spark.conf.set("spark.sql.maxPlanStringLength", "20000")
 
