@@ -65,7 +65,7 @@ def op5_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines of all documents that an equal line, or one within 2 edits, comes before."""
+    """Lines of all documents that an equal line, or a nearly equal one, comes before."""
     return lines.line_report(table(spark, folder))
 
 

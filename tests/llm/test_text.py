@@ -150,54 +150,105 @@ def test_distance():
             assert lines.distance(a, b, most) == (d if d <= most else None)
 
 
+def test_distance_of_words():
+    rnd = random.Random(4)
+    for _ in range(500):
+        a, b = ([rnd.choice("abc") for _ in range(rnd.randrange(12))] for _ in range(2))
+        d = plain_distance(a, b)
+        assert lines.distance(a, b, 5) == (d if d <= 5 else None)
+
+
+def altered(rnd, units, edits, choice):
+    out = list(units)
+    for _ in range(edits):
+        p, kind = rnd.randrange(len(out)), rnd.randrange(3)
+        out[p:p + (kind > 0)] = [] if kind == 1 else [choice(rnd)]
+    return out
+
+
+def keys_of(line, places):
+    return {int(k) for _, keys in lines.LineHashes([line], rolling.WordHashes()).keys(places) for k in keys.ravel()}
+
+
 def test_probes_meet_every_near_line():
     rnd = random.Random(6)
-    for _ in range(5000):
-        a = "".join(rnd.choice("ab") for _ in range(rnd.randrange(6, 15)))
-        b = list(a)
-        for _ in range(rnd.randrange(1, 3)):
-            p, kind = rnd.randrange(len(b)), rnd.randrange(3)
-            b[p:p + (kind > 0)] = [] if kind == 1 else [rnd.choice("abc")]
-        b = "".join(b)
-        short, long = sorted((a, b), key=len)
-        if a != b and len(short) >= 4:
-            asked = {*lines.own_keys(long, 2), *lines.shifted_keys(long, 2, 3)}
-            assert asked & {*lines.own_keys(short, 2)}, (a, b)
-
-
-def slow_lines(rows, edits=2, least=24):
+    met = 0
+    for n in range(2500):
+        if n % 2:
+            words = [rnd.choice("ab") * rnd.randrange(1, 3) for _ in range(rnd.choice([12, 13, 14, 23, 24, 25, 36, 60, 200]))]
+            a, b = " ".join(words), " ".join(altered(rnd, words, rnd.randrange(1, 6), lambda r: r.choice(["a", "c", "dd"])))
+        else:
+            chars = "".join(rnd.choice("abé") for _ in range(rnd.randrange(12, 40)))
+            a, b = chars, "".join(altered(rnd, chars, rnd.randrange(1, 4), lambda r: r.choice("abc")))
+        if a == b or not lines.near(a, b):
+            continue
+        met += 1
+        short, long = sorted((a, b), key=lambda x: len(lines.units_of(x)[1]))
+        asked = keys_of(long, lines.own_places) | keys_of(long, lines.shifted_places)
+        assert asked & keys_of(short, lines.own_places), (a, b)
+        sigs = lines.LineHashes([a, b], rolling.WordHashes()).signatures(2)
+        kind, units = lines.units_of(short)
+        assert int(sigs[0] ^ sigs[1]).bit_count() <= 2 * lines.allowed(len(units), kind)
+    assert met > 1200
+
+
+def test_keys_of_many_lines_at_once(monkeypatch):
+    rnd = random.Random(2)
+    made = [" ".join(rnd.choice(["one", "two", "six"]) for _ in range(rnd.randrange(1, 40))) for _ in range(200)]
+    whole = {}
+    for at, keys in lines.LineHashes(made, rolling.WordHashes()).keys(lines.shifted_places):
+        whole |= {i: set(map(int, k)) for i, k in zip(at.tolist(), keys, strict=True)}
+    monkeypatch.setattr(lines, "KEYS_AT_ONCE", 50)
+    assert all(keys_of(line, lines.shifted_places) == whole.get(i, set()) for i, line in enumerate(made))
+
+
+def slow_lines(rows):
+    """``line_report`` by comparing all pairs of distinct lines and joining documents one by one."""
     first = {}
     for i, t in rows:
         if i is not None and t:
             for n, line in enumerate(t.split("\n")):
                 if line:
                     first[line] = min(first.get(line, (i, n)), (i, n))
-    long = sorted((x for x in first if len(x) >= least), key=len)
-    near = {x: [] for x in first}
-    for k, a in enumerate(long):
-        for b in long[k + 1:]:
-            if len(b) - len(a) > edits:
+    root = {x: x for x in first}
+
+    def find(x, up):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    shaped = sorted((x for x in first if lines.units_of(x)), key=lambda x: (lines.units_of(x)[0], len(lines.units_of(x)[1])))
+    for k, a in enumerate(shaped):
+        kind, units = lines.units_of(a)
+        for b in shaped[k + 1:]:
+            if lines.units_of(b)[0] != kind or len(lines.units_of(b)[1]) - len(units) > lines.allowed(len(units), kind):
                 break
-            if lines.distance(a, b, edits) is not None:
-                near[a].append(b)
-                near[b].append(a)
+            if lines.near(a, b):
+                root[find(a, root)] = find(b, root)
+    earliest, counts = {}, {}
+    for x, place in first.items():
+        top = find(x, root)
+        earliest[top] = min(earliest.get(top, place), place)
+    doc_root = {i: i for i, _ in rows}
+    for i, t in rows:
+        for line in t.split("\n") if i is not None and t else ():
+            if line:
+                low, high = sorted((find(i, doc_root), find(earliest[find(line, root)][0], doc_root)))
+                doc_root[high] = low
     out = []
     for i, t in rows:
         each = t.split("\n") if t else []
-        kept, n_links, least_id = [], 0, i
+        kept, n_near = [], 0
         for n, line in enumerate(each):
-            if line and i is not None:
-                f = min([first[line], *(first[o] for o in near[line])])
-                n_links += len(near[line])
-                least_id = min(least_id, f[0])
-                if f < (i, n):
-                    continue
+            if line and i is not None and earliest[find(line, root)] < (i, n):
+                n_near += first[line] >= (i, n)
+                continue
             kept.append(line)
-        out.append((i, len(each), len(each) - len(kept), n_links, least_id, lines.kept_sha256(kept)))
+        out.append((i, len(each), len(each) - len(kept), n_near, find(i, doc_root), lines.kept_sha256(kept)))
     return sorted(out, key=repr)
 
 
-REPORT = ("doc_id", "n_lines", "n_removed", "n_links", "class_id", "kept_sha256")
+REPORT = ("doc_id", "n_lines", "n_removed", "n_near", "class_id", "kept_sha256")
 
 
 def test_line_report(spark, given, odd, odd_rows, none, by_row):
@@ -205,41 +256,62 @@ def test_line_report(spark, given, odd, odd_rows, none, by_row):
     rnd = random.Random(8)
     rows = list(texts.items())
     for k, t in enumerate(list(texts.values())[:120]):
-        line = list(rnd.choice(t.split("\n")))
-        for _ in range(rnd.randrange(1, 4)):
-            line[rnd.randrange(len(line))] = rnd.choice("xyzé")
-        rows.append((10_000 + k, "".join(line) + "q\n\nshort\n" + t.split("\n")[0]))
+        words = rnd.choice(t.split("\n")).split(" ")
+        for _ in range(rnd.randrange(1, 5)):
+            words[rnd.randrange(len(words))] = rnd.choice(["x", "yz", "é"])
+        rows.append((10_000 + k, " ".join(words) + "\n\nshort\n" + t.split("\n")[0]))
     rows += [(20_000, "same place and id, one text of more characters"), (20_000, "same place and id, one text of more characterz")]
     frame = spark.createDataFrame(rows, COLUMNS).repartition(6)
     assert by_row(lines.line_report(frame), *REPORT) == slow_lines(rows)
-    odd_found = by_row(lines.line_report(odd), *REPORT)
-    assert odd_found == slow_lines(odd_rows)
+    assert by_row(lines.line_report(odd), *REPORT) == slow_lines(odd_rows)
     assert lines.line_report(none).count() == 0
 
 
-def test_components_of_linked_lines(spark):
+def test_groups_of_near_lines(spark, by_row):
+    """Groups whose lines are near some of the others only, chains, one common line, and lines that share a segment but little else."""
     rnd = random.Random(15)
-    a = "one line of more than twenty-four characters"
+    made = []
+    for g in range(3):
+        base = [f"w{g}x{i}" for i in range(30)]
+        made += [" ".join(altered(rnd, base, rnd.randrange(6), lambda r: f"z{r.randrange(50)}")) for _ in range(60)]
+    chain = [f"c{i}" for i in range(60)]
+    made += [" ".join(chain[i:i + 20]) for i in range(30)]  # each is near the next ones only
+    made += [" ".join([f"p{i}" for i in range(8)] + [f"q{rnd.randrange(9)}" for _ in range(8)]) for _ in range(80)]
+    made += [f"{rnd.randrange(40):06b}" * 5 for _ in range(40)] + ["a common line"] * 40 + ["", "tiny", "tiny"]
+    rnd.shuffle(made)
+    rows = [(i, "\n".join(made[j] for j in rnd.sample(range(len(made)), rnd.randrange(1, 5)))) for i in range(150)]
+    frame = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    assert by_row(lines.line_report(frame), *REPORT) == slow_lines(rows)
+
+
+def test_classes_reach_over_lines_and_documents(spark):
+    a = "one line of more than enough characters"
     rows = [(1, a), (2, a[:-2] + "xy"), (3, a[:-4] + "vwxy"), (5, "shared"), (10, "shared\nfirst here"), (20, "first here"),
             (30, "alone"), (None, "alone"), (31, None)]
-    rows += [(100 + i, "\n".join(f"{rnd.randrange(40):06b}" * 5 for _ in range(rnd.randrange(1, 3)))) for i in range(30)]
-    rnd.shuffle(rows)
-    root = {i: i for i, _ in rows}
-
-    def find(i):
-        return i if root[i] == i else find(root[i])
-
-    known = [(i, line) for i, t in rows if i is not None and t for line in t.split("\n")]
-    for i, x in known:
-        for j, y in known:
-            if x == y or len(x) >= 24 and len(y) >= 24 and lines.distance(x, y, 2) is not None:
-                low, high = sorted((find(i), find(j)))
-                root[high] = low
-    found = {r["doc_id"]: r["component_id"] for r in lines.line_report(spark.createDataFrame(rows, COLUMNS)).collect()}
-    assert found == {i: find(i) for i, _ in rows}
+    found = {r["doc_id"]: r["class_id"] for r in lines.line_report(spark.createDataFrame(rows, COLUMNS)).collect()}
     assert [found[i] for i in (1, 2, 3, 5, 10, 20, 30, 31, None)] == [1, 1, 1, 5, 5, 5, 30, 31, None]
 
 
+def test_similar_lines_are_found(given):
+    """Of line pairs with a Jaccard similarity of 0.8 on three-word shingles, nine in ten are near."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()
+    each = sorted({x for t in texts if t for x in t.split("\n") if len(x) >= 24})
+    shingles = [frozenset(zip(w, w[1:], w[2:], strict=False)) if len(w := x.split()) > 2 else frozenset([tuple(w)]) for x in each]
+    at, both = {}, {}
+    for i, s in enumerate(shingles):
+        for x in s:
+            at.setdefault(x, []).append(i)
+    for found in at.values():
+        for n, i in enumerate(found if len(found) < 100 else ()):
+            for j in found[n + 1:]:
+                both[i, j] = both.get((i, j), 0) + 1
+    similar = [(i, j) for (i, j), n in both.items() if n >= 0.8 * (len(shingles[i]) + len(shingles[j]) - n)]
+    assert len(similar) > 80
+    assert sum(lines.near(each[i], each[j]) for i, j in similar) >= 0.9 * len(similar)
+
+
 def test_documents_without_repeats(spark):
     rows = [(1, "a line of more than enough characters\nown"), (2, "a line of more then enough characters"), (3, None), (4, ""), (5, "own\nnew")]
     found = {r["doc_id"]: r["text"] for r in lines.without_repeats(spark.createDataFrame(rows, COLUMNS)).collect()}
