@@ -81,4 +81,12 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     path = run_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.settled = path
+    return found
+
+
+def forget(*settled: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more, before ``end_run`` does."""
+    for df in settled:
+        discard(df.sparkSession, df.settled)
