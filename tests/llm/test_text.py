@@ -167,7 +167,7 @@ def altered(rnd, units, edits, choice):
 
 
 def keys_of(line, places):
-    return {int(k) for _, keys in lines.LineHashes([line], rolling.WordHashes()).keys(places) for k in keys.ravel()}
+    return {int(k) for _, keys in lines.LineHashes([line]).keys(places) for k in keys.ravel()}
 
 
 def test_probes_meet_every_near_line():
@@ -187,7 +187,7 @@ def test_probes_meet_every_near_line():
         short, long = sorted((a, b), key=lambda x: len(lines.units_of(x)[1]))
         asked = keys_of(long, lines.own_places) | keys_of(long, lines.shifted_places)
         assert asked & keys_of(short, lines.own_places), (a, b)
-        sigs = lines.LineHashes([a, b], rolling.WordHashes()).signatures(2)
+        sigs = lines.LineHashes([a, b]).signatures(2)
         kind, units = lines.units_of(short)
         assert int(sigs[0] ^ sigs[1]).bit_count() <= 2 * lines.allowed(len(units), kind)
     assert met > 1200
@@ -197,9 +197,17 @@ def test_keys_of_many_lines_at_once(monkeypatch):
     rnd = random.Random(2)
     made = [" ".join(rnd.choice(["one", "two", "six"]) for _ in range(rnd.randrange(1, 40))).encode() for _ in range(200)]
     whole = {}
-    for at, keys in lines.LineHashes(made, rolling.WordHashes()).keys(lines.shifted_places):
+    for at, keys in lines.LineHashes(made).keys(lines.shifted_places):
         whole |= {i: set(map(int, k)) for i, k in zip(at.tolist(), keys, strict=True)}
     monkeypatch.setattr(lines, "KEYS_AT_ONCE", 50)
+    monkeypatch.setattr(lines, "BYTES_AT_ONCE", 100)
+    cut = {}
+    for at, keys in lines.LineHashes(made).keys(lines.shifted_places):
+        cut |= {i: set(map(int, k)) for i, k in zip(at.tolist(), keys, strict=True)}
+    assert cut == whole
+    odd = [b"", b" ", b"a" * 30, b"\r\x0b tabs\tand  blanks " * 9, "é 日本 x".encode() * 12, b"\xff\xfe bad bytes of some length"]
+    shapes = {int(i): (kind, n) for kind, n, at, _ in lines.LineHashes(odd).groups for i in at}
+    assert shapes == {i: (u[0], len(u[1])) for i, x in enumerate(odd) if (u := lines.units_of(x))}
     assert all(keys_of(line, lines.shifted_places) == whole.get(i, set()) for i, line in enumerate(made))
 
 
