@@ -17,7 +17,7 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterlake.llm.common import bounded_batches, chunk_of, keyed, marked, spaced_parts
+from rosterlake.llm.common import bounded_batches, chunk_of, give_back, keyed, marked, spaced_parts
 from rosterlake.llm.vocabulary import frequent, word_counts
 from rosterlake.session import discard, run_folder, settle
 
@@ -270,6 +270,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     of no bytes); repeated rows repeat; an empty table gives an empty result; other columns are left behind.
     """
     spark = docs.sparkSession
+    give_back(spark)
     bpe = ByteBpe(ranks)
     counts = settle(word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col), "words")
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
@@ -277,7 +278,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     bounded_batches(spark, 500, 2 * BLOCK_BYTES)
     words = frequent(counts, HOT_WORDS).select("word").repartition(busy_partitions(spark))
     hot = spark.sparkContext.broadcast(HotWords(words.select("word", bpe.encode(F.array("word"))[0].alias("ids"))))
-    pa.default_memory_pool().release_unused()
+    give_back(spark)
     block = pa.schema([("doc_id", pa.list_(pa.int64())), ("coded", pa.list_(pa.binary())), ("words", pa.list_(pa.string()))])
 
     def blocks(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,6 +28,16 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS, size: int = BAT
     spark.conf.set("spark.sql.maxPlanStringLength", "20000")
 
 
+def give_back(spark: SparkSession) -> None:
+    """Return what the driver no longer uses, and let Spark delete the shuffles and broadcasts of frames that are gone."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+    spark._jvm.System.gc()
+
+
 def row_key(id_col: Column, text_col: Column) -> Column:
     """16 bytes that stand for a document's id and text; repeated rows share it, and so share a result."""
     return F.unhex(F.md5(F.concat_ws("\x1f", F.coalesce(id_col.cast("string"), F.lit("null")),
