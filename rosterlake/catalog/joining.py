@@ -11,6 +11,7 @@ from rosterlake.operators.joins import (
     absent_rows, dim_join, interval_join, interval_max, lookup_chain, lookup_default, member_rows,
 )
 from rosterlake.operators.reshape import union_sheets
+from rosterlake.operators.skew import hot_keys, repeated, skew_join
 from rosterlake.plans.tariffs import date_bounds
 from rosterlake.plans.vacancies import WEB_SEARCHES, api_frontier, web_frontier
 from rosterlake.session import settle
@@ -41,6 +42,44 @@ def hot_key_join(t: Tables) -> DataFrame:
     return dim_join(rows, dim, {"k": "c_custkey"}, "left", salts=8)
 
 
+@query(
+    "hot_keys",
+    """WITH e AS (SELECT CASE WHEN event_id % 2 = 0 THEN 0 WHEN event_id % 9 = 1 THEN NULL ELSE user_id END AS k FROM events),
+    n AS (SELECT k, COUNT(*) AS rows_found FROM e GROUP BY k), t AS (SELECT COUNT(*) AS total FROM e)
+    SELECT k, rows_found, CAST((rows_found * 50 + total - 1) // total AS INT) AS salts FROM n, t WHERE rows_found * 50 >= total""",
+)
+def keys_with_many_rows(t: Tables) -> DataFrame:
+    return hot_keys(_half_on_one_key(t), ["k"])
+
+
+@query(
+    "skew_join",
+    """SELECT event_id, value, k, c_name, c_mktsegment FROM (SELECT event_id, value, CASE WHEN event_id % 2 = 0 THEN 0
+    WHEN event_id % 9 = 1 THEN NULL ELSE user_id END AS k FROM events) e LEFT JOIN customer ON c_custkey - 1 = k""",
+)
+def half_on_one_key_join(t: Tables) -> DataFrame:
+    dim = t.customer.selectExpr("c_custkey - 1 AS c", "c_name", "c_mktsegment")
+    return skew_join(_half_on_one_key(t), dim, {"k": "c"}, "left")
+
+
+@query(
+    "skew_repeats",
+    """WITH e AS (SELECT CASE WHEN event_id % 2 = 0 THEN 0 WHEN event_id % 9 = 1 THEN NULL ELSE user_id END AS k FROM events),
+    h AS (SELECT k, (COUNT(*) * 50 + (SELECT COUNT(*) FROM e) - 1) // (SELECT COUNT(*) FROM e) AS salts FROM e GROUP BY k
+    HAVING COUNT(*) * 50 >= (SELECT COUNT(*) FROM e))
+    SELECT c_custkey - 1 AS c, CAST(COALESCE(salts, 1) AS BIGINT) AS repeats FROM customer LEFT JOIN h ON k = c_custkey - 1""",
+)
+def repeats_of_dimension_rows(t: Tables) -> DataFrame:
+    hot = settle(hot_keys(_half_on_one_key(t), ["k"]), "hot_keys")
+    rows = repeated(t.customer.selectExpr("c_custkey - 1 AS c"), hot, {"k": "c"})
+    return rows.groupBy("c").agg(F.count("*").alias("repeats"))
+
+
+def _half_on_one_key(t: Tables) -> DataFrame:
+    key = "CASE WHEN event_id % 2 = 0 THEN 0 WHEN event_id % 9 = 1 THEN NULL ELSE user_id END AS k"
+    return t.events.selectExpr("event_id", "value", key)
+
+
 @query(
     "lookup_chain",
     """SELECT c_custkey, n_name, r_name, s_name FROM (SELECT c_custkey, c_custkey % 30 AS n FROM customer)
