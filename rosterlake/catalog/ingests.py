@@ -386,7 +386,7 @@ def dimensions(t: Tables) -> Dimensions:
     )
 
 
-def revenue_chunks(t: Tables) -> DataFrame:
+def revenue_chunks(t: Tables, where: str = "true") -> DataFrame:
     values = {
         "ID": "CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END", "Дата": "date_format(o_orderdate, 'yyyy-MM-dd 00:00:00')",
         "Сумма Выручки": "CASE WHEN o_orderkey % 19 <> 0 THEN o_totalprice END", "Статья": "o_orderpriority",
@@ -394,7 +394,7 @@ def revenue_chunks(t: Tables) -> DataFrame:
         "Регион": "get(array('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'), CAST(o_orderkey % 6 AS INT))",
         "Специальность": "concat('NATION_', o_custkey % 30)", "Заметка": "CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus END",
     }
-    rows = t.orders.withColumn("book", F.expr("o_orderkey div 200"))
+    rows = t.orders.filter(where).withColumn("book", F.expr("o_orderkey div 200"))
     sender = F.concat(F.lit("user"), F.col("book") % 120, F.lit("@mail.example"))
     return chunks(
         rows, "o_orderkey", landing_name(F.concat(F.lit("rev-"), "book", F.lit(".xlsx")), file_day("book"), sender),

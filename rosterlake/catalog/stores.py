@@ -14,12 +14,14 @@ from rosterlake.catalog.ingests import (
 )
 from rosterlake.catalog.logs import start_names
 from rosterlake.catalog.pay import courier_inputs
+from rosterlake.operators.quarantine import held_name
 from rosterlake.operators.store import Change, Store
 from rosterlake.plans import reports as R, stored
 from rosterlake.plans.pay import COURIER_FACTS, MONTHS
 from rosterlake.plans.shift_reports import PICKER_COLUMNS
 from rosterlake.plans.vacancies import API_COLUMNS
 from rosterlake.session import run_folder, settle
+from rosterlake.sources.landing import landing_metadata
 from rosterlake.streaming.ingest import commit_batches, landing_stream, reports_new
 
 # Dictionaries --------------------------------------------------------------------------------
@@ -180,6 +182,28 @@ def revenues_once(t: Tables) -> DataFrame:
     return store.table(stored.REVENUES)
 
 
+@query(
+    "revenues_held",
+    """WITH o AS (SELECT o_orderkey // 200 AS b, o_orderkey % 19 = 0 OR o_orderkey % 6 = 5 AS gap FROM orders),
+    f AS (SELECT b, bool_or(gap) AS bad, COUNT(*) AS n, COUNT(*) FILTER (gap) AS gaps FROM o GROUP BY b)
+    SELECT 'rev-' || b || '.xlsx' AS filename, CASE WHEN bad AND (b % 2 = 0 OR n = gaps) THEN 'held' ELSE 'stored' END AS state,
+    CASE WHEN bad AND b % 2 = 1 AND n > gaps THEN n - gaps ELSE n END AS n_rows,
+    CASE WHEN bad AND (b % 2 = 0 OR n = gaps) THEN gaps ELSE 0 END AS n_bad FROM f""",
+)
+def revenues_held_back(t: Tables) -> DataFrame:
+    """Files with gaps are held; every second one is then delivered again without the rows that had them."""
+    store, dims = new_store(t, "held"), dimensions(t)
+    _twice(store, lambda change: stored.append_revenues(change, revenue_chunks(t), dims, strict=True))
+    held = store.table(held_name(stored.REVENUES)).select("filename").distinct()
+    again = revenue_chunks(t, "o_orderkey div 200 % 2 = 1 AND o_orderkey % 19 <> 0 AND o_orderkey % 6 <> 5")
+    again = landing_metadata(again, "file").join(settle(held, "held_files"), "filename", "left_semi").select(*again.columns)
+    store.commit("corrected", lambda change: stored.append_revenues(change, again, dims, strict=True))
+    counted = {"stored": store.table(stored.REVENUES).withColumn("reasons", F.lit("")), "held": store.table(held_name(stored.REVENUES))}
+    rows = [r.groupBy("filename").agg(F.lit(state).alias("state"), F.count("*").alias("n_rows"), F.count_if(F.col("reasons") != "").alias("n_bad"))
+            for state, r in counted.items()]
+    return rows[0].unionByName(rows[1])
+
+
 @query("requests_stored", ORACLES["ingest_requests"])
 def requests_once(t: Tables) -> DataFrame:
     store = new_store(t, "requests")

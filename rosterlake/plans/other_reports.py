@@ -12,6 +12,7 @@ from rosterlake.operators.dictionary import dict_grow
 from rosterlake.operators.joins import dim_join, lookup_chain, lookup_default, member_rows
 from rosterlake.operators.mapping import map_codes
 from rosterlake.operators.quality import audit_row, empty_load_warning, null_columns, quality_counts, warnings
+from rosterlake.operators.quarantine import REASONS, reasons
 from rosterlake.operators.reshape import dated_columns, unpivot_cells
 from rosterlake.operators.writes import replace_dates, upsert
 from rosterlake.plans import reports as R
@@ -115,8 +116,11 @@ REVENUE_COLUMNS = (
 
 
 class RevenueLoad(NamedTuple):
+    """``judged``: the rows with ``reasons``, the required columns that are empty."""
+
     rows: DataFrame
     audit: DataFrame
+    judged: DataFrame
 
 
 def load_revenues(
@@ -140,7 +144,8 @@ def load_revenues(
     missing = null_columns(rows.select(*required))
     if strict:
         rows = rows.dropna(subset=required)
-    rows = landing_metadata(rows, "file")
+    empty = reasons({c: F.col(c).isNull() for c in required})
+    rows = landing_metadata(rows.withColumn(REASONS, empty), "file")
 
     author = users.select(F.col("id").alias("created_by"), F.col("email").alias("_email"))
     rows = lookup_default(rows, author, {"sender": "_email"}, "created_by", 0, "_unknown")
@@ -172,7 +177,7 @@ def load_revenues(
             "amount": coerce_numeric(F.col("amount")),
         }
     )
-    return RevenueLoad(typed.select(*REVENUE_COLUMNS), audit)
+    return RevenueLoad(typed.select(*REVENUE_COLUMNS), audit, typed.select(*REVENUE_COLUMNS, REASONS))
 
 
 # Staffing requests ---------------------------------------------------------------------------

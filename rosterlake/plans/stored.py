@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rosterlake.operators.dictionary import keep_growth, last_id, start_dictionary
 from rosterlake.operators.quality import AUDIT_COLUMNS, append_audit, log_counts
+from rosterlake.operators.quarantine import hold_files
 from rosterlake.operators.store import Change, Store
 from rosterlake.operators.writes import add_absent, merge_rows, replace_covered
 from rosterlake.plans import pay, preferences
@@ -172,9 +173,16 @@ def replace_hours(change: Change, chunks: DataFrame, regions: DataFrame, name: s
 
 
 def append_revenues(change: Change, chunks: DataFrame, dims: Dimensions, strict: bool = False, name: str = REVENUES) -> int:
-    """Append revenue rows; the log gets an event per file and what was missing or unknown."""
-    load = load_revenues(chunks, *dims, strict=strict)
-    rows = settle(load.rows, "revenues")
+    """Append revenue rows; the log gets an event per file and what was missing or unknown.
+
+    If ``strict``, a file with an empty required cell is held back whole until it is delivered without one.
+    """
+    load = load_revenues(chunks, *dims)
+    rows = load.rows
+    if strict:
+        rows, held, corrected = hold_files(change, name, load.judged)
+        log_counts(change, "revenues", {"held back": held, "held rows corrected": corrected}, "nothing held back")
+    rows = settle(rows, "revenues")
     change.create(name, rows.schema, "date_format(date, 'yyyy-MM')")
     added = change.append(name, rows)
     append_audit(change, _file_events(rows, "revenues").unionByName(load.audit.select(*AUDIT_COLUMNS)))
