@@ -83,7 +83,12 @@ def space_words(text: bytes) -> list[bytes]:
 
 def plain_words(text: bytes) -> list[bytes]:
     """Words of ``0-9a-z`` and non-ASCII characters after lower-casing A-Z, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``."""
-    return text.lower().translate(_JOINERS).split()
+    return plain_bytes(text).split()
+
+
+def plain_bytes(text: bytes) -> bytes:
+    """The text, byte for byte, with A-Z lower-cased and a space for each character that is in no such word."""
+    return text.lower().translate(_JOINERS)
 
 
 #: White space as tokenizers may see it, the word mark of sentence pieces included.
@@ -144,6 +149,15 @@ def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
     return spark.sparkContext.broadcast(whole)
 
 
+def hits(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that a filter may hold; most fail at the first of their bits."""
+    mask, at = np.uint64(len(whole) * 8 - 1), np.arange(len(hashes))
+    for n in SHIFTS:
+        slot = hashes[at] >> np.uint64(n) & mask
+        at = at[(whole[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return at
+
+
 def in_bitmap(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit hashes have all their bits set."""
     mask, hit = np.uint64(len(whole) * 8 - 1), np.ones(len(hashes), bool)
@@ -153,12 +167,6 @@ def in_bitmap(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return hit
 
 
-def one_in_bitmap(whole: bytes, h: int) -> bool:
-    """The same for one hash, and the filter as bytes."""
-    mask = len(whole) * 8 - 1
-    return all(whole[(h >> n & mask) >> 3] >> (h >> n & 7) & 1 for n in SHIFTS)
-
-
 def id_tops(ids: DataFrame, parts: int) -> list[int]:
     """The greatest ids of at most ``parts`` ranges that cut the column ``doc_id`` into about equal shares, ascending.
 

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import bitmap, in_bitmap, keyed, one_in_bitmap, plain_words, row_key
+from rosterlake.llm.common import bitmap, hits, in_bitmap, keyed, plain_bytes, plain_words, row_key
+from rosterlake.llm.rolling import _POWERS, mixed
 from rosterlake.session import settle
 
 #: Words of a window, and how far from its place a term may stand in production: one word put in or left out every nine
@@ -18,8 +18,8 @@ from rosterlake.session import settle
 WINDOW, SLOP = 10, 1
 #: Bits of the filter of benchmark terms for each window length (512 KB); more terms let more postings through.
 TERM_BITS = 1 << 22
-#: Distinct words a task remembers the filter's answer for.
-REMEMBERED = 500_000
+#: Bytes whose words a task hashes at once.
+BYTES_AT_ONCE = 1 << 18
 
 
 def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -44,23 +44,35 @@ def phrases_of(items: DataFrame, size: int = WINDOW, id_col: str = "item_id", te
     return texts.mapInArrow(cut, "item_id string, phrase string, terms array<string>").distinct()
 
 
-class Reach(dict):
-    """For a word, the lengths (as bits) of windows that may hold it: a bounded memory before the filters."""
+class Words:
+    """All words of many texts: where they begin and end in ``data``, their hashes, and how many each text has.
 
-    def __init__(self, filters: dict[int, np.ndarray], fewest: dict[int, int], pairs: np.ndarray | None = None):
-        self.filters, self.fewest = {length: whole.tobytes() for length, whole in filters.items()}, fewest
-        self.pairs = pairs
+    Words are hashed as stretches of a running sum over the bytes, about ``BYTES_AT_ONCE`` at a time.
+    """
 
-    def __missing__(self, word: bytes) -> int:
-        h, bits = xxhash.xxh64_intdigest(word, 42), 0
-        for length, whole in self.filters.items():
-            if one_in_bitmap(whole, h):
-                bits |= 1 << length
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = bits
-        return bits
+    def __init__(self, texts: list[bytes]):
+        self.data = plain_bytes(b" ".join(texts))
+        lengths = np.array([len(text) for text in texts], np.int64)
+        begins, ends, hashes, at = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint64)], 0
+        while at < len(self.data):
+            end = self.data.find(b" ", at + BYTES_AT_ONCE)
+            end = len(self.data) if end < 0 else end
+            part = np.frombuffer(self.data, np.uint8, end - at, at)
+            edges = np.flatnonzero(np.diff(part != 32, prepend=False, append=False))
+            up, down = _POWERS[0].upto(len(part))
+            sums = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum((part + np.uint64(1)) * up, out=sums[1:])
+            begin, upto = edges[::2], edges[1::2]
+            hashes.append(mixed((sums[upto] - sums[begin]) * down[begin]))
+            begins.append(begin + at)
+            ends.append(upto + at)
+            at = end
+        self.begins, self.ends, self.hashes = np.concatenate(begins), np.concatenate(ends), np.concatenate(hashes)
+        last = np.cumsum(lengths + 1)  # the place after each text
+        self.counts = np.searchsorted(self.begins, last) - np.searchsorted(self.begins, last - lengths - 1)
+
+    def __getitem__(self, at: int) -> bytes:
+        return self.data[self.begins[at]:self.ends[at]]
 
 
 def crowded(at: np.ndarray, need: int, span: int) -> np.ndarray:
@@ -74,9 +86,9 @@ def crowded(at: np.ndarray, need: int, span: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
-def paired(at: np.ndarray, words: list[bytes], pairs: np.ndarray, slop: int) -> np.ndarray:
-    """Which of the ascending positions of words have one as near as neighbouring terms may be, with a phrase's neighbour of theirs."""
-    h = np.fromiter((xxhash.xxh64_intdigest(word, 42) for word in words), np.uint64, len(at))
+def paired(at: np.ndarray, h: np.ndarray, pairs: np.ndarray, slop: int) -> np.ndarray:
+    """Which of the ascending positions of words, given by hashes, have one as near as neighbouring terms may be, with a phrase's
+    neighbour of theirs."""
     turned = h << np.uint64(1) | h >> np.uint64(63)
     fit = in_bitmap(pairs, h ^ turned)  # one word may serve two equal terms
     for step in range(1, min(2 + 2 * slop, len(at))):
@@ -87,30 +99,25 @@ def paired(at: np.ndarray, words: list[bytes], pairs: np.ndarray, slop: int) ->
     return fit
 
 
-def places(texts: list[list[bytes]], reach: Reach, slop: int = 0) -> list[list[int]]:
-    """Per text, positions that a window could cover: among as many words that windows of that length hold as it needs.
+def places(words: Words, filters: dict[int, np.ndarray], fewest: dict[int, int], pairs: np.ndarray | None = None, slop: int = 0) -> np.ndarray:
+    """The words, as places among all, that a window could cover: among as many that windows of that length hold as it needs.
 
     With a slop, a term may stand so many words before or after its place. A window's terms then stand in ``2 * slop``
     more words than it has, neighbouring terms at most ``1 + 2 * slop`` apart, and one word may serve several equal terms.
     """
-    words, counts = [word for text in texts for word in text], np.array([len(text) for text in texts], np.int64)
     # texts are laid side by side, further apart than any window reaches
-    apart = max(reach.filters, default=0) + 2 * slop + 1
-    begins = np.cumsum(counts) - counts
-    at = np.arange(len(words)) + np.repeat(np.arange(len(texts)) * apart, counts)
-    bits = np.fromiter(map(reach.__getitem__, words), np.uint32, len(words))
-    fit = np.zeros(len(words), bool)
-    for length in reach.filters:
-        need, span = reach.fewest[length] if slop else length, length + 2 * slop
-        inside = np.flatnonzero(bits & np.uint32(1 << length))
+    apart = max(filters, default=0) + 2 * slop + 1
+    at = np.arange(len(words.hashes)) + np.repeat(np.arange(len(words.counts)) * apart, words.counts)
+    fit = np.zeros(len(at), bool)
+    for length, whole in filters.items():
+        need, span = fewest[length] if slop else length, length + 2 * slop
+        inside = hits(whole, words.hashes)
         inside = inside[crowded(at[inside], need, span)]
         if slop and length > 1 and len(inside):
-            inside = inside[paired(at[inside], [words[p] for p in inside.tolist()], reach.pairs, slop)]
+            inside = inside[paired(at[inside], words.hashes[inside], pairs, slop)]
             inside = inside[crowded(at[inside], need, span)]
         fit[inside] = True
-    cuts = np.concatenate([[0], np.cumsum(fit)])
-    found = np.flatnonzero(fit)
-    return [(found[cuts[b]:cuts[b + n]] - b).tolist() for b, n in zip(begins.tolist(), counts.tolist(), strict=True)]
+    return np.flatnonzero(fit)
 
 
 def store_index(docs: DataFrame, phrases: DataFrame, slop: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -121,32 +128,40 @@ def store_index(docs: DataFrame, phrases: DataFrame, slop: int = 0) -> tuple[Dat
     with a slop one more for phrases' neighbouring terms.
     """
     spark = docs.sparkSession
+
+    @F.arrow_udf("bigint")
+    def word_hash(found: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for words in found:
+            yield pa.array(Words([w.encode() for w in words.to_pylist()]).hashes.view(np.int64))
+
     terms = phrases.select(F.size("terms").alias("length"), F.explode("terms").alias("term")).distinct()
     fewest = dict(phrases.groupBy(F.size("terms")).agg(F.min(F.size(F.array_distinct("terms")))).collect())
-    hashed = terms.select("length", F.xxhash64("term").alias("h"))
+    hashed = settle(terms.select("length", word_hash("term").alias("h")), "terms")
     filters = {n: bitmap(spark, hashed.filter(F.col("length") == n), "h", TERM_BITS) for n in sorted(fewest)}
     # a hash for two neighbouring terms: that of the first, and that of the second turned by a bit
-    second = F.xxhash64("b")
+    second = F.col("hb")
     turned = F.shiftleft(second, 1).bitwiseOR(F.shiftrightunsigned(second, 63))
     neighbours = phrases.select(F.explode(F.arrays_zip(F.expr("slice(terms, 1, size(terms) - 1)").alias("a"),
                                                        F.expr("slice(terms, 2, size(terms) - 1)").alias("b"))).alias("p")).select("p.a", "p.b").distinct()
-    pairs = bitmap(spark, neighbours.select(F.xxhash64("a").bitwiseXOR(turned).alias("h")), "h", TERM_BITS) if slop else None
+    neighbours = neighbours.select(word_hash("a").alias("ha"), word_hash("b").alias("hb"))
+    pairs = bitmap(spark, neighbours.select(F.col("ha").bitwiseXOR(turned).alias("h")), "h", TERM_BITS) if slop else None
     out = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("n_words", pa.int64()),
                      ("terms", pa.list_(pa.string())), ("positions", pa.list_(pa.list_(pa.int32())))])
 
     def posted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = Reach({n: f.value for n, f in filters.items()}, fewest, pairs.value if slop else None)
+        told = {n: f.value for n, f in filters.items()}
         for batch in found:
-            counts, terms, positions = [], [], []
-            texts = [plain_words(text) for text in batch.column("text").to_pylist()]
-            for words, found_at in zip(texts, places(texts, reach, slop), strict=True):
+            terms, positions = [], []
+            words = Words(batch.column("text").to_pylist())
+            found_at, begin = places(words, told, fewest, pairs.value if slop else None, slop), np.cumsum(words.counts) - words.counts
+            cuts = np.searchsorted(found_at, np.append(begin, len(words.hashes)))
+            for first, low, high in zip(begin.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 lists: dict[bytes, list[int]] = {}
-                for p in found_at:
-                    lists.setdefault(words[p], []).append(p)
-                counts.append(len(words))
+                for p in found_at[low:high].tolist():
+                    lists.setdefault(words[p], []).append(p - first)
                 terms.append([w.decode("utf-8", "replace") for w in lists])
                 positions.append(list(lists.values()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(counts, pa.int64()),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(words.counts, pa.int64()),
                                               pa.array(terms, out.field("terms").type),
                                               pa.array(positions, out.field("positions").type)], schema=out)
 
