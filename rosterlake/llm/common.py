@@ -129,6 +129,10 @@ def chunk_of(key: str) -> str:
 SHIFTS = (0, 19, 37)
 
 
+#: Hashes a task puts into a filter at once.
+HASHES_AT_ONCE = 1 << 16
+
+
 def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
     """A broadcast Bloom filter of ``bits`` bits (a power of two, 2^27 at most) of the 64-bit hashes in ``column``.
 
@@ -149,6 +153,48 @@ def bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
     return spark.sparkContext.broadcast(whole)
 
 
+def array_bitmap(spark: SparkSession, hashes: DataFrame, column: str, bits: int):
+    """The filter that ``bitmap`` makes, of the hashes in a column of arrays.
+
+    Each task fills one of its own, and only the blocks it touched are grouped, so that many hashes need not be sorted by
+    block. Null arrays and hashes set no bits.
+    """
+    size, out = max(bits // 8, 4096), pa.schema([("b", pa.int32()), ("m", pa.binary())])
+
+    def filled(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, waiting, count = np.zeros(size, np.uint8), [], 0
+        for batch in found:
+            each = batch.column(0).flatten().drop_null()
+            waiting.append(each.to_numpy(zero_copy_only=False))
+            count += len(each)
+            if count >= HASHES_AT_ONCE:
+                set_bits(whole, np.concatenate(waiting).view(np.uint64), bits)
+                waiting, count = [], 0
+        if waiting:
+            set_bits(whole, np.concatenate(waiting).view(np.uint64), bits)
+        blocks = whole.reshape(-1, 4096)
+        touched = np.flatnonzero(blocks.any(axis=1))
+        for at in range(0, len(touched), 256):
+            some = touched[at:at + 256]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([blocks[b].tobytes() for b in some.tolist()], pa.binary())],
+                                             schema=out)
+
+    found = hashes.select(column).mapInArrow(filled, "b int, m binary").groupBy("b").agg(F.bitmap_or_agg("m").alias("m")).collect()
+    whole = np.zeros(size, np.uint8)
+    for b, m in found:
+        whole[b * 4096:(b + 1) * 4096] = np.frombuffer(bytes(m), np.uint8)
+    return spark.sparkContext.broadcast(whole)
+
+
+def set_bits(whole: np.ndarray, hashes: np.ndarray, bits: int) -> None:
+    """Set the three bits of each hash."""
+    for n in SHIFTS:
+        slot = hashes >> np.uint64(n) & np.uint64(bits - 1)
+        place, bit = (slot >> np.uint64(3)).astype(np.int64), slot & np.uint64(7)
+        for i in range(8):
+            whole[place[bit == i]] |= np.uint8(1 << i)  # equal places get an equal value
+
+
 def hits(whole: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Places of the hashes that a filter may hold; most fail at the first of their bits."""
     mask, at = np.uint64(len(whole) * 8 - 1), np.arange(len(hashes))
