@@ -382,3 +382,19 @@ def test_numbers_are_decimal_numbers(spark, text, number, whole):
 @pytest.mark.parametrize("text", ["1.06.22", "01.6.22", "2022/6/1", "2022-6-1 00:00:00", "2022-06-01"])
 def test_days_and_months_of_one_digit(spark, text):
     assert spark.createDataFrame([(text,)], "t string").select(fn.parse_date(F.col("t"), R.DATES)).first()[0] == D(2022, 6, 1)
+
+
+def test_texts_without_a_format_s_separators_are_not_parsed(spark):
+    """A text that cannot fit costs an exception in the parser; the result is that of trying every format."""
+    texts = ["1.6.22", "2022/6/1", "2022-06-01 00:00:00", "2022-6-1", "Июнь", "Кол-во", "1.6/22", "", " ", "31.02.22", "2022-06-01T01:02:03",
+             "2022-06-01t01:02:03", "2022-06-01 01:02:03.123456", "1.6.99", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain_day = [F.try_to_date("t", f) for f in R.DATES]
+    plain_day[1] = F.when(F.year(plain_day[1]) >= 2069, F.add_months(plain_day[1], -1200)).otherwise(plain_day[1])
+    plain_time = [F.try_to_timestamp("t", F.lit(f)).cast("timestamp_ntz") for f in R.TIMES]
+    got = df.select(fn.parse_date(F.col("t"), R.DATES).alias("d"), fn.parse_timestamp(F.col("t"), R.TIMES).alias("s"),
+                    F.coalesce(*plain_day).alias("e"), F.coalesce(*plain_time).alias("u"))
+    assert all(r.d == r.e and r.s == r.u for r in got.collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(t#" in plan
+    assert got.filter("d IS NOT NULL").count() == 5

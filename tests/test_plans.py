@@ -6,12 +6,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from rosterlake.plans import pay, preferences, reports as R, stored
+from rosterlake.plans import other_reports, pay, preferences, reports as R, stored
 from rosterlake.plans.other_reports import apply_hours, load_hours, load_requests, load_revenues
 from rosterlake.operators.store import Change, Store
 from rosterlake.plans.shift_reports import COURIER_KEY, apply_shifts, load_couriers, load_pickers
 from rosterlake.plans.slices import CONTRACT_COLUMNS, contract_slice
 from rosterlake.plans.tariffs import date_bounds, effective_prices
+from rosterlake.session import settle
 
 DAY = date(2022, 6, 1)
 CHUNK = "file string, sheet int, book_headers array<string>, headers array<string>, first_row int, is_last boolean, rows array<array<string>>"
@@ -411,3 +412,29 @@ def test_repricing_a_stored_table_touches_pending_days_only(spark, tmp_path):
     assert {r.id: r.full_payment_client for r in store.table("work").collect()} == plain
     assert store.snapshot().files("work", ["2022-07"]) == july
     assert store.commit("pay 2", lambda change: pay.reprice_couriers_stored(change, "work", *args)) == {"days": 0, "rows": 0}
+
+
+def test_headers_are_parsed_once_per_chunk_not_per_row(spark, monkeypatch):
+    """Headers that come out of a grouping's key are not parsed in a filter below that grouping."""
+    rows = spark.range(40).selectExpr("id div 20 AS book", "id")
+    grouped = rows.groupBy("book").agg(F.collect_list(F.array(F.lit("Addr 1"), F.lit("A"), F.lit("Сборщик"), F.lit("1"), F.lit("ASIA"),
+                                                              F.col("id").cast("string"), F.lit("2"), F.lit("9"))).alias("rows"))
+    headers = F.concat(F.array(*map(F.lit, R.HOURS_HEADER)), F.array(
+        F.concat(F.col("book") + 1, F.lit(".6.22")), F.concat(F.lit("June "), "book"), F.lit("Итого")))
+    chunks = grouped.select(
+        F.concat(F.lit("31.2022-06-01.boss@mail.example.h"), "book").alias("file"), F.lit(0).alias("sheet"), headers.alias("book_headers"),
+        headers.alias("headers"), F.lit(1).alias("first_row"), F.lit(True).alias("is_last"), "rows")
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settle(df, label)
+
+    monkeypatch.setattr(other_reports, "settle", seen)
+    regions = spark.createDataFrame([(1, "ASIA")], "id int, legal_name string")
+    load = load_hours(chunks, regions, spark.createDataFrame([(1, 1, "Addr 1")], "tks_id int, city_id int, address string"))
+    plans["problems"] = load.problems._jdf.queryExecution().optimizedPlan().toString()
+    for label in ("covered", "problems"):
+        assert not [line for line in plans[label].splitlines() if "Filter" in line and "gettimestamp" in line], label
+    assert sorted(r.report_date.day for r in load.dates.collect()) == [1, 2]
+    assert {(r.value, r.found) for r in load.problems.collect()} == {("June 0", 1), ("June 1", 1)}
