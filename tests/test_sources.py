@@ -4,6 +4,7 @@ import io
 import zipfile
 from datetime import date, datetime
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from rosterlake.plans.vacancies import (
     API_COLUMNS, WEB_CARDS, WEB_COUNTER, WEB_PAGER, WEB_REGIONS, api_vacancies, new_vacancies, web_frontier,
     web_vacancies,
 )
+from rosterlake.sources import workbook
 from rosterlake.sources.landing import landed_files, route
 from rosterlake.sources.web import html_cards, html_links, json_tree_ids, page_count
 from rosterlake.sources.workbook import CHUNK_ROWS, decode_workbooks, landing_status, sheet_rows, trim_sheet
@@ -250,3 +252,19 @@ def test_web_frontier_holds_every_region_and_search(spark):
     links = web_frontier(regions, "https://site.example/").collect()
     assert len(links) == 4 * 84
     assert ("https://site.example/pskov/vakansii/tag/peshij-kurer", "") in {(r.link, r.query) for r in links}
+
+
+def test_workers_get_few_files_at_a_time(spark, monkeypatch):
+    """Neither many nor large files make a batch, and what is read waits as Arrow."""
+    seen = []
+    monkeypatch.setattr(workbook, "_chunks", lambda file, content: seen.append(len(content)) or iter([(file, 0, ["a"], ["a"], 1, True, [["x"], [None]], None)]))
+    batch = pa.RecordBatch.from_pydict({"file": ["a", "b"], "content": [b"1", b"22"]})
+    out = workbook._decode(iter([batch]))
+    first = next(out)
+    assert seen == [1]  # the second file is not touched before the first is handed on
+    assert isinstance(first, pa.RecordBatch) and first.to_pylist()[0]["rows"] == [["x"], [None]]
+    large = spark.range(40, numPartitions=1).selectExpr("CAST(id AS STRING) AS file", "CAST(repeat('x', 1048576) AS BINARY) AS content")
+
+    decode_workbooks(large)
+    sizes = large.mapInArrow(lambda found: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in found), "n bigint").collect()
+    assert sum(r.n for r in sizes) == 40 and max(r.n for r in sizes) <= 9
