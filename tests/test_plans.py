@@ -438,3 +438,29 @@ def test_headers_are_parsed_once_per_chunk_not_per_row(spark, monkeypatch):
         assert not [line for line in plans[label].splitlines() if "Filter" in line and "gettimestamp" in line], label
     assert sorted(r.report_date.day for r in load.dates.collect()) == [1, 2]
     assert {(r.value, r.found) for r in load.problems.collect()} == {("June 0", 1), ("June 1", 1)}
+
+
+def test_loads_read_only_their_own_kinds_of_a_batch(spark, tmp_path, monkeypatch):
+    headers = {"c": R.COURIER_HEADER, "p": R.PICKER_HEADER, "h": (*R.HOURS_HEADER, "1.6.22", "Итого"), "v": R.REVENUE_HEADER,
+               "q": (*R.REQUEST_HEADER, "1.6.22", *R.REQUEST_ALSO), "f": R.PREFERENCE_HEADER, "o": R.OUTPUT_HEADER, "x": ("else",)}
+    found = [(k, 0, list(h), list(h), 1, True, []) for k, h in headers.items()]
+    found.append(("2", 1, list(R.OUTPUT_HEADER), list(R.PREFERENCE_HEADER), 1, True, []))
+    batch = settle(stored.with_kinds(spark.createDataFrame(found, CHUNK)), "batch", stored.KINDS)
+    got, plans = {}, {}
+
+    def load(name):
+        def run(change, chunks, **dims):
+            got[name] = sorted(r.file for r in chunks.collect())
+            plans[name] = chunks._jdf.queryExecution().executedPlan().toString()
+            assert chunks.columns == [c.split()[0] for c in CHUNK.split(", ")]
+        return run
+
+    for name in ("merge_couriers", "merge_pickers", "replace_hours", "append_revenues", "append_requests", "merge_preferences", "merge_outputs"):
+        monkeypatch.setattr(stored, name, load(name))
+    want = {"merge_couriers": ["c", "p"], "merge_pickers": ["c", "p"], "replace_hours": ["h"], "append_revenues": ["v"], "append_requests": ["q"],
+            "merge_preferences": ["2", "f"], "merge_outputs": ["2", "o"]}
+    dims = stored.Dimensions(None, None, None, None)
+    stored.load_reports(None, batch, dims)
+    assert got == want and all("PartitionFilters: [" in p and "PartitionFilters: []" not in p for p in plans.values())
+    stored.load_reports(None, spark.createDataFrame(found, CHUNK), dims)  # chunks whose kinds are not known yet
+    assert got == want
