@@ -51,7 +51,7 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
     A word goes if a window of ``size`` words over it also starts in a document with a smaller id; windows are
     judged on the input. With ``with_text``, ``kept`` has the words left, joined by one space.
 
-    Every window's Rabin-Karp hash is made in the task that reads the text. Before windows are shuffled, two exact
+    Every window's Rabin-Karp hash is made once, in the task that reads the text. Before windows are written and shuffled, two exact
     steps leave out those that cannot count: copies of a whole word sequence are found by its digest (later
     ones lose all words), and a window is counted only if its anchor, the least hash of the ``gram``-word runs in
     it, stands in two different sequences. The anchors that do are held in a bitmap of fixed size, which may let
@@ -112,7 +112,8 @@ def remove_repeated(docs: DataFrame, size: int = WINDOW, gram: int = GRAM, with_
                     *(pa.array(windows(hashes, size, half)[at].view(np.int64)) for half in (0, 1)),
                 ], schema=flat)
 
-    each = texts.mapInArrow(candidates, "doc_id bigint, s1 bigint, start int, h1 bigint, h2 bigint")
+    # read twice, so written: making them costs far more than reading them
+    each = settle(texts.mapInArrow(candidates, "doc_id bigint, s1 bigint, start int, h1 bigint, h2 bigint"), "candidates")
     owners = each.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
     # written, so that the join below stands alone and Spark can split a window that fills a partition
     owners = settle(owners.filter("owner < last").select("h1", "h2", "owner"), "owners")

@@ -46,6 +46,14 @@ def test_substrings(spark, given, odd, odd_rows, none, by_row):
     assert by_row(substrings.remove_repeated(frame, 12, 4), *REMOVED) == slow_removal(rows, 12)
 
 
+def test_windows_are_made_once(spark):
+    """The tasks that hash all windows are not run again for the join with the windows' owners."""
+    text = " ".join(f"w{i}" for i in range(120))
+    found = substrings.remove_repeated(spark.createDataFrame([(1, text), (2, "new start " + text)], COLUMNS))
+    assert "candidates(" not in found._jdf.queryExecution().analyzed().toString()
+    assert {r["doc_id"]: r["n_removed"] for r in found.collect()} == {1: 0, 2: 120}
+
+
 def test_kept_text_and_spans(spark):
     text = " ".join(f"w{i}" for i in range(120))
     rows = [(1, text), (2, "new start " + text + " new end"), (3, text)]
