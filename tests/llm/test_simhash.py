@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 import xxhash
 
@@ -80,3 +82,32 @@ def test_components(spark, by_row):
     assert all(found[i] == 0 for i in range(201)) and all(found[i] == 1000 for i in (1000, 1001, 1002, 2000))
     assert all(found[3000 + i] == 3000 for i in range(50)) and len(found) == 201 + 4 + 50
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_components_of_few_links_take_one_step(spark, by_row, monkeypatch):
+    """What a task can hold is joined in one step; with less room rounds follow, and the result is the same."""
+    from rosterlake.llm import components as module
+
+    steps, plain = [], module.settle
+    monkeypatch.setattr(module, "settle", lambda df, label: steps.append(label) or plain(df, label))
+    rnd = random.Random(4)
+    links = [(rnd.randrange(-400, 400), rnd.randrange(-400, 400)) for _ in range(300)] + [(i, i + 1) for i in range(1000, 1100)]
+    links += [(5000, 5000 + i) for i in range(1, 80)] + [(None, 1), (2, None), (7, 7)]
+    frame = spark.createDataFrame(links, "u bigint, v bigint").repartition(6)
+    found = by_row(components(frame), "node", "root")
+    assert steps == ["links", "joined"]
+    root = {}
+
+    def top(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in links:
+        if u is not None and v is not None and u != v:
+            a, b = sorted((top(u), top(v)))
+            root[b] = a
+    assert found == sorted(((x, top(x)) for x in root), key=repr)
+    monkeypatch.setattr(module, "LINKS_AT_ONCE", 20)
+    assert by_row(components(frame), "node", "root") == found
+    assert steps.count("stars") > 0

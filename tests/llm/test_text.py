@@ -4,7 +4,7 @@ import random
 import numpy as np
 
 import corpus_pipeline
-from rosterlake.llm import chunking, decontamination, lines, queries, rolling, substrings
+from rosterlake.llm import chunking, common, decontamination, lines, queries, rolling, substrings
 
 COLUMNS = "doc_id bigint, text string"
 
@@ -201,6 +201,19 @@ def test_probes_meet_every_near_line():
     assert met > 1200
 
 
+def test_filter_with_six_bits(spark):
+    """A filter with 17 bits a key, as of the larger table's segment keys, lets few others through and loses none."""
+    rnd = np.random.default_rng(3)
+    keys, others = (rnd.integers(-2**63, 2**63, n, np.int64) for n in (60_000, 200_000))
+    frame = spark.createDataFrame([(keys[i:i + 300].tolist(),) for i in range(0, len(keys), 300)] + [(None,)], "keys array<bigint>").repartition(4)
+    passed = []
+    for twice in (False, True):
+        whole = common.array_bitmap(spark, frame, "keys", 1 << 20, twice).value
+        assert len(common.hits(whole, keys.view(np.uint64), twice)) == len(keys)
+        passed.append(len(common.hits(whole, others.view(np.uint64), twice)))
+    assert passed[0] > 500 and passed[1] < 250
+
+
 def test_keys_of_many_lines_at_once(monkeypatch):
     rnd = random.Random(2)
     made = [" ".join(rnd.choice(["one", "two", "six"]) for _ in range(rnd.randrange(1, 40))).encode() for _ in range(200)]
