@@ -8,7 +8,7 @@ import gc
 import hashlib
 import json
 from collections.abc import Callable, Iterator
-from itertools import compress
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterlake.llm.common import bounded_batches, chunk_of, give_back, keyed, marked, spaced_parts
+from rosterlake.llm.common import as_strings, bounded_batches, chunk_of, cut_texts, give_back, keyed, put_together
 from rosterlake.llm.vocabulary import frequent, word_counts
 from rosterlake.session import discard, run_folder, settle
 
@@ -28,8 +28,8 @@ NO_PAIR = (1 << PAIR_BITS) - 1
 REMEMBERED, LONGEST = 150_000, 64
 #: Words whose ids all tasks get; see ``frequent``.
 HOT_WORDS = 1_000_000
-#: Bytes of text whose words are put together at once.
-BLOCK_BYTES = 2 << 20
+#: Bytes and documents of text whose words are put together at once.
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 2000
 #: Marks the number of a word that is still to be encoded among packed ids.
 OPEN = 1 << 31
 
@@ -212,20 +212,23 @@ class HotWords:
         codes.update((w, numbers[4 * i:4 * i + 4]) for i, w in enumerate(rare))
         return codes, rare
 
-    def parts_of(self, keys: set[str], split: Callable[[str], list[str]]) -> tuple[dict[str, bytes], list[str]]:
-        """Packed ids of parts of texts, with open numbers for the words that are listed."""
+    def parts_of(self, keys: list[str], split: Callable[[str], list[str]]) -> tuple[list[bytes], list[str]]:
+        """Packed ids of each part of texts, with open numbers for the words that are listed."""
         known = self.parts
-        met = keys & known.keys()
-        made = dict(zip(met, map(known.__getitem__, met), strict=True))
-        words = {key: split(key) for key in keys - met}
-        codes, rare = self.codes(list(set().union(*words.values())))
-        for key, parts in words.items():
-            made[key] = codes[parts[0]] if len(parts) == 1 else b"".join([codes[w] for w in parts])
+        made = list(map(known.get, keys))
+        fresh = [i for i, ids in enumerate(made) if ids is None]
+        words = [split(keys[i]) for i in fresh]
+        codes, rare = self.codes(list(set(chain.from_iterable(words))))
+        for i, parts in zip(fresh, words, strict=True):
+            made[i] = codes[parts[0]] if len(parts) == 1 else b"".join([codes[w] for w in parts])
+        asked = {keys[i] for i in fresh}
         if len(known) < REMEMBERED:  # what two blocks in a row hold is worth remembering
-            for key in words.keys() & self.last:
-                if len(key) <= LONGEST and not any(codes[w][3] & 128 for w in words[key]):
-                    known[key] = made[key]
-        self.last = set(words)
+            again = asked & self.last
+            for i, parts in zip(fresh, words, strict=True):
+                key = keys[i]
+                if key in again and len(key) <= LONGEST and not any(codes[w][3] & 128 for w in parts):
+                    known[key] = made[i]
+        self.last = asked
         return made, rare
 
 
@@ -275,7 +278,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     counts = settle(word_counts(docs, functools.partial(pretokens_of, pattern), id_col, text_col), "words")
     texts = keyed(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     # tasks hold the table of words too, and so get smaller batches
-    bounded_batches(spark, 500, 2 * BLOCK_BYTES)
+    bounded_batches(spark, BLOCK_ROWS, BLOCK_BYTES)
     words = frequent(counts, HOT_WORDS).select("word").repartition(busy_partitions(spark))
     hot = spark.sparkContext.broadcast(HotWords(words.select("word", bpe.encode(F.array("word"))[0].alias("ids"))))
     give_back(spark)
@@ -286,12 +289,14 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
         gc.disable()  # a block's many short lists hold no cycles
         try:
             for batch in found:
-                for docs, all_texts in few(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                    texts = [marked(spaced_parts(t.decode("utf-8", "replace"))) for t in all_texts]
-                    made, rare = hot.value.parts_of(set().union(*texts), split)
-                    coded = [b"".join(map(made.__getitem__, keys)) for keys in texts]
+                for some in few(batch):
+                    keys, number, begins = cut_texts(as_strings(some.column("text")))
+                    made, rare = hot.value.parts_of(keys, split)
+                    coded, ends = put_together(made, number, begins)
+                    n = some.num_rows
+                    each = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(coded)])
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([docs], block.field(0).type), pa.array([coded], block.field(1).type),
+                        pa.ListArray.from_arrays([0, n], some.column("doc_id")), pa.ListArray.from_arrays([0, n], each),
                         pa.array([rare], block.field(2).type),
                     ], schema=block)
         finally:
@@ -302,19 +307,21 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                        ("decoded_sha256", pa.string())])
 
     def assembled(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = pieces.value.__getitem__
+        piece = pa.array(pieces.value, pa.large_binary())
         for batch in found:
             for i in range(batch.num_rows):
-                codes = [np.array(c, "<u4") for c in batch.column("codes")[i].as_py()]
-                n, ids, decoded = [], [], []
-                for coded in batch.column("coded")[i].as_py():
-                    all_ids = filled(np.frombuffer(coded, "<u4"), codes)
-                    n.append(len(all_ids))
-                    ids.append(hashlib.sha256(all_ids.tobytes()).hexdigest())
-                    decoded.append(hashlib.sha256(b"".join(map(piece, all_ids.tolist()))).hexdigest())
+                coded, codes = batch.column("coded")[i].values, batch.column("codes")[i].values
+                begins = np.concatenate([[0], np.cumsum(pc.binary_length(coded).to_numpy(zero_copy_only=False))]).astype(np.int64) // 4
+                ids = np.frombuffer(b"".join(coded.to_pylist()), "<u4")
+                ids, begins = filled(ids, begins, codes.value_lengths().to_numpy(zero_copy_only=False), codes.flatten().to_numpy())
+                _, ends, decoded = piece.take(pa.array(ids)).buffers()
+                decoded = memoryview(decoded or b"")
+                ends = np.frombuffer(ends, np.int64)[:len(ids) + 1][begins].tolist()
+                bounds = begins.tolist()
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(batch.column("doc_id")[i].as_py(), pa.int64()), pa.array(n, pa.int64()),
-                    pa.array(ids, pa.string()), pa.array(decoded, pa.string()),
+                    batch.column("doc_id")[i].values, pa.array(np.diff(begins), pa.int64()),
+                    pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.string()),
+                    pa.array([hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()),
                 ], schema=final)
 
     cut = texts.mapInArrow(blocks, "doc_id array<bigint>, coded array<binary>, words array<string>")
@@ -331,27 +338,31 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     return done
 
 
-def filled(coded: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
-    """Ids with the numbers of open words replaced by the words' ids."""
-    at = np.flatnonzero(coded >= OPEN)
+def filled(coded: np.ndarray, begins: np.ndarray, length: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with the numbers of open words replaced by the words' ids, which are so many each, and where texts begin then."""
+    is_open = coded >= OPEN
+    at = np.flatnonzero(is_open)
     if not len(at):
-        return coded
-    parts, done = [], 0
-    for place in at.tolist():
-        parts += [coded[done:place], codes[int(coded[place]) - OPEN]]
-        done = place + 1
-    return np.concatenate([*parts, coded[done:]])
-
-
-def few(docs: list, texts: list[bytes]) -> Iterator[tuple[list, list[bytes]]]:
+        return coded, begins
+    word = (coded[at] - np.uint32(OPEN)).astype(np.int64)
+    each, first = length[word].astype(np.int64), (np.cumsum(length) - length)[word]
+    size = np.ones(len(coded), np.int64)
+    size[at] = each
+    place = np.concatenate([[0], np.cumsum(size)])
+    out = np.empty(place[-1], "<u4")
+    out[place[:-1][~is_open]] = coded[~is_open]
+    step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    out[np.repeat(place[at], each) + step] = codes[np.repeat(first, each) + step]
+    return out, place[begins]
+
+
+def few(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Documents in blocks of about ``BLOCK_BYTES`` of text; a longer text is a block of its own."""
+    upto = np.concatenate([[0], np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)])
     begin = 0
-    while begin < len(docs):
-        end, size = begin, 0
-        while end < len(docs) and (end == begin or size + len(texts[end]) <= BLOCK_BYTES):
-            size += len(texts[end])
-            end += 1
-        yield docs[begin:end], texts[begin:end]
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(upto, upto[begin] + BLOCK_BYTES, "right")) - 1)
+        yield batch.slice(begin, end - begin)
         begin = end
 
 

@@ -7,12 +7,15 @@ import gc
 import json
 import os
 import struct
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import xxhash
 import zstandard
@@ -21,13 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from rosterlake.llm.byte_bpe import COMMON_PATTERN, few, pretokens_of
-from rosterlake.llm.common import chunk_of, id_tops, keyed, marked, spaced_parts
+from rosterlake.llm.common import as_strings, chunk_of, cut_texts, id_tops, keyed, put_together
 from rosterlake.llm.vocabulary import HOT_BYTES
 
 #: Ids after which a frame is closed, and the level of compression.
 FRAME_IDS, LEVEL = 1 << 16, 1
-#: Parts of texts whose ids a worker remembers: those met in two batches, and those met lately.
-OFTEN, LATELY = 250_000, 100_000
+#: Parts of texts whose ids a worker remembers: the ones met lately, and as many met before them, which stay if met often.
+LATELY = 150_000
 #: Pre-tokens whose ids a worker remembers.
 WORDS = 150_000
 
@@ -231,6 +234,7 @@ def byte_chars() -> dict[int, int]:
 
 
 BYTE_CHARS = byte_chars()
+SPACE = chr(BYTE_CHARS[0x20])
 
 
 class Encoder:
@@ -244,8 +248,9 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         #: Ids as bytes of this type.
         self.kind = "<u4" if self.tokenizer.get_vocab_size() > 1 << 16 else "<u2"
-        self.often: dict[str, bytes] = {}
+        self.code = "I" if self.kind == "<u4" else "H"
         self.lately: dict[str, bytes] = {}
+        self.often: dict[str, bytes] = {}
         own = json.loads(self.tokenizer.to_str())
         step = own["pre_tokenizer"] or {}
         #: Whether the library only cuts a text by the common pattern and maps its bytes before the merges.
@@ -260,38 +265,64 @@ class Encoder:
         """Ids of one pre-token by the library's merges."""
         ids = self.words.get(word)
         if ids is None:
-            mapped = word.encode().decode("latin-1").translate(BYTE_CHARS)
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(mapped)], self.kind).tobytes()
+            if word.isalpha() and word.isascii():
+                mapped = word
+            elif word[0] == " " and word[1:].isalpha() and word.isascii():
+                mapped = SPACE + word[1:]
+            else:
+                mapped = word.encode().decode("latin-1").translate(BYTE_CHARS)
+            made = array(self.code, [t.id for t in self.tokenizer.model.tokenize(mapped)])
+            if sys.byteorder == "big":
+                made.byteswap()
+            ids = made.tobytes()
             if len(self.words) >= WORDS:
                 self.words.clear()
             if len(word) <= HOT_BYTES:
                 self.words[word] = ids
         return ids
 
-    def parts(self, keys: list[str]) -> dict[str, bytes]:
+    def parts(self, keys: list[str]) -> list[bytes]:
         """Ids of marked parts: by their pre-tokens if the tokenizer is of the byte-level kind, else by the whole library."""
         if not self.byte_level:
-            return dict(zip(keys, self.direct([chunk_of(k) for k in keys]), strict=True))
+            return self.direct([chunk_of(k) for k in keys])
         split, word = pretokens_of(COMMON_PATTERN), self.word
-        return {key: b"".join([word(w) for w in split(key)]) for key in keys}
-
-    def ids(self, texts: list[str]) -> list[bytes]:
+        return [b"".join([word(w) for w in split(key)]) for key in keys]
+
+    def known(self, keys: list[str]) -> list[bytes]:
+        """Ids of distinct marked parts, from those that were met lately if they are there."""
+        made = list(map(self.lately.get, keys))
+        new: dict[str, bytes] = {}
+        missing = [i for i, ids in enumerate(made) if ids is None]
+        older = list(map(self.often.get, map(keys.__getitem__, missing)))
+        fresh = [i for i, ids in zip(missing, older, strict=True) if ids is None]
+        for i, ids in zip(missing, older, strict=True):
+            if ids is not None:
+                made[i] = new[keys[i]] = ids
+        for i, ids in zip(fresh, self.parts([keys[i] for i in fresh]), strict=True):
+            made[i] = ids
+            if len(keys[i]) <= HOT_BYTES:
+                new[keys[i]] = ids
+        if len(self.lately) + len(new) > LATELY:
+            # what is used is met again soon, and then counts as lately met
+            self.often, self.lately = self.lately, {}
+        self.lately.update(new)
+        return made
+
+    def ids(self, texts: pa.Array | list[str]) -> list[bytes]:
         """Ids of each text, as ``kind``; texts that hold an added token's string go to the library whole."""
-        cut = [None if any(s in t for s in self.special) else marked(spaced_parts(t)) for t in texts]
-        keys = set().union(*[chunks for chunks in cut if chunks])
-        met = keys & self.often.keys()
-        made = dict(zip(met, map(self.often.__getitem__, met), strict=True))
-        again = (keys - met) & self.lately.keys()
-        made.update(zip(again, map(self.lately.pop, again), strict=True))
-        fresh = self.parts(list(keys - made.keys()))
-        if len(self.often) + len(again) <= OFTEN:
-            self.often.update((k, made[k]) for k in again if len(k) <= HOT_BYTES)
-        if len(self.lately) + len(fresh) > LATELY:
-            self.lately.clear()
-        self.lately.update((k, v) for k, v in fresh.items() if len(k) <= HOT_BYTES)
-        made.update(fresh)
-        return [self.direct([t])[0] if chunks is None else b"".join(map(made.__getitem__, chunks))
-                for t, chunks in zip(texts, cut, strict=True)]
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        held = [pc.match_substring(texts, s).to_numpy(zero_copy_only=False).astype(bool) for s in self.special]
+        whole = np.flatnonzero(np.logical_or.reduce(held)) if held else np.empty(0, np.int64)
+        plain = np.setdiff1d(np.arange(len(texts)), whole)
+        keys, number, begins = cut_texts(texts.take(pa.array(plain)) if len(whole) else texts)
+        data, ends = put_together(self.known(keys), number, begins)
+        data, ends = memoryview(data), ends.tolist()
+        out = [b""] * len(texts)
+        for i, a, b in zip(plain.tolist(), ends[:-1], ends[1:], strict=True):
+            out[i] = bytes(data[a:b])
+        for i, ids in zip(whole.tolist(), self.direct(texts.take(pa.array(whole)).to_pylist()) if len(whole) else [], strict=True):
+            out[i] = ids
+        return out
 
 
 @functools.cache
@@ -322,11 +353,13 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, path: str, end_id: int =
         gc.disable()  # many short lists without cycles
         try:
             for batch in found:
-                for docs, texts in few(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    packed = [x + end for x in encode.ids([t.decode("utf-8", "replace") for t in texts])]
-                    ranges = [0 if d is None else int(np.searchsorted(cuts, d, "left")) for d in docs]
-                    yield pa.RecordBatch.from_arrays([pa.array(ranges, pa.int32()), pa.array(docs, pa.int64()),
-                                                      pa.array(packed, pa.binary())], schema=schema)
+                for some in few(batch):
+                    packed = [x + end for x in encode.ids(as_strings(some.column("text")))]
+                    docs = some.column("doc_id")
+                    # a null id is in the first range
+                    known = docs.fill_null(int(cuts[0]) if len(cuts) else 0).to_numpy()
+                    ranges = np.searchsorted(cuts, known, "left").astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.array(ranges), docs, pa.array(packed, pa.binary())], schema=schema)
         finally:
             gc.enable()
 

@@ -6,10 +6,11 @@ import functools
 from collections import Counter
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import keyed, marked, spaced_parts
+from rosterlake.llm.common import as_strings, cut_texts, keyed, spaced_parts
 
 #: Distinct words counted in a task before they go on to the shuffle.
 TASK_WORDS = 500_000
@@ -59,10 +60,14 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
             counts.clear()
 
         for batch in found:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    parts = spaced_parts(text.decode("utf-8", "replace"))
-                    counts.update(marked(parts) if split else parts)
+            if split:
+                keys, number, _ = cut_texts(as_strings(batch.column(0)))
+                for key, n in zip(keys, np.bincount(number, minlength=len(keys)).tolist(), strict=True):
+                    counts[key] += n
+            else:
+                for text in batch.column(0).to_pylist():
+                    if text:
+                        counts.update(spaced_parts(text.decode("utf-8", "replace")))
             if len(counts) > TASK_WORDS:
                 yield from flushed()
         yield from flushed()

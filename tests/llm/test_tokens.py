@@ -2,7 +2,9 @@ import hashlib
 import struct
 import zlib
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -39,6 +41,52 @@ def test_parts_make_up_the_text(text):
     assert all(a[-1] not in common.WHITE and b[0] not in common.WHITE for a, b in zip(parts, parts[1:], strict=False))
 
 
+@settings(max_examples=300, deadline=None)
+@cases(st.lists(st.text(alphabet=" a\n\t▁é.'  x", max_size=14), max_size=5))
+def test_texts_are_cut_together(texts):
+    """Each distinct part of a block is listed once, beside the first parts; parts by number are those of each text."""
+    keys, number, begins = common.cut_texts(pa.array(texts, pa.string()))
+    bounds = list(zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True))
+    assert [[keys[i] for i in number[a:b].tolist()] for a, b in bounds] == [common.marked(common.spaced_parts(t)) for t in texts]
+    others = [k for k in keys if k[:1] != " "]
+    assert len(others) == len(set(others)) and "" not in keys
+    joined, ends = common.put_together([k.encode() for k in keys], number, begins)
+    assert [joined[a:b].tobytes().decode() for a, b in zip(ends[:-1], ends[1:], strict=True)] == ["".join(common.marked(common.spaced_parts(t))) for t in texts]
+
+
+def test_invalid_bytes_are_replaced():
+    assert common.as_strings(pa.array([b"a \xff b", b"ok"])).to_pylist() == ["a \ufffd b", "ok"]
+
+
+def test_words_of_a_block_are_looked_up_once(ranks, monkeypatch):
+    """A block's repeated parts cost no look-up each: what is split and counted are its distinct parts."""
+    asked = []
+    split = byte_bpe.pretokens_of(byte_bpe.COMMON_PATTERN)
+    keys, number, begins = common.cut_texts(pa.array(["same words again and again " * 500 + "end"] * 3))
+    hot = object.__new__(byte_bpe.HotWords)
+    hot.hashes, hot.parts, hot.last = np.empty(0, np.int64), {}, set()
+    made, rare = hot.parts_of(keys, lambda key: asked.append(key) or split(key))
+    assert len(asked) == len(keys) <= 8 and set(rare) == {"same", " same", " words", " again", " and", " end"}
+    coded, ends = common.put_together(made, number, begins)
+    coded = np.frombuffer(coded.tobytes(), "<u4")
+    codes = [byte_bpe.merged_ids(w.encode(), ranks) for w in rare]
+    ids, bounds = byte_bpe.filled(coded, ends // 4, np.array([len(c) for c in codes]), np.array(sum(codes, [])))
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    wanted = own.encode_ordinary("same words again and again " * 500 + "end")
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == [wanted] * 3
+
+
+def test_remembered_parts_are_encoded_once(monkeypatch):
+    """Parts met again are not encoded again, also when those met lately were put aside in between."""
+    monkeypatch.setattr(token_files, "LATELY", 4)
+    encoder, asked = token_files.Encoder(JSON), []
+    parts = encoder.parts
+    monkeypatch.setattr(encoder, "parts", lambda keys: asked.append(keys) or parts(keys))
+    first = encoder.ids(["one two three"])
+    assert encoder.ids(["four five six"]) and encoder.ids(["one two three"]) == first
+    assert [len(a) for a in asked] == [3, 3, 0]
+
+
 @settings(max_examples=500, deadline=None)
 @cases(st.text(alphabet="ab é1٣.,!'-\n ªǅ中 s", max_size=8))
 def test_short_cut_is_the_pattern(text):
