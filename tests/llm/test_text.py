@@ -298,6 +298,17 @@ def test_line_report(spark, given, odd, odd_rows, none, by_row):
     assert lines.line_report(none).count() == 0
 
 
+def test_report_reads_the_documents_once_at_its_end(spark, by_row, tmp_path):
+    """Lines of documents are counted and put together in one scan, for those that lose lines and those that do not."""
+    rows = [(i, f"line number {i} of its own kind {'x' * i}\na common line of all\n") for i in range(12)]
+    rows += [(i, "all of it alone" + " w" * i) for i in range(20, 24)] + [(30, None), (31, ""), (None, "a common line of all")]
+    spark.createDataFrame(rows, COLUMNS).write.parquet(str(tmp_path / "documents"))
+    report = lines.line_report(spark.read.parquet(str(tmp_path / "documents")))
+    scans = [x for x in report._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Relation [" in x and "text#" in x]
+    assert len(scans) == 1
+    assert by_row(report, *REPORT) == slow_lines(rows)
+
+
 def test_groups_of_near_lines(spark, by_row):
     """Groups whose lines are near some of the others only, chains, one common line, and lines that share a segment but little else."""
     rnd = random.Random(15)
