@@ -17,9 +17,9 @@ import regex
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rosterlake.llm.common import as_strings, bounded_batches, chunk_of, cut_texts, give_back, keyed, put_together
+from rosterlake.llm.common import as_strings, bounded_batches, chunk_of, cut_texts, give_back, keyed, put_together, trim
 from rosterlake.llm.vocabulary import frequent, word_counts
-from rosterlake.session import discard, run_folder, settle
+from rosterlake.session import LARGE_ROWS, discard, held, run_folder, settle
 
 #: Fields of a packed piece: rank of the pair it starts (or NO_PAIR), place of its first byte, its own id.
 PAIR_BITS, PLACE_BITS, ID_BITS = 19, 24, 20
@@ -299,6 +299,8 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                         pa.ListArray.from_arrays([0, n], some.column("doc_id")), pa.ListArray.from_arrays([0, n], each),
                         pa.array([rare], block.field(2).type),
                     ], schema=block)
+                    del keys, number, begins, made, rare, coded, ends, each
+                    trim()
         finally:
             gc.enable()
 
@@ -323,15 +325,20 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                     pa.array([hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.string()),
                     pa.array([hashlib.sha256(decoded[a:b]).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()),
                 ], schema=final)
+                del coded, codes, begins, ids, ends, decoded, bounds
+                trim()
 
     cut = texts.mapInArrow(blocks, "doc_id array<bigint>, coded array<binary>, words array<string>")
     each = cut.select("doc_id", "coded", bpe.encode(F.col("words")).alias("codes"))
     # written, so that the tasks that cut texts and those that put ids together do not hold their workers at once
     path = run_folder(spark, "coded")
-    each.write.option("compression", "zstd").parquet(path)
+    each.write.options(compression="zstd", **LARGE_ROWS).parquet(path)
     hot.destroy()
     coded = spark.read.schema(each.schema).parquet(path)
-    done = settle(coded.mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"), "encoded")
+    done = coded.mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    # a row is a block, and Spark would read 4,096 rows at once
+    with held(spark, spark__sql__parquet__columnarReaderBatchSize="1"):
+        done = settle(done, "encoded")
     pieces.destroy()
     discard(spark, path)
     bounded_batches(spark)

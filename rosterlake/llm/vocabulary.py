@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import as_strings, cut_texts, keyed, spaced_parts
+from rosterlake.llm.common import as_strings, cut_texts, keyed, spaced_parts, trim
 
 #: Distinct words counted in a task before they go on to the shuffle.
 TASK_WORDS = 500_000
@@ -71,6 +71,7 @@ def word_counts(docs: DataFrame, splitter: Callable[[], Callable[[str], list[str
             if len(counts) > TASK_WORDS:
                 yield from flushed()
         yield from flushed()
+        trim()
 
     return texts.mapInArrow(counted, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pytest
 import sentencepiece
 import tiktoken
@@ -12,7 +13,7 @@ from hypothesis import given as cases, settings, strategies as st
 from tokenizers import Tokenizer
 
 from rosterlake.llm import byte_bpe, common, token_counts, token_files, vocabulary
-from rosterlake.session import run_folder
+from rosterlake.session import LARGE_ROWS, discard, run_folder, settle
 
 MODEL, JSON = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
 
@@ -135,6 +136,30 @@ def test_byte_bpe(given, odd, odd_rows, none, by_row, ranks, reference_bpe, monk
     assert byte_bpe.encode_documents(none, ranks, pattern).count() == 0
 
 
+def test_coded_blocks_are_held_one_at_a_time(spark, ranks, monkeypatch):
+    """A writer ends pages and row groups after a block, not after a hundred, and the reader takes one block, not all of a file."""
+    size, groups, rows = "spark.sql.parquet.columnarReaderBatchSize", [], {}
+    monkeypatch.setitem(LARGE_ROWS, "parquet.block.size", "1")
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 1000)
+
+    def kept(session, path):
+        for file in ds.dataset(path.removeprefix("file:")).get_fragments():
+            groups.extend(g.num_rows for g in file.row_groups)
+        discard(session, path)
+
+    def written(df, label, by=()):
+        rows[label] = spark.conf.get(size)
+        return settle(df, label, by)
+
+    monkeypatch.setattr(byte_bpe, "discard", kept)
+    monkeypatch.setattr(byte_bpe, "settle", written)
+    docs = spark.createDataFrame([(i, f"word{i} and others " * 60) for i in range(12)], "doc_id bigint, text string").coalesce(1)
+    usual = spark.conf.get(size)
+    assert byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN).count() == 12
+    assert groups == [1] * 12
+    assert rows == {"words": usual, "encoded": "1"} and spark.conf.get(size) == usual
+
+
 def test_merges_take_the_leftmost_lowest_rank(spark):
     """A made-up table in which a merged pair may rank below its parts."""
     ranks = {bytes([b]): b for b in range(256)} | {b"ab": 300, b"xab": 260, b"aa": 270, b"aaa": 265, b"ba": 400, b"bab": 257}
