@@ -337,7 +337,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
     coded = spark.read.schema(each.schema).parquet(path)
     done = coded.mapInArrow(assembled, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
     # a row is a block, and Spark would read 4,096 rows at once
-    with held(spark, spark__sql__parquet__columnarReaderBatchSize="1"):
+    with held(spark, {"spark.sql.parquet.columnarReaderBatchSize": "1"}):
         done = settle(done, "encoded")
     pieces.destroy()
     discard(spark, path)
